@@ -1 +1,10 @@
-"""Training-data operators. Nothing outside this subpackage imports it."""
+"""Training-data operators. Nothing outside this subpackage imports it.
+
+Functions that run on executors are shipped by value, so executors need no copy of the package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

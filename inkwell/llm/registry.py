@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from inkwell.llm import exact_dedup, mixing, oracles, warc
+from inkwell.llm import backoff, exact_dedup, mixing, oracles, warc
 from inkwell.llm.tables import table
 
 
@@ -20,5 +21,15 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_warc_salvage, op4_exact_dedup)}
+def fold(modulus: int, rest: int) -> Column:
+    """Held-out rows: crc32 of the id as text. A row without id is in no fold."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % modulus == rest, F.lit(False))
+
+
+def op10_lm_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = backoff.score_texts(table(spark, sf_dir, "documents"), "crc32(CAST(doc_id AS string)) % 7 <> 2")
+    return scored.select("doc_id", fold(7, 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_warc_salvage, op4_exact_dedup, op10_lm_backoff)}
 ORACLES = {"op1_mix_sources": oracles.OP1, "op2_warc_salvage": oracles.OP2, "op4_exact_dedup": oracles.OP4}
