@@ -18,7 +18,7 @@ from inkwell.llm.scratch import Scratch
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: First slice and how much wider each next one is; the last is repeated for as long as texts go on.
-FIRST_SLICE, WIDER, WIDEST = 64, 16, 1 << 20
+FIRST_SLICE, WIDER, WIDEST = 256, 16, 1 << 20
 
 
 def ascii_lower(text: Column) -> Column:
@@ -47,9 +47,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 F.expr(f"substring(rest, {width + 1})").alias("rest"),
             ).withColumn("ended", F.octet_length("rest") == 0)
             groups = cut.groupBy("gid", "slice", "ended").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keep_id")).filter("n > 1")
-            # Written before the join: its numbers then stay as they are, and adaptive execution can split the join's hot keys.
+            # Written before the join: its numbers then stay as they are, and adaptive execution can split the hot keys of a
+            # merge join, which is asked for at every size so that no growing table is ever broadcast.
             groups = scratch.save(groups.withColumn("next_gid", F.monotonically_increasing_id()), f"groups{step}")
-            met = cut.join(groups, ["gid", "slice", "ended"], "left")
+            met = cut.join(groups.hint("merge"), ["gid", "slice", "ended"], "left")
             state = scratch.save(
                 met.select(
                     "doc_id",
