@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkwell.llm.scratch import Scratch
-from inkwell.llm.words import U64, mix, powers, scan, text_bytes
+from inkwell.llm.words import U64, mix, powers, regroup, scan_all
 
 #: Bytes of text in a block, n-grams in a bucket on average, longest n-gram, share of a history's seen n-grams.
 BLOCK_BYTES, BUCKET_GRAMS, ORDER, LAMBDA = 8 << 20, 2_000_000, 2, 0.3
@@ -88,8 +88,7 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def block(ids, valid, train, texts) -> pa.RecordBatch:
         nonlocal made
-        data, off = text_bytes(texts)
-        w = scan(data, off)
+        w = scan_all(texts)
         n = np.diff(w.first)
         first = np.concatenate([[0], np.cumsum(n + 1)])  # each text's words and its end
         stream = np.full(int(first[-1]), END, U64)
@@ -102,34 +101,9 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made += 1
         return pa.RecordBatch.from_pydict({"block": pa.array([partition * (1 << 32) + made], pa.int64()), "n_docs": pa.array([len(ids)], pa.int32()), "payload": pa.array([payload], pa.binary())})
 
-    held: list[pa.RecordBatch] = []
-    size = 0
-
-    def flush() -> pa.RecordBatch:
-        table = pa.Table.from_batches(held).combine_chunks()
-        one = table.to_batches()[0]
+    for one in regroup(batches, 1, BLOCK_BYTES):
         ids = one.column(0)
-        return block(ids.fill_null(0).to_numpy(zero_copy_only=False), ids.is_valid().to_numpy(zero_copy_only=False), one.column(2).to_numpy(zero_copy_only=False), one.column(1))
-
-    for batch in batches:
-        for piece in _sliced(batch):
-            held.append(piece)
-            size += piece.nbytes
-            if size >= BLOCK_BYTES:
-                yield flush()
-                held, size = [], 0
-    if held:
-        yield flush()
-
-
-def _sliced(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """The batch in slices of at most about a fourth of a block, or single rows."""
-    _, off = text_bytes(batch.column(1))
-    i, n = 0, batch.num_rows
-    while i < n:
-        j = max(i + 1, int(np.searchsorted(off, off[i] + BLOCK_BYTES // 4, "right")) - 1)
-        yield batch.slice(i, j - i)
-        i = j
+        yield block(ids.fill_null(0).to_numpy(zero_copy_only=False), ids.is_valid().to_numpy(zero_copy_only=False), one.column(2).to_numpy(zero_copy_only=False), one.column(1))
 
 
 class Block:

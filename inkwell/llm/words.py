@@ -106,6 +106,14 @@ def scan_batch(texts: pa.Array, kind: np.ndarray = NOT_SPACE, most: int = CHUNK_
         yield i, j, scan(data[off[i] : off[j]], off[i : j + 1] - off[i], kind)
 
 
+def scan_all(texts: pa.Array, kind: np.ndarray = NOT_SPACE) -> Words:
+    """Words of the whole batch (without its bytes), scanned in chunks so that working memory stays that of a chunk."""
+    parts = [w for _, _, w in scan_batch(texts, kind)]
+    counts = np.concatenate([[0], *[np.diff(w.first) for w in parts]])
+    empty = np.zeros(0, np.int64)
+    return Words(np.concatenate([np.zeros(0, U64), *[w.hashes for w in parts]]), np.cumsum(counts), empty, empty, np.zeros(0, np.uint8))
+
+
 def shingles(w: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of every run of ``n`` words inside a text, and where each text's begin. A text of fewer words, but not none, has its whole sequence as one."""
     count = np.diff(w.first)
@@ -127,3 +135,23 @@ def shingles(w: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
             part = h[w.first[i] : w.first[i + 1]]
             runs[first[i]] = (part * odd[: len(part)]).sum(dtype=U64) + U64(len(part))
     return mix(runs), first
+
+
+def regroup(batches: Iterator[pa.RecordBatch], column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``most`` bytes of the text column (non-null), a longer text in a batch with few others."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+
+    def flush() -> pa.RecordBatch:
+        return pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+    for batch in batches:
+        _, off = text_bytes(batch.column(column))
+        for i, j in chunks(off, max(most // 4, 1)):
+            held.append(batch.slice(i, j - i))
+            size += int(off[j] - off[i])
+            if size >= most:
+                yield flush()
+                held, size = [], 0
+    if held:
+        yield flush()
