@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.llm import backoff, decontaminate, exact_dedup, mixing, oracles, warc
+from inkwell.llm import backoff, decontaminate, exact_dedup, mixing, ngram_join, oracles, warc
 from inkwell.llm.tables import table
 
 
@@ -26,6 +26,10 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("spans")
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_components(table(spark, sf_dir, "documents"))
+
+
 def fold(modulus: int, rest: int) -> Column:
     """Held-out rows: crc32 of the id as text. A row without id is in no fold."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % modulus == rest, F.lit(False))
@@ -36,5 +40,5 @@ def op10_lm_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", fold(7, 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_warc_salvage, op4_exact_dedup, op5_decontaminate, op10_lm_backoff)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_warc_salvage, op4_exact_dedup, op5_decontaminate, op6_ngram_jaccard, op10_lm_backoff)}
 ORACLES = {"op1_mix_sources": oracles.OP1, "op2_warc_salvage": oracles.OP2, "op4_exact_dedup": oracles.OP4, "op5_decontaminate": oracles.OP5}
