@@ -25,7 +25,7 @@ from inkwell.llm.scratch import Scratch
 from inkwell.llm.words import U64, mix, powers, regroup, scan_all
 
 #: Bytes of text in a block, n-grams in a bucket on average, longest n-gram, share of a history's seen n-grams.
-BLOCK_BYTES, BUCKET_GRAMS, ORDER, LAMBDA = 4 << 20, 1_000_000, 2, 0.3
+BLOCK_BYTES, BUCKET_GRAMS, ORDER, LAMBDA = 2 << 20, 1_000_000, 2, 0.3
 #: Bytes kept of an n-gram's hash: one word's counts must be exact, a longer one's may meet another by a chance of 1 in 10^9.
 HASH_BYTES = {1: 8}
 LONGER_HASH_BYTES = 6

@@ -9,6 +9,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; where it is unset (tests), one is made and set."""
     sc = spark.sparkContext
@@ -29,18 +32,22 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 class Scratch:
-    """Tables written while an operator runs. ``keep`` names those that its result reads: they go when the session's process ends."""
+    """Tables written while an operator runs, and gone with the block; ``result`` keeps one until the session's process ends. Inside the block, Arrow batches are bounded in bytes, since rows can be whole blocks of text."""
 
     def __init__(self, spark: SparkSession, tag: str):
-        self.spark, self.root, self.kept = spark, f"{shared_dir(spark)}/inkwell-{tag}-{uuid.uuid4().hex}", False
+        self.spark, self.root = spark, f"{shared_dir(spark)}/inkwell-{tag}-{uuid.uuid4().hex}"
 
     def __enter__(self) -> Scratch:
+        self.batch = self.spark.conf.get(BATCH, None)
+        self.spark.conf.set(BATCH, str(BATCH_BYTES))
         return self
 
     def __exit__(self, *_: object) -> None:
-        if not self.kept:
-            remove(self.spark, self.root)
-        self.kept = False
+        remove(self.spark, self.root)
+        if self.batch is None:
+            self.spark.conf.unset(BATCH)
+        else:
+            self.spark.conf.set(BATCH, self.batch)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
