@@ -347,22 +347,35 @@ def _still_open(members: DataFrame, least: int) -> DataFrame:
 
 
 def _tree_rounds(scratch: Scratch, members: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Links found by R-trees in the cells that the stars have left open. A cell of two was settled by its star."""
-    out, seed = None, 1
-    open_ = scratch.save(_still_open(members, 3), "open0")
-    while True:
-        sets = texts.join(open_.select("sid").distinct().hint("merge"), "sid", "left_semi").mapInArrow(_sets(shingle), SET)
-        sets = scratch.save(sets, f"sets{seed}")
+    """Links found by R-trees among the members of the cells that the stars have left open (a cell of two was settled by its star).
+
+    Nodes that open cells connect are a family. A family of up to CELL_MEMBERS nodes gets one tree, so its sets
+    travel once; in a larger one every cell gets a tree, after cells with more members are dealt again.
+    """
+    open_ = scratch.save(_still_open(members, 3), "open")
+    sets = texts.join(open_.select("sid").distinct().hint("merge"), "sid", "left_semi").mapInArrow(_sets(shingle), SET)
+    sets = scratch.save(sets, "sets")
+    hubs = open_.groupBy("cell").agg(F.min("sid").alias("a"))
+    families = components(open_.join(hubs.hint("merge"), "cell").select("a", F.col("sid").alias("b")), scratch, "family").withColumnsRenamed({"node": "sid", "label": "family"})
+    sizes = families.groupBy("family").agg(F.count(F.lit(1)).alias("nodes"))
+    families = scratch.save(families.join(sizes.hint("merge"), "family"), "families")
+    own = open_.select("sid", "label").distinct()
+    once = families.filter(f"nodes <= {CELL_MEMBERS}").join(own.hint("merge"), "sid").join(sets.hint("merge"), "sid")
+    out = scratch.save(once.groupBy("family").applyInArrow(_cell_join(percent), PAIR), "found")
+
+    open_ = open_.join(families.filter(f"nodes > {CELL_MEMBERS}").select("sid").hint("merge"), "sid", "left_semi")
+    seed = 1
+    while not open_.isEmpty():
         last = seed > 6  # by then a cell's members agree on a block of each of six hashes; they are joined however many they are
         small = open_ if last else open_.filter(f"many <= {CELL_MEMBERS}")
         found = small.join(sets.hint("merge"), "sid").groupBy("cell").applyInArrow(_cell_join(percent), PAIR)
-        found = scratch.save(found, f"found{seed}")
-        out = found if out is None else out.unionByName(found)
+        out = out.unionByName(scratch.save(found, f"found{seed}"))
         large = open_.filter(f"many > {CELL_MEMBERS}")
         if last or large.isEmpty():
-            return out
+            break
         again = sets.join(large.select("sid").distinct().hint("merge"), "sid", "left_semi").mapInArrow(_cells_again(percent, seed), MEMBER)
         large = large.select("cell", "sid", "label").join(again.withColumnRenamed("cell", "inner").hint("merge"), "sid")
         large = scratch.save(large.select(F.xxhash64("cell", "inner").alias("cell"), "sid", "label"), f"again{seed}")
         open_ = scratch.save(_still_open(large, 2), f"open{seed}")
         seed += 1
+    return out
