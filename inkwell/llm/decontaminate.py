@@ -170,39 +170,56 @@ SCHEMA = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 stri
 ARROW = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("items_sha256", pa.string()), ("spans", pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())])))])
 
 
+def _hits(texts: pa.Array, parts: list) -> tuple[np.ndarray, np.ndarray, dict[int, set[str]]]:
+    """Which words of a shard's texts are hit, where each text's words begin, and each text's items."""
+    w = scan_all(texts, ALNUM)
+    step = np.zeros(len(w.hashes) + 1, np.int64)
+    items: dict[int, set[str]] = {}
+    for part in parts:
+        p: Phrases = part.value
+        window, at = occurrences(w.hashes, w.first, p)
+        np.add.at(step, at, 1)
+        np.add.at(step, at + p.length[window], -1)
+        doc = np.searchsorted(w.first, at, "right") - 1
+        for d, k in np.unique(np.stack([doc, window], 1), axis=0).tolist() if len(at) else ():
+            items.setdefault(d, set()).update(p.items[p.first[k] : p.first[k + 1]])
+    return np.cumsum(step[:-1]) > 0, w.first, items
+
+
 def _find(parts: list):
     no_items = hashlib.sha256(b"").hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in regroup(batches, 1, SHARD_BYTES):
-            w = scan_all(batch.column(1), ALNUM)
+            hit, first, items = _hits(batch.column(1), parts)
             n = batch.num_rows
-            step = np.zeros(len(w.hashes) + 1, np.int64)
-            items: dict[int, set[str]] = {}
-            for part in parts:
-                p: Phrases = part.value
-                window, at = occurrences(w.hashes, w.first, p)
-                np.add.at(step, at, 1)
-                np.add.at(step, at + p.length[window], -1)
-                doc = np.searchsorted(w.first, at, "right") - 1
-                for d, k in np.unique(np.stack([doc, window], 1), axis=0).tolist() if len(at) else ():
-                    items.setdefault(d, set()).update(p.items[p.first[k] : p.first[k + 1]])
-            hit = np.cumsum(step[:-1]) > 0
             total = np.concatenate([[0], np.cumsum(hit)])
-            n_hit = total[w.first[1:]] - total[w.first[:-1]]
+            n_hit = total[first[1:]] - total[first[:-1]]
             spans: list = [[]] * n
             shas, n_items = [no_items] * n, np.zeros(n, np.int64)
             for d, own in items.items():
-                a, b = w.first[d], w.first[d + 1]
-                edge = np.flatnonzero(np.diff(np.concatenate([[False], hit[a:b], [False]]).astype(np.int8)))
+                edge = np.flatnonzero(np.diff(np.concatenate([[False], hit[first[d] : first[d + 1]], [False]]).astype(np.int8)))
                 spans[d] = [{"from": x, "to": y} for x, y in edge.reshape(-1, 2).tolist()]
                 shas[d] = hashlib.sha256(",".join(sorted(own)).encode()).hexdigest()
                 n_items[d] = len(own)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(w.first)), pa.array(n_hit), pa.array(n_items), pa.array(shas), pa.array(spans, ARROW.field("spans").type)], schema=ARROW)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(first)), pa.array(n_hit), pa.array(n_items), pa.array(shas), pa.array(spans, ARROW.field("spans").type)], schema=ARROW)
 
     return run
 
 
+def _parts(benchmark: DataFrame, item_col: str, text_col: str, window: int) -> list:
+    """The benchmark's windows in broadcasts of a bounded size each."""
+    sc, parts, ids, texts, size = benchmark.sparkSession.sparkContext, [], [], [], 0
+    for row in benchmark.select(F.col(item_col), F.col(text_col)).filter(F.col(item_col).isNotNull()).toLocalIterator():
+        ids.append(row[0])
+        texts.append(row[1])
+        size += len(row[1] or "")
+        if size >= PHRASE_BYTES:
+            parts.append(sc.broadcast(phrases(ids, texts, window)))
+            ids, texts, size = [], [], 0
+    return [*parts, sc.broadcast(phrases(ids, texts, window))] if ids else parts
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", window: int = WINDOW) -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, spans (merged ranges of hit words), contaminated.
 
@@ -212,16 +229,20 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     once; rows that repeat a document each get their own row. Empty tables on either side give no rows or no
     hits. The benchmark is broadcast in parts of a bounded size, searched one after the other.
     """
-    spark = docs.sparkSession
-    parts, ids, texts, size = [], [], [], 0
-    for row in benchmark.select(F.col(item_col), F.col(text_col)).filter(F.col(item_col).isNotNull()).toLocalIterator():
-        ids.append(row[0])
-        texts.append(row[1])
-        size += len(row[1] or "")
-        if size >= PHRASE_BYTES:
-            parts.append(spark.sparkContext.broadcast(phrases(ids, texts, window)))
-            ids, texts, size = [], [], 0
-    if ids:
-        parts.append(spark.sparkContext.broadcast(phrases(ids, texts, window)))
+    parts = _parts(benchmark, item_col, text_col, window)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     return rows.mapInArrow(_find(parts), SCHEMA).withColumn("contaminated", F.expr("n_hit > 0 AND 20 * n_hit >= n_words"))
+
+
+def reject(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", window: int = WINDOW) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, with all their columns as they are."""
+    parts, at = _parts(benchmark, item_col, text_col, window), docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in regroup(batches, at, SHARD_BYTES):
+            hit, first, _ = _hits(batch.column(at), parts)
+            total = np.concatenate([[0], np.cumsum(hit)])
+            n_hit = total[first[1:]] - total[first[:-1]]
+            yield batch.filter(pa.array((n_hit == 0) | (20 * n_hit < np.diff(first))))
+
+    return docs.mapInArrow(run, docs.schema)

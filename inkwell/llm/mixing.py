@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from inkwell.llm.scratch import Scratch
+
 WORD = r"[^\x20\x09-\x0D]+"
 #: Words in a block, and rows in a shard on average (a shard is sorted in one task).
 BLOCK_WORDS, SHARD_ROWS = 32, 20_000
@@ -72,6 +74,53 @@ def sainte_lague(parties: DataFrame, group: list[str], votes: str, seats: str, n
     return met.withColumn("won", F.col("_base") + F.coalesce("_more", F.lit(0))).select(*[F.col(f"p.{c}") for c in parties.columns], "won")
 
 
+class Plan:
+    """Seats, quotas and where each shard's run of blocks begins, for one table and one seed."""
+
+    def __init__(self, docs: DataFrame, weights: tuple[float, ...], share: tuple[int, int], most: int, block_words: int, shard_rows: int, seed: int, columns: tuple[str, str, str]):
+        self.columns, self.seed = columns, seed
+        scratch = Scratch(docs.sparkSession, "mix")
+        self.rows = d = scratch.result(self._sized(docs), "rows")
+        sources = d.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_rows"))
+        targets = source_targets(sources.select("source", "source_size"), weights, share, most)
+        targets = targets.withColumn("_seats", F.round(F.sum("target").over(Window.partitionBy()) / block_words).cast("long"))
+        quotas = sainte_lague(targets.withColumn("_one", F.lit(0)), ["_one"], "target", "_seats", ["source"])
+        quotas = quotas.select(F.col("source").alias("q_source"), "target", F.col("won").alias("_seats"))
+        sources = sources.join(quotas, F.col("source").eqNullSafe(F.col("q_source"))).drop("q_source").withColumn("_shards", F.ceil(F.col("_rows") / shard_rows).cast("long"))
+        self.sources = scratch.result(sources.drop("_rows"), "sources")
+
+        shards = self._in_shards(d).groupBy("source", "_shard").agg(F.sum("size").alias("_words"), F.first("_seats").alias("_seats"))
+        shards = shards.withColumn("_blocks", F.when(F.col("_words") > 0, F.greatest(F.lit(1), F.round(F.col("_words") / block_words))).otherwise(F.lit(0)).cast("long"))
+        room = F.sum("_blocks").over(Window.partitionBy("source")) * most
+        shards = sainte_lague(shards.withColumn("_seats", F.least(F.col("_seats"), room)), ["source"], "_blocks", "_seats", ["_shard"])
+        shards = shards.withColumn("_at", F.when(F.col("_blocks") > 0, _seeded("source", "_shard", seed=seed + 1) % F.col("_blocks")).otherwise(F.lit(0)))
+        shards = shards.select(F.col("source").alias("h_source"), F.col("_shard").alias("h_shard"), "_words", "_blocks", "_at", F.least(F.col("won"), F.col("_blocks") * most).alias("_quota"))
+        self.shards = scratch.result(shards, "shards")
+
+    def _sized(self, docs: DataFrame, *more: Column) -> DataFrame:
+        i, text, source = self.columns
+        d = docs.select(F.col(i).alias("doc_id"), word_count(F.col(text)).alias("size"), F.col(source).alias("source"), *more)
+        return d.withColumn("_hash", _seeded("doc_id", seed=self.seed))
+
+    def _in_shards(self, d: DataFrame) -> DataFrame:
+        s = self.sources.withColumnRenamed("source", "s_source")
+        return d.join(s, F.col("source").eqNullSafe(F.col("s_source"))).drop("s_source").withColumn("_shard", F.col("_hash") % F.col("_shards"))
+
+    def apply(self, d: DataFrame) -> DataFrame:
+        d = self._in_shards(d).join(self.shards, F.col("source").eqNullSafe(F.col("h_source")) & (F.col("_shard") == F.col("h_shard"))).drop("h_source", "h_shard")
+        stream = Window.partitionBy("source", "_shard").orderBy("_hash", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        d = d.withColumn("_to", F.sum("size").over(stream)).withColumn("_from", F.col("_to") - F.col("size"))
+        d = d.withColumn("copies", F.expr("CASE WHEN _blocks > 0 THEN _quota div _blocks ELSE 0 END")).withColumn("_rest", F.expr("CASE WHEN _blocks > 0 THEN _quota % _blocks ELSE 0 END"))
+        # The run [_at, _at + _rest) of blocks, as one or two ranges of words: what passes the end goes on at the start.
+        edge = lambda block: f"(({block}) * _words div _blocks)"
+        ranges = f"""CASE WHEN _rest = 0 THEN cast(array() AS array<struct<a: bigint, b: bigint>>)
+            WHEN _at + _rest <= _blocks THEN array(struct({edge("_at")} AS a, {edge("_at + _rest")} AS b))
+            ELSE array(struct({edge("_at")} AS a, _words AS b), struct(0L AS a, {edge("_at + _rest - _blocks")} AS b)) END"""
+        d = d.withColumn("_ranges", F.expr(ranges))
+        d = d.withColumn("runs", F.expr("filter(transform(_ranges, r -> struct(greatest(r.a, _from) - _from AS a, least(r.b, _to) - _from AS b)), r -> r.b > r.a)"))
+        return d.withColumn("taken", F.expr("copies * size + aggregate(runs, 0L, (s, r) -> s + r.b - r.a)"))
+
+
 def mix(
     docs: DataFrame,
     weights: tuple[float, ...] = (5, 2, 1),
@@ -83,45 +132,29 @@ def mix(
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
-    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """What a mix takes of every row: doc_id, size, source_size, target, taken, and the ``keep`` columns; besides
-    ``copies``, the whole copies taken, and ``runs``, up to two [from, to) ranges of words taken once more.
+    """What a mix takes of every row: doc_id, size, source_size, target, taken, ``copies`` (whole copies taken), ``runs`` (up to two [a, b) ranges of words taken once more).
 
     A row per input row. Texts of null or without a word have size 0 and give nothing. A null source is a
     source like the others, and last. Rows that repeat one another are separate supplies (their order in
     the shard is then open, but equal rows of equal size trade places without a change of the sizes
     taken). An empty table gives no rows. Columns other than the named ones are not read.
     """
-    d = docs.select(
-        F.col(id_col).alias("doc_id"), word_count(F.col(text_col)).alias("size"), F.col(source_col).alias("source"), *[F.col(c).alias(f"keep_{c}") for c in keep]
-    ).withColumn("_hash", _seeded("doc_id", seed=seed))
-    sources = d.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_rows"))
-    targets = source_targets(sources.select("source", "source_size"), weights, share, most)
-    targets = targets.withColumn("_seats", F.round(F.sum("target").over(Window.partitionBy()) / block_words).cast("long"))
-    quotas = sainte_lague(targets.withColumn("_one", F.lit(0)), ["_one"], "target", "_seats", ["source"])
-    quotas = quotas.select(F.col("source").alias("q_source"), "target", F.col("won").alias("_seats"))
-    sources = sources.withColumn("_shards", F.ceil(F.col("_rows") / shard_rows).cast("long")).withColumnRenamed("source", "s_source")
-    d = d.join(sources, F.col("source").eqNullSafe(F.col("s_source")), "left").drop("s_source", "_rows")
-    d = d.withColumn("_shard", F.col("_hash") % F.col("_shards"))
-
-    shards = d.groupBy("source", "_shard").agg(F.sum("size").alias("_words")).withColumn("_blocks", F.when(F.col("_words") > 0, F.greatest(F.lit(1), F.round(F.col("_words") / block_words))).otherwise(F.lit(0)).cast("long"))
-    shards = shards.join(quotas, F.col("source").eqNullSafe(F.col("q_source")), "left").drop("q_source")
-    room = F.sum("_blocks").over(Window.partitionBy("source")) * most
-    shards = sainte_lague(shards.withColumn("_seats", F.least(F.col("_seats"), room)), ["source"], "_blocks", "_seats", ["_shard"])
-    shards = shards.select(F.col("source").alias("h_source"), F.col("_shard").alias("h_shard"), "_words", "_blocks", "target", F.least(F.col("won"), F.col("_blocks") * most).alias("_quota"))
-
-    d = d.join(shards, F.col("source").eqNullSafe(F.col("h_source")) & (F.col("_shard") == F.col("h_shard")), "left").drop("h_source", "h_shard")
-    stream = Window.partitionBy("source", "_shard").orderBy("_hash", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    d = d.withColumn("_to", F.sum("size").over(stream)).withColumn("_from", F.col("_to") - F.col("size"))
-    d = d.withColumn("copies", F.expr("CASE WHEN _blocks > 0 THEN _quota div _blocks ELSE 0 END")).withColumn("_rest", F.expr("CASE WHEN _blocks > 0 THEN _quota % _blocks ELSE 0 END"))
-    d = d.withColumn("_at", F.when(F.col("_blocks") > 0, _seeded("source", "_shard", seed=seed + 1) % F.col("_blocks")).otherwise(F.lit(0)))
-    # The run [_at, _at + _rest) of blocks, as one or two ranges of words: what passes the end goes on at the start.
-    edge = lambda block: f"(({block}) * _words div _blocks)"
-    ranges = f"""CASE WHEN _rest = 0 THEN cast(array() AS array<struct<a: bigint, b: bigint>>)
-        WHEN _at + _rest <= _blocks THEN array(struct({edge("_at")} AS a, {edge("_at + _rest")} AS b))
-        ELSE array(struct({edge("_at")} AS a, _words AS b), struct(0L AS a, {edge("_at + _rest - _blocks")} AS b)) END"""
-    d = d.withColumn("_ranges", F.expr(ranges))
-    d = d.withColumn("runs", F.expr("filter(transform(_ranges, r -> struct(greatest(r.a, _from) - _from AS a, least(r.b, _to) - _from AS b)), r -> r.b > r.a)"))
-    d = d.withColumn("taken", F.expr("copies * size + aggregate(runs, 0L, (s, r) -> s + r.b - r.a)"))
-    return d.select("doc_id", "size", "source_size", "target", "taken", "copies", "runs", *[F.col(f"keep_{c}").alias(c) for c in keep])
+    plan = Plan(docs, weights, share, most, block_words, shard_rows, seed, (id_col, text_col, source_col))
+    return plan.apply(plan.rows).select("doc_id", "size", "source_size", "target", "taken", "copies", "runs")
+
+
+def take(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: tuple[int, int] = (3, 2), most: int = 2, block_words: int = BLOCK_WORDS, shard_rows: int = SHARD_ROWS, seed: int = 42) -> DataFrame:
+    """The mix itself, with the columns of ``docs``: a row for each whole copy, and for a text that a run cuts one row of the words it takes (white space between them as it was; n_chars counted anew)."""
+    plan = Plan(docs, weights, share, most, block_words, shard_rows, seed, ("doc_id", "text", "source"))
+    d = plan.apply(plan._sized(docs, F.struct(*docs.columns).alias("row")))
+    pieces = F.expr(r"regexp_extract_all(row.text, '[^\x20\x09-\x0D]+[\x20\x09-\x0D]*', 0)")
+    words = F.aggregate("runs", F.lit(""), lambda s, r: F.concat(s, F.array_join(F.slice(F.col("_pieces"), r.a.cast("int") + 1, (r.b - r.a).cast("int")), "")))
+    whole = F.expr("size(runs) > 0 AND aggregate(runs, 0L, (s, r) -> s + r.b - r.a) = size")
+    d = d.withColumn("_cut", F.expr("size(runs) > 0") & ~whole).withColumn("_pieces", F.when(F.col("_cut"), pieces))
+    d = d.withColumn("_n", F.col("copies") + F.when(F.expr("size(runs) > 0"), 1).otherwise(0)).filter("_n > 0")
+    d = d.withColumn("_last", F.when(F.col("_cut"), words).otherwise(F.col("row.text")))
+    d = d.select("row", "_last", "copies", F.explode(F.expr("sequence(1L, _n)")).alias("_k"))
+    text = F.when(F.col("_k") > F.col("copies"), F.col("_last")).otherwise(F.col("row.text"))
+    columns = [text.alias(c) if c == "text" else F.length(text).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(f"row.`{c}`").alias(c) for c in docs.columns]
+    return d.select(*columns)

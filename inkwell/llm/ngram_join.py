@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkwell.llm.components import components
@@ -294,6 +294,39 @@ def _cell_join(percent: int):
     return run
 
 
+def _solve(scratch: Scratch, rows: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """``rows(doc_id, text, uid)`` to nodes(doc_id, n, sid, uid), a row each, and labels(sid, label) of every set."""
+    size = rows.agg(F.sum(F.octet_length("text")).alias("b")).first().b or 0
+    buckets = max(1, int(size * 0.05 // BUCKET_ENTRIES) + 1)  # a text has at most about one cell for 20 bytes
+    dealt = scratch.save(rows.mapInArrow(_deal(shingle, percent, buckets), ROWS), "dealt")
+    nodes = scratch.save(dealt.filter("bucket IS NULL").select("doc_id", "n", "sid", "uid"), "nodes")
+    within = dealt.filter(f"bucket = {WITHIN}").select("keys", "sids").mapInArrow(_unpacked, MEMBER)
+    across = dealt.filter(f"bucket > {WITHIN}").select("bucket", "keys", "sids").groupBy("bucket").applyInArrow(_meet, MEMBER)
+    members = scratch.save(within.unionByName(across), "members")
+    scratch.drop("dealt")
+
+    hubs = scratch.save(members.groupBy("cell").agg(F.min("sid").alias("hub"), F.max("sid").alias("other")).filter("hub <> other").select("cell", "hub"), "hubs")
+    pairs = scratch.save(members.join(hubs.hint("merge"), "cell").filter("sid <> hub").select(F.col("hub").alias("a"), F.col("sid").alias("b")).distinct(), "pairs")
+    asked = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
+    one = nodes.groupBy("sid").agg(F.min("uid").alias("uid")).join(asked.hint("merge"), "sid")
+    texts = rows.select("uid", "text").join(one.hint("merge"), "uid").groupBy("sid").agg(F.first("text").alias("text"))
+    texts = scratch.save(texts, "texts")
+    side = lambda c: texts.select(F.col("sid").alias(c), F.col("text").alias(f"text_{c}")).hint("merge")
+    links = scratch.save(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_verify(shingle, percent), PAIR), "links1")
+    labels = components(links, scratch, "round1")
+
+    open_ = members.join(labels.withColumnRenamed("node", "sid").hint("merge"), "sid", "left").select("cell", "sid", F.coalesce("label", "sid").alias("label")).distinct()
+    more = _tree_rounds(scratch, open_, texts, shingle, percent)
+    links = scratch.save(links.unionByName(more), "links2")
+    labels = components(links, scratch, "round2").withColumnRenamed("node", "sid")
+    return nodes, scratch.save(nodes.select("sid").distinct().join(labels.hint("merge"), "sid", "left").select("sid", F.coalesce("label", "sid").alias("label")), "named")
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), *more)
+    return rows.withColumn("uid", F.xxhash64("doc_id", "text"))
+
+
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id (the smallest doc_id reachable by links, its own included).
 
@@ -303,42 +336,29 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     without id takes part; its component is the smallest id that is there, or null. Rows that repeat
     one another are links of one component. An empty table gives no rows. Only id and text are read.
     """
-    spark = docs.sparkSession
-    with Scratch(spark, "ngram") as scratch:
-        rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-        rows = rows.withColumn("uid", F.xxhash64("doc_id", "text"))
-        size = rows.agg(F.sum(F.octet_length("text")).alias("b")).first().b or 0
-        buckets = max(1, int(size * 0.05 // BUCKET_ENTRIES) + 1)  # a text has at most about one cell for 20 bytes
-        dealt = scratch.save(rows.mapInArrow(_deal(shingle, percent, buckets), ROWS), "dealt")
-        nodes = scratch.save(dealt.filter("bucket IS NULL").select("doc_id", "n", "sid", "uid"), "nodes")
-        within = dealt.filter(f"bucket = {WITHIN}").select("keys", "sids").mapInArrow(_unpacked, MEMBER)
-        across = dealt.filter(f"bucket > {WITHIN}").select("bucket", "keys", "sids").groupBy("bucket").applyInArrow(_meet, MEMBER)
-        members = scratch.save(within.unionByName(across), "members")
-        scratch.drop("dealt")
-
-        hubs = scratch.save(members.groupBy("cell").agg(F.min("sid").alias("hub"), F.max("sid").alias("other")).filter("hub <> other").select("cell", "hub"), "hubs")
-        pairs = scratch.save(members.join(hubs.hint("merge"), "cell").filter("sid <> hub").select(F.col("hub").alias("a"), F.col("sid").alias("b")).distinct(), "pairs")
-        asked = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
-        one = nodes.groupBy("sid").agg(F.min("uid").alias("uid")).join(asked.hint("merge"), "sid")
-        texts = rows.select("uid", "text").join(one.hint("merge"), "uid").groupBy("sid").agg(F.first("text").alias("text"))
-        texts = scratch.save(texts, "texts")
-        side = lambda c: texts.select(F.col("sid").alias(c), F.col("text").alias(f"text_{c}")).hint("merge")
-        links = scratch.save(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_verify(shingle, percent), PAIR), "links1")
-        labels = components(links, scratch, "round1")
-
-        open_ = members.join(labels.withColumnRenamed("node", "sid").hint("merge"), "sid", "left").select("cell", "sid", F.coalesce("label", "sid").alias("label")).distinct()
-        more = _tree_rounds(scratch, open_, texts, shingle, percent)
-        links = scratch.save(links.unionByName(more), "links2")
-        labels = components(links, scratch, "round2")
-
-        of = nodes.groupBy("sid").agg(F.min("doc_id").alias("id")).join(labels.withColumnRenamed("node", "sid").hint("merge"), "sid", "left")
-        of = scratch.save(of.select("sid", F.coalesce("label", "sid").alias("label"), "id"), "of")
-        least = scratch.save(of.groupBy("label").agg(F.min("id").alias("component_id")), "least")
-        named = scratch.save(of.join(least.hint("merge"), "label").select("sid", "component_id"), "named")
-        out = nodes.join(named.hint("merge"), "sid", "left")
+    with Scratch(docs.sparkSession, "ngram") as scratch:
+        nodes, labels = _solve(scratch, _rows(docs, id_col, text_col), shingle, percent)
+        of = scratch.save(nodes.groupBy("sid").agg(F.min("doc_id").alias("id")).join(labels.hint("merge"), "sid"), "of")
+        least = of.groupBy("label").agg(F.min("id").alias("component_id"))
+        named = scratch.save(of.join(least.hint("merge"), "label").select("sid", "component_id"), "components")
+        out = nodes.join(named.hint("merge"), "sid")
         return scratch.result(out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
 
 
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """Of each component's rows the one with the smallest id, with all its columns as they are; texts without words all stay. Rows that repeat both id and text are one."""
+    with Scratch(docs.sparkSession, "ngram") as scratch:
+        nodes, labels = _solve(scratch, _rows(docs, id_col, text_col), shingle, percent)
+        # By set first, so that copies are counted before they meet.
+        best = F.min(F.struct(F.col("doc_id").isNull().alias("x"), F.col("doc_id").alias("id"), F.col("uid").alias("uid")))
+        of = nodes.filter("n > 0").groupBy("sid").agg(best.alias("best")).join(labels.hint("merge"), "sid")
+        keep = of.groupBy("label").agg(F.min("best").alias("best")).select("best.uid").unionByName(nodes.filter("n = 0").select("uid")).distinct()
+        keep = scratch.save(keep, "keep")
+        rows = _rows(docs, id_col, text_col, F.struct(*docs.columns).alias("row")).select("uid", "row")
+        kept = rows.join(keep.hint("merge"), "uid").groupBy("uid").agg(F.first("row").alias("row"))
+        return scratch.result(kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns]))
+
+
 def _still_open(members: DataFrame, least: int) -> DataFrame:
     """The members of cells with more than one label and ``least`` members or more, one of the cells that have the same members."""
     per = members.groupBy("cell").agg(F.count(F.lit(1)).alias("many"), F.min("label").alias("x"), F.max("label").alias("y"), F.sum(F.xxhash64("sid").cast("decimal(38,0)")).alias("same"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.llm import backoff, decontaminate, exact_dedup, language, mixing, ngram_join, oracles, quality, toxicity, warc
+from inkwell.llm import backoff, decontaminate, exact_dedup, language, mixing, ngram_join, oracles, quality, tokens, toxicity, warc
 from inkwell.llm.tables import table
 
 
@@ -42,6 +42,10 @@ def op3_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", fold(5, 0).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
+def op7_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.materialise(spark, table(spark, sf_dir, "documents"))
+
+
 def op8_quality_fourier(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = "crc32(CAST(doc_id AS string)) % 5"
     scored = quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), f"{left} NOT IN (0, 1)", f"{left} = 1")
@@ -59,5 +63,5 @@ def op10_lm_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", fold(7, 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_warc_salvage, op3_toxicity_mil, op4_exact_dedup, op5_decontaminate, op6_ngram_jaccard, op8_quality_fourier, op9_language_svm, op10_lm_backoff)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_warc_salvage, op3_toxicity_mil, op4_exact_dedup, op5_decontaminate, op6_ngram_jaccard, op7_training_order, op8_quality_fourier, op9_language_svm, op10_lm_backoff)}
 ORACLES = {"op1_mix_sources": oracles.OP1, "op2_warc_salvage": oracles.OP2, "op4_exact_dedup": oracles.OP4, "op5_decontaminate": oracles.OP5}

@@ -65,10 +65,14 @@ class Scratch:
         """As ``save``, in a folder of its own that outlives this block."""
         path, schema = f"{self.root}-{name}", df.schema
         df.write.mode("overwrite").parquet(path)
-        atexit.register(_forget, self.spark, path)
+        forget_at_exit(self.spark, path)
         return self.spark.read.schema(schema).parquet(path)
 
 
+def forget_at_exit(spark: SparkSession, path: str) -> None:
+    atexit.register(_forget, spark, path)
+
+
 def _forget(spark: SparkSession, path: str) -> None:
     try:
         remove(spark, path)

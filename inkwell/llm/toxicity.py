@@ -174,3 +174,20 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), *[F.col(c).alias(f"kept_{c}") for c in carry])
     kinds = "".join(f", kept_{c} {docs.schema[c].dataType.simpleString()}" for c in carry)
     return rows.mapInArrow(_apply(shared, len(carry)), SCHEMA + kinds)
+
+
+def reject(docs: DataFrame, model: Model, threshold: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, with all their columns as they are."""
+    shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m: Model = shared.value
+        for batch in batches:
+            data, off = text_bytes(batch.column(at).fill_null(""))
+            for i, j in chunks(off):
+                w = scan(data[off[i] : off[j]], off[i : j + 1] - off[i], ALNUM)
+                first, text = sentences(w, off)
+                total = np.bincount(text, _softplus(m.sentence_logits(features(w), first)), j - i)
+                yield batch.slice(i, j - i).filter(pa.array(-np.expm1(-total) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -138,7 +138,7 @@ def shingles(w: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def regroup(batches: Iterator[pa.RecordBatch], column: int, most: int) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about ``most`` bytes of the text column (non-null), a longer text in a batch with few others."""
+    """The same rows in batches of about ``most`` bytes of the text column, a longer text in a batch with few others."""
     held: list[pa.RecordBatch] = []
     size = 0
 
@@ -146,7 +146,7 @@ def regroup(batches: Iterator[pa.RecordBatch], column: int, most: int) -> Iterat
         return pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
     for batch in batches:
-        _, off = text_bytes(batch.column(column))
+        _, off = text_bytes(batch.column(column).fill_null(""))
         for i, j in chunks(off, max(most // 4, 1)):
             held.append(batch.slice(i, j - i))
             size += int(off[j] - off[i])
