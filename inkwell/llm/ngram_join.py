@@ -32,7 +32,7 @@ from inkwell.llm.words import U64, mix, regroup, scan_batch, shingles
 
 SHINGLE, PERCENT = 4, 85
 #: Growth of size classes; bytes of text in a chunk; cell entries in a bucket on average; members of a cell that one task joins.
-CLASS_GROWTH, CHUNK, BUCKET_ENTRIES, CELL_MEMBERS = 1.4, 8 << 20, 1_000_000, 1000
+CLASS_GROWTH, CHUNK, BUCKET_ENTRIES, CELL_MEMBERS = 1.4, 8 << 20, 1_000_000, 4000
 #: R-tree: points in a leaf, nodes in a node.
 LEAF, FAN = 16, 8
 
@@ -249,7 +249,7 @@ class RTree:
     @staticmethod
     def _may(point: np.ndarray, size: int, corner: np.ndarray, low: np.ndarray, high: np.ndarray, percent: int) -> np.ndarray:
         """Overlap is at most the summed minima, and J >= t needs t / (1 + t) of both sizes together."""
-        bound = np.minimum(corner, point).sum(1)
+        bound = np.minimum(corner, point).sum(1, dtype=np.int64)
         return ((100 + percent) * bound >= percent * (size + low)) & (100 * high >= percent * size) & (100 * size >= percent * low)
 
     def search(self, point: np.ndarray, size: int, percent: int) -> np.ndarray:
@@ -267,8 +267,8 @@ class RTree:
 def tree_links(sets: list[np.ndarray], labels: list[int], percent: int) -> list[tuple[int, int]]:
     """Links (positions in ``sets``) that join sets of different labels: enough of them to connect whatever the cell connects."""
     sizes = np.array([len(s) for s in sets])
-    groups = 1 << max(5, int(sizes.max() // 16).bit_length())
-    points = np.stack([np.bincount((s >> U64(20)).astype(np.int64) & (groups - 1), minlength=groups) for s in sets])
+    groups = min(1 << max(5, int(sizes.max() // 4).bit_length()), 1024)
+    points = np.stack([np.bincount((s >> U64(20)).astype(np.int64) & (groups - 1), minlength=groups) for s in sets]).astype(np.uint16 if sizes.max() < 1 << 16 else np.int64)
     tree, root, out = RTree(points, sizes), {x: x for x in labels}, []
 
     def find(x: int) -> int:
@@ -367,35 +367,22 @@ def _still_open(members: DataFrame, least: int) -> DataFrame:
 
 
 def _tree_rounds(scratch: Scratch, members: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Links found by R-trees among the members of the cells that the stars have left open (a cell of two was settled by its star).
-
-    Nodes that open cells connect are a family. A family of up to CELL_MEMBERS nodes gets one tree, so its sets
-    travel once; in a larger one every cell gets a tree, after cells with more members are dealt again.
-    """
-    open_ = scratch.save(_still_open(members, 3), "open")
+    """Links found by an R-tree in each cell that the stars have left open (a cell of two was settled by its star). Cells with more members than a task should join are dealt again first."""
+    out, seed = None, 1
+    open_ = scratch.save(_still_open(members, 3), "open0")
     sets = texts.join(open_.select("sid").distinct().hint("merge"), "sid", "left_semi").mapInArrow(_sets(shingle), SET)
     sets = scratch.save(sets, "sets")
-    hubs = open_.groupBy("cell").agg(F.min("sid").alias("a"))
-    families = components(open_.join(hubs.hint("merge"), "cell").select("a", F.col("sid").alias("b")), scratch, "family").withColumnsRenamed({"node": "sid", "label": "family"})
-    sizes = families.groupBy("family").agg(F.count(F.lit(1)).alias("nodes"))
-    families = scratch.save(families.join(sizes.hint("merge"), "family"), "families")
-    own = open_.select("sid", "label").distinct()
-    once = families.filter(f"nodes <= {CELL_MEMBERS}").join(own.hint("merge"), "sid").join(sets.hint("merge"), "sid")
-    out = scratch.save(once.groupBy("family").applyInArrow(_cell_join(percent), PAIR), "found")
-
-    open_ = open_.join(families.filter(f"nodes > {CELL_MEMBERS}").select("sid").hint("merge"), "sid", "left_semi")
-    seed = 1
-    while not open_.isEmpty():
+    while True:
         last = seed > 6  # by then a cell's members agree on a block of each of six hashes; they are joined however many they are
         small = open_ if last else open_.filter(f"many <= {CELL_MEMBERS}")
         found = small.join(sets.hint("merge"), "sid").groupBy("cell").applyInArrow(_cell_join(percent), PAIR)
-        out = out.unionByName(scratch.save(found, f"found{seed}"))
+        found = scratch.save(found, f"found{seed}")
+        out = found if out is None else out.unionByName(found)
         large = open_.filter(f"many > {CELL_MEMBERS}")
         if last or large.isEmpty():
-            break
+            return out
         again = sets.join(large.select("sid").distinct().hint("merge"), "sid", "left_semi").mapInArrow(_cells_again(percent, seed), MEMBER)
         large = large.select("cell", "sid", "label").join(again.withColumnRenamed("cell", "inner").hint("merge"), "sid")
         large = scratch.save(large.select(F.xxhash64("cell", "inner").alias("cell"), "sid", "label"), f"again{seed}")
         open_ = scratch.save(_still_open(large, 2), f"open{seed}")
         seed += 1
-    return out
