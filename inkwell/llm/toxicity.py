@@ -17,10 +17,11 @@ from pyspark.sql import functions as F
 from inkwell.llm.words import ALNUM, U64, Words, chunks, mix, scan, text_bytes
 
 #: Bound of the labelled rows that training sees (those with the least md5 of their id).
-SAMPLE_ROWS = 6000
+SAMPLE_ROWS = 4000
 #: Slots of hashed features; lengths in bytes of the word beginnings used beside whole words.
 SLOTS, PREFIXES = 1 << 18, (4, 5, 6)
-ROUNDS, RATE, DECAY, RARE = 80, 0.25, 1e-4, 3
+#: Steps and rate of the descent, its decay; documents that must hold a slot, and by how many standard deviations toxic ones must hold it more often.
+ROUNDS, RATE, DECAY, RARE, SIGMAS = 200, 0.5, 1e-4, 3, 4.25
 ENDS = np.isin(np.arange(256), [ord(c) for c in ".!?\n"])
 
 
@@ -79,29 +80,31 @@ def train(slots: list[np.ndarray], first: list[np.ndarray], y: np.ndarray) -> Mo
         rate = float(y.mean()) if len(y) else 0.0
         return Model(np.zeros(SLOTS), 5.0 if rate > 0.5 else -12.0)
     begin = np.concatenate([[0], np.cumsum(words[words > 0])])[:-1]
-    x = np.concatenate(slots)
+    x = np.asfortranarray(np.concatenate(slots))
     sent = np.concatenate([f + b for f, b in zip(first, begin, strict=True)])
     doc_first = np.concatenate([[0], np.cumsum([len(f) for f in first])])[:-1]
     per_doc = np.diff(np.append(doc_first, len(sent)))
-    # A slot that few documents have says nothing on others; it takes no weight.
-    doc_of_word = np.repeat(np.arange(len(slots)), words[words > 0])
-    pairs = np.unique(doc_of_word[:, None].astype(np.int64) * SLOTS + x)
-    spread = np.bincount(pairs % SLOTS, minlength=SLOTS)
-    usable = spread >= RARE
+    # Only slots that toxic documents have far more often than chance take a weight: most words of a bag say nothing, and together they would be learned by heart.
+    spread, toxic = np.zeros(SLOTS), np.zeros(SLOTS)
+    for own, label in zip(slots, y.tolist(), strict=True):
+        held = np.unique(own)
+        spread[held] += 1
+        toxic[held] += label
+    rate = y.mean()
+    usable = (spread >= RARE) & (toxic - spread * rate >= SIGMAS * np.sqrt(spread * rate * (1 - rate)))
+    del slots
+    word, column = np.nonzero(usable[x])
+    slot, of = x[word, column], np.searchsorted(sent, word, "right") - 1  # what is left of the words: slots and their sentences
+    del x
     weights, bias = np.zeros(SLOTS), -np.log(len(sent) / max(y.sum(), 1))
     sum_w, sum_b = np.full(SLOTS, 1e-6), 1e-6
-    words_in = np.diff(np.append(sent, len(x)))
-    pull = np.where(y == 1, 0.5 / max(y.mean(), 1e-6), 0.5 / max(1 - y.mean(), 1e-6)) ** 0.5
+    pull = np.where(y == 1, 0.5 / max(rate, 1e-6), 0.5 / max(1 - rate, 1e-6)) ** 0.5
     for _ in range(ROUNDS):
-        z = np.add.reduceat(weights[x].sum(1), sent) + bias
+        z = np.bincount(of, weights[slot], len(sent)) + bias
         total = np.add.reduceat(_softplus(z), doc_first)  # -log(1 - p) of the noisy-or
         push = np.where(y == 1, -1 / np.expm1(np.clip(total, 1e-9, 500)), 1.0) * pull
         g = _sigmoid(z) * np.repeat(push, per_doc)
-        by_word = np.repeat(g, words_in)
-        grad = np.zeros(SLOTS)
-        for c in range(x.shape[1]):
-            grad += np.bincount(x[:, c], by_word, SLOTS)
-        grad = np.where(usable, grad / len(y) + DECAY * weights, 0)
+        grad = np.where(usable, np.bincount(slot, g[of], SLOTS) / len(y) + DECAY * weights, 0)
         sum_w += grad**2
         weights -= RATE * grad / np.sqrt(sum_w)
         gb = g.sum() / len(y)
@@ -136,9 +139,10 @@ def fit(docs: DataFrame, labels: DataFrame, fold: str, id_col: str = "doc_id", t
         return Model(np.zeros(SLOTS), -12.0)
     picked = F.broadcast(spark.createDataFrame(chosen, "k long, y int").dropDuplicates(["k"]))
     texts = docs.select(F.col(id_col).alias("k"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).join(picked, "k").select("text", "y", "k")
-    got = sorted(texts.select("text", "y").mapInArrow(_examples, "slots binary, first binary, y int").collect(), key=lambda r: (r.slots, r.y))
+    got = [(bytes(r.slots), bytes(r.first), r.y) for r in texts.select("text", "y").mapInArrow(_examples, "slots binary, first binary, y int").toLocalIterator()]
+    got.sort()
     width = 1 + len(PREFIXES)
-    return train([np.frombuffer(r.slots, np.int32).reshape(-1, width) for r in got], [np.frombuffer(r.first, "<i4").astype(np.int64) for r in got], np.array([r.y for r in got]))
+    return train([np.frombuffer(s, np.int32).reshape(-1, width) for s, _, _ in got], [np.frombuffer(f, "<i4").astype(np.int64) for _, f, _ in got], np.array([y for _, _, y in got]))
 
 
 SCHEMA = "doc_id long, score double, offending array<int>"
