@@ -31,8 +31,8 @@ from inkwell.llm.scratch import Scratch
 from inkwell.llm.words import U64, mix, regroup, scan_batch, shingles
 
 SHINGLE, PERCENT = 4, 85
-#: Growth of size classes; bytes of text in a chunk; cell entries in a bucket on average; members of a cell that one task joins.
-CLASS_GROWTH, CHUNK, BUCKET_ENTRIES, CELL_MEMBERS = 1.4, 8 << 20, 1_000_000, 4000
+#: Growth of size classes; bytes of text in a chunk; cell entries in a bucket on average; members, and their shingles, that one tree joins.
+CLASS_GROWTH, CHUNK, BUCKET_ENTRIES, CELL_MEMBERS, CELL_SHINGLES = 1.4, 8 << 20, 1_000_000, 4000, 4_000_000
 #: R-tree: points in a leaf, nodes in a node.
 LEAF, FAN = 16, 8
 
@@ -367,22 +367,36 @@ def _still_open(members: DataFrame, least: int) -> DataFrame:
 
 
 def _tree_rounds(scratch: Scratch, members: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Links found by an R-tree in each cell that the stars have left open (a cell of two was settled by its star). Cells with more members than a task should join are dealt again first."""
-    out, seed = None, 1
+    """Links found by R-trees among the members of the cells that the stars have left open (a cell of two was settled by its star).
+
+    The cells of one smallest member share most of their members, so they get one tree and a set travels once to
+    it. Where that would be more than a task should join, each cell gets its own; a cell that is
+    still too large is dealt again by another hash.
+    """
+    seed = 1
     open_ = scratch.save(_still_open(members, 3), "open0")
     sets = texts.join(open_.select("sid").distinct().hint("merge"), "sid", "left_semi").mapInArrow(_sets(shingle), SET)
     sets = scratch.save(sets, "sets")
-    while True:
+    hubs = open_.groupBy("cell").agg(F.min("sid").alias("hub"))
+    around = open_.join(hubs.hint("merge"), "cell").select("hub", "sid", "label").distinct().join(sets.select("sid", "n").hint("merge"), "sid")
+    around = scratch.save(around, "around")
+    fits = around.groupBy("hub").agg(F.count(F.lit(1)).alias("nodes"), F.sum("n").alias("held")).filter(f"nodes <= {CELL_MEMBERS} AND held <= {CELL_SHINGLES}").select("hub")
+    fits = scratch.save(fits, "fits")
+    once = around.join(fits.hint("merge"), "hub").drop("n").join(sets.hint("merge"), "sid")
+    out = scratch.save(once.groupBy("hub").applyInArrow(_cell_join(percent), PAIR), "found0")
+    open_ = open_.join(hubs.hint("merge"), "cell").join(fits.hint("merge"), "hub", "left_anti").drop("hub")
+    open_ = scratch.save(open_, "large0")
+    while not open_.isEmpty():
         last = seed > 6  # by then a cell's members agree on a block of each of six hashes; they are joined however many they are
         small = open_ if last else open_.filter(f"many <= {CELL_MEMBERS}")
         found = small.join(sets.hint("merge"), "sid").groupBy("cell").applyInArrow(_cell_join(percent), PAIR)
-        found = scratch.save(found, f"found{seed}")
-        out = found if out is None else out.unionByName(found)
+        out = out.unionByName(scratch.save(found, f"found{seed}"))
         large = open_.filter(f"many > {CELL_MEMBERS}")
         if last or large.isEmpty():
-            return out
+            break
         again = sets.join(large.select("sid").distinct().hint("merge"), "sid", "left_semi").mapInArrow(_cells_again(percent, seed), MEMBER)
         large = large.select("cell", "sid", "label").join(again.withColumnRenamed("cell", "inner").hint("merge"), "sid")
         large = scratch.save(large.select(F.xxhash64("cell", "inner").alias("cell"), "sid", "label"), f"again{seed}")
         open_ = scratch.save(_still_open(large, 2), f"open{seed}")
         seed += 1
+    return out
