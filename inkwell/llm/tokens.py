@@ -13,6 +13,7 @@ from __future__ import annotations
 import base64
 import json
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -82,24 +83,22 @@ def encode(enc, text: str) -> list[int]:
     return out
 
 
-def _batches(batches: Iterator[pa.RecordBatch], enc) -> Iterator[tuple[pa.RecordBatch, list[list[int]]]]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            part = batch.slice(at, 256)
-            yield part, [encode(enc, t) for t in part.column("text").to_pylist()]
+def sequences(enc, text: str, length: int) -> int:
+    """How many sequences a text and its end token fill. A token has a byte or more, so a text of fewer bytes than ``length`` fills one."""
+    return 1 if len(text) * 4 < length or len(text) < length and len(text.encode()) < length else len(encode(enc, text)) // length + 1
 
 
 def _count(ranks, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        enc, n, tokens, check = encoder(ranks.value), 0, 0, 0
-        for _, ids in _batches(batches, enc):
-            for t in ids:
-                n += len(t) // length + 1  # ceil((len + 1) / length), the end token included
-                tokens += len(t) + 1
-                check = zlib.crc32(len(t).to_bytes(8, "little"), check)
-        yield pa.RecordBatch.from_pydict({"part": [TaskContext.get().partitionId()], "n": [n], "tokens": [tokens], "lengths": [check]}, schema=pa.schema([("part", pa.int32()), ("n", pa.int64()), ("tokens", pa.int64()), ("lengths", pa.int64())]))
+        enc, n, check = encoder(ranks.value), 0, 0
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                own = sequences(enc, text, length)
+                n += own
+                check = zlib.crc32(own.to_bytes(8, "little"), check)
+        yield pa.RecordBatch.from_pydict({"part": [TaskContext.get().partitionId()], "n": [n], "lengths": [check]}, schema=pa.schema([("part", pa.int32()), ("n", pa.int64()), ("lengths", pa.int64())]))
 
     return run
 
@@ -115,22 +114,25 @@ def _place(ranks, parts, length: int, total: int, key: int):
         enc, number = encoder(ranks.value), TaskContext.get().partitionId()
         first, expected, lengths = parts.value[number]
         at, check = first, 0
-        for part, ids in _batches(batches, enc):
-            doc, piece, size, bodies = [], [], [], []
-            for d, t in zip(part.column("doc_id").to_pylist(), ids, strict=True):
-                check = zlib.crc32(len(t).to_bytes(8, "little"), check)
-                n = len(t) // length + 1
-                full = np.full(n * length, END, TYPE)
-                full[: len(t)] = t
-                raw = full.tobytes()
-                step = length * full.itemsize
-                bodies += [raw[k * step : (k + 1) * step] for k in range(n)]
-                doc += [d] * n
-                piece += range(n)
-                size += [length] * (n - 1) + [len(t) + 1 - (n - 1) * length]
-            slots = feistel(np.arange(at, at + len(doc)), total, key)
-            at += len(doc)
-            yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(doc, pa.int64()), pa.array(piece, pa.int32()), pa.array(size, pa.int32()), pa.array(bodies, pa.binary())], schema=PIECES_ARROW)
+        step = length * np.dtype(TYPE).itemsize
+        filling = np.full(length, END, TYPE).tobytes()
+        for batch in batches:
+            for begin in range(0, batch.num_rows, 256):
+                part = batch.slice(begin, 256)
+                doc, piece, size, bodies = [], [], [], []
+                for d, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
+                    t = encode(enc, text)
+                    n = len(t) // length + 1
+                    check = zlib.crc32(n.to_bytes(8, "little"), check)
+                    raw = array("H", t).tobytes()  # TYPE, on the little-endian machines that this runs on
+                    raw += filling[: n * step - len(raw)]
+                    bodies += [raw[k * step : (k + 1) * step] for k in range(n)]
+                    doc += [d] * n
+                    piece += range(n)
+                    size += [length] * (n - 1) + [len(t) + 1 - (n - 1) * length]
+                slots = feistel(np.arange(at, at + len(doc)), total, key)
+                at += len(doc)
+                yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(doc, pa.int64()), pa.array(piece, pa.int32()), pa.array(size, pa.int32()), pa.array(bodies, pa.binary())], schema=PIECES_ARROW)
         if at - first != expected or check != lengths:
             raise RuntimeError(f"partition {number} changed between counting and placing: {at - first} sequences, {expected} before")
 
@@ -202,12 +204,12 @@ def write_training_order(
     spark = docs.sparkSession
     ranks = spark.sparkContext.broadcast(load_ranks(tokenizer))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    counts = {r.part: r for r in rows.mapInArrow(_count(ranks, length), "part int, n long, tokens long, lengths long").collect()}
+    counts = {r.part: r for r in rows.mapInArrow(_count(ranks, length), "part int, n long, lengths long").collect()}
     parts, total = {}, 0
     for number in sorted(counts):
         parts[number] = (total, counts[number].n, counts[number].lengths)
         total += counts[number].n
-    _manifest(path, {"sequences": total, "length": length, "bytes_per_token": np.dtype(TYPE).itemsize, "shard_sequences": shard_sequences, "tokens": sum(r.tokens for r in counts.values()), "key": key})
+    _manifest(path, {"sequences": total, "length": length, "bytes_per_token": np.dtype(TYPE).itemsize, "shard_sequences": shard_sequences, "key": key})
     placed = rows.mapInArrow(_place(ranks, spark.sparkContext.broadcast(parts), length, total, key), PIECES)
     shard = F.floor(F.col("slot") / shard_sequences)
     shards = -(-total // shard_sequences)
