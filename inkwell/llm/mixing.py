@@ -17,7 +17,7 @@ from inkwell.llm.scratch import Scratch
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Words in a block, and rows in a shard on average (a shard is sorted in one task).
-BLOCK_WORDS, SHARD_ROWS = 32, 20_000
+BLOCK_WORDS, SHARD_ROWS = 32, 2_000
 
 
 def word_count(text: Column) -> Column:
@@ -82,6 +82,7 @@ class Plan:
         scratch = Scratch(docs.sparkSession, "mix")
         self.rows = d = scratch.result(self._sized(docs), "rows")
         sources = d.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_rows"))
+        sources = scratch.result(sources, "sizes").coalesce(1)  # a row a source: what follows orders them all
         targets = source_targets(sources.select("source", "source_size"), weights, share, most)
         targets = targets.withColumn("_seats", F.round(F.sum("target").over(Window.partitionBy()) / block_words).cast("long"))
         quotas = sainte_lague(targets.withColumn("_one", F.lit(0)), ["_one"], "target", "_seats", ["source"])
