@@ -117,8 +117,19 @@ def cells(h: np.ndarray, first: np.ndarray, percent: int, seed: int) -> tuple[np
     return key.view(np.int64), text[of]
 
 
-ROWS = "doc_id long, n long, sid long, uid long, bucket int, keys binary, sids binary"
-ROWS_ARROW = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("sid", pa.int64()), ("uid", pa.int64()), ("bucket", pa.int32()), ("keys", pa.binary()), ("sids", pa.binary())])
+def group_count(n: int) -> int:
+    """Groups of a set of n shingles, a power of two: enough for random sets to be farther apart than linked ones."""
+    return min(1 << max(6, int(n // 8).bit_length()), 4096)
+
+
+def point(h: np.ndarray) -> bytes:
+    """A set as group counts; nothing where a count does not fit, which bounds nothing."""
+    counts = np.bincount((h >> U64(20)).astype(np.int64) & (group_count(len(h)) - 1), minlength=group_count(len(h)))
+    return counts.astype("<u2").tobytes() if not len(h) or counts.max() < 1 << 16 else b""
+
+
+ROWS = "doc_id long, n long, sid long, uid long, point binary, bucket int, keys binary, sids binary"
+ROWS_ARROW = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("sid", pa.int64()), ("uid", pa.int64()), ("point", pa.binary()), ("bucket", pa.int32()), ("keys", pa.binary()), ("sids", pa.binary())])
 #: Number that stands for members that meet inside a chunk already.
 WITHIN = -1
 
@@ -140,7 +151,7 @@ def _deal(shingle: int, percent: int, buckets: int):
             sids = set_ids(h, first)
             n = batch.num_rows
             none = pa.nulls(n, pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(first)), pa.array(sids), batch.column(2), pa.nulls(n, pa.int32()), none, none], schema=ROWS_ARROW)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(first)), pa.array(sids), batch.column(2), pa.array([point(h[a:b]) for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)], pa.binary()), pa.nulls(n, pa.int32()), none, none], schema=ROWS_ARROW)
             key, text = cells(h, first, percent, 0)
             key, sid, shared = _members(key, sids[text])
             rows = [(WITHIN, key[shared].tobytes(), sid[shared].tobytes())] if shared.any() else []
@@ -154,7 +165,7 @@ def _deal(shingle: int, percent: int, buckets: int):
                 m = len(rows)
                 r, k, s = zip(*rows, strict=True)
                 void = pa.nulls(m, pa.int64())
-                yield pa.RecordBatch.from_arrays([void, void, void, void, pa.array(r, pa.int32()), pa.array(k, pa.binary()), pa.array(s, pa.binary())], schema=ROWS_ARROW)
+                yield pa.RecordBatch.from_arrays([void, void, void, void, pa.nulls(m, pa.binary()), pa.array(r, pa.int32()), pa.array(k, pa.binary()), pa.array(s, pa.binary())], schema=ROWS_ARROW)
 
     return run
 
@@ -191,6 +202,42 @@ PAIR = "a long, b long"
 PAIR_ARROW = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
+NEAR = "hub long, sid long, star boolean"
+NEAR_ARROW = pa.schema([("hub", pa.int64()), ("sid", pa.int64()), ("star", pa.bool_())])
+
+
+def _neighbours(percent: int):
+    """A hub's group to those members that have another within the bound; ``star``: the hub itself is."""
+
+    def run(table: pa.Table) -> pa.Table:
+        hub, sid, n = table.column("hub")[0].as_py(), table.column("sid").to_pylist(), table.column("n").to_numpy()
+        raw = table.column("point").to_pylist()
+        open_, star = np.array([not p for p in raw]), np.zeros(len(sid), bool)
+        some = np.flatnonzero(~open_)
+        if len(some):
+            m = min(len(raw[i]) // 2 for i in some.tolist())
+            points = np.stack([np.frombuffer(raw[i], "<u2").astype(np.int64).reshape(-1, m).sum(0) for i in some.tolist()])
+            tree = RTree(points, n[some])
+            met = open_.any() | np.zeros(len(some), bool)
+            for k in range(len(some)):
+                if not met[k] or sid[some[k]] == hub:
+                    found = tree.search(points[k], int(n[some[k]]), percent)
+                    others = found[found != k]
+                    met[k] |= len(others) > 0
+                    met[others] = True
+                    if sid[some[k]] == hub:
+                        star[some[others]] = True
+            open_[some] = met
+        if not raw[sid.index(hub)]:
+            star[:] = True
+        star |= np.array([not p for p in raw])
+        star[sid.index(hub)] = False
+        keep = np.flatnonzero(open_)
+        return pa.Table.from_arrays([pa.array(np.full(len(keep), hub)), pa.array([sid[i] for i in keep.tolist()], pa.int64()), pa.array(star[keep])], schema=NEAR_ARROW)
+
+    return run
+
+
 def _verify(shingle: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -299,7 +346,7 @@ def _solve(scratch: Scratch, rows: DataFrame, shingle: int, percent: int) -> tup
     size = rows.agg(F.sum(F.octet_length("text")).alias("b")).first().b or 0
     buckets = max(1, int(size * 0.05 // BUCKET_ENTRIES) + 1)  # a text has at most about one cell for 20 bytes
     dealt = scratch.save(rows.mapInArrow(_deal(shingle, percent, buckets), ROWS), "dealt")
-    nodes = scratch.save(dealt.filter("bucket IS NULL").select("doc_id", "n", "sid", "uid"), "nodes")
+    nodes = scratch.save(dealt.filter("bucket IS NULL").select("doc_id", "n", "sid", "uid", "point"), "nodes")
     within = dealt.filter(f"bucket = {WITHIN}").select("keys", "sids").mapInArrow(_unpacked, MEMBER)
     across = dealt.filter(f"bucket > {WITHIN}").select("bucket", "keys", "sids").groupBy("bucket").applyInArrow(_meet, MEMBER)
     members = scratch.save(within.unionByName(across), "members")
@@ -307,7 +354,16 @@ def _solve(scratch: Scratch, rows: DataFrame, shingle: int, percent: int) -> tup
 
     hubs = scratch.save(members.groupBy("cell").agg(F.min("sid").alias("hub"), F.max("sid").alias("other")).filter("hub <> other").select("cell", "hub"), "hubs")
     pairs = scratch.save(members.join(hubs.hint("merge"), "cell").filter("sid <> hub").select(F.col("hub").alias("a"), F.col("sid").alias("b")).distinct(), "pairs")
-    asked = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
+    points = nodes.groupBy("sid").agg(F.min("n").alias("n"), F.min("point").alias("point"))
+    around = pairs.select(F.col("a").alias("hub"), F.col("b").alias("sid")).unionByName(pairs.select(F.col("a").alias("hub"), F.col("a").alias("sid")).distinct())
+    around = scratch.save(around.join(points.hint("merge"), "sid"), "around")
+    groups = scratch.save(around.groupBy("hub").agg(F.count(F.lit(1)).alias("nodes")).filter(f"nodes > {CELL_MEMBERS}").select("hub"), "groups")
+    near = around.join(groups.hint("merge"), "hub", "left_anti").groupBy("hub").applyInArrow(_neighbours(percent), NEAR)
+    # A hub with more around it than one tree joins keeps them all.
+    near = near.unionByName(pairs.withColumnRenamed("a", "hub").join(groups.hint("merge"), "hub", "left_semi").select("hub", F.col("b").alias("sid"), F.lit(True).alias("star")))
+    near = scratch.save(near, "near")
+    pairs = near.filter("star").select(F.col("hub").alias("a"), F.col("sid").alias("b"))
+    asked = scratch.save(near.select("sid").unionByName(pairs.select(F.col("a").alias("sid"))).distinct(), "asked")
     one = nodes.groupBy("sid").agg(F.min("uid").alias("uid")).join(asked.hint("merge"), "sid")
     texts = rows.select("uid", "text").join(one.hint("merge"), "uid").groupBy("sid").agg(F.first("text").alias("text"))
     texts = scratch.save(texts, "texts")
@@ -315,7 +371,7 @@ def _solve(scratch: Scratch, rows: DataFrame, shingle: int, percent: int) -> tup
     links = scratch.save(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_verify(shingle, percent), PAIR), "links1")
     labels = components(links, scratch, "round1")
 
-    open_ = members.join(labels.withColumnRenamed("node", "sid").hint("merge"), "sid", "left").select("cell", "sid", F.coalesce("label", "sid").alias("label")).distinct()
+    open_ = members.join(asked.hint("merge"), "sid", "left_semi").join(labels.withColumnRenamed("node", "sid").hint("merge"), "sid", "left").select("cell", "sid", F.coalesce("label", "sid").alias("label")).distinct()
     more = _tree_rounds(scratch, open_, texts, shingle, percent)
     links = scratch.save(links.unionByName(more), "links2")
     labels = components(links, scratch, "round2").withColumnRenamed("node", "sid")
@@ -379,7 +435,7 @@ def _tree_rounds(scratch: Scratch, members: DataFrame, texts: DataFrame, shingle
     sets = scratch.save(sets, "sets")
     hubs = open_.groupBy("cell").agg(F.min("sid").alias("hub"))
     around = open_.join(hubs.hint("merge"), "cell").select("hub", "sid", "label").distinct().join(sets.select("sid", "n").hint("merge"), "sid")
-    around = scratch.save(around, "around")
+    around = scratch.save(around, "held")
     fits = around.groupBy("hub").agg(F.count(F.lit(1)).alias("nodes"), F.sum("n").alias("held")).filter(f"nodes <= {CELL_MEMBERS} AND held <= {CELL_SHINGLES}").select("hub")
     fits = scratch.save(fits, "fits")
     once = around.join(fits.hint("merge"), "hub").drop("n").join(sets.hint("merge"), "sid")
