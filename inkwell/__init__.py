@@ -1 +1,10 @@
-"""inkwell: document-curation operators for Spark DataFrames."""
+"""inkwell: document-curation operators for Spark DataFrames.
+
+Functions that run on executors are shipped by value, so executors need no copy of the package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
