@@ -15,13 +15,14 @@ import json
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.llm.words import U64, mix
+from inkwell.llm.words import U64, mix, text_bytes
 
 #: Tokens in a sequence, sequences in a shard, rounds of the permutation, key.
 LENGTH, SHARD_SEQUENCES, ROUNDS, KEY = 512, 16_384, 6, 20_240_601
@@ -83,19 +84,29 @@ def encode(enc, text: str) -> list[int]:
     return out
 
 
-def sequences(enc, text: str, length: int) -> int:
+#: Texts whose ids are kept for the next copies of them, and how long such a text may be.
+RECENT, RECENT_CHARS = 1024, 8192
+
+
+def remembering(enc):
+    """``encode`` that knows the latest short texts: a large group of copies is encoded about once a task."""
+    short = lru_cache(RECENT)(enc.encode_ordinary)
+    return lambda text: short(text) if len(text) <= RECENT_CHARS else encode(enc, text)
+
+
+def sequences(ids, text: str, length: int) -> int:
     """How many sequences a text and its end token fill. A token has a byte or more, so a text of fewer bytes than ``length`` fills one."""
-    return 1 if len(text) * 4 < length or len(text) < length and len(text.encode()) < length else len(encode(enc, text)) // length + 1
+    return 1 if len(text) * 4 < length or len(text) < length and len(text.encode()) < length else len(ids(text)) // length + 1
 
 
 def _count(ranks, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        enc, n, check = encoder(ranks.value), 0, 0
+        ids, n, check = remembering(encoder(ranks.value)), 0, 0
         for batch in batches:
             for text in batch.column("text").to_pylist():
-                own = sequences(enc, text, length)
+                own = sequences(ids, text, length)
                 n += own
                 check = zlib.crc32(own.to_bytes(8, "little"), check)
         yield pa.RecordBatch.from_pydict({"part": [TaskContext.get().partitionId()], "n": [n], "lengths": [check]}, schema=pa.schema([("part", pa.int32()), ("n", pa.int64()), ("lengths", pa.int64())]))
@@ -107,11 +118,17 @@ PIECES = "slot long, doc_id long, piece int, n_tokens int, tokens binary"
 PIECES_ARROW = pa.schema([("slot", pa.int64()), ("doc_id", pa.int64()), ("piece", pa.int32()), ("n_tokens", pa.int32()), ("tokens", pa.binary())])
 
 
+def _fixed(body: bytes, step: int) -> pa.Array:
+    """A binary array of equal rows over one buffer."""
+    n = len(body) // step
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(np.arange(0, len(body) + 1, step, dtype=np.int32)), pa.py_buffer(body)])
+
+
 def _place(ranks, parts, length: int, total: int, key: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        enc, number = encoder(ranks.value), TaskContext.get().partitionId()
+        ids, number = remembering(encoder(ranks.value)), TaskContext.get().partitionId()
         first, expected, lengths = parts.value[number]
         at, check = first, 0
         step = length * np.dtype(TYPE).itemsize
@@ -121,18 +138,17 @@ def _place(ranks, parts, length: int, total: int, key: int):
                 part = batch.slice(begin, 256)
                 doc, piece, size, bodies = [], [], [], []
                 for d, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
-                    t = encode(enc, text)
+                    t = ids(text)
                     n = len(t) // length + 1
                     check = zlib.crc32(n.to_bytes(8, "little"), check)
                     raw = array("H", t).tobytes()  # TYPE, on the little-endian machines that this runs on
-                    raw += filling[: n * step - len(raw)]
-                    bodies += [raw[k * step : (k + 1) * step] for k in range(n)]
+                    bodies += (raw, filling[: n * step - len(raw)])
                     doc += [d] * n
                     piece += range(n)
                     size += [length] * (n - 1) + [len(t) + 1 - (n - 1) * length]
                 slots = feistel(np.arange(at, at + len(doc)), total, key)
                 at += len(doc)
-                yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(doc, pa.int64()), pa.array(piece, pa.int32()), pa.array(size, pa.int32()), pa.array(bodies, pa.binary())], schema=PIECES_ARROW)
+                yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(doc, pa.int64()), pa.array(piece, pa.int32()), pa.array(size, pa.int32()), _fixed(b"".join(bodies), step)], schema=PIECES_ARROW)
         if at - first != expected or check != lengths:
             raise RuntimeError(f"partition {number} changed between counting and placing: {at - first} sequences, {expected} before")
 
@@ -172,18 +188,19 @@ def _write(path: str, shard_sequences: int):
 
         for batch in batches:
             slot = batch.column("slot").to_numpy()
-            shard, body = slot // shard_sequences, batch.column("tokens")
-            crc = np.zeros(len(slot), np.int64)
-            for i, s in enumerate(shard.tolist()):
-                if s != current:
-                    close()
-                    current = s
-                    out = store.open_output_stream(f"{root}/.{shard_name(s)}.{attempt}")
-                raw = body[i].as_py()
-                out.write(raw)
-                crc[i] = zlib.crc32(raw)
+            shard, (data, off) = slot // shard_sequences, text_bytes(batch.column("tokens"))
+            view, cut = memoryview(data), off.tolist()
+            crc = [zlib.crc32(view[cut[i] : cut[i + 1]]) for i in range(len(slot))]
+            edge = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(slot)]
+            for i, j in zip(edge[:-1], edge[1:], strict=True):
+                if j > i:
+                    if (s := int(shard[i])) != current:
+                        close()
+                        current = s
+                        out = store.open_output_stream(f"{root}/.{shard_name(s)}.{attempt}")
+                    out.write(view[cut[i] : cut[j]])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(slot), pa.array(shard.astype(np.int32)), pa.array((slot % shard_sequences).astype(np.int32)), batch.column("doc_id"), batch.column("piece"), batch.column("n_tokens"), pa.array(crc)], schema=DIGEST_ARROW
+                [pa.array(slot), pa.array(shard.astype(np.int32)), pa.array((slot % shard_sequences).astype(np.int32)), batch.column("doc_id"), batch.column("piece"), batch.column("n_tokens"), pa.array(crc, pa.int64())], schema=DIGEST_ARROW
             )
         close()
 
