@@ -33,6 +33,8 @@ from inkwell.llm.words import U64, mix, regroup, scan_batch, shingles
 SHINGLE, PERCENT = 4, 85
 #: Growth of size classes; bytes of text in a chunk; cell entries in a bucket on average; members, and their shingles, that one tree joins.
 CLASS_GROWTH, CHUNK, BUCKET_ENTRIES, CELL_MEMBERS, CELL_SHINGLES = 1.4, 8 << 20, 1_000_000, 4000, 4_000_000
+#: How many comparisons of points a group costs besides its own.
+GROUP_COST = 2000
 #: R-tree: points in a leaf, nodes in a node.
 LEAF, FAN = 16, 8
 
@@ -118,8 +120,8 @@ def cells(h: np.ndarray, first: np.ndarray, percent: int, seed: int) -> tuple[np
 
 
 def group_count(n: int) -> int:
-    """Groups of a set of n shingles, a power of two: enough for random sets to be farther apart than linked ones."""
-    return min(1 << max(6, int(n // 8).bit_length()), 4096)
+    """Groups of a set of n shingles, a power of two: one or two shingles fall into each, so that the bound comes near the overlap itself."""
+    return min(1 << max(5, int(n).bit_length() - 1), 8192)
 
 
 def point(h: np.ndarray) -> bytes:
@@ -216,17 +218,27 @@ def _neighbours(percent: int):
         some = np.flatnonzero(~open_)
         if len(some):
             m = min(len(raw[i]) // 2 for i in some.tolist())
-            points = np.stack([np.frombuffer(raw[i], "<u2").astype(np.int64).reshape(-1, m).sum(0) for i in some.tolist()])
-            tree = RTree(points, n[some])
-            met = open_.any() | np.zeros(len(some), bool)
-            for k in range(len(some)):
-                if not met[k] or sid[some[k]] == hub:
-                    found = tree.search(points[k], int(n[some[k]]), percent)
-                    others = found[found != k]
-                    met[k] |= len(others) > 0
-                    met[others] = True
-                    if sid[some[k]] == hub:
-                        star[some[others]] = True
+            kind = np.uint16 if n.max() < 1 << 16 else np.int64
+            points = np.stack([np.frombuffer(raw[i], "<u2").reshape(-1, m).sum(0, dtype=kind) for i in some.tolist()])
+            met = np.full(len(some), open_.any())
+            at = next((k for k, i in enumerate(some.tolist()) if sid[i] == hub), None)
+            if len(some) <= 2 * LEAF:
+                size = n[some]
+                near = RTree.may(points[:, None], size[:, None], points[None], size[None], size[None], percent)
+                np.fill_diagonal(near, False)
+                met |= near.any(1)
+                if at is not None:
+                    star[some[near[at]]] = True
+            else:
+                tree = RTree(points, n[some])
+                for k in range(len(some)):
+                    if not met[k] or k == at:
+                        found = tree.search(points[k], int(n[some[k]]), percent)
+                        others = found[found != k]
+                        met[k] |= len(others) > 0
+                        met[others] = True
+                        if k == at:
+                            star[some[others]] = True
             open_[some] = met
         if not raw[sid.index(hub)]:
             star[:] = True
@@ -294,27 +306,27 @@ class RTree:
             step = FAN
 
     @staticmethod
-    def _may(point: np.ndarray, size: int, corner: np.ndarray, low: np.ndarray, high: np.ndarray, percent: int) -> np.ndarray:
+    def may(point: np.ndarray, size: int, corner: np.ndarray, low: np.ndarray, high: np.ndarray, percent: int) -> np.ndarray:
         """Overlap is at most the summed minima, and J >= t needs t / (1 + t) of both sizes together."""
-        bound = np.minimum(corner, point).sum(1, dtype=np.int64)
+        bound = np.minimum(corner, point).sum(-1, dtype=np.int64)
         return ((100 + percent) * bound >= percent * (size + low)) & (100 * high >= percent * size) & (100 * size >= percent * low)
 
     def search(self, point: np.ndarray, size: int, percent: int) -> np.ndarray:
         """Positions (as given) of the points that may reach the threshold."""
         nodes = np.arange(len(self.levels[-1][1]))
         for corner, low, high, first in reversed(self.levels):
-            nodes = nodes[self._may(point, size, corner[nodes], low[nodes], high[nodes], percent)]
+            nodes = nodes[self.may(point, size, corner[nodes], low[nodes], high[nodes], percent)]
             if not len(nodes):
                 return nodes
             n = first[nodes + 1] - first[nodes]
             nodes = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[nodes], n)
-        return self.order[nodes[self._may(point, size, self.points[nodes], self.sizes[nodes], self.sizes[nodes], percent)]]
+        return self.order[nodes[self.may(point, size, self.points[nodes], self.sizes[nodes], self.sizes[nodes], percent)]]
 
 
 def tree_links(sets: list[np.ndarray], labels: list[int], percent: int) -> list[tuple[int, int]]:
     """Links (positions in ``sets``) that join sets of different labels: enough of them to connect whatever the cell connects."""
     sizes = np.array([len(s) for s in sets])
-    groups = min(1 << max(5, int(sizes.max() // 4).bit_length()), 1024)
+    groups = group_count(int(sizes.max()))
     points = np.stack([np.bincount((s >> U64(20)).astype(np.int64) & (groups - 1), minlength=groups) for s in sets]).astype(np.uint16 if sizes.max() < 1 << 16 else np.int64)
     tree, root, out = RTree(points, sizes), {x: x for x in labels}, []
 
@@ -352,16 +364,23 @@ def _solve(scratch: Scratch, rows: DataFrame, shingle: int, percent: int) -> tup
     members = scratch.save(within.unionByName(across), "members")
     scratch.drop("dealt")
 
-    hubs = scratch.save(members.groupBy("cell").agg(F.min("sid").alias("hub"), F.max("sid").alias("other")).filter("hub <> other").select("cell", "hub"), "hubs")
+    hubs = scratch.save(members.groupBy("cell").agg(F.min("sid").alias("hub"), F.max("sid").alias("other"), F.count(F.lit(1)).alias("held")).filter("hub <> other").select("cell", "hub", "held"), "hubs")
     pairs = scratch.save(members.join(hubs.hint("merge"), "cell").filter("sid <> hub").select(F.col("hub").alias("a"), F.col("sid").alias("b")).distinct(), "pairs")
     points = nodes.groupBy("sid").agg(F.min("n").alias("n"), F.min("point").alias("point"))
     around = pairs.select(F.col("a").alias("hub"), F.col("b").alias("sid")).unionByName(pairs.select(F.col("a").alias("hub"), F.col("a").alias("sid")).distinct())
     around = scratch.save(around.join(points.hint("merge"), "sid"), "around")
-    groups = scratch.save(around.groupBy("hub").agg(F.count(F.lit(1)).alias("nodes")).filter(f"nodes > {CELL_MEMBERS}").select("hub"), "groups")
+    nodes_of = around.groupBy("hub").agg(F.count(F.lit(1)).alias("nodes"))
+    by_cell = hubs.groupBy("hub").agg(F.sum(F.expr(f"held * held + {GROUP_COST}")).alias("cost"))
+    groups = nodes_of.join(by_cell.hint("merge"), "hub").filter(f"nodes > {CELL_MEMBERS} OR nodes * nodes > cost").select("hub")
+    groups = scratch.save(groups, "groups")
     near = around.join(groups.hint("merge"), "hub", "left_anti").groupBy("hub").applyInArrow(_neighbours(percent), NEAR)
-    # A hub with more around it than one tree joins keeps them all.
-    near = near.unionByName(pairs.withColumnRenamed("a", "hub").join(groups.hint("merge"), "hub", "left_semi").select("hub", F.col("b").alias("sid"), F.lit(True).alias("star")))
-    near = scratch.save(near, "near")
+    # A hub with more around it than one tree should join gets a tree for each of its cells; of a cell that is still too large, all are kept.
+    within = members.join(hubs.hint("merge"), "cell").join(groups.hint("merge"), "hub", "left_semi").select("cell", "hub", "sid").distinct()
+    within = scratch.save(within.join(points.hint("merge"), "sid"), "within")
+    huge = scratch.save(within.groupBy("cell").agg(F.count(F.lit(1)).alias("nodes")).filter(f"nodes > {CELL_MEMBERS}").select("cell"), "huge")
+    near = near.unionByName(within.join(huge.hint("merge"), "cell", "left_anti").groupBy("cell").applyInArrow(_neighbours(percent), NEAR))
+    near = near.unionByName(within.join(huge.hint("merge"), "cell", "left_semi").select("hub", "sid", (F.col("sid") != F.col("hub")).alias("star")))
+    near = scratch.save(near.groupBy("hub", "sid").agg(F.max("star").alias("star")), "near")
     pairs = near.filter("star").select(F.col("hub").alias("a"), F.col("sid").alias("b"))
     asked = scratch.save(near.select("sid").unionByName(pairs.select(F.col("a").alias("sid"))).distinct(), "asked")
     one = nodes.groupBy("sid").agg(F.min("uid").alias("uid")).join(asked.hint("merge"), "sid")
