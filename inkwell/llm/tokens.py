@@ -1,19 +1,23 @@
 """Training-order materialisation of token ids.
 
 Texts become byte-pair token ids, end with one end token each, and are cut into sequences of
-a fixed length (a text's last one is filled up), so a sequence never mixes two texts. Sequences are
-numbered in the order of the table; a keyed Feistel permutation of the numbers, walked
-along its cycles until it lands inside the count, gives every sequence its global slot without
-any sort of the whole. Slots are dealt in ranges to shard files, where each takes the same number
-of bytes: training reads shards one after the other and can resume at any slot by a seek.
+a fixed length (a text's last one is filled up), so a sequence never mixes two texts. A text
+reserves as many numbers as it could have sequences (a token has a byte or more), which needs
+no encoding to count. A keyed Feistel permutation of all reserved numbers, walked along its
+cycles until it lands inside their count, gives every sequence its place without any sort of
+the whole. Places are dealt in ranges to shard files, where each sequence takes the same number of
+bytes and those not used take none; the shards' counts turn places into global slots without
+holes. Training reads shards one after the other and can resume at any slot by a seek.
 """
 
 from __future__ import annotations
 
 import base64
 import json
+import uuid
 import zlib
 from array import array
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -22,10 +26,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from inkwell.llm.scratch import Scratch, forget_at_exit, shared_dir
 from inkwell.llm.words import U64, mix, text_bytes
 
-#: Tokens in a sequence, sequences in a shard, rounds of the permutation, key.
-LENGTH, SHARD_SEQUENCES, ROUNDS, KEY = 512, 16_384, 6, 20_240_601
+#: Tokens in a sequence, reserved places in a shard, rounds of the permutation, key.
+LENGTH, SHARD_PLACES, ROUNDS, KEY = 512, 32_768, 6, 20_240_601
 TOKENIZER, END = "/opt/tokenizers/byte_bpe_50k.tiktoken", 50_256
 #: Fixed value: the pre-tokenisation pattern of the public 50k byte-level vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -94,28 +99,26 @@ def remembering(enc):
     return lambda text: short(text) if len(text) <= RECENT_CHARS else encode(enc, text)
 
 
-def sequences(ids, text: str, length: int) -> int:
-    """How many sequences a text and its end token fill. A token has a byte or more, so a text of fewer bytes than ``length`` fills one."""
-    return 1 if len(text) * 4 < length or len(text) < length and len(text.encode()) < length else len(ids(text)) // length + 1
+def reserved(texts: pa.Array, length: int) -> np.ndarray:
+    """The most sequences that each text and its end token can fill."""
+    return np.diff(text_bytes(texts)[1]) // length + 1
 
 
-def _count(ranks, length: int):
+def _count(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        ids, n, check = remembering(encoder(ranks.value)), 0, 0
+        n, check = 0, 0
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                own = sequences(ids, text, length)
-                n += own
-                check = zlib.crc32(own.to_bytes(8, "little"), check)
-        yield pa.RecordBatch.from_pydict({"part": [TaskContext.get().partitionId()], "n": [n], "lengths": [check]}, schema=pa.schema([("part", pa.int32()), ("n", pa.int64()), ("lengths", pa.int64())]))
+            own = reserved(batch.column("text"), length)
+            n, check = n + int(own.sum()), zlib.crc32(own.tobytes(), check)
+        yield pa.RecordBatch.from_pydict({"part": [TaskContext.get().partitionId()], "n": [n], "sizes": [check]}, schema=pa.schema([("part", pa.int32()), ("n", pa.int64()), ("sizes", pa.int64())]))
 
     return run
 
 
-PIECES = "slot long, doc_id long, piece int, n_tokens int, tokens binary"
-PIECES_ARROW = pa.schema([("slot", pa.int64()), ("doc_id", pa.int64()), ("piece", pa.int32()), ("n_tokens", pa.int32()), ("tokens", pa.binary())])
+PIECES = "place long, doc_id long, piece int, n_tokens int, tokens binary"
+PIECES_ARROW = pa.schema([("place", pa.int64()), ("doc_id", pa.int64()), ("piece", pa.int32()), ("n_tokens", pa.int32()), ("tokens", pa.binary())])
 
 
 def _fixed(body: bytes, step: int) -> pa.Array:
@@ -129,28 +132,30 @@ def _place(ranks, parts, length: int, total: int, key: int):
         from pyspark import TaskContext
 
         ids, number = remembering(encoder(ranks.value)), TaskContext.get().partitionId()
-        first, expected, lengths = parts.value[number]
+        first, expected, sizes = parts.value[number]
         at, check = first, 0
         step = length * np.dtype(TYPE).itemsize
         filling = np.full(length, END, TYPE).tobytes()
         for batch in batches:
             for begin in range(0, batch.num_rows, 256):
                 part = batch.slice(begin, 256)
-                doc, piece, size, bodies = [], [], [], []
-                for d, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
+                doc, piece, size, bodies, numbers = [], [], [], [], []
+                own = reserved(part.column("text"), length)
+                check = zlib.crc32(own.tobytes(), check)
+                for d, text, most in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), own.tolist(), strict=True):
                     t = ids(text)
                     n = len(t) // length + 1
-                    check = zlib.crc32(n.to_bytes(8, "little"), check)
                     raw = array("H", t).tobytes()  # TYPE, on the little-endian machines that this runs on
                     bodies += (raw, filling[: n * step - len(raw)])
                     doc += [d] * n
                     piece += range(n)
                     size += [length] * (n - 1) + [len(t) + 1 - (n - 1) * length]
-                slots = feistel(np.arange(at, at + len(doc)), total, key)
-                at += len(doc)
-                yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(doc, pa.int64()), pa.array(piece, pa.int32()), pa.array(size, pa.int32()), _fixed(b"".join(bodies), step)], schema=PIECES_ARROW)
-        if at - first != expected or check != lengths:
-            raise RuntimeError(f"partition {number} changed between counting and placing: {at - first} sequences, {expected} before")
+                    numbers += range(at, at + n)
+                    at += most
+                places = feistel(np.array(numbers, np.int64), total, key)
+                yield pa.RecordBatch.from_arrays([pa.array(places), pa.array(doc, pa.int64()), pa.array(piece, pa.int32()), pa.array(size, pa.int32()), _fixed(b"".join(bodies), step)], schema=PIECES_ARROW)
+        if at - first != expected or check != sizes:
+            raise RuntimeError(f"partition {number} changed between counting and placing: {at - first} numbers, {expected} before")
 
     return run
 
@@ -162,16 +167,16 @@ def _store(path: str):
     return fs.FileSystem.from_uri(path if "://" in path else path.replace("file:", "file://", 1) if path.startswith("file:") else f"file://{path}")
 
 
-DIGEST = "slot long, shard int, row int, doc_id long, piece int, n_tokens int, crc32 long"
-DIGEST_ARROW = pa.schema([("slot", pa.int64()), ("shard", pa.int32()), ("row", pa.int32()), ("doc_id", pa.int64()), ("piece", pa.int32()), ("n_tokens", pa.int32()), ("crc32", pa.int64())])
+DIGEST = "shard long, row int, doc_id long, piece int, n_tokens int, crc32 long"
+DIGEST_ARROW = pa.schema([("shard", pa.int64()), ("row", pa.int32()), ("doc_id", pa.int64()), ("piece", pa.int32()), ("n_tokens", pa.int32()), ("crc32", pa.int64())])
 
 
 def shard_name(shard: int) -> str:
     return f"shard-{shard:08d}.bin"
 
 
-def _write(path: str, shard_sequences: int):
-    """Rows in order of slot to shard files. A file gets its name when it is whole, and a task that runs again writes the same bytes."""
+def _write(path: str, shard_places: int):
+    """Rows in order of place to shard files. A file gets its name when it is whole, and a task that runs again writes the same bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -179,7 +184,7 @@ def _write(path: str, shard_sequences: int):
         store, root = _store(path)
         store.create_dir(root, recursive=True)
         attempt = TaskContext.get().taskAttemptId()
-        current, out = None, None
+        current, out, row = None, None, 0
 
         def close() -> None:
             if out is not None:
@@ -187,51 +192,55 @@ def _write(path: str, shard_sequences: int):
                 store.move(f"{root}/.{shard_name(current)}.{attempt}", f"{root}/{shard_name(current)}")
 
         for batch in batches:
-            slot = batch.column("slot").to_numpy()
-            shard, (data, off) = slot // shard_sequences, text_bytes(batch.column("tokens"))
+            place = batch.column("place").to_numpy()
+            shard, (data, off) = place // shard_places, text_bytes(batch.column("tokens"))
             view, cut = memoryview(data), off.tolist()
-            crc = [zlib.crc32(view[cut[i] : cut[i + 1]]) for i in range(len(slot))]
-            edge = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(slot)]
+            crc = [zlib.crc32(view[cut[i] : cut[i + 1]]) for i in range(len(place))]
+            edge = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(place)] if len(place) else [0]
+            rows = []
             for i, j in zip(edge[:-1], edge[1:], strict=True):
-                if j > i:
-                    if (s := int(shard[i])) != current:
-                        close()
-                        current = s
-                        out = store.open_output_stream(f"{root}/.{shard_name(s)}.{attempt}")
-                    out.write(view[cut[i] : cut[j]])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(slot), pa.array(shard.astype(np.int32)), pa.array((slot % shard_sequences).astype(np.int32)), batch.column("doc_id"), batch.column("piece"), batch.column("n_tokens"), pa.array(crc, pa.int64())], schema=DIGEST_ARROW
-            )
+                if (s := int(shard[i])) != current:
+                    close()
+                    current, row = s, 0
+                    out = store.open_output_stream(f"{root}/.{shard_name(s)}.{attempt}")
+                out.write(view[cut[i] : cut[j]])
+                rows += range(row, row + j - i)
+                row += j - i
+            yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(rows, pa.int32()), batch.column("doc_id"), batch.column("piece"), batch.column("n_tokens"), pa.array(crc, pa.int64())], schema=DIGEST_ARROW)
         close()
 
     return run
 
 
 def write_training_order(
-    docs: DataFrame, path: str, tokenizer: str = TOKENIZER, length: int = LENGTH, shard_sequences: int = SHARD_SEQUENCES, key: int = KEY, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, path: str, tokenizer: str = TOKENIZER, length: int = LENGTH, shard_places: int = SHARD_PLACES, key: int = KEY, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """Write every text's token sequences to shards under ``path`` in permuted order, and their manifest. Lazily written: the result's rows are the sequences as they were written.
+    """Write every text's token sequences to shards under ``path`` in permuted order, and their manifest; the result's rows are the sequences as they were written.
 
     slot, shard, row (place in the shard), doc_id, piece (number within the text), n_tokens (without
     filling), crc32 (of the row's bytes). A null or empty text is its end token alone. Rows that repeat one
     another, or an id, or have none, each have their own sequences. An empty table writes an empty manifest.
-    The table is encoded twice, to count and to place, so no tokens are kept in between; it must
-    give the same rows in the same partitions both times, as files do, and is checked for that.
+    The table is read twice, to count bytes and to encode; it must give the same rows in the same
+    partitions both times, as files do, and is checked for that.
     """
     spark = docs.sparkSession
     ranks = spark.sparkContext.broadcast(load_ranks(tokenizer))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    counts = {r.part: r for r in rows.mapInArrow(_count(ranks, length), "part int, n long, lengths long").collect()}
+    counts = {r.part: r for r in rows.mapInArrow(_count(length), "part int, n long, sizes long").collect()}
     parts, total = {}, 0
     for number in sorted(counts):
-        parts[number] = (total, counts[number].n, counts[number].lengths)
+        parts[number] = (total, counts[number].n, counts[number].sizes)
         total += counts[number].n
-    _manifest(path, {"sequences": total, "length": length, "bytes_per_token": np.dtype(TYPE).itemsize, "shard_sequences": shard_sequences, "key": key})
     placed = rows.mapInArrow(_place(ranks, spark.sparkContext.broadcast(parts), length, total, key), PIECES)
-    shard = F.floor(F.col("slot") / shard_sequences)
-    shards = -(-total // shard_sequences)
-    dealt = placed.repartition(max(1, min(shards, int(spark.conf.get("spark.sql.shuffle.partitions")))), shard).sortWithinPartitions("slot")
-    return dealt.mapInArrow(_write(path, shard_sequences), DIGEST)
+    shards = max(1, -(-total // shard_places))
+    dealt = placed.repartition(min(shards, int(spark.conf.get("spark.sql.shuffle.partitions"))), F.floor(F.col("place") / shard_places)).sortWithinPartitions("place")
+    with Scratch(spark, "shards") as scratch:
+        written = scratch.result(dealt.mapInArrow(_write(path, shard_places), DIGEST), "rows")
+        held = {r.shard: r.n for r in written.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
+        begin = np.concatenate([[0], np.cumsum([held.get(s, 0) for s in range(shards)])]).tolist()
+        _manifest(path, {"length": length, "bytes_per_token": np.dtype(TYPE).itemsize, "first_slots": begin, "key": key})
+        first = spark.createDataFrame([(s, begin[s]) for s in sorted(held)], "shard long, _first long")
+        return written.join(first, "shard").select((F.col("_first") + F.col("row")).alias("slot"), *written.columns)
 
 
 def _manifest(path: str, what: dict) -> None:
@@ -246,23 +255,18 @@ def read_sequences(path: str, start: int = 0) -> Iterator[tuple[int, np.ndarray]
     store, root = _store(path)
     with store.open_input_stream(f"{root}/manifest.json") as f:
         m = json.loads(f.read())
-    stride = m["length"] * m["bytes_per_token"]
-    while start < m["sequences"]:
-        shard, row = divmod(start, m["shard_sequences"])
+    stride, firsts = m["length"] * m["bytes_per_token"], m["first_slots"]
+    while start < firsts[-1]:
+        shard = bisect_right(firsts, start) - 1
         with store.open_input_file(f"{root}/{shard_name(shard)}") as f:
-            f.seek(row * stride)
-            for slot in range(start, min((shard + 1) * m["shard_sequences"], m["sequences"])):
+            f.seek((start - firsts[shard]) * stride)
+            for slot in range(start, firsts[shard + 1]):
                 yield slot, np.frombuffer(f.read(stride), TYPE)
-        start = (shard + 1) * m["shard_sequences"]
+        start = firsts[shard + 1]
 
 
 def materialise(spark: SparkSession, docs: DataFrame, tag: str = "shards", **options) -> DataFrame:
-    """``write_training_order`` into the shared folder, written through: the rows of the result are read from a table."""
-    import uuid
-
-    from inkwell.llm.scratch import Scratch, forget_at_exit, shared_dir
-
+    """``write_training_order`` into the shared folder."""
     path = f"{shared_dir(spark)}/inkwell-{tag}-{uuid.uuid4().hex}"
     forget_at_exit(spark, path)
-    with Scratch(spark, tag) as scratch:
-        return scratch.result(write_training_order(docs, path, **options))
+    return write_training_order(docs, path, **options)
