@@ -185,6 +185,6 @@ SELECT batch, failed, count(*) FILTER (asked) AS requested, CASE WHEN failed THE
   CASE WHEN failed THEN 0 ELSE CAST(coalesce(sum(n) FILTER (unknown), 0) AS BIGINT) END AS unknown, CASE WHEN failed THEN 0 ELSE count(*) FILTER (good) END AS salvaged, count(*) FILTER (asked) - CASE WHEN failed THEN 0 ELSE count(*) FILTER (good) END AS missing FROM x GROUP BY batch, failed"""
 SUMMARY_FIELDS = rf"""WITH {P}, x AS (SELECT id, {squeeze("regexp_replace(title, '[\"\\\\\\n\\t]', '', 'g')")} AS t, id % 7 <> 0 AND id % 10 < 8 AS ok FROM p WHERE lang = 'en')
 SELECT id AS doc_id, CASE WHEN ok AND t <> '' THEN t END AS title, CASE WHEN ok AND t <> '' THEN 's' END AS summary, CASE WHEN ok AND t <> '' THEN array_to_string(list_transform(range(1, id % 10 + 2), lambda i: 'g' || i), ',') END AS tags FROM x"""
-TRAILING_RATE = "SELECT event_id, count(*) OVER (PARTITION BY event_type ORDER BY epoch_ms(ts) RANGE BETWEEN 3600000 PRECEDING AND CURRENT ROW) AS recent FROM events"
-START_SPACING = """WITH e AS (SELECT event_id, user_id, greatest(epoch_ms(ts), 1704153600000) AS came, row_number() OVER (PARTITION BY user_id ORDER BY epoch_ms(ts), event_id) AS i FROM events)
+TRAILING_RATE = "SELECT event_id, count(*) OVER (PARTITION BY event_type ORDER BY epoch_us(ts) // 1000 RANGE BETWEEN 3600000 PRECEDING AND CURRENT ROW) AS recent FROM events"
+START_SPACING = """WITH e AS (SELECT event_id, user_id, greatest(epoch_us(ts) // 1000, 1704153600000) AS came, row_number() OVER (PARTITION BY user_id ORDER BY epoch_us(ts) // 1000, event_id) AS i FROM events)
 SELECT event_id, max(came - i * 7200000) OVER (PARTITION BY user_id ORDER BY i) + i * 7200000 AS start_ms FROM e"""

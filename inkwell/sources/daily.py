@@ -18,13 +18,17 @@ DOCUMENT = f"reportDate string, generatedAt string, papers array<{_PAPER_STRUCT}
 ENUMS = {"section": ["single-cell-spatial", "biology", "other"], "digestLine": ["line-a", "line-b", "preprint", "skip"], "digestTaggingMethod": ["llm", "keyword-fallback"]}
 
 
+def _outside(name: str, values: list[str]):
+    return lambda p: F.coalesce(~p[name].isin(values), F.lit(False))
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
     """Documents as they were written, by older versions too: counters that a file lacks are 0. A file that is no JSON, or has a value outside its list, is an error."""
     d = spark.read.schema(DOCUMENT).option("columnNameOfCorruptRecord", "_corrupt").json(path, multiLine=True)
     d = d.withColumn("reportDate", F.when(F.col("_corrupt").isNull() & F.col("reportDate").isNotNull(), F.col("reportDate")).otherwise(F.raise_error(F.lit("not a daily document")))).drop("_corrupt")
     bad = F.lit(False)
     for name, values in ENUMS.items():
-        bad = bad | F.exists("papers", lambda p, name=name, values=values: F.coalesce(~p[name].isin(values), F.lit(False)))
+        bad = bad | F.exists("papers", _outside(name, values))
     d = d.withColumn("papers", F.when(bad, F.raise_error(F.concat(F.lit("value out of list on "), "reportDate"))).otherwise(F.col("papers")))
     zero = F.struct(*[F.coalesce(F.col(f"digest.selection.{c}"), F.lit(0)).alias(c) for c in SELECTION])
     return d.withColumn("selection", zero)

@@ -25,22 +25,24 @@ def repaired(xml: Column) -> Column:
 
 #: An item as its parts are spelled in RSS 2.0, RDF and Atom; prefixes are taken off before parsing.
 ITEM = "title string, link string, guid string, pubDate string, dc_date string, published string, updated string, dc_identifier string, dc_source string, content_encoded string, description string, summary string, content string"
-FEED = f"_corrupt string, channel struct<item: array<struct<{ITEM.replace(' string', ': string')}>>>, item array<struct<{ITEM.replace(' string', ': string')}>>, entry array<struct<{ITEM.replace(' string', ': string')}>>"
+ELEMENT = r"(?s)(<(item|entry)\b.*?</\2>)"
 
 
 def _plain(xml: Column) -> Column:
     """Prefixes joined to names, and Atom's link address as text, so one schema reads every kind."""
-    xml = F.regexp_replace(xml, r"<(/?)(dc|content|prism|rdf|rss|atom):", "<$1$2_")
+    xml = F.regexp_replace(xml, r"<(/?)(\w+):", "<$1$2_")
+    xml = F.regexp_replace(xml, r"(\s)(\w+):(\w+)=", "$1$2_$3=")
     return F.regexp_replace(xml, r"<link\b[^>]*href=[\"']([^\"']*)[\"'][^>]*?(/>|>\s*</link>)", "<link>$1</link>")
 
 
 def parse(files: DataFrame, source: str = "source", xml: str = "value") -> DataFrame:
-    """``source, ord`` and the item's parts, a row per item; a file that does not parse is repaired once, and counts as empty if that does not help."""
-    read = lambda c: F.from_xml(_plain(c), FEED, {"columnNameOfCorruptRecord": "_corrupt", "mode": "PERMISSIVE", "ignoreNamespace": "true"})
-    d = files.filter(looks_like_feed(F.col(xml))).withColumn("_feed", read(F.col(xml)))
-    d = d.withColumn("_feed", F.when(F.col("_feed._corrupt").isNotNull(), read(repaired(F.col(xml)))).otherwise(F.col("_feed")))
-    items = F.coalesce("_feed.channel.item", "_feed.item", "_feed.entry")
-    return d.filter(F.col("_feed._corrupt").isNull()).select(F.col(source).alias("source"), F.posexplode(items).alias("ord", "i")).select("source", "ord", "i.*")
+    """``source, ord`` and the item's parts, a row per item. An item that does not parse is repaired once; a file with one that this does not help counts as empty."""
+    read = lambda c: F.from_xml(_plain(c), f"{ITEM}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt", "mode": "PERMISSIVE"})
+    d = files.filter(looks_like_feed(F.col(xml))).select(F.col(source).alias("source"), F.posexplode(F.regexp_extract_all(xml, F.lit(ELEMENT), F.lit(1))).alias("ord", "_xml"))
+    d = d.withColumn("i", read(F.col("_xml")))
+    d = d.withColumn("i", F.when(F.col("i._corrupt").isNotNull(), read(repaired(F.col("_xml")))).otherwise(F.col("i")))
+    bad = d.filter("i._corrupt IS NOT NULL").select("source").distinct()
+    return d.join(bad, "source", "left_anti").select("source", "ord", "i.*").drop("_corrupt")
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
