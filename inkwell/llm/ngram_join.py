@@ -19,6 +19,7 @@ pair since linked texts agree on a block under every hash.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -127,7 +128,13 @@ def group_count(n: int) -> int:
 def point(h: np.ndarray) -> bytes:
     """A set as group counts; nothing where a count does not fit, which bounds nothing."""
     counts = np.bincount((h >> U64(20)).astype(np.int64) & (group_count(len(h)) - 1), minlength=group_count(len(h)))
-    return counts.astype("<u2").tobytes() if not len(h) or counts.max() < 1 << 16 else b""
+    if not len(h) or counts.max() < 1 << 8:
+        return b"1" + zlib.compress(counts.astype("<u1").tobytes(), 1)
+    return b"2" + zlib.compress(counts.astype("<u2").tobytes(), 1) if counts.max() < 1 << 16 else b""
+
+
+def counts_of(point: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(point[1:]), f"<u{point[:1].decode()}")
 
 
 ROWS = "doc_id long, n long, sid long, uid long, point binary, bucket int, keys binary, sids binary"
@@ -217,9 +224,10 @@ def _neighbours(percent: int):
         open_, star = np.array([not p for p in raw]), np.zeros(len(sid), bool)
         some = np.flatnonzero(~open_)
         if len(some):
-            m = min(len(raw[i]) // 2 for i in some.tolist())
+            unpacked = [counts_of(raw[i]) for i in some.tolist()]
+            m = min(map(len, unpacked))
             kind = np.uint16 if n.max() < 1 << 16 else np.int64
-            points = np.stack([np.frombuffer(raw[i], "<u2").reshape(-1, m).sum(0, dtype=kind) for i in some.tolist()])
+            points = np.stack([u.reshape(-1, m).sum(0, dtype=kind) for u in unpacked])
             met = np.full(len(some), open_.any())
             at = next((k for k, i in enumerate(some.tolist()) if sid[i] == hub), None)
             if len(some) <= 2 * LEAF:
