@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from inkwell.llm.words import ALNUM, regroup, scan_all
 
 #: Words in a window, bytes of text in a shard, bytes of benchmark text in one broadcast, words between sampled suffixes.
-WINDOW, SHARD_BYTES, PHRASE_BYTES, SAMPLE = 13, 8 << 20, 16 << 20, 16
+WINDOW, SHARD_BYTES, PHRASE_BYTES, SAMPLE = 13, 4 << 20, 16 << 20, 16
 
 
 @dataclass
@@ -88,7 +88,8 @@ class FMIndex:
         key = np.zeros(n, np.int64)
         for j in range(cover):
             key <<= bits
-            key[: n - j] |= np.where(self.run[: n - j] >= j, s[j:], 0)
+            if j < n:
+                key[: n - j] |= np.where(self.run[: n - j] >= j, s[j:], 0)
         longest = int(self.run.max())
         while cover <= longest:
             distinct, rank = np.unique(key, return_inverse=True)

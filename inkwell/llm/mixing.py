@@ -149,7 +149,7 @@ def take(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: tuple[i
     """The mix itself, with the columns of ``docs``: a row for each whole copy, and for a text that a run cuts one row of the words it takes (white space between them as it was; n_chars counted anew)."""
     plan = Plan(docs, weights, share, most, block_words, shard_rows, seed, ("doc_id", "text", "source"))
     d = plan.apply(plan._sized(docs, F.struct(*docs.columns).alias("row")))
-    pieces = F.expr(r"regexp_extract_all(row.text, '[^\x20\x09-\x0D]+[\x20\x09-\x0D]*', 0)")
+    pieces = F.regexp_extract_all("row.text", F.lit(WORD + WORD[0] + WORD[2:-1] + "*"), F.lit(0))
     words = F.aggregate("runs", F.lit(""), lambda s, r: F.concat(s, F.array_join(F.slice(F.col("_pieces"), r.a.cast("int") + 1, (r.b - r.a).cast("int")), "")))
     whole = F.expr("size(runs) > 0 AND aggregate(runs, 0L, (s, r) -> s + r.b - r.a) = size")
     d = d.withColumn("_cut", F.expr("size(runs) > 0") & ~whole).withColumn("_pieces", F.when(F.col("_cut"), pieces))

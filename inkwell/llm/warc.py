@@ -112,6 +112,8 @@ def record_at(data: bytes, at: int) -> tuple[dict, int]:
     if not end:
         raise Damaged("header end")
     head = _header(data[version.end() : end.start()])
+    if not head.get("warc-type") or not head.get("warc-record-id"):
+        raise Damaged("mandatory header")
     if not LENGTH.fullmatch(head.get("content-length", "").encode()):
         raise Damaged("content length")
     begin, stop = end.end(), end.end() + int(head["content-length"])
