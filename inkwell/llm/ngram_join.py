@@ -33,7 +33,7 @@ from inkwell.llm.words import U64, mix, regroup, scan_batch, shingles
 
 SHINGLE, PERCENT = 4, 85
 #: Growth of size classes; bytes of text in a chunk; cell entries in a bucket on average; members, and their shingles, that one tree joins.
-CLASS_GROWTH, CHUNK, BUCKET_ENTRIES, CELL_MEMBERS, CELL_SHINGLES = 1.4, 4 << 20, 1_000_000, 4000, 4_000_000
+CLASS_GROWTH, CHUNK, BUCKET_ENTRIES, CELL_MEMBERS, CELL_SHINGLES = 1.4, 2 << 20, 1_000_000, 4000, 4_000_000
 #: How many comparisons of points a group costs besides its own.
 GROUP_COST = 2000
 #: R-tree: points in a leaf, nodes in a node.
