@@ -142,13 +142,11 @@ def _plain(data: bytes) -> Iterator[tuple]:
         except Damaged as e:
             found, look = None, at + 1
             while found is None and (look := data.find(b"WARC/1.", look)) >= 0:
-                if data[look - 1 : look] == b"\n" or look == 0:
-                    try:
-                        record_at(data, look)
-                        found = look
-                    except Damaged:
-                        pass
-                look += 1
+                try:  # anywhere: a record cut short ends in the middle of a line
+                    record_at(data, look)
+                    found = look
+                except Damaged:
+                    look += 1
             after = len(data) if found is None else found
             yield at, after, None, str(e)
         at = after
