@@ -450,14 +450,14 @@ def _still_open(members: DataFrame, least: int) -> DataFrame:
 
 
 def _tree_rounds(scratch: Scratch, members: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Links found by R-trees among the members of the cells that the stars have left open (a cell of two was settled by its star).
+    """Links found by R-trees among the members of the cells that the stars have left open. Two members may be left of a cell whose hub has no possible partner, and that hub's star did not compare them.
 
     The cells of one smallest member share most of their members, so they get one tree and a set travels once to
     it. Where that would be more than a task should join, each cell gets its own; a cell that is
     still too large is dealt again by another hash.
     """
     seed = 1
-    open_ = scratch.save(_still_open(members, 3), "open0")
+    open_ = scratch.save(_still_open(members, 2), "open0")
     sets = texts.join(open_.select("sid").distinct().hint("merge"), "sid", "left_semi").mapInArrow(_sets(shingle), SET)
     sets = scratch.save(sets, "sets")
     hubs = open_.groupBy("cell").agg(F.min("sid").alias("hub"))

@@ -118,6 +118,20 @@ def test_components(spark, monkeypatch, n, percent, members):
     assert got == brute_components(rows, n, percent)
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_pairs_around_an_unlinked_hub(spark, seed):
+    """Short texts that share a long beginning: in a cell, one linked pair among variants that link with nothing."""
+    draw = np.random.default_rng(seed)
+    texts = []
+    for k, variants in enumerate([2, 4, 8] * 10 + [200]):
+        start = " ".join(f"s{k}_{draw.integers(10**6)}" for _ in range(12))
+        pair = f"{start} x{draw.integers(10**6)}"
+        texts += [pair, f"{pair} y{draw.integers(10**6)}"] + [f"{start} v{draw.integers(10**9)}" for _ in range(variants)]
+    rows = list(enumerate(texts))
+    got = sorted((tuple(r) for r in ngram_join.near_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    assert got == brute_components(rows, 4, 85)
+
+
 def test_representatives(spark, odd, empty):
     got = ngram_join.representatives(odd)
     assert got.columns == odd.columns
