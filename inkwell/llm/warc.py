@@ -3,8 +3,8 @@
 Archives are written by Spark's own text writer (a record is UTF-8 text here), so they land in
 any store Spark writes to and a lost task is simply written again. The reader checks every
 record: version line, header, length, block digest, end mark. After a failed check it looks
-for the next place where a whole record passes (the next gzip member in a compressed archive,
-the next version line in a plain one), goes on there, and reports the bytes between as a gap.
+for the next place where a whole record passes (a gzip member or a version line, whichever
+comes first), goes on there, and reports the bytes between as a gap.
 """
 
 from __future__ import annotations
@@ -140,55 +140,91 @@ def _plain(data: bytes) -> Iterator[tuple]:
             head, after = record_at(data, at)
             yield at, after, head, ""
         except Damaged as e:
-            found, look = None, at + 1
-            while found is None and (look := data.find(b"WARC/1.", look)) >= 0:
-                try:  # anywhere: a record cut short ends in the middle of a line
-                    record_at(data, look)
-                    found = look
-                except Damaged:
-                    look += 1
-            after = len(data) if found is None else found
+            after = _next_record(data, at + 1, len(data))
             yield at, after, None, str(e)
         at = after
 
 
-def _member(data: bytes, at: int) -> tuple[bytes, int]:
-    one = zlib.decompressobj(31)
-    try:
-        out = one.decompress(data[at:]) + one.flush()
-    except zlib.error as e:
-        raise Damaged("gzip member") from e
-    if not one.eof:
-        raise Damaged("truncated member")
-    return out, len(data) - len(one.unused_data)
+def _next_record(data: bytes, look: int, end: int) -> int:
+    """Where the next whole record starts, before ``end``, or ``end``."""
+    while 0 <= (look := data.find(b"WARC/1.", look, end)):
+        try:  # anywhere: a record cut short ends in the middle of a line
+            record_at(data, look)
+            return look
+        except Damaged:
+            look += 1
+    return end
 
 
-def _gzipped(data: bytes) -> Iterator[tuple]:
-    """As ``_plain``, over gzip members; a record's place is its member's. A member with damage inside gives its good records and one gap."""
-    at, magic = 0, b"\x1f\x8b\x08"
-    while at < len(data):
+MAGIC, PIECE = b"\x1f\x8b\x08", 1 << 16
+
+
+def _member(data: bytes, at: int) -> tuple[bytes, int, str]:
+    """What the gzip member at ``at`` holds, as far as it can be decompressed, where it ends, and what is wrong with it."""
+    view, one, out = memoryview(data), zlib.decompressobj(31), []
+    while at < len(data) and not one.eof:
+        before = one.copy()
         try:
-            if data[at : at + 3] != magic:
-                raise Damaged("member magic")
-            out, after = _member(data, at)
-            for _, _, head, reason in _plain(out):
-                yield at, after, head, reason
-        except Damaged as e:
-            look, found = at + 1, None
-            while found is None and (look := data.find(magic, look)) >= 0:
+            out.append(one.decompress(view[at : at + PIECE]))
+        except zlib.error:
+            for i in range(at, min(at + PIECE, len(data))):  # the output before the error, which the failed call does not return
                 try:
-                    _member(data, look)
-                    found = look
-                except Damaged:
-                    look += 1
-            after = len(data) if found is None else found
-            yield at, after, None, str(e)
+                    out.append(before.decompress(view[i : i + 1]))
+                except zlib.error:
+                    break
+            return b"".join(out), len(data), "gzip member"
+        at = min(at + PIECE, len(data))
+    if not one.eof:
+        return b"".join([*out, one.flush()]), len(data), "truncated member"
+    return b"".join(out), at - len(one.unused_data), ""
+
+
+def _member_records(out: bytes, wrong: str) -> Iterator[tuple[dict | None, str]]:
+    """(header or None, reason) of a member's records; of a broken one those that end before its output does, and after an error only those that their own digest proves."""
+    for _, end, head, reason in _plain(out):
+        if not wrong:
+            yield head, reason
+        elif head and end < len(out) and (wrong == "truncated member" or head.get("warc-block-digest", "").startswith("sha1:")):
+            yield head, ""
+
+
+def _next_member(data: bytes, look: int) -> int:
+    """Where the next member starts that is whole or has a good record."""
+    while (look := data.find(MAGIC, look)) >= 0:
+        out, _, wrong = _member(data, look)
+        if (out and not wrong) or any(head for head, _ in _member_records(out, wrong)):
+            return look
+        look += 1
+    return len(data)
+
+
+def _mixed(data: bytes) -> Iterator[tuple]:
+    """As ``_plain``, over an archive of plain records and gzip members, whichever comes next; a record's place is its member's. A member with damage gives its good records and a gap."""
+    at = member = 0
+    while at < len(data):
+        held: list[tuple] = []
+        if data.startswith(MAGIC, at):
+            out, after, wrong = _member(data, at)
+            held = list(_member_records(out, wrong))
+        else:
+            try:
+                head, after = record_at(data, at)
+                held, wrong = [(head, "")], ""
+            except Damaged as e:
+                wrong = str(e)
+        if wrong:
+            if member <= at:  # else the one found before is still the next
+                member = _next_member(data, at + 1)
+            after = _next_record(data, at + 1, member)
+            held.append((None, wrong))
+        for head, reason in held:
+            yield at, after, head, reason
         at = after
 
 
 def salvage(data: bytes) -> Iterator[dict]:
     """Every record and every gap of an archive's bytes, in order."""
-    for start, end, head, reason in (_gzipped if data[:2] == b"\x1f\x8b" else _plain)(data):
+    for start, end, head, reason in _mixed(data):
         if head is None:
             yield {"kind": "gap", "offset": start, "length": end - start, "reason": reason}
             continue

@@ -56,6 +56,29 @@ def test_members():
     assert ids(gzip.compress(b"".join(record(i) for i in range(3)))) == list("012")
 
 
+def test_gzip_archives_with_a_damaged_front():
+    members = [gzip.compress(record(i)) for i in range(4)]
+    whole = b"".join(members)
+    for broken in (b"\0" + whole[1:], whole[:1] + b"\0" + whole[2:], whole[7:]):
+        assert ids(broken) == list("123") and covered(broken)
+    assert ids(b"junk" + whole) == list("0123") and covered(b"junk" + whole)
+    assert ids(record(7) + whole) == list("70123")
+
+
+def test_a_broken_member_gives_what_comes_before_the_damage():
+    noise = [hashlib.sha512(b"%d" % i).hexdigest().encode() * 30 for i in range(40)]
+    one = gzip.compress(b"".join(record(i, b) for i, b in enumerate(noise)))
+    kept = ids(one[: len(one) // 2])
+    assert 10 < len(kept) < 40 and kept == [str(i) for i in range(len(kept))]
+    bad = bytearray(one)
+    bad[len(bad) // 2 : len(bad) // 2 + 9] = b"\xff" * 9
+    kept = ids(bytes(bad) + gzip.compress(record(99)))
+    assert kept[-1] == "99" and len(kept) > 10 and kept[:10] == [str(i) for i in range(10)]
+    assert ids(one[:-8] + b"\1" * 8) == [str(i) for i in range(39)]
+    gaps = [r for r in warc.salvage(one[:-8]) if r["kind"] == "gap"]
+    assert [(r["offset"], r["length"], r["reason"]) for r in gaps] == [(0, len(one) - 8, "truncated member")]
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.data())
 def test_any_damage_loses_only_what_it_touches(data):
