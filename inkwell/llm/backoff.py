@@ -6,7 +6,8 @@ all blocks have seen in training and answers each block with the totals of what
 So no task holds the model: a block meets exactly the part of the automaton its texts walk
 through. A state is a seen (n-1)-gram; its arcs weigh the interpolated probabilities of
 seen n-grams, and its failure arc leads to the next shorter history with weight 1 - lambda.
-A text is one left-to-right walk that carries the state.
+The walk of a text through these states is not run token by token: all tokens look up their counts
+at once, and the scores are those of the walk.
 
 Requests and answers travel as packed arrays, so a bucket's memory is its distinct n-grams,
 and an n-gram that all documents share costs one entry a block.
