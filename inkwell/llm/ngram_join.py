@@ -29,11 +29,13 @@ from pyspark.sql import functions as F
 
 from inkwell.llm.components import components
 from inkwell.llm.scratch import Scratch
-from inkwell.llm.words import U64, mix, regroup, scan_batch, shingles
+from inkwell.llm.words import U64, chunks, give_back, mix, regroup, scan_batch, shingles
 
 SHINGLE, PERCENT = 4, 85
 #: Growth of size classes; bytes of text in a chunk; cell entries in a bucket on average; members, and their shingles, that one tree joins.
 CLASS_GROWTH, CHUNK, BUCKET_ENTRIES, CELL_MEMBERS, CELL_SHINGLES = 1.4, 2 << 20, 1_000_000, 4000, 4_000_000
+#: Shingles whose cells are found at once.
+SHINGLES_AT_ONCE = 1 << 16
 #: How many comparisons of points a group costs besides its own.
 GROUP_COST = 2000
 #: R-tree: points in a leaf, nodes in a node.
@@ -80,7 +82,13 @@ def set_ids(h: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def cells(h: np.ndarray, first: np.ndarray, percent: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """(cell, text) of every block that each text's set takes part in."""
+    """(cell, text) of every block that each text's set takes part in; of some texts at a time, since a shingle takes many numbers on the way."""
+    parts = [(_cells(h[first[i] : first[j]], first[i : j + 1] - first[i], percent, seed), i) for i, j in chunks(first, SHINGLES_AT_ONCE)]
+    nothing = np.zeros(0, np.int64)
+    return np.concatenate([nothing, *[key for (key, _), _ in parts]]), np.concatenate([nothing, *[text + i for (_, text), i in parts]])
+
+
+def _cells(h: np.ndarray, first: np.ndarray, percent: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     size = np.diff(first)
     if not len(h):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)

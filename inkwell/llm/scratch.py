@@ -9,7 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 2 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:

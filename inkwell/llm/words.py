@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -9,8 +10,8 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-#: Bytes of text handled at once; a longer text makes a chunk of its own.
-CHUNK_BYTES = 2 << 20
+#: Bytes of text handled at once; a longer text makes a chunk of its own. Words whose bytes are hashed at once.
+CHUNK_BYTES, HASHED_WORDS = 1 << 20, 1 << 15
 
 BYTES = np.arange(256)
 LOWER = np.where((BYTES >= 65) & (BYTES <= 90), BYTES + 32, BYTES).astype(np.uint8)
@@ -76,16 +77,22 @@ def scan(data: np.ndarray, off: np.ndarray, kind: np.ndarray = NOT_SPACE) -> Wor
     first = np.searchsorted(start, off)
     if not len(start):
         return Words(np.zeros(0, U64), first, start, np.zeros(0, np.int64), low)
-    body = low[is_word]
-    at = (np.cumsum(is_word)[start] - 1).astype(np.int64)
-    length = np.diff(np.append(at, len(body)))
+    ends = is_word.copy()
+    ends[:-1] &= ~is_word[1:] | begins[1:]
+    length = np.flatnonzero(ends) + 1 - start
     global _POWERS
     if (longest := int(length.max())) > len(_POWERS):
         _POWERS = powers(2 * longest)
-    with np.errstate(over="ignore"):
-        part = _POWERS[np.arange(len(body)) - np.repeat(at, length)]
-        part *= body.astype(U64) + U64(1)
-        h = np.add.reduceat(part, at)
+    h = np.empty(len(start), U64)
+    for i in range(0, len(start), HASHED_WORDS):  # the numbers below take many bytes for each of the words'
+        own = slice(i, i + HASHED_WORDS)
+        n = length[own]
+        at = np.cumsum(n) - n
+        nth = np.arange(int(n.sum()), dtype=np.int32) - np.repeat(at.astype(np.int32), n)
+        with np.errstate(over="ignore"):
+            part = _POWERS[nth]
+            part *= low[nth + np.repeat(start[own], n)] + U64(1)
+            h[own] = np.add.reduceat(part, at)
     return Words(mix(h ^ (length.astype(U64) << U64(48))), first, start, length, low)
 
 
@@ -137,6 +144,13 @@ def shingles(w: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     return mix(runs), first
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker lives on between tasks, and what it once needed would stay with it."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # of glibc
+        trim(0)
+
+
 def regroup(batches: Iterator[pa.RecordBatch], column: int, most: int) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``most`` bytes of the text column, a longer text in a batch with few others."""
     held: list[pa.RecordBatch] = []
@@ -155,3 +169,5 @@ def regroup(batches: Iterator[pa.RecordBatch], column: int, most: int) -> Iterat
                 held, size = [], 0
     if held:
         yield flush()
+    held.clear()
+    give_back()
