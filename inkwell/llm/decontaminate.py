@@ -1,12 +1,12 @@
 """Benchmark decontamination with an FM-index per shard of documents.
 
-A shard's words become symbols: the benchmark's words keep a number each, and a run of
-other words (no phrase can cross it) is one terminator, as is every end of a text. The
-suffixes are sorted with every terminator smaller than all words and terminators in order of place; the
-Burrows-Wheeler transform of that order is kept as a wavelet matrix, whose ranks answer the
-backward search of all phrases at once. Occurrences are located by walking back to a
-sampled suffix (every 16th word of a run and each run's first), and the words that they
-cover are merged into spans.
+A shard's words become symbols: the words of those windows all of whose words occur in the shard
+keep a number each, and a run of other words (no such window can cross it) is one terminator, as is every
+end of a text. The suffixes are sorted with every terminator smaller than all words and terminators in order of
+place; the Burrows-Wheeler transform of that order is kept as a wavelet matrix of packed bits, whose
+ranks answer the backward search of all windows at once, a suffix that windows share once for all of them.
+Occurrences are located by walking back to a sampled suffix (every 16th word of a run and each run's
+first), and the words that they cover are merged into spans.
 """
 
 from __future__ import annotations
@@ -22,36 +22,60 @@ from pyspark.sql import functions as F
 
 from inkwell.llm.words import ALNUM, regroup, scan_all
 
-#: Words in a window, bytes of text in a shard, bytes of benchmark text in one broadcast, words between sampled suffixes.
-WINDOW, SHARD_BYTES, PHRASE_BYTES, SAMPLE = 13, 4 << 20, 16 << 20, 16
+#: Words in a window, bytes of text in a shard, characters of benchmark text in one broadcast, broadcasts that a worker keeps, words between sampled suffixes.
+WINDOW, SHARD_BYTES, PHRASE_CHARS, KEPT_PARTS, SAMPLE = 13, 1 << 20, 1 << 20, 8, 16
 
 
 @dataclass
 class Phrases:
-    """Distinct windows as rows of symbols (1 and up, 0 fills up); window i belongs to ``items[first[i]:first[i + 1]]``."""
+    """Distinct windows as rows of symbols from the last word back (1 and up, 0 fills up), sorted; window i belongs to ``items[first[i]:first[i + 1]]``, to none where only items without id have it."""
 
     vocabulary: np.ndarray
-    symbols: np.ndarray
+    back: np.ndarray
     length: np.ndarray
     first: np.ndarray
-    items: list[str]
+    items: np.ndarray  # of strings
 
 
 def phrases(ids: list, texts: list[str | None], window: int = WINDOW) -> Phrases:
     w = scan_all(pa.array([t or "" for t in texts], pa.large_string()), ALNUM)
     vocabulary, symbol = np.unique(w.hashes, return_inverse=True)
-    found: dict[tuple, set[str]] = {}
-    for i, item in enumerate(ids):
-        own = (symbol[w.first[i] : w.first[i + 1]] + 1).tolist()
-        for k in range(max(len(own) - window + 1, 1) if own else 0):
-            found.setdefault(tuple(own[k : k + window]), set()).add(str(item))
-    rows = list(found)
-    symbols = np.zeros((len(rows), window), np.int64)
-    for i, row in enumerate(rows):
-        symbols[i, : len(row)] = row
-    items = [sorted(found[r]) for r in rows]
-    first = np.concatenate([[0], np.cumsum([len(x) for x in items])]).astype(np.int64)
-    return Phrases(vocabulary, symbols, np.array([len(r) for r in rows], np.int64), first, [x for own in items for x in own])
+    count = np.diff(w.first)
+    many = np.where(count >= window, count - window + 1, (count > 0).astype(count.dtype))
+    item = np.repeat(np.arange(len(ids)), many)
+    nth = np.arange(len(item)) - np.repeat(np.cumsum(many) - many, many)
+    length = np.minimum(count[item], window)
+    last = w.first[item] + nth + length - 1
+    back = np.zeros((len(item), window), np.int32)
+    for k in range(window):
+        long = np.flatnonzero(length > k)
+        back[long, k] = symbol[last[long] - k] + 1
+    order = np.lexsort(back.T[::-1])
+    back, length, item = back[order], length[order], item[order]
+    new = np.append(True, (back[1:] != back[:-1]).any(1)) if len(back) else np.zeros(0, bool)
+    names: dict[str, int] = {}
+    name = np.array([-1 if i is None else names.setdefault(str(i), len(names)) for i in ids], np.int64)[item]
+    pairs = np.unique(np.stack([np.cumsum(new) - 1, name], 1)[name >= 0], axis=0)
+    first = np.searchsorted(pairs[:, 0], np.arange(int(new.sum()) + 1))
+    return Phrases(vocabulary, back[new], length[new], first, np.array(list(names), object)[pairs[:, 1]])
+
+
+class Bits:
+    """Packed bits that know how many are set before any place."""
+
+    def __init__(self, bit: np.ndarray):
+        packed = np.packbits(bit, bitorder="little")
+        self.words = np.concatenate([packed, np.zeros(8 - len(packed) % 8, np.uint8)]).view("<u8")  # one zero byte or more, so the end has a word too
+        self.before = np.concatenate([[0], np.cumsum(np.bitwise_count(self.words))[:-1]]).astype(np.int32)
+        self.zeros = len(bit) - int(bit.sum())
+
+    def rank(self, at: np.ndarray) -> np.ndarray:
+        word = at >> 6
+        below = (np.uint64(1) << (at & 63).astype(np.uint64)) - np.uint64(1)
+        return self.before[word] + np.bitwise_count(self.words[word] & below)
+
+    def at(self, at: np.ndarray) -> np.ndarray:
+        return ((self.words[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)
 
 
 class FMIndex:
@@ -60,27 +84,21 @@ class FMIndex:
     def __init__(self, sequence: np.ndarray, top: int):
         self.n = n = len(sequence)
         self.bits = bits = max(1, int(top).bit_length())
-        stops = np.flatnonzero(sequence == 0)
-        self.run = stops[np.searchsorted(stops, np.arange(n))] - np.arange(n)  # words to the run's end
-        order = self._sorted(sequence, bits)
-        before = sequence[order - 1]
+        stops = np.flatnonzero(sequence == 0).astype(np.int32)
+        self.run = stops[np.searchsorted(stops, np.arange(n, dtype=np.int32))] - np.arange(n, dtype=np.int32)  # words to the run's end
+        order = self._sorted(sequence, bits).astype(np.int32)
+        begin = np.concatenate([np.full(1, -1, np.int32), stops])[np.searchsorted(stops, order)] + 1  # each suffix's run's first word
+        sampled = (order - begin) % SAMPLE == 0
+        self.marked, self.places = Bits(sampled), order[sampled]
+        rest = sequence[order - 1]
         self.less = np.concatenate([[0], np.cumsum(np.bincount(sequence, minlength=top + 1))])
-        self.ranks, self.zeros, rest = [], [], before.astype(np.int32)
+        self.levels: list[Bits] = []
         for level in reversed(range(bits)):
-            bit = (rest >> level) & 1
-            ones = np.zeros(n + 1, np.int32)
-            np.cumsum(bit, out=ones[1:])
-            self.ranks.append(ones)
-            self.zeros.append(n - int(ones[-1]))
-            high = bit.astype(bool)
+            high = ((rest >> level) & 1).astype(bool)
+            self.levels.append(Bits(high))
             rest = np.concatenate([rest[~high], rest[high]])
         symbols = np.arange(top + 1)
         self.origin = self._down(symbols, np.zeros(top + 1, np.int64))
-        begin = np.concatenate([[-1], stops])[np.searchsorted(stops, order)] + 1  # each suffix's run's first word
-        sampled = (order - begin) % SAMPLE == 0
-        self.marked = sampled
-        self.nth = np.cumsum(sampled) - 1
-        self.places = order[sampled]
 
     def _sorted(self, s: np.ndarray, bits: int) -> np.ndarray:
         """Suffix order by prefix doubling; a suffix ends at its terminator, and equal ones stand in order of place."""
@@ -101,30 +119,32 @@ class FMIndex:
 
     def _down(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Where the wavelet matrix leads position ``at`` for ``symbol``; less ``origin``, that is the symbol's rank."""
-        for level, ones, zeros in zip(reversed(range(self.bits)), self.ranks, self.zeros, strict=True):
-            o = ones[at]
-            at = np.where((symbol >> level) & 1, zeros + o, at - o)
+        for level, bits in zip(reversed(range(self.bits)), self.levels, strict=True):
+            o = bits.rank(at)
+            at = np.where((symbol >> level) & 1, bits.zeros + o, at - o)
         return at
 
     def _back(self, row: np.ndarray) -> np.ndarray:
         """The rows of the suffixes one word longer (which are not a run's first)."""
         symbol, at = np.zeros(len(row), np.int64), row
-        for ones, zeros in zip(self.ranks, self.zeros, strict=True):
-            o = ones[at]
-            bit = ones[at + 1] - o
+        for bits in self.levels:
+            o, bit = bits.rank(at), bits.at(at)
             symbol = (symbol << 1) | bit
-            at = np.where(bit, zeros + o, at - o)
+            at = np.where(bit, bits.zeros + o, at - o)
         return self.less[symbol] + at - self.origin[symbol]
 
-    def search(self, symbols: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(phrase, place) of every occurrence of the phrases, rows of ``symbols``."""
+    def search(self, back: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(phrase, place) of every occurrence of the phrases: rows of symbols from the last one back, in sorted order."""
         live = np.arange(len(length))
         low, high = np.zeros(len(length), np.int64), np.full(len(length), self.n, np.int64)
         done = []
-        for step in range(symbols.shape[1] if len(length) else 0):
-            c = symbols[live, length[live] - 1 - step]
-            low = self.less[c] + self._down(c, low) - self.origin[c]
-            high = self.less[c] + self._down(c, high) - self.origin[c]
+        for step in range(back.shape[1] if len(length) else 0):
+            c = back[live, step]
+            # Phrases of the same suffix so far stand together, and only they have the same range of rows.
+            new = np.append(True, (low[1:] != low[:-1]) | (high[1:] != high[:-1]) | (c[1:] != c[:-1]))
+            one, of = np.flatnonzero(new), np.cumsum(new) - 1
+            shift = self.less[c[one]] - self.origin[c[one]]
+            low, high = (shift + self._down(c[one], low[one]))[of], (shift + self._down(c[one], high[one]))[of]
             some = high > low
             live, low, high = live[some], low[some], high[some]
             ended = length[live] == step + 1
@@ -142,8 +162,8 @@ class FMIndex:
     def locate(self, rows: np.ndarray) -> np.ndarray:
         out, left, steps = np.zeros(len(rows), np.int64), np.arange(len(rows)), 0
         while len(left):
-            hit = self.marked[rows]
-            out[left[hit]] = self.places[self.nth[rows[hit]]] + steps
+            hit = self.marked.at(rows)
+            out[left[hit]] = self.places[self.marked.rank(rows[hit])] + steps
             left, rows, steps = left[~hit], self._back(rows[~hit]), steps + 1
         return out
 
@@ -155,22 +175,38 @@ def occurrences(hashes: np.ndarray, first: np.ndarray, p: Phrases) -> tuple[np.n
         return nothing
     near = np.minimum(np.searchsorted(p.vocabulary, hashes), len(p.vocabulary) - 1)
     kept = np.flatnonzero(p.vocabulary[near] == hashes)
-    if not len(kept):
+    present = np.zeros(len(p.vocabulary) + 1, bool)
+    present[0] = True
+    present[near[kept] + 1] = True
+    may = np.flatnonzero(present[p.back].all(1))
+    if not len(may):
         return nothing
+    back = p.back[may]
+    useful = np.zeros(len(present), bool)
+    useful[back] = True
+    useful[0] = False
+    number = np.cumsum(useful).astype(np.int32) * useful  # keeps the order, so rows of ``back`` stay sorted
+    kept = kept[useful[near[kept] + 1]]
     heads = np.zeros(len(hashes) + 1, bool)
     heads[first[:-1]] = True
     cut = np.append(True, np.diff(kept) != 1) | heads[kept]
     spot = np.arange(len(kept)) + np.cumsum(cut)
-    sequence, word = np.zeros(spot[-1] + 2, np.int64), np.zeros(spot[-1] + 2, np.int64)
-    sequence[spot], word[spot] = near[kept] + 1, kept
-    window, place = FMIndex(sequence, len(p.vocabulary)).search(p.symbols, p.length)
-    return window, word[place]
+    sequence, word = np.zeros(spot[-1] + 2, np.int32), np.zeros(spot[-1] + 2, np.int64)
+    sequence[spot], word[spot] = number[near[kept] + 1], kept
+    window, place = FMIndex(sequence, int(useful.sum())).search(number[back], p.length[may])
+    return may[window], word[place]
 
 
 SCHEMA = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, spans array<struct<from: long, to: long>>"
 ARROW = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("items_sha256", pa.string()), ("spans", pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())])))])
 
 
+def _drop(part) -> None:
+    """Forget a broadcast's value, which is read again from its file when it is next asked for."""
+    if getattr(part, "_path", None):
+        vars(part).pop("_value", None)
+
+
 def _hits(texts: pa.Array, parts: list) -> tuple[np.ndarray, np.ndarray, dict[int, set[str]]]:
     """Which words of a shard's texts are hit, where each text's words begin, and each text's items."""
     w = scan_all(texts, ALNUM)
@@ -178,12 +214,14 @@ def _hits(texts: pa.Array, parts: list) -> tuple[np.ndarray, np.ndarray, dict[in
     items: dict[int, set[str]] = {}
     for part in parts:
         p: Phrases = part.value
+        if len(parts) > KEPT_PARTS:
+            _drop(part)
         window, at = occurrences(w.hashes, w.first, p)
         np.add.at(step, at, 1)
         np.add.at(step, at + p.length[window], -1)
         doc = np.searchsorted(w.first, at, "right") - 1
         for d, k in np.unique(np.stack([doc, window], 1), axis=0).tolist() if len(at) else ():
-            items.setdefault(d, set()).update(p.items[p.first[k] : p.first[k + 1]])
+            items.setdefault(d, set()).update(p.items[p.first[k] : p.first[k + 1]].tolist())
     return np.cumsum(step[:-1]) > 0, w.first, items
 
 
@@ -209,16 +247,23 @@ def _find(parts: list):
 
 
 def _parts(benchmark: DataFrame, item_col: str, text_col: str, window: int) -> list:
-    """The benchmark's windows in broadcasts of a bounded size each."""
+    """The benchmark's windows in broadcasts of a bounded size each; the driver holds one part's texts at a time."""
     sc, parts, ids, texts, size = benchmark.sparkSession.sparkContext, [], [], [], 0
-    for row in benchmark.select(F.col(item_col), F.col(text_col)).filter(F.col(item_col).isNotNull()).toLocalIterator():
+
+    def send() -> None:
+        parts.append(sc.broadcast(phrases(ids, texts, window)))
+        _drop(parts[-1])
+
+    for row in benchmark.select(F.col(item_col), F.col(text_col)).filter(F.col(text_col).isNotNull()).toLocalIterator():
         ids.append(row[0])
         texts.append(row[1])
-        size += len(row[1] or "")
-        if size >= PHRASE_BYTES:
-            parts.append(sc.broadcast(phrases(ids, texts, window)))
+        size += len(row[1])
+        if size >= PHRASE_CHARS:
+            send()
             ids, texts, size = [], [], 0
-    return [*parts, sc.broadcast(phrases(ids, texts, window))] if ids else parts
+    if ids:
+        send()
+    return parts
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", window: int = WINDOW) -> DataFrame:
@@ -226,8 +271,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
 
     Words are runs of letters, digits and non-ASCII characters after lower-casing A-Z. A window is ``window``
     consecutive words of an item, or all of them where there are fewer. A null or empty text has no words and
-    no hits; an item without words, or without an id, has no windows. Items that repeat an id count
-    once; rows that repeat a document each get their own row. Empty tables on either side give no rows or no
+    no hits; an item without words has no windows. The words of an item without an id are hit like others', but it
+    is not among the items counted or hashed. Items that repeat an id count once; rows that repeat a document each get their own row. Empty tables on either side give no rows or no
     hits. The benchmark is broadcast in parts of a bounded size, searched one after the other.
     """
     parts = _parts(benchmark, item_col, text_col, window)

@@ -67,13 +67,13 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_
 ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 OP5 = rf"""
 WITH d AS (SELECT doc_id, regexp_extract_all({lower("text")}, '{ALNUM}') AS w FROM documents),
-b AS (SELECT item_id, regexp_extract_all({lower("text")}, '{ALNUM}') AS w FROM benchmark WHERE item_id IS NOT NULL),
+b AS (SELECT item_id, regexp_extract_all({lower("text")}, '{ALNUM}') AS w FROM benchmark),
 bw AS (SELECT item_id, least(13, len(w)) AS n, unnest(list_transform(range(1, greatest(len(w) - 12, 1) + 1), lambda i: array_to_string(w[i : i + 12], ' '))) AS t FROM b WHERE len(w) > 0),
 sizes AS (SELECT DISTINCT n FROM bw),
 dw AS (SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS i, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i : i + n - 1], ' '))) AS t FROM d, sizes WHERE len(w) >= n),
 m AS (SELECT dw.doc_id, dw.i, dw.n, bw.item_id FROM dw JOIN bw USING (n, t)),
 h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT doc_id, i, n FROM m)) GROUP BY doc_id),
-it AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM m) GROUP BY doc_id)
+it AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM m WHERE item_id IS NOT NULL) GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(it.n_items, 0) AS n_items, sha256(coalesce(it.ids, '')) AS items_sha256,
   coalesce(h.n_hit, 0) > 0 AND 20 * coalesce(h.n_hit, 0) >= len(d.w) AS contaminated
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN it USING (doc_id)
