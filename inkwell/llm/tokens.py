@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkwell.llm.scratch import Scratch, forget_at_exit, shared_dir
+from inkwell.llm.scratch import store as open_store
 from inkwell.llm.words import U64, mix, text_bytes
 
 #: Tokens in a sequence, reserved places in a shard, rounds of the permutation, key.
@@ -160,13 +161,6 @@ def _place(ranks, parts, length: int, total: int, key: int):
     return run
 
 
-def _store(path: str):
-    """The file system of a folder's URI, and the path in it."""
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(path if "://" in path else path.replace("file:", "file://", 1) if path.startswith("file:") else f"file://{path}")
-
-
 DIGEST = "shard long, row int, doc_id long, piece int, n_tokens int, crc32 long"
 DIGEST_ARROW = pa.schema([("shard", pa.int64()), ("row", pa.int32()), ("doc_id", pa.int64()), ("piece", pa.int32()), ("n_tokens", pa.int32()), ("crc32", pa.int64())])
 
@@ -181,7 +175,7 @@ def _write(path: str, shard_places: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        store, root = _store(path)
+        store, root = open_store(path)
         store.create_dir(root, recursive=True)
         attempt = TaskContext.get().taskAttemptId()
         current, out, row = None, None, 0
@@ -244,7 +238,7 @@ def write_training_order(
 
 
 def _manifest(path: str, what: dict) -> None:
-    store, root = _store(path)
+    store, root = open_store(path)
     store.create_dir(root, recursive=True)
     with store.open_output_stream(f"{root}/manifest.json") as f:
         f.write(json.dumps(what).encode())
@@ -252,7 +246,7 @@ def _manifest(path: str, what: dict) -> None:
 
 def read_sequences(path: str, start: int = 0) -> Iterator[tuple[int, np.ndarray]]:
     """(slot, tokens) from slot ``start`` on, one shard after the other: one seek, then reads in sequence."""
-    store, root = _store(path)
+    store, root = open_store(path)
     with store.open_input_stream(f"{root}/manifest.json") as f:
         m = json.loads(f.read())
     stride, firsts = m["length"] * m["bytes_per_token"], m["first_slots"]

@@ -1,15 +1,17 @@
 """WARC archives: a writer in built-in functions, and a reader that salvages damaged files.
 
-Archives are written by Spark's own text writer (a record is UTF-8 text here), so they land in
-any store Spark writes to and a lost task is simply written again. The reader checks every
-record: version line, header, length, block digest, end mark. After a failed check it looks
-for the next place where a whole record passes (a gzip member or a version line, whichever
-comes first), goes on there, and reports the bytes between as a gap.
+Plain archives are written by Spark's own text writer (a record is UTF-8 text here), so they land in
+any store Spark writes to and a lost task is simply written again; gzip archives have a member for each
+record. The reader checks every record: version line, header, length, digests, end mark. After a
+failed check it looks for the next place where a whole record passes (a gzip member or a version line,
+whichever comes first), goes on there, and reports the bytes between as a gap. A record whose frame
+stands but whose digest fails is one gap as a whole: what lies in its payload is no record.
 """
 
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import re
 import zlib
@@ -19,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from inkwell.llm.scratch import Scratch, store
+
 #: The revisit profile of the WARC 1.1 standard; RFC 4648's base32 alphabet beside the digits that conv() uses.
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CONV_DIGITS, BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -61,14 +65,45 @@ def page_records(pages: DataFrame, first_copies: DataFrame, min_bytes: int) -> D
     )
 
 
+def _members(path: str, records_per_file: int):
+    """Records to gzip archives, a member each. A file gets its name when it is whole, and a task that runs again writes it anew."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        folder, root = store(path)
+        folder.create_dir(root, recursive=True)
+        task, files, out, rows = TaskContext.get(), 0, None, 0
+        name = lambda: f"part-{task.partitionId():05d}-{files:05d}.warc.gz"
+        hidden = lambda: f"{root}/.{name()}.{task.taskAttemptId()}"
+        for batch in batches:
+            for value in batch.column(0):
+                out = out or folder.open_output_stream(hidden(), compression=None)
+                out.write(gzip.compress(value.as_buffer().to_pybytes() + b"\r\n", 6, mtime=0))
+                rows += 1
+                if rows == records_per_file:
+                    out.close()
+                    folder.move(hidden(), f"{root}/{name()}")
+                    files, out, rows = files + 1, None, 0
+        if out:
+            out.close()
+            folder.move(hidden(), f"{root}/{name()}")
+        yield from ()
+
+    return run
+
+
 def write_warc(pages: DataFrame, path: str, first_copies: DataFrame, min_bytes: int = 0, records_per_file: int = RECORDS_PER_FILE, compression: str = "none") -> None:
-    """Write a record per row of ``pages(page_id, url, html)`` to archives under ``path``.
+    """Write a record per row of ``pages(page_id, url, html)`` to archives under ``path``, plain or (``gzip``) with a gzip member for each record.
 
     ``first_copies(digest, first_id, copies)`` has the payload digests that occur more than once (see
     ``repeated_payloads``). A null html is an empty payload, a null url leaves its header out, and a null
     page_id gives a record id without number. Columns other than these three are not read.
     """
     records = page_records(pages, first_copies, min_bytes)
+    if compression == "gzip":
+        records.mapInArrow(_members(path, records_per_file), "written int").write.format("noop").mode("overwrite").save()
+        return
     records.write.option("lineSep", "\r\n").option("maxRecordsPerFile", records_per_file).option("compression", compression).text(path)
 
 
@@ -83,6 +118,8 @@ def repeated_payloads(pages: DataFrame) -> DataFrame:
 VERSION = re.compile(rb"WARC/1\.[01]\r?\n")
 HEAD_END = re.compile(rb"\r?\n\r?\n")
 LENGTH = re.compile(rb"\d{1,18}")
+#: Digests that are checked, by their label without hyphens; others are not.
+ALGORITHMS = ("sha1", "sha256", "sha512", "md5")
 
 
 class Damaged(Exception):
@@ -93,18 +130,35 @@ def _digest(data: bytes) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
+def _agrees(declared: str | None, data: bytes) -> bool | None:
+    """Whether a labelled digest, in base32 or hexadecimal digits, is that of ``data``; None where there is none that can be checked."""
+    label, colon, value = (declared or "").partition(":")
+    label = label.lower().replace("-", "")
+    if not colon or label not in ALGORITHMS:
+        return None
+    raw = hashlib.new(label, data).digest()
+    return value.upper().rstrip("=") == base64.b32encode(raw).decode().rstrip("=") or value.lower() == raw.hex()
+
+
 def _header(lines: bytes) -> dict[str, str]:
+    """Named fields of a header; only LF, alone or after CR, ends a line, and one that begins with a blank goes on with the field before."""
     out: dict[str, str] = {}
-    for line in lines.decode("utf-8", "replace").splitlines():
-        key, colon, value = line.partition(":")
+    key = ""
+    for line in lines.split(b"\n"):
+        line = line.removesuffix(b"\r")
+        if line[:1] in (b" ", b"\t") and key:
+            out[key] = f"{out[key]} {line.strip(b' \t').decode('utf-8', 'replace')}".strip(" ")
+            continue
+        name, colon, value = line.partition(b":")
         if not colon:
             raise Damaged("header line")
-        out[key.strip().lower()] = value.strip()
+        key = name.strip(b" \t").decode("utf-8", "replace").lower()
+        out[key] = value.strip(b" \t").decode("utf-8", "replace")
     return out
 
 
-def record_at(data: bytes, at: int) -> tuple[dict, int]:
-    """The record that starts at ``at`` and where it ends, or ``Damaged``."""
+def _frame(data: bytes, at: int) -> tuple[dict, int, int, int]:
+    """The header of the record at ``at``, where its block begins and ends, and where the record ends, or ``Damaged``."""
     version = VERSION.match(data, at)
     if not version:
         raise Damaged("version line")
@@ -120,18 +174,49 @@ def record_at(data: bytes, at: int) -> tuple[dict, int]:
     if stop > len(data):
         raise Damaged("truncated")
     if data[stop : stop + 4] == b"\r\n\r\n":
-        after = stop + 4
-    elif data[stop : stop + 2] == b"\n\n":
-        after = stop + 2
-    else:
-        raise Damaged("end mark")
+        return head, begin, stop, stop + 4
+    if data[stop : stop + 2] == b"\n\n":
+        return head, begin, stop, stop + 2
+    raise Damaged("end mark")
+
+
+def _payload(head: dict, block: bytes) -> tuple[bytes, bytes]:
+    """A block's payload and, of a message, the message's own header."""
+    if head.get("content-type", "").startswith("application/http") and (cut := HEAD_END.search(block)):
+        return block[cut.end() :], block[: cut.start()]
+    return block, b""
+
+
+def _wrong_digest(head: dict, block: bytes) -> str:
+    """Which declared digest fails, or nothing. The payload's counts where the block's says nothing, the payload is there and the transfer did not encode it."""
+    agrees = _agrees(head.get("warc-block-digest"), block)
+    if agrees is None and head["warc-type"] != "revisit":
+        payload, message = _payload(head, block)
+        if not re.search(rb"(?im)^(content|transfer)-encoding:", message) and _agrees(head.get("warc-payload-digest"), payload) is False:
+            return "payload digest"
+    return "block digest" if agrees is False else ""
+
+
+def record_at(data: bytes, at: int) -> tuple[dict, int]:
+    """The record that starts at ``at`` and where it ends, or ``Damaged``."""
+    head, begin, stop, after = _frame(data, at)
     block = data[begin:stop]
-    declared = head.get("warc-block-digest", "")
-    if declared.startswith("sha1:") and declared[5:].upper() != _digest(block):
-        raise Damaged("block digest")
+    if wrong := _wrong_digest(head, block):
+        raise Damaged(wrong)
     return head | {"": block}, after
 
 
+def _framed(data: bytes, at: int) -> int | None:
+    """Where the record at ``at`` ends, by its own length and end mark, if the archive's end, a member or another framed record follows; its digests may fail."""
+    try:
+        after = _frame(data, at)[3]
+        if after < len(data) and not data.startswith(MAGIC, after):
+            _frame(data, after)
+    except Damaged:
+        return None
+    return after
+
+
 def _plain(data: bytes) -> Iterator[tuple]:
     """(start, end, header or None, reason) over an uncompressed archive, without holes."""
     at = 0
@@ -140,7 +225,7 @@ def _plain(data: bytes) -> Iterator[tuple]:
             head, after = record_at(data, at)
             yield at, after, head, ""
         except Damaged as e:
-            after = _next_record(data, at + 1, len(data))
+            after = _framed(data, at) or _next_record(data, at + 1, len(data))
             yield at, after, None, str(e)
         at = after
 
@@ -184,7 +269,7 @@ def _member_records(out: bytes, wrong: str) -> Iterator[tuple[dict | None, str]]
     for _, end, head, reason in _plain(out):
         if not wrong:
             yield head, reason
-        elif head and end < len(out) and (wrong == "truncated member" or head.get("warc-block-digest", "").startswith("sha1:")):
+        elif head and end < len(out) and (wrong == "truncated member" or _agrees(head.get("warc-block-digest"), head[""])):
             yield head, ""
 
 
@@ -213,9 +298,10 @@ def _mixed(data: bytes) -> Iterator[tuple]:
             except Damaged as e:
                 wrong = str(e)
         if wrong:
-            if member <= at:  # else the one found before is still the next
+            framed = _framed(data, at)
+            if not framed and member <= at:  # else the one found before is still the next
                 member = _next_member(data, at + 1)
-            after = _next_record(data, at + 1, member)
+            after = framed or _next_record(data, at + 1, member)
             held.append((None, wrong))
         for head, reason in held:
             yield at, after, head, reason
@@ -230,12 +316,8 @@ def salvage(data: bytes) -> Iterator[dict]:
             continue
         block = head.pop("")
         row = {"kind": "record", "offset": start, "length": end - start, "reason": None, "record_id": head.get("warc-record-id"), "record_type": head.get("warc-type"), "target_uri": head.get("warc-target-uri"), "refers_to": head.get("warc-refers-to")}
-        payload, declared = block, head.get("warc-payload-digest")
-        if head.get("content-type", "").startswith("application/http") and (cut := HEAD_END.search(block)):
-            payload = block[cut.end() :]
-            length = re.search(rb"(?im)^content-length:[ \t]*(\d+)", block[: cut.start()])
-        else:
-            length = None
+        payload, message = _payload(head, block)
+        length, declared = re.search(rb"(?im)^content-length:[ \t]*(\d+)", message), head.get("warc-payload-digest")
         if row["record_type"] == "revisit":
             row |= {"payload": None, "payload_bytes": int(length[1]) if length else None, "payload_digest": declared.removeprefix("sha1:") if declared else None}
         else:
@@ -281,8 +363,6 @@ def archive_pages(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     the smallest page_id are responses (all rows that repeat that id) and the others revisit it; a null
     page_id is the smallest only among nulls. Any gap in the archives just written is an error.
     """
-    from inkwell.llm.scratch import Scratch
-
     spark = pages.sparkSession
     with Scratch(spark, "warc") as scratch:
         firsts = scratch.save(repeated_payloads(pages), "firsts")

@@ -18,7 +18,7 @@ def record(i, body=b"payload", kind="response"):
 
 
 def ids(data):
-    return [r["record_id"][7:-1] for r in warc.salvage(data) if r["kind"] == "record"]
+    return [r["record_id"].split(":")[-1][:-1] for r in warc.salvage(data) if r["kind"] == "record"]
 
 
 def covered(data):
@@ -94,7 +94,7 @@ def test_any_damage_loses_only_what_it_touches(data):
 
 def test_round_trip(spark):
     rows = [(3, "http://a", "<p>é</p>"), (1, None, "<p>é</p>"), (2, "x y\r\nz", ""), (5, "u", None), (4, "u", "long " * 20000), (4, "u", "long " * 20000), (None, "u", "<p>é</p>"), (None, "u", "WARC/1.1\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n")]
-    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumnRenamed("x", "x")
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     for least in (0, 1000):
         got = sorted((tuple(r) for r in warc.archive_pages(pages, least).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()), key=str)
         wanted = []
@@ -113,3 +113,66 @@ def test_compressed_archives_are_read(spark, tmp_path):
     warc.write_warc(pages, str(tmp_path / "w"), warc.repeated_payloads(pages), records_per_file=7, compression="gzip")
     got = warc.read_warc(spark, str(tmp_path / "w"), payloads=True, pattern="*.gz")
     assert sorted(bytes(r.payload).decode() for r in got.collect()) == sorted(f"p{i}" for i in range(30))
+    for file in (tmp_path / "w").glob("*.gz"):
+        data = file.read_bytes()
+        bad = bytearray(data)
+        bad[20] ^= 255  # in the first of a member for each record
+        assert len(ids(bytes(bad))) == len([r for r in warc.salvage(data) if r["kind"] == "record"]) - 1
+
+
+def test_every_character_in_a_url(spark):
+    """Only line feeds end a header's line, whatever other code points separate lines elsewhere."""
+    separators = [0x0B, 0x0C, 0x0D, 0x0A, 0x1C, 0x1D, 0x1E, 0x85, 0xA0, 0x2028, 0x2029, 0x3000, 0xFEFF, 0x1F600]
+    pages = spark.createDataFrame([(i, f"{chr(c)}http://h/{chr(c)}x{chr(c)}", f"p{i}") for i, c in enumerate(separators)], "page_id long, url string, html string")
+    assert sorted(r.page_id for r in warc.archive_pages(pages).collect()) == list(range(len(separators)))
+
+
+def test_header_lines_that_go_on():
+    head = record(1).replace(b"Content-Type: application/http", b"WARC-Target-URI: a\r\n  b\r\n\tc\r\nContent-Type: application/http")
+    assert [r["target_uri"] for r in warc.salvage(head)] == ["a b c"]
+
+
+def test_a_record_in_a_damaged_payload_is_none():
+    inner = record("inner")
+    broken = record(1, b"before " + inner + b" after").replace(b"before", b"BEFORE", 1)
+    for after in (b"", record(2), record(2).replace(b"payload", b"PAYLOAD", 1), gzip.compress(record(2))):
+        data = record(0) + broken + after
+        assert "inner" not in ids(data) and covered(data)
+        gap = next(r for r in warc.salvage(data) if r["kind"] == "gap")
+        assert (gap["offset"], gap["length"], gap["reason"]) == (len(record(0)), len(broken), "block digest")
+
+
+def test_digests_of_every_kind():
+    def declared(name, value):
+        body = b"payload"
+        block = b"HTTP/1.1 200 OK\r\n\r\n" + body
+        return f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:x:1>\r\n{name}: {value}\r\nContent-Type: application/http\r\nContent-Length: {len(block)}\r\n\r\n".encode() + block + b"\r\n\r\n"
+
+    for kind in ("sha1", "sha256", "md5", "SHA-256"):
+        h = hashlib.new(kind.lower().replace("-", ""), b"payload")
+        for value in (h.hexdigest(), base64.b32encode(h.digest()).decode()):
+            assert ids(declared("WARC-Payload-Digest", f"{kind}:{value}")) == ["1"]
+            wrong = value[:3] + ("A" if value[3] != "A" else "B") + value[4:]
+            assert [r["reason"] for r in warc.salvage(declared("WARC-Payload-Digest", f"{kind}:{wrong}"))] == ["payload digest"]
+    assert ids(declared("WARC-Payload-Digest", "crc99:1234")) == ["1"]
+
+
+def test_members_are_read_in_linear_time():
+    import time
+
+    member = gzip.compress(record(1, b"x" * 900))
+    took = []
+    for many in (4_000, 32_000):
+        began = time.process_time()
+        assert sum(1 for r in warc.salvage(member * many) if r["kind"] == "record") == many
+        took.append(time.process_time() - began)
+    assert took[1] < 20 * took[0]
+
+
+def test_clashing_columns(spark):
+    from pyspark.sql import functions as F
+
+    pages = spark.createDataFrame([(1, "u", "a"), (2, "u", "a")], "page_id long, url string, html string")
+    wide = pages.select("*", *[F.lit("x").alias(c) for c in ("digest", "id", "payload", "first_id", "copies", "bytes", "revisit", "block", "value")])
+    got = sorted(tuple(r) for r in warc.archive_pages(wide).select("page_id", "record_type", "refers_to").collect())
+    assert got == [(1, "response", None), (2, "revisit", 1)]
