@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 
@@ -68,6 +69,11 @@ class Scratch:
     def drop(self, name: str) -> None:
         remove(self.spark, self.path(name))
 
+    def release(self) -> None:
+        """Let go of the shuffle files of what has been saved: the driver drops them with the plans, once these are collected as garbage."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def result(self, df: DataFrame, name: str = "result") -> DataFrame:
         """As ``save``, in a folder of its own that outlives this block."""
         path, schema = f"{self.root}-{name}", df.schema

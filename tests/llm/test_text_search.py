@@ -166,47 +166,82 @@ def test_tree_search_is_the_bound(seed):
         assert sorted(tree.search(points[k], int(n[k]), 80)) == np.flatnonzero(near[k]).tolist()
 
 
-def automaton(train, text, lam):
-    """The model token by token, with a dictionary of states and their arcs."""
-    c1, c2, h = defaultdict(int), defaultdict(int), defaultdict(int)
-    for t in train:
-        w = [*words(t), None]
-        for i, x in enumerate(w):
-            c1[x] += 1
-            if i:
-                c2[w[i - 1], x] += 1
-    n, v = sum(c1.values()), len(c1)
-    state, base, score, known = "root", 0.0, 0.0, 0
-    for x in [*words(text), None]:
-        p = (c1.get(x, 0) + 1) / (n + v + 1)
-        base += np.log10(p)
-        known += x in c1
-        if state != "root":
-            p = lam * c2.get((state[0], x), 0) / c1[state[0]] + (1 - lam) * p
-        score += np.log10(p)
-        state = (x,) if x in c1 else "root"
-    return len(words(text)) + 1, known, n, base, score
-
-
-def test_backoff(spark, odd, empty):
+class Model:
+    """The model token by token: counts of n-grams in dictionaries, probabilities by recursion."""
+
+    def __init__(self, train, order, mass):
+        self.order, self.mass, self.count = order, mass, defaultdict(int)
+        for t in train:
+            w = [*words(t), None]
+            for i in range(len(w)):
+                for k in range(min(order, i + 1)):
+                    self.count[tuple(w[i - k : i + 1])] += 1
+        self.n, self.v = sum(c for g, c in self.count.items() if len(g) == 1), sum(len(g) == 1 for g in self.count)
+
+    def p(self, history, word):
+        if not history:
+            return (self.count.get((word,), 0) + 1) / (self.n + self.v + 1)
+        seen, shorter = self.count.get(history, 0), self.p(history[1:], word)
+        return (self.count.get((*history, word), 0) + self.mass * shorter) / (seen + self.mass) if seen else shorter
+
+    def row(self, text):
+        w = [*words(text), None]
+        base, score = (sum(np.log10(self.p(tuple(w[max(i - k, 0) : i]), x)) for i, x in enumerate(w)) for k in (0, self.order - 1))
+        return len(w), sum((x,) in self.count for x in w), self.n, base, score
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_backoff(spark, odd, empty, monkeypatch, order):
     draw = np.random.default_rng(3)
-    rows = [(i, " ".join(f"V{draw.integers(12)}" for _ in range(int(draw.integers(0, 30))))) for i in range(150)] + [(r.doc_id, r.text) for r in odd.collect()]
+    rows = [(i, " ".join(f"V{draw.integers(12)}" if i % 9 else f"U{i % 40}_{k}" for k in range(int(draw.integers(0, 30))))) for i in range(150)]
+    rows += [(r.doc_id, r.text) for r in odd.collect()] + [(900 + i, " ".join(f"L{draw.integers(300) ** 2}" for _ in range(700))) for i in range(3)]
+    monkeypatch.setattr(backoff, "LANE", 7)
+    monkeypatch.setattr(backoff, "BLOCK_BYTES", 4000)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    train = [t for i, t in rows if i is not None and crc(i) % 7 != 2]
-    got = backoff.score_texts(docs, "crc32(CAST(doc_id AS string)) % 7 <> 2", bucket_grams=50).collect()
-    wanted = sorted(((i, *automaton(train, t, backoff.LAMBDA)) for i, t in rows), key=str)
+    model = Model([t for i, t in rows if i is not None and crc(i) % 7 != 2], order, backoff.MASS)
+    got = backoff.score_texts(docs, "crc32(CAST(doc_id AS string)) % 7 <> 2", order=order, bucket_grams=500).collect()
+    wanted = sorted(((i, *model.row(t)) for i, t in rows), key=str)
     have = sorted(((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in got), key=str)
     assert [x[:4] for x in have] == [x[:4] for x in wanted]
     assert np.allclose([x[4:] for x in have], [x[4:] for x in wanted])
-    assert backoff.score_texts(empty, "true").count() == 0
-    assert {r.n_known for r in backoff.score_texts(docs, "false").collect()} == {0}
-
-
-def test_probabilities_of_a_state_sum_to_one():
-    grams = backoff.Grams(np.arange(3, dtype=U64), np.array([0, 1, 0, 2, 0, 0]), np.array([0, 2, 4, 6]), 2)
-    totals = [np.array([4, 1, 1]), np.zeros(len(grams.hashes[1]), np.int64)]
-    for k, c in zip(grams.ids[1][grams.ids[1] >= 0], (1, 1, 1), strict=True):
-        totals[1][k] += c
-    p = 10 ** backoff.walk(grams, totals, 6, 3, 0.3)[1]
-    unknown = 0.7 / (6 + 4)
-    assert p[1] + p[3] + p[5] + unknown == pytest.approx(0.3 * 3 / 4 + 0.7)
+    if order == 3:
+        assert backoff.score_texts(empty, "true").count() == 0
+        assert {r.n_known for r in backoff.score_texts(docs, "false").collect()} == {0}
+        assert backoff.score_texts(odd, "true").count() == odd.count()
+
+
+def machine(tokens, first, order, kinds, train=slice(None)):
+    """An automaton of the given texts, all of them or of those that train."""
+    grams = backoff.Grams(kinds, tokens, first, order)
+    keep = np.zeros(len(first) - 1, bool)
+    keep[train] = True
+    keep = np.repeat(keep, np.diff(first))
+    totals = [np.bincount(ids[keep & (ids >= 0)], minlength=len(w)) for ids, w in zip(grams.ids, grams.word, strict=True)]
+    return backoff.Automaton(grams, totals, 0, int(totals[0].sum()), int((totals[0] > 0).sum()), 2.0), totals
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.lists(st.integers(1, 4), max_size=12), min_size=1, max_size=8), st.integers(1, 4))
+def test_probabilities_of_every_state_sum_to_one(texts, order):
+    """What a state's arcs and, by its failure arc, all shorter states' arcs give to the words, with one word never seen."""
+    tokens = np.array([x for t in texts for x in (*t, 0)] + [5, 0])
+    first = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts] + [2])])
+    m, _ = machine(tokens, first, order, 6, slice(0, len(texts)))
+    absent = set(range(6)) - set(tokens[:-2].tolist())
+
+    def p(state, word):
+        at = np.searchsorted(m.keys, state * 6 + word)
+        if at < len(m.keys) and m.keys[at] == state * 6 + word:
+            return 10 ** m.weight[at]
+        return 10 ** m.failed[state] * p(m.fail[state], word)
+
+    for state in range(len(m.fail)):
+        assert sum(p(state, w) for w in set(range(6)) - absent) + p(state, 5) == pytest.approx(1)
+
+
+def test_states_do_not_know_what_the_text_was_before():
+    draw = np.random.default_rng(0)
+    tokens = np.append(draw.integers(1, 5, 500), 0)
+    m, _ = machine(tokens, np.array([0, 501]), 3, 5)
+    whole = m.walk(tokens, np.array([0]), np.array([501]), np.array([0]))
+    assert np.allclose(m.walk(tokens, *backoff.lanes(np.array([0, 501]), 3)), whole)
