@@ -86,8 +86,9 @@ class Grams:
             self.tail.append(tail)
 
 
-BLOCK = "block long, n_docs int, n_tokens long, words binary, payload binary"
-BLOCK_ARROW = pa.schema([("block", pa.int64()), ("n_docs", pa.int32()), ("n_tokens", pa.int64()), ("words", pa.binary()), ("payload", pa.binary())])
+#: Two rows a block: ``part`` 0 with its texts, and 1 with its words and their counts, which only the first round reads.
+BLOCK = "part int, block long, n_tokens long, payload binary"
+BLOCK_ARROW = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("n_tokens", pa.int64()), ("payload", pa.binary())])
 
 
 def _vocabulary(texts: pa.Array) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray], np.ndarray, np.ndarray]:
@@ -130,13 +131,12 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds, (size, body), tokens, n = _vocabulary(one.column(1))
         flags = np.stack([ids.is_valid().to_numpy(zero_copy_only=False), one.column(2).to_numpy(zero_copy_only=False)])
         docs = [ids.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes(), flags.astype(np.uint8).tobytes(), (n + 1).astype("<i8").tobytes()]
-        words = b"".join([kinds.astype("<u8").tobytes(), size.astype("<i4").tobytes(), body.tobytes()])
         payload = np.array([one.num_rows, len(kinds), len(tokens)], "<i8").tobytes() + squeeze.compress(b"".join([*docs, tokens.astype("<u4").tobytes()]))
+        seen = np.bincount(tokens[np.repeat(flags[1], n + 1)], minlength=len(kinds))
+        words = np.array([len(kinds)], "<i8").tobytes() + squeeze.compress(b"".join([size.astype("<i4").tobytes(), seen.astype("<i4").tobytes(), body.tobytes()]))
         made += 1
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([partition * (1 << 32) + made]), pa.array([one.num_rows], pa.int32()), pa.array([len(tokens)], pa.int64()), pa.array([squeeze.compress(words)], pa.binary()), pa.array([payload], pa.binary())],
-            schema=BLOCK_ARROW,
-        )
+        number = partition * (1 << 32) + made
+        yield pa.RecordBatch.from_arrays([pa.array([0, 1], pa.int32()), pa.array([number] * 2), pa.array([len(tokens), 0]), pa.array([payload, words], pa.binary())], schema=BLOCK_ARROW)
 
 
 class Block:
@@ -170,12 +170,15 @@ class Block:
         return np.flatnonzero(~alone & (self.totals[k - 1][head] > 0) & (self.totals[k - 1][tail] > 0)), alone
 
     def dealt(self, k: int, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The (k + 1)-grams to ask for, in order of bucket and, within one, of key; where each bucket's begin; the buckets."""
+        """The (k + 1)-grams to ask for, in order of bucket and, within one, of their histories' numbers; where each bucket's begin; the buckets."""
         asked = self.unsure(k)[0]
         a, b = self.number[k - 1][self.grams.head[k][asked]], self.number[0][self.grams.word[k][asked]]
         with np.errstate(over="ignore"):
             to = (mix(mix(a.astype(U64)) + b.astype(U64)) % U64(buckets)).astype(np.int64)
-        by = np.lexsort((b, a, to))
+        rank = np.empty(len(self.number[k - 1]), np.int64)
+        rank[np.argsort(self.number[k - 1], kind="stable")] = np.arange(len(rank))
+        by = np.argsort(rank[self.grams.head[k][asked]] * self.kinds + self.grams.word[k][asked])  # no two are equal
+        by = by[np.argsort(to[by].astype(np.uint16) if buckets <= 1 << 16 else to[by], kind="stable")]
         return asked[by], *_edges(to[by])
 
     def learn(self, k: int, buckets: int, answers: dict[int, bytes]) -> None:
@@ -222,21 +225,22 @@ def _asked(rows: list[tuple]) -> list[pa.Array]:
 
 
 def _ask_words(buckets: int):
-    """Blocks to requests for their words, which are named by their bytes. Words stand in order of hash, and a bucket is a range of hashes."""
+    """Blocks' words to requests, which name them by their bytes. Words stand in order of hash, and a bucket is a range of hashes."""
     import zstandard
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze, spread = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
         for batch in batches:
-            for number, packed, payload in zip(batch.column("block").to_pylist(), batch.column("words"), batch.column("payload"), strict=True):
-                b, raw = Block(payload.as_py(), 1), spread.decompress(packed.as_py())
-                size, seen = np.frombuffer(raw, "<i4", b.kinds, 8 * b.kinds).astype(np.int64), b.learned(0)
-                begin = 12 * b.kinds + np.append(0, np.cumsum(size))
-                edge, to = _edges((((np.frombuffer(raw, "<u8", b.kinds) >> U64(32)) * U64(buckets)) >> U64(32)).astype(np.int64))
-                rows = [
-                    (r, number, j - i, squeeze.compress(raw[begin[i] : begin[j]]), _squeeze(size[i:j]), _counts(seen[i:j])) for i, j, r in zip(edge[:-1].tolist(), edge[1:].tolist(), to.tolist(), strict=True)
-                ]
-                yield pa.RecordBatch.from_arrays(_asked(rows), schema=ASKED_ARROW)
+            for number, packed in zip(batch.column("block").to_pylist(), batch.column("payload"), strict=True):
+                packed = packed.as_py()
+                n, raw = int(np.frombuffer(packed, "<i8", 1)[0]), spread.decompress(packed[8:])
+                size, seen, body = np.frombuffer(raw, "<i4", n).astype(np.int64), np.frombuffer(raw, "<i4", n, 4 * n), raw[8 * n :]
+                begin = np.append(0, np.cumsum(size))
+                w = scan(np.frombuffer(body, np.uint8), begin)
+                hashes = np.full(n, END_HASH, U64)
+                hashes[np.diff(w.first) > 0] = w.hashes
+                edge, to = _edges((((hashes >> U64(32)) * U64(buckets)) >> U64(32)).astype(np.int64))
+                yield pa.RecordBatch.from_arrays(_asked([(r, number, j - i, squeeze.compress(body[begin[i] : begin[j]]), _squeeze(size[i:j]), _counts(seen[i:j])) for i, j, r in zip(edge[:-1].tolist(), edge[1:].tolist(), to.tolist(), strict=True)]), schema=ASKED_ARROW)
         give_back()
 
     return run
@@ -355,7 +359,7 @@ class Automaton:
             weight.append(np.log10(p[arcs]))
             to.append((state[k] if k < order - 1 else state[k - 1][tail])[arcs])
         keys = np.concatenate(keys)
-        by = np.argsort(keys, kind="stable")
+        by = np.argsort(keys)  # no two are equal
         self.keys, self.weight, self.to = keys[by], np.concatenate(weight)[by], np.concatenate(to)[by]
 
     def walk(self, tokens: np.ndarray, at: np.ndarray, last: np.ndarray, scored: np.ndarray) -> np.ndarray:
@@ -422,17 +426,22 @@ def score_texts(docs: DataFrame, train: str, id_col: str = "doc_id", text_col: s
     spark = docs.sparkSession
     with Scratch(spark, "backoff") as scratch:
         rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.coalesce(F.expr(train), F.lit(False)).alias("train"))
-        blocks = scratch.save(rows.mapInArrow(_encode, BLOCK), "blocks")
-        tokens = blocks.agg(F.sum("n_tokens").alias("n")).first().n or 0
+        rows.mapInArrow(_encode, BLOCK).write.partitionBy("part").parquet(scratch.path("blocks"))
+        part = lambda k: spark.read.schema(BLOCK.split(", ", 1)[1]).parquet(scratch.path(f"blocks/part={k}"))
+        if rows.isEmpty():
+            return spark.createDataFrame([], SCORES + ", train_tokens long")
+        tokens = part(0).agg(F.sum("n_tokens").alias("n")).first().n
         many = int(tokens // bucket_grams) + 1  # a block asks for an n-gram of a length once, so for no more than its tokens
-        texts, answers, buckets, stats = blocks.select("block", "payload").groupBy("block"), None, [], None
+        texts, answers, buckets, stats = part(0).select("block", "payload").groupBy("block"), None, [], None
         for k in range(order):
-            asked = texts.cogroup(answers.groupBy("block")).applyInArrow(_ask(k, buckets, many), ASKED) if k else blocks.select("block", "words", "payload").mapInArrow(_ask_words(many), ASKED)
+            asked = texts.cogroup(answers.groupBy("block")).applyInArrow(_ask(k, buckets, many), ASKED) if k else part(1).select("block", "payload").mapInArrow(_ask_words(many), ASKED)
             one = scratch.save(asked.groupBy("bucket").applyInArrow(_answer(k + 1, many), ANSWER), f"answers{k + 1}")
             if not k:
                 stats = one.agg(F.sum("tokens").alias("t"), F.sum("kinds").alias("k")).first()
+                scratch.drop("blocks/part=1")
             one = one.select("block", "n", "bucket", "answer")
             answers, buckets = answers.unionByName(one) if k else one, [*buckets, many]
+            del asked
             scratch.release()
         n_all, n_kinds = stats.t or 0, stats.k or 0
         scored = texts.cogroup(answers.groupBy("block")).applyInArrow(_score(order, buckets, n_all, n_kinds, mass), SCORES)

@@ -70,7 +70,8 @@ class Scratch:
         remove(self.spark, self.path(name))
 
     def release(self) -> None:
-        """Let go of the shuffle files of what has been saved: the driver drops them with the plans, once these are collected as garbage."""
+        """Let go of the shuffle files of what has been saved: the driver drops them with the plans, once these are collected as garbage. The last plan run is held until another is."""
+        self.spark.range(1).count()
         gc.collect()
         self.spark.sparkContext._jvm.System.gc()
 
