@@ -32,7 +32,7 @@ from inkwell.llm.scratch import Scratch
 from inkwell.llm.words import U64, chunks, give_back, mix, regroup, scan, text_bytes
 
 #: Bytes of text in a block, requested n-grams in a bucket on average, longest n-gram, Dirichlet's mass.
-BLOCK_BYTES, BUCKET_GRAMS, ORDER, MASS = 2 << 20, 500_000, 3, 16.0
+BLOCK_BYTES, BUCKET_GRAMS, ORDER, MASS = 4 << 20, 1_000_000, 3, 16.0
 #: Tokens that one lane of a walk scores.
 LANE = 256
 #: What stands for the end of a text among words, which hold no blank; its hash, which a word has by a chance of 2^-64.
