@@ -372,7 +372,12 @@ class Automaton:
         while len(at):
             word, lost = tokens[at], np.zeros(len(at))
             left, arc = np.arange(len(at)), np.empty(len(at), np.int64)
-            while len(left):
+            while True:
+                root = state[left] == 0  # whose arcs come first, one for each word
+                arc[left[root]] = word[left[root]]
+                left = left[~root]
+                if not len(left):
+                    break
                 key = state[left] * self.words + word[left]
                 spot = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
                 found = self.keys[spot] == key
