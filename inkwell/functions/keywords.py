@@ -22,8 +22,14 @@ def searchable(title: Column, abstract: Column) -> Column:
 
 def matches(text: Column, keywords: Sequence[str]) -> Column:
     """The keywords that the text holds anywhere, whatever the case, in the order given."""
-    low = F.lower(F.coalesce(text, F.lit("")))
-    return F.filter(strings(keywords), lambda k: F.contains(low, F.lower(k)))
+    return held(F.lower(F.coalesce(text, F.lit(""))), keywords)
+
+
+def held(low: Column, keywords: Sequence[str]) -> Column:
+    """The keywords that a lower-cased text holds. Higher-order functions know no common subexpressions, so the text is bound once, as an element, and the keywords are lower-cased here."""
+    if not keywords:
+        return strings([])
+    return F.transform(F.array(low), lambda t: F.array_compact(F.array(*[F.when(F.contains(t, F.lit(k.lower())), F.lit(k)) for k in keywords])))[0]
 
 
 def section(primary: Column, biology: Column) -> Column:
@@ -87,14 +93,13 @@ def title_verdict(
     as substrings, stems as whole stems. Lists that the verdict does not rest on are empty.
     """
     hay = F.regexp_replace(F.lower(F.coalesce(title, F.lit(""))), f"{SPACE}+", " ")
-    held = lambda words: F.filter(strings(words), lambda k: F.contains(hay, F.lower(k)))
     words = tokens(title)
     by_stem = F.array_intersect(strings(list(dict.fromkeys(map(stem_text, include_stems)))), stems(title))
-    by_term = held([*include_terms, *shared_terms])
+    by_term = held(hay, [*include_terms, *shared_terms])
     by_word = F.filter(words, lambda t: t.isin([x.lower() for x in include_terms])) if include_terms else strings([])
     terms = F.array_distinct(F.concat(by_term, by_word))
     includes = F.array_distinct(F.concat(by_stem, by_term, by_word))
-    excludes = F.concat(held(exclude_phrases), held(exclude_terms))
+    excludes = F.concat(held(hay, exclude_phrases), held(hay, exclude_terms))
     answer = lambda v, i, e: F.struct(F.lit(v).alias("verdict"), i.alias("includes"), e.alias("excludes"))
     none = F.expr("cast(array() AS array<string>)")
     return (

@@ -73,6 +73,13 @@ def fallback_line(source: Column, section: Column, preprints: list[str] | None =
     return F.when(is_preprint(source, preprints), "preprint").when(section == "single-cell-spatial", "line-a").otherwise("line-b")
 
 
+def resolved_line(source: Column, skipped: Column, confidence: Column, section: Column, preprints: list[str] | None = None) -> tuple[Column, Column]:
+    """(line, method): preprints are always preprint, then what is skipped is skip, and only then a confidence counts; where there is none, the section does."""
+    preprint, known = is_preprint(source, preprints), confidence.isNotNull()
+    line = F.when(preprint, "preprint").when(skipped, "skip").when(known, confidence_line(confidence)).otherwise(fallback_line(source, section, preprints))
+    return line, F.when(~F.coalesce(preprint, F.lit(False)) & ~F.coalesce(skipped, F.lit(False)) & known, "llm").otherwise("keyword-fallback")
+
+
 def visible(line: Column) -> Column:
     return F.coalesce(line != "skip", F.lit(False))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,8 +13,13 @@ from inkwell.functions.policy import INLINE_TAGS
 SPACE = r"[\t\n\x0B\f\r \u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF]"
 MARKUP = r"(?is)<[a-z].*>"
 DOI = r"(?i)\b10\.\d{4,9}/[-._;()/:A-Z0-9]+\b"
-#: How often nested inline tags are unwrapped: markup nests no deeper than this.
-NESTING = 8
+#: How often nested inline tags are unwrapped at once; deeper ones take a loop.
+NESTING = 4
+
+
+def bound(x: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is worked out once, however often ``then`` names it."""
+    return F.transform(F.array(x), then)[0]
 
 
 def blank_to_null(x: Column) -> Column:
@@ -29,20 +36,38 @@ def squeeze(x: Column) -> Column:
 
 
 def code_point(n: Column) -> Column:
-    """The character of a UTF-16 unit; larger numbers wrap as they do there. (chr() wraps at 256.)"""
-    return F.decode(F.unhex(F.lpad(F.hex((n % 65536).cast("long")), 4, "0")), "UTF-16BE")
+    """The character of a UTF-16 unit, from a double; larger numbers wrap as they do there, and one beyond all doubles is 0. (chr() wraps at 256.)"""
+    unit = F.nanvl(n % F.lit(65536.0), F.lit(0.0))
+    return F.decode(F.unhex(F.lpad(F.hex(unit.cast("long")), 4, "0")), "UTF-16BE")
 
 
 def decode_entities(x: Column) -> Column:
     """Named entities in a fixed order, then decimal ones, however many: the text is split at them and each part's number becomes its character."""
     for name, char in (("nbsp", " "), ("amp", "&"), ("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "'"), ("#x27", "'")):
         x = F.regexp_replace(x, f"(?i)&{name};", char)
+    return bound(x, _numbered)
+
+
+def _numbered(x: Column) -> Column:
     number = lambda p: F.regexp_extract(p, r"^(\d+);", 1)
     decoded = F.transform(
-        F.split(x, r"&#(?=\d{1,9};)"),
-        lambda p, i: F.when(i == 0, p).otherwise(F.concat(F.coalesce(code_point(F.nullif(number(p), F.lit("")).cast("long")), F.lit("")), F.regexp_replace(p, r"^\d+;", ""))),
+        F.split(x, r"&#(?=\d+;)"),
+        lambda p, i: F.when(i == 0, p).otherwise(F.concat(F.coalesce(code_point(F.nullif(number(p), F.lit("")).cast("double")), F.lit("")), F.regexp_replace(p, r"^\d+;", ""))),
     )
-    return F.when(x.rlike(r"&#\d{1,9};"), F.array_join(decoded, "")).otherwise(x)
+    return F.when(x.rlike(r"&#\d+;"), F.array_join(decoded, "")).otherwise(x)
+
+
+def _unwrapped(x: Column) -> Column:
+    pair = rf"(?is)<({'|'.join(INLINE_TAGS)})\b[^>]*>(.*?)</\1>"
+    once = lambda t: F.regexp_replace(t, pair, "$2")
+    for _ in range(NESTING):
+        x = once(x)
+
+    def rest(t: Column) -> Column:
+        ends = F.sequence(F.lit(1), F.regexp_count(t, F.lit("</")))  # each further pass takes away one or more
+        return F.when(t.rlike(pair), F.aggregate(ends, t, lambda y, _: F.when(y.rlike(pair), once(y)).otherwise(y))).otherwise(t)
+
+    return bound(x, rest)
 
 
 def strip_tags(x: Column) -> Column:
@@ -54,11 +79,8 @@ def strip_tags(x: Column) -> Column:
 
 
 def strip_inline_tags(x: Column) -> Column:
-    """Inline formatting unwrapped without a blank; whatever markup is left goes as in ``strip_tags``."""
-    x = decode_entities(x)
-    for _ in range(NESTING):
-        x = F.regexp_replace(x, rf"(?is)<({'|'.join(INLINE_TAGS)})\b[^>]*>(.*?)</\1>", "$2")
-    return F.when(x.rlike(MARKUP), strip_tags(x)).otherwise(squeeze(x))
+    """Inline formatting unwrapped without a blank, however deep; whatever markup is left goes as in ``strip_tags``."""
+    return bound(_unwrapped(decode_entities(x)), lambda t: F.when(t.rlike(MARKUP), strip_tags(t)).otherwise(squeeze(t)))
 
 
 def title_text(x: Column) -> Column:

@@ -8,19 +8,20 @@ from pyspark.sql import functions as F
 from inkwell.functions.text import squeeze
 
 
-def _pick(df: DataFrame, keys: list[Column], order: Column, last: bool) -> DataFrame:
-    """One whole row a key, chosen while aggregating, so a key's rows are reduced before the shuffle."""
-    best = (F.max_by if last else F.min_by)(F.struct(*[F.col(c) for c in df.columns]), order)
-    return df.groupBy(*[k.alias(f"_k{i}") for i, k in enumerate(keys)]).agg(best.alias("_row")).select("_row.*")
+def _pick(df: DataFrame, keys: list[str | Column], order: str | Column, columns: list[str] | None, last: bool) -> DataFrame:
+    """One row a key, chosen while aggregating, so a key's rows are reduced before the shuffle. Keys can be whole texts; 128 bits of hash stand for them."""
+    parts = [x for k in (F.col(k) if isinstance(k, str) else k for k in keys) for x in (k, k.isNull())]
+    best = (F.max_by if last else F.min_by)(F.struct(*[F.col(c) for c in columns or df.columns]), F.col(order) if isinstance(order, str) else order)
+    return df.groupBy(F.xxhash64(*parts).alias("_k0"), F.xxhash64(F.lit(1), *parts).alias("_k1")).agg(best.alias("_row")).select("_row.*")
 
 
-def first_wins(df: DataFrame, keys: list[str | Column], order: str | Column) -> DataFrame:
-    """The first row of each key by ``order`` (which must be unique in a key)."""
-    return _pick(df, [F.col(k) if isinstance(k, str) else k for k in keys], F.col(order) if isinstance(order, str) else order, False)
+def first_wins(df: DataFrame, keys: list[str | Column], order: str | Column, columns: list[str] | None = None) -> DataFrame:
+    """The first row of each key by ``order`` (which must be unique in a key); of it, ``columns`` or all."""
+    return _pick(df, keys, order, columns, False)
 
 
-def last_wins(df: DataFrame, keys: list[str | Column], order: str | Column) -> DataFrame:
-    return _pick(df, [F.col(k) if isinstance(k, str) else k for k in keys], F.col(order) if isinstance(order, str) else order, True)
+def last_wins(df: DataFrame, keys: list[str | Column], order: str | Column, columns: list[str] | None = None) -> DataFrame:
+    return _pick(df, keys, order, columns, True)
 
 
 def drop_repeated(df: DataFrame, key: str) -> DataFrame:
@@ -29,10 +30,12 @@ def drop_repeated(df: DataFrame, key: str) -> DataFrame:
     return df.join(once, key, "left_semi")
 
 
-def two_level(df: DataFrame, group: str, key: str | Column, order: str, keep: Column) -> DataFrame:
-    """First of each key in its group, those that ``keep`` accepts, then first of each key over all."""
+def two_level(df: DataFrame, group: str, key: str | Column, order: str, keep: Column, columns: list[str] | None = None) -> DataFrame:
+    """First of each key in its group, those that ``keep`` accepts, then first of each key over all; of these, ``columns`` or all."""
     key = F.col(key) if isinstance(key, str) else key
-    return first_wins(first_wins(df, [group, key], order).filter(keep), [key], order)
+    named = df.withColumns({"_a": F.xxhash64(key, key.isNull()), "_b": F.xxhash64(F.lit(1), key, key.isNull()), "_keep": keep})  # the key may be a whole text, and travels twice
+    own = [*(columns or df.columns), "_a", "_b", "_keep", *([order] if columns and order not in columns else [])]
+    return first_wins(first_wins(named, [group, "_a", "_b"], order, own).filter("_keep"), ["_a", "_b"], order, columns or df.columns)
 
 
 def missing(requested: DataFrame, returned: DataFrame, key: str) -> DataFrame:
@@ -54,8 +57,8 @@ def match_by_id_or_title(rows: DataFrame, papers: DataFrame, row_id: str, row_ti
 
 
 def overlay(papers: DataFrame, fields: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """New values where ``fields`` has them, the old ones elsewhere."""
-    new = fields.select(key, *[F.col(c).alias(f"_new_{c}") for c in columns])
+    """New values where ``fields`` has them, the old ones elsewhere. Of rows of ``fields`` that repeat an id, the greatest value of each column counts."""
+    new = fields.groupBy(key).agg(*[F.max(c).alias(f"_new_{c}") for c in columns])
     met = papers.join(new, key, "left")
     return met.select(*[F.coalesce(f"_new_{c}", c).alias(c) if c in columns else F.col(c) for c in papers.columns])
 

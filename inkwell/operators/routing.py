@@ -17,21 +17,31 @@ def count_if(condition: Column, name: str) -> Column:
     return F.count_if(F.coalesce(condition, F.lit(False))).alias(name)
 
 
-def route(papers: DataFrame, verdicts: DataFrame | None, key: str = "id", title: str = "title", scope: str = "scope", rule: Callable[[Column], Column] = title_verdict, enabled: bool = True) -> DataFrame:
+def _once(verdicts: DataFrame, key: str, name: str) -> DataFrame:
+    """A row an id: of repeated ones the greatest verdict, so that a join never multiplies papers."""
+    return verdicts.groupBy(key).agg(F.max("verdict").alias(name))
+
+
+def route(
+    papers: DataFrame, verdicts: DataFrame | None, lost: DataFrame | None = None, key: str = "id", title: str = "title", scope: str = "scope", rule: Callable[[Column], Column] = title_verdict, enabled: bool = True
+) -> DataFrame:
     """``papers`` with verdict, method, included.
 
-    Rows whose scope passes by default are in. The others take the verdict of ``verdicts(key, verdict)``; those
-    that have none there (degraded) fall to the title ``rule``. yes and not_sure are in. Without
-    ``verdicts`` (the whole stage failed) every row of broad scope is degraded. Not enabled, all rows are in.
+    Rows whose scope passes by default are in. The others take the verdict of ``verdicts(key, verdict)``; those of
+    the ids in ``lost`` (the batches that failed: degraded) that have none fall to the title ``rule``, and
+    any other row without a verdict is an error. yes and not_sure are in. Without ``verdicts`` (the whole
+    stage failed) every row of broad scope is degraded. Not enabled, all rows are in.
     """
     if not enabled:
         return papers.withColumns({"verdict": F.lit(None).cast("string"), "method": F.lit(None).cast("string"), "included": F.lit(True)})
-    by_scope = F.col(scope) == "life-science-only"
-    if verdicts is None:
-        met = papers.withColumn("_verdict", F.lit(None).cast("string"))
-    else:
-        met = papers.join(verdicts.select(F.col(key), F.col("verdict").alias("_verdict")), key, "left")
-    verdict = F.when(by_scope, "yes").otherwise(F.coalesce("_verdict", rule(F.col(title))["verdict"]))
+    by_scope = F.coalesce(F.col(scope) == "life-science-only", F.lit(False))
+    met = papers.withColumns({"_verdict": F.lit(None).cast("string"), "_lost": F.lit(verdicts is None)})
+    if verdicts is not None:
+        met = met.drop("_verdict").join(_once(verdicts, key, "_verdict"), key, "left")
+        if lost is not None:
+            met = met.drop("_lost").join(lost.select(key).distinct().withColumn("_lost", F.lit(True)), key, "left")
+    none = F.raise_error(F.concat(F.lit("no routing verdict for "), F.coalesce(F.col(key).cast("string"), F.lit("null"))))
+    verdict = F.when(by_scope, "yes").when(F.col("_verdict").isNotNull(), F.col("_verdict")).when(F.col("_lost"), rule(F.col(title))["verdict"]).otherwise(none)
     method = F.when(by_scope, "scope-default").when(F.col("_verdict").isNotNull(), "llm").otherwise("routing-keyword-fallback")
     out = met.select(*papers.columns, verdict.alias("verdict"), method.alias("method"))
     return out.withColumn("included", F.col("verdict").isin("yes", "not_sure"))
@@ -59,7 +69,7 @@ def gate(papers: DataFrame, verdicts: DataFrame | None, key: str = "id") -> Data
     """Only yes passes. A candidate without a verdict is an error; a gate that failed as a whole (``None``) lets all pass."""
     if verdicts is None:
         return papers
-    met = papers.join(verdicts.select(F.col(key), F.col("verdict").alias("_verdict")), key, "left")
+    met = papers.join(_once(verdicts, key, "_verdict"), key, "left")
     known = F.coalesce("_verdict", F.raise_error(F.concat(F.lit("no gate verdict for "), F.col(key).cast("string"))))
     return met.filter(known == "yes").select(*papers.columns)
 
@@ -72,8 +82,7 @@ def degraded(papers: DataFrame, failed: DataFrame, key: str = "id") -> tuple[Dat
 
 def retry_overlay(first: DataFrame, retry: DataFrame, key: str = "id") -> DataFrame:
     """Verdicts of a first round; a retry fills in only what it left open."""
-    r = retry.select(F.col(key), F.col("verdict").alias("_retry"))
-    return first.join(r, key, "left").select(*[F.coalesce("verdict", "_retry").alias("verdict") if c == "verdict" else F.col(c) for c in first.columns])
+    return first.join(_once(retry, key, "_retry"), key, "left").select(*[F.coalesce("verdict", "_retry").alias("verdict") if c == "verdict" else F.col(c) for c in first.columns])
 
 
 def verdict_counts(verdicts: DataFrame) -> DataFrame:

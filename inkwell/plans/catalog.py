@@ -64,13 +64,11 @@ def rule(title):
 
 
 def lined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Papers with line and priority: labelled documents by a confidence, the others by their section; junk titles are skipped."""
+    """Papers with line and priority: preprints, then junk titles, which are skipped, then labelled documents by a confidence and the others by their section."""
     d = sections(papers(spark, sf_dir))
     c = read(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), ((F.col("doc_id") % 21) / 20.0).alias("_c"))
-    d = d.join(c, "id", "left")
-    by_confidence = F.when(F.col("_c").isNotNull(), rules.confidence_line(F.col("_c")))
-    line = F.when(F.length("title") < 8, "skip").otherwise(F.coalesce(by_confidence, rules.fallback_line(F.col("source"), F.col("section"), ["src19"])))
-    d = d.withColumn("line", line).withColumn("line_method", F.when(F.col("_c").isNotNull(), "llm").otherwise("keyword-fallback")).drop("_c")
+    line, method = rules.resolved_line(F.col("source"), F.length("title") < 8, F.col("_c"), F.col("section"), ["src19"])
+    d = d.join(c, "id", "left").withColumns({"line": line, "line_method": method}).drop("_c")
     return registry.with_dimension(d, catalog(spark, 15), "source", "id", {"priority": policy.MISSING_PRIORITY})
 
 
@@ -84,13 +82,13 @@ def selected(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(sql.DEDUPE_FIRST_WINS)
 def dedupe_first_wins(spark, sf_dir):
     d = papers(spark, sf_dir).select("id", "source", "lang", F.lower(text.squeeze(F.col("text"))).alias("k"))
-    return identity.first_wins(d, ["k"], "id").select(F.col("id").alias("doc_id"), "source", "lang")
+    return identity.first_wins(d, ["k"], "id", ["id", "source", "lang"]).select(F.col("id").alias("doc_id"), "source", "lang")
 
 
 @query(sql.TWO_LEVEL_DEDUPE)
 def two_level_dedupe(spark, sf_dir):
     d = papers(spark, sf_dir).select("id", "source", "n_chars", F.lower(text.squeeze(F.col("text"))).alias("k"))
-    return identity.two_level(d, "source", "k", "id", F.col("n_chars") >= 200).select(F.col("id").alias("doc_id"), "source")
+    return identity.two_level(d, "source", "k", "id", F.col("n_chars") >= 200, ["id", "source"]).select(F.col("id").alias("doc_id"), "source")
 
 
 @query(sql.IDENTITY_KEY)
@@ -379,7 +377,8 @@ def source_status_report(spark, sf_dir):
 
 def routed(spark, sf_dir):
     d = registry.with_scope(papers(spark, sf_dir), catalog(spark))
-    return routing.route(d, verdicts(spark, sf_dir), rule=rule)
+    v = verdicts(spark, sf_dir)
+    return routing.route(d, v, identity.missing(d, v, "id"), rule=rule)
 
 
 @query(sql.ROUTE_VERDICT_MERGE)

@@ -17,10 +17,11 @@ NO_PAGES, NO_ABSTRACTS = "url string, html string", "doi string, markup string"
 
 @dataclass
 class Answers:
-    """Answers of model stages as tables: gate and routing (id, verdict), confidence (id, confidence), summary (id, title, summary, tags)."""
+    """Answers of model stages as tables: gate and routing (id, verdict), degraded (ids that routing's batches lost), confidence (id, confidence), summary (id, title, summary, tags)."""
 
     gate: DataFrame | None = None
     routing: DataFrame | None = None
+    degraded: DataFrame | None = None
     confidence: DataFrame | None = None
     summary: DataFrame | None = None
 
@@ -45,7 +46,7 @@ def run_day(spark: SparkSession, items: DataFrame, records: DataFrame, day: str,
     pages = pages if pages is not None else spark.createDataFrame([], NO_PAGES)
     abstracts = abstracts if abstracts is not None else spark.createDataFrame([], NO_ABSTRACTS)
     found = collect(items, records, answers.gate, catalog, day)
-    routed = routing.route(registry.with_scope(found, catalog), answers.routing)
+    routed = routing.route(registry.with_scope(found, catalog), answers.routing, answers.degraded)
     included, excluded = routing.split(routed)
     enriched = enrich.enrich(included, pages, abstracts)
     d = enriched.filter("outcome <> 'excluded'").drop("outcome")
@@ -57,10 +58,9 @@ def run_day(spark: SparkSession, items: DataFrame, records: DataFrame, day: str,
         d = d.join(once.select("id", "confidence"), "id", "left")
     else:
         d = d.withColumn("confidence", F.lit(None).cast("double"))
-    by_model = F.when(F.col("confidence").isNotNull(), rules.confidence_line(F.col("confidence")))
     skipped = rules.skip_in_digest(F.col("title"), F.col("source"), F.col("articleType"), F.col("matched"))
-    line = F.when(skipped, "skip").when(rules.is_preprint(F.col("source")), "preprint").otherwise(F.coalesce(by_model, rules.fallback_line(F.col("source"), F.col("section"))))
-    d = d.withColumn("line", line).withColumn("line_method", F.when(F.col("confidence").isNotNull(), "llm").otherwise("keyword-fallback"))
+    line, method = rules.resolved_line(F.col("source"), skipped, F.col("confidence"), F.col("section"))
+    d = d.withColumns({"line": line, "line_method": method})
     d = registry.with_dimension(d, catalog, "source", "id", {"priority": policy.MISSING_PRIORITY})
     d = selection.display_order(selection.select_featured(d)).withColumn("summary", F.lit(None).cast("string"))
     if answers.summary is not None:

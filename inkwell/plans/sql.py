@@ -72,8 +72,8 @@ rule AS (SELECT *, CASE WHEN len(ex) > 0 AND terms = 0 THEN 'no' WHEN len(inc) >
   CASE WHEN len(ex) > 0 AND terms = 0 THEN [] ELSE inc END AS includes, CASE WHEN (len(ex) > 0 AND terms = 0) OR len(inc) > 0 THEN ex ELSE [] END AS excludes FROM r1)"""
 
 L = f"""c AS ({cat(15)}), q AS (SELECT doc_id AS id, (doc_id % 21) / 20.0 AS conf FROM labels),
-l AS (SELECT s.*, CASE WHEN length(title) < 8 THEN 'skip' WHEN conf IS NOT NULL THEN CASE WHEN conf >= 0.75 THEN 'line-a' ELSE 'line-b' END WHEN source = 'src19' THEN 'preprint'
-  WHEN section = 'single-cell-spatial' THEN 'line-a' ELSE 'line-b' END AS line, CASE WHEN conf IS NOT NULL THEN 'llm' ELSE 'keyword-fallback' END AS line_method, coalesce(c.priority, 999) AS priority
+l AS (SELECT s.*, CASE WHEN source = 'src19' THEN 'preprint' WHEN length(title) < 8 THEN 'skip' WHEN conf IS NOT NULL THEN CASE WHEN conf >= 0.75 THEN 'line-a' ELSE 'line-b' END
+  WHEN section = 'single-cell-spatial' THEN 'line-a' ELSE 'line-b' END AS line, CASE WHEN coalesce(source, '') <> 'src19' AND length(title) >= 8 AND conf IS NOT NULL THEN 'llm' ELSE 'keyword-fallback' END AS line_method, coalesce(c.priority, 999) AS priority
   FROM s LEFT JOIN q ON s.id = q.id LEFT JOIN c ON s.source = c.id)"""
 RANK = "CASE line WHEN 'line-a' THEN 0 WHEN 'line-b' THEN 1 WHEN 'preprint' THEN 2 ELSE 99 END, priority, title COLLATE en, ord"
 F = f"""f AS (SELECT l.*, coalesce(e.n <= 12, false) AS featured FROM l LEFT JOIN (SELECT id, row_number() OVER (ORDER BY {RANK}) AS n FROM l WHERE line <> 'skip' AND abstract <> '') e USING (id))"""

@@ -30,7 +30,9 @@ def test_day(spark):
 def test_answers_take_effect(spark):
     items, records = inputs(spark)
     yes = lambda *ids: spark.createDataFrame([(i, "yes") for i in ids], "id string, verdict string")
-    a = daily.Answers(gate=spark.createDataFrame([("10.1101/1", "no"), ("10.1101/3", "yes")], "id string, verdict string"), routing=yes("10.1038/s1"), confidence=spark.createDataFrame([("10.1016/j.cell.1", 0.9), ("10.1038/s1", 0.1), ("10.1038/s1", 0.8)], "id string, confidence double"), summary=spark.createDataFrame([("10.1016/j.cell.1", "short")], "id string, summary string"))
+    whole = daily.run_day(spark, items, records, "2026-05-22")
+    lost = whole["papers"].select("id").union(whole["excluded"].select("id")).filter("id <> '10.1038/s1'")
+    a = daily.Answers(gate=spark.createDataFrame([("10.1101/1", "no"), ("10.1101/3", "yes")], "id string, verdict string"), routing=yes("10.1038/s1"), degraded=lost, confidence=spark.createDataFrame([("10.1016/j.cell.1", 0.9), ("10.1038/s1", 0.1), ("10.1038/s1", 0.8)], "id string, confidence double"), summary=spark.createDataFrame([("10.1016/j.cell.1", "short")], "id string, summary string"))
     p = {r.id: r for r in daily.run_day(spark, items, records, "2026-05-22", a)["papers"].collect()}
     assert "10.1101/1" not in p and p["10.1038/s1"].verdict == "yes" and p["10.1038/s1"].line_method == "keyword-fallback"
     assert (p["10.1016/j.cell.1"].line, p["10.1016/j.cell.1"].summary) == ("line-a", "short")

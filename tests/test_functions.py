@@ -10,6 +10,9 @@ from inkwell.functions import dates, html, keywords, rules, text
         (text.squeeze, " a  \n b﻿", "a b"),
         (text.decode_entities, "&amp;lt;&NBSP;x&#65;&#8211;&#x3b1;&#9", "< x" + "A–&#x3b1;&#9"),
         (text.decode_entities, "plain", "plain"),
+        (text.decode_entities, "&#4294967361;&#0000000000000065;", "AA"),
+        (text.decode_entities, "&#" + "9" * 400 + ";x", "\0x"),
+        (text.title_text, "a " + "<i><b>" * 30 + "deep" + "</b></i>" * 30 + " <sub>2</sub>", "a deep 2"),
         (text.strip_tags, "<style>p{}</style><p>a<b>b</b></p><SCRIPT>x\ny</SCRIPT>&lt;i&gt;c", "a b c"),
         (text.title_text, "Role of <i>Meg3<sup>+</sup></i>  cells", "Role of Meg3+ cells"),
         (text.title_text, "p < 0.05 and q > 1", "p < 0.05 and q > 1"),
@@ -128,3 +131,21 @@ def test_recipients(value):
     assert value(rules.recipients, '["a@x", " A@X ", "b@y"]') == ["a@x", "b@y"]
     assert value(rules.recipients, "a@x; B@y,,b@Y") == ["a@x", "B@y"]
     assert value(rules.recipients, "[not json") == ["[not json"]
+
+
+@pytest.mark.parametrize(
+    ("source", "skipped", "confidence", "section", "wanted"),
+    [
+        ("src19", True, 0.9, "biology", ("preprint", "keyword-fallback")),
+        ("src19", False, 0.9, "biology", ("preprint", "keyword-fallback")),
+        ("src1", True, 0.9, "biology", ("skip", "keyword-fallback")),
+        ("src1", False, 0.75, "other", ("line-a", "llm")),
+        ("src1", False, 0.1, "single-cell-spatial", ("line-b", "llm")),
+        ("src1", False, None, "single-cell-spatial", ("line-a", "keyword-fallback")),
+        (None, None, None, "biology", ("line-b", "keyword-fallback")),
+    ],
+)
+def test_lines_are_resolved_in_order(spark, source, skipped, confidence, section, wanted):
+    row = spark.createDataFrame([(source, skipped, confidence, section)], "source string, skipped boolean, confidence double, section string")
+    line, method = rules.resolved_line(F.col("source"), F.col("skipped"), F.col("confidence"), F.col("section"), ["src19"])
+    assert tuple(row.select(line, method).first()) == wanted

@@ -52,7 +52,10 @@ def papers(spark):
 
 def test_routing(spark):
     v = spark.createDataFrame([("d", "not_sure"), ("e", "no")], "id string, verdict string")
-    routed = routing.route(papers(spark), v)
+    lost = spark.createDataFrame([("b",), ("c",), ("c",), ("d",)], "id string")
+    routed = routing.route(papers(spark), v.unionByName(v), lost)
+    with pytest.raises(Exception, match="no routing verdict for c"):
+        routing.route(papers(spark), v, lost.filter("id <> 'c'")).collect()
     assert rows(routed, "id", "verdict", "method", "included") == [
         ("a", "yes", "scope-default", True), ("b", "yes", "routing-keyword-fallback", True), ("c", "no", "routing-keyword-fallback", False), ("d", "not_sure", "llm", True), ("e", "no", "llm", False),
     ]
