@@ -197,40 +197,22 @@ def html_meta_extract(spark, sf_dir):
 
 @query(sql.ENTITY_DECODE)
 def entity_decode(spark, sf_dir):
-    raw = F.concat(F.lit("&#945;&#8211;"), F.col("page_id").cast("string"), F.lit("&amp;lt;&NBSP;&#x27;&#x3b1;&#65;&#"), F.lit("66;"))
-    return read(spark, sf_dir, "pages").select("page_id", text.decode_entities(raw).alias("decoded"))
-
-
-def _jats_abstract(spark, sf_dir, body):
-    markup = F.concat(F.lit("&lt;jats:p&gt;"), body, F.lit("&lt;/jats:p&gt;"))
-    return read(spark, sf_dir, "documents").select("doc_id", text.jats_abstract(markup).alias("abstract"))
+    raw = F.concat(F.lit("&#945;&#8211;"), F.col("page_id").cast("string"), F.lit("&amp;lt;&NBSP;&#x27;&#x3b1;&#65;&#"), F.lit("66;"), F.coalesce("html", F.lit("")))
+    return read(spark, sf_dir, "pages").select("page_id", F.md5(text.decode_entities(raw)).alias("decoded_md5"))
 
 
 @query(sql.JATS_ABSTRACT)
 def jats_abstract(spark, sf_dir):
-    return _jats_abstract(spark, sf_dir, F.substring("text", 1, 150))
-
-
-@query(None)
-def jats_abstract_whole(spark, sf_dir):
-    return _jats_abstract(spark, sf_dir, F.col("text"))
-
-
-def _encoded_abstract(d, abstract):
-    journal = F.when(F.col("id") % 2 == 0, "Letters & Notes").otherwise("Notes (B)")
-    head = F.concat(F.lit("<p>"), F.replace(journal, F.lit("&"), F.lit("&amp;")), F.lit(", Published online: 05 May 2026; <a href='x'>doi:10.1/x</a></p>"))
-    body = F.concat(head, F.when(F.col("id") % 3 == 0, "Smith et al. report that ").otherwise("<p>"), abstract, F.lit("</p>"))
-    return d.select(F.col("id").alias("doc_id"), feeds.encoded_abstract(body, journal).alias("abstract"))
+    markup = F.concat(F.lit("&lt;jats:p&gt;"), F.col("text"), F.lit("&lt;/jats:p&gt;"))
+    return read(spark, sf_dir, "documents").select("doc_id", text.jats_abstract(markup).alias("abstract"))
 
 
 @query(sql.ENCODED_ABSTRACT)
 def encoded_abstract(spark, sf_dir):
-    return _encoded_abstract(papers(spark, sf_dir).filter("lang = 'en'"), F.substring("abstract", 1, 120))
-
-
-@query(None)
-def encoded_abstract_whole(spark, sf_dir):
-    return _encoded_abstract(papers(spark, sf_dir), F.col("abstract"))
+    journal = F.when(F.col("id") % 2 == 0, "Letters & Notes").otherwise("Notes (B)")
+    head = F.concat(F.lit("<p>"), F.replace(journal, F.lit("&"), F.lit("&amp;")), F.lit(", Published online: 05 May 2026; <a href='x'>doi:10.1/x</a></p>"))
+    body = F.concat(head, F.when(F.col("id") % 3 == 0, "Smith et al. report that ").otherwise("<p>"), F.col("abstract"), F.lit("</p>"))
+    return papers(spark, sf_dir).select(F.col("id").alias("doc_id"), feeds.encoded_abstract(body, journal).alias("abstract"))
 
 
 @query(sql.PAYLOAD_TRUNCATE)
@@ -534,24 +516,15 @@ def salvage_rows(spark, sf_dir):
     return structured.salvage_titles(answers, asked)[2]
 
 
-def _summary_fields(d):
-    d = d.select("id", F.regexp_replace("title", '["\\\\\n\t]', "").alias("t"))
+@query(sql.SUMMARY_FIELDS)
+def summary_fields(spark, sf_dir):
+    d = papers(spark, sf_dir).select("id", F.regexp_replace("title", '["\\\\\n\t]', "").alias("t"))
     tags = F.array_join(F.transform(F.sequence(F.lit(1), (F.col("id") % 10 + 1).cast("int")), lambda i: F.concat(F.lit('" g'), i.cast("string"), F.lit(' "'))), ",")
     json = F.concat(F.lit('{"id":"'), (F.col("id") - F.when(F.col("id") % 7 == 0, 1).otherwise(0)).cast("string"), F.lit('","title":" '), "t", F.lit('","summary":"s","tags":['), tags, F.lit(',""]}'))
     d = d.select("id", structured.summary_fields(json, F.col("id").cast("string")).alias("f"))
     return d.select(F.col("id").alias("doc_id"), "f.title", "f.summary", F.array_join("f.tags", ",").alias("tags"))
 
 
-@query(sql.SUMMARY_FIELDS)
-def summary_fields(spark, sf_dir):
-    return _summary_fields(papers(spark, sf_dir).filter("lang = 'en'"))
-
-
-@query(None)
-def summary_fields_whole(spark, sf_dir):
-    return _summary_fields(papers(spark, sf_dir))
-
-
 @query(sql.TRAILING_RATE)
 def trailing_rate(spark, sf_dir):
     return batching.request_rate(read(spark, sf_dir, "events"), "ts", "event_type", 3600).select("event_id", "recent")

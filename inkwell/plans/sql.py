@@ -102,9 +102,9 @@ _title = "regexp_extract(html, '(?is)<title>(.*?)</title>', 1)"
 HTML_TITLE_STRIP = f"SELECT page_id, CASE WHEN regexp_matches({decode(_title)}, '(?is)<[a-z].*>') THEN 'A&B x ' || {strip(_title)} || ' H2O' ELSE {squeeze(chr(39) + 'A&B x  ' + chr(39) + ' || ' + decode(_title) + ' || ' + chr(39) + ' H2O' + chr(39))} END AS title FROM pages"
 HTML_MAIN_TEXT = f"""SELECT page_id, CAST(length(t) AS BIGINT) AS chars, md5(t) AS md5, md5(replace(replace(replace(replace(t, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;')) AS escaped_md5 FROM (SELECT page_id, {strip("html")} AS t FROM pages)"""
 HTML_META_EXTRACT = """SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'News & Views' WHEN 1 THEN 'Article' END AS kind, page_id % 4 = 1 AS research, CASE WHEN page_id % 2 = 0 AND url <> '' THEN url ELSE 'd ' || page_id END AS abstract FROM pages"""
-ENTITY_DECODE = "SELECT page_id, chr(945) || chr(8211) || page_id || '< ''&#x3b1;AB' AS decoded FROM pages"
-JATS_ABSTRACT = f"SELECT doc_id, CASE WHEN length(t) >= 80 AND NOT regexp_matches(t, '(?i)</?[a-z]') THEN t END AS abstract FROM (SELECT doc_id, {strip('substr(text, 1, 150)')} AS t FROM documents)"
-ENCODED_ABSTRACT = f"WITH {P}, x AS (SELECT id, {squeeze('strip')} AS t FROM (SELECT id, {strip('substr(abstract, 1, 120)')} AS strip FROM p WHERE lang = 'en')) SELECT id AS doc_id, CASE WHEN id % 3 <> 0 AND length(t) >= 40 THEN t END AS abstract FROM x"
+ENTITY_DECODE = f"SELECT page_id, md5(chr(945) || chr(8211) || page_id || '< ''&#x3b1;AB' || {decode("coalesce(html, '')")}) AS decoded_md5 FROM pages"
+JATS_ABSTRACT = f"SELECT doc_id, CASE WHEN length(t) >= 80 AND NOT regexp_matches(t, '(?i)</?[a-z]') THEN t END AS abstract FROM (SELECT doc_id, {strip('text')} AS t FROM documents)"
+ENCODED_ABSTRACT = f"WITH {P}, x AS (SELECT id, {squeeze('strip')} AS t FROM (SELECT id, {strip('abstract')} AS strip FROM p)) SELECT id AS doc_id, CASE WHEN id % 3 <> 0 AND length(t) >= 40 THEN t END AS abstract FROM x"
 PAYLOAD_TRUNCATE = f"WITH {P}, x AS (SELECT id, CASE WHEN length(abstract) > 2000 THEN substr(abstract, 1, 2000) || '…' ELSE abstract END AS t FROM p) SELECT id AS doc_id, CAST(length(t) AS BIGINT) AS chars, md5(t) AS md5 FROM x"
 
 KEYWORD_SECTION = f"WITH {P}, {S} SELECT id AS doc_id, array_to_string(matched, ',') AS matched, section FROM s"
@@ -183,7 +183,7 @@ SALVAGE_ROWS = """WITH e AS (SELECT user_id AS batch, event_id % 13 = 0 AS bad_i
 x AS (SELECT batch, failed, asked, CASE WHEN twice THEN 2 ELSE 1 END AS n, bad_id OR blank AS invalid, twice AND asked AND NOT bad_id AS again, NOT bad_id AND NOT blank AND NOT asked AS unknown, NOT bad_id AND NOT blank AND asked AND NOT twice AS good FROM e)
 SELECT batch, failed, count(*) FILTER (asked) AS requested, CASE WHEN failed THEN 0 ELSE CAST(coalesce(sum(n) FILTER (invalid), 0) AS BIGINT) END AS invalid, CASE WHEN failed THEN 0 ELSE count(*) FILTER (again) END AS duplicate,
   CASE WHEN failed THEN 0 ELSE CAST(coalesce(sum(n) FILTER (unknown), 0) AS BIGINT) END AS unknown, CASE WHEN failed THEN 0 ELSE count(*) FILTER (good) END AS salvaged, count(*) FILTER (asked) - CASE WHEN failed THEN 0 ELSE count(*) FILTER (good) END AS missing FROM x GROUP BY batch, failed"""
-SUMMARY_FIELDS = rf"""WITH {P}, x AS (SELECT id, {squeeze("regexp_replace(title, '[\"\\\\\\n\\t]', '', 'g')")} AS t, id % 7 <> 0 AND id % 10 < 8 AS ok FROM p WHERE lang = 'en')
+SUMMARY_FIELDS = rf"""WITH {P}, x AS (SELECT id, {squeeze("regexp_replace(title, '[\"\\\\\\n\\t]', '', 'g')")} AS t, id % 7 <> 0 AND id % 10 < 8 AS ok FROM p)
 SELECT id AS doc_id, CASE WHEN ok AND t <> '' THEN t END AS title, CASE WHEN ok AND t <> '' THEN 's' END AS summary, CASE WHEN ok AND t <> '' THEN array_to_string(list_transform(range(1, id % 10 + 2), lambda i: 'g' || i), ',') END AS tags FROM x"""
 TRAILING_RATE = "SELECT event_id, count(*) OVER (PARTITION BY event_type ORDER BY epoch_us(ts) // 1000 RANGE BETWEEN 3600000 PRECEDING AND CURRENT ROW) AS recent FROM events"
 START_SPACING = """WITH e AS (SELECT event_id, user_id, greatest(epoch_us(ts) // 1000, 1704153600000) AS came, row_number() OVER (PARTITION BY user_id ORDER BY epoch_us(ts) // 1000, event_id) AS i FROM events)

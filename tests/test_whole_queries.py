@@ -1,4 +1,4 @@
-"""The whole-text queries against brute force, on texts with markup after the cuts of their SQL twins and in any language."""
+"""Queries over whole texts against brute force, on texts with late markup and in any language."""
 
 import re
 
@@ -29,16 +29,16 @@ def by_id(df):
     return {r[0]: tuple(r)[1:] for r in df.collect()}
 
 
-def test_jats_abstract_whole(spark, folder):
+def test_jats_abstract(spark, folder):
     wanted = {i: plain(t + "</jats:p>") for i, t, _ in ROWS}
-    assert by_id(catalog.jats_abstract_whole(spark, folder)) == {i: (t if len(t) >= 80 and not re.search("(?i)</?[a-z]", t) else None,) for i, t in wanted.items()}
+    assert by_id(catalog.jats_abstract(spark, folder)) == {i: (t if len(t) >= 80 and not re.search("(?i)</?[a-z]", t) else None,) for i, t in wanted.items()}
 
 
-def test_encoded_abstract_whole(spark, folder):
+def test_encoded_abstract(spark, folder):
     wanted = {i: plain(t.split(".", 1)[1] + "</p>") for i, t, _ in ROWS}
-    assert by_id(catalog.encoded_abstract_whole(spark, folder)) == {i: (t if i % 3 and len(t) >= 40 else None,) for i, t in wanted.items()}
+    assert by_id(catalog.encoded_abstract(spark, folder)) == {i: (t if i % 3 and len(t) >= 40 else None,) for i, t in wanted.items()}
 
 
-def test_summary_fields_whole(spark, folder):
-    got = by_id(catalog.summary_fields_whole(spark, folder))
+def test_summary_fields(spark, folder):
+    got = by_id(catalog.summary_fields(spark, folder))
     assert got == {i: (TITLE.format(i), "s", ",".join(f"g{k}" for k in range(1, i % 10 + 2))) if i % 7 and i % 10 < 8 else (None, None, None) for i, _, _ in ROWS}
