@@ -4,26 +4,14 @@ from __future__ import annotations
 
 import atexit
 import gc
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 2 << 20
+from inkwell.session import shared_dir
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; where it is unset (tests), one is made and set."""
-    sc = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = sc._jsc.sc().getCheckpointDir()
-        base = base.get() if base.isDefined() else None
-    if not base:
-        base = tempfile.mkdtemp(prefix="inkwell-shared-")
-        sc.setCheckpointDir(base)
-    return base.rstrip("/")
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 2 << 20
 
 
 def remove(spark: SparkSession, path: str) -> None:
