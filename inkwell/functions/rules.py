@@ -53,7 +53,7 @@ def skip_in_digest(title: Column, source: Column, kind: Column, matched: Column,
 
 
 def is_teaser(abstract: Column) -> Column:
-    return F.coalesce(squeeze(abstract).rlike(rf"(?i)\bet al\.\s+({'|'.join(policy.TEASER_VERBS)})\b"), F.lit(False))
+    return F.coalesce(abstract.rlike(rf"(?i)\bet{SPACE}+al\.{SPACE}+({'|'.join(policy.TEASER_VERBS)})\b"), F.lit(False))
 
 
 def usable_abstract(abstract: Column) -> Column:

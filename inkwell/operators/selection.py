@@ -20,8 +20,11 @@ def select_featured(papers: DataFrame, most: int = MAX_FEATURED, key: str = "id"
 
     The pools of line-a, line-b and preprints are drained in that order up to ``most``, which is the first ``most`` of
     one order with the pool as its leading key: a bounded top-k a task, then a join with at most ``most`` ids.
+    ``papers`` is read twice; where it costs more than reading, it should stand written or checkpointed, without its
+    texts: a boolean column ``eligible`` then takes the abstract's place.
     """
-    top = papers.filter(eligible(F.col("line"), F.col("abstract"))).orderBy(*rank_order()).limit(most).select(F.col(key).alias("_top"), F.lit(True).alias("_featured"))
+    may = F.col("eligible") if "eligible" in papers.columns else eligible(F.col("line"), F.col("abstract"))
+    top = papers.filter(may).orderBy(*rank_order()).limit(most).select(F.col(key).alias("_top"), F.lit(True).alias("_featured"))
     return papers.join(F.broadcast(top), F.col(key) == F.col("_top"), "left").select(*[c for c in papers.columns if c != "featured"], F.coalesce("_featured", F.lit(False)).alias("featured"))
 
 

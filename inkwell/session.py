@@ -4,7 +4,28 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``, which driver and executors share. Only a local session, whose executors are the driver itself, gets one made where that is unset."""
+    sc = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = sc._jsc.sc().getCheckpointDir()
+        base = base.get() if base.isDefined() else None
+    if not base:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir is not set; it must name a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="inkwell-shared-")
+        sc.setCheckpointDir(base)
+    return base.rstrip("/")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` as written to the checkpoint folder: what follows reads it from there, however often."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint()
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
