@@ -10,7 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.llm.words import LOWER, U64, chunks, mix, text_bytes
+from inkwell.llm.scratch import Scratch
+from inkwell.llm.words import LOWER, U64, chunks, give_back, mix, text_bytes
 
 #: ISO 639-1 codes by family. A language that stands nowhere is a family of its own.
 FAMILIES = {
@@ -20,8 +21,8 @@ FAMILIES = {
     "uralic": "et fi hu",
     "turkic": "az kk tr uz",
 }
-#: Bound of the rows that train, for each language; slots of hashed byte triples; steps and penalty of the descent.
-SAMPLE_ROWS, SLOTS, STEPS, PENALTY = 1500, 4096, 150, 1e-4
+#: Bound of the rows that train a machine's side; slots of hashed byte triples; steps and penalty of the descent; texts whose profiles stand in memory at once.
+SAMPLE_ROWS, SLOTS, STEPS, PENALTY, TEXTS = 1500, 4096, 150, 1e-4, 256
 UNKNOWN = "und"
 
 
@@ -100,43 +101,73 @@ class Model:
         return out.tolist(), score
 
 
-def train(x: np.ndarray, lang: np.ndarray) -> Model:
-    langs = sorted(set(lang.tolist()))
-    fams = np.array([family(v) for v in lang.tolist()])
-    machines: dict[tuple, np.ndarray] = {}
-    for a, b in combinations(sorted(set(fams.tolist())), 2):
-        rows = (fams == a) | (fams == b)
-        machines["family", a, b] = svm(x[rows], np.where(fams[rows] == a, 1, -1))
-    for name in sorted(set(fams.tolist())):
-        for a, b in combinations([v for v in langs if family(v) == name], 2):
-            rows = (lang == a) | (lang == b)
-            machines[name, a, b] = svm(x[rows], np.where(lang[rows] == a, 1, -1))
-    return Model(langs, machines)
+def pairings(langs: list[str]) -> list[tuple[str, str, str]]:
+    """The machines that the languages need: families against families, and languages against one another within a family."""
+    families = sorted({family(v) for v in langs})
+    out = [("family", a, b) for a, b in combinations(families, 2)]
+    return out + [(name, a, b) for name in families for a, b in combinations([v for v in langs if family(v) == name], 2)]
+
+
+SAMPLE = "at long, lang string, slots binary, weights binary"
+SAMPLE_ARROW = pa.schema([("at", pa.int64()), ("lang", pa.string()), ("slots", pa.binary()), ("weights", pa.binary())])
 
 
 def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (at, lang, text) with their profiles, of which only the slots in use are kept."""
     for batch in batches:
-        data, off = text_bytes(batch.column(0))
-        for i, j in chunks(off):
+        data, off = text_bytes(batch.column(2))
+        for i, j in chunks(off, rows=TEXTS):
             x = profile(data[off[i] : off[j]], off[i : j + 1] - off[i])
-            yield pa.RecordBatch.from_arrays([pa.array([r.astype(np.float16).tobytes() for r in x], pa.binary()), batch.column(1).slice(i, j - i)], names=["x", "lang"])
+            used = [np.flatnonzero(r) for r in x]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array([u.astype("<u2").tobytes() for u in used], pa.binary()), pa.array([r[u].astype("<f2").tobytes() for r, u in zip(x, used, strict=True)], pa.binary())],
+                schema=SAMPLE_ARROW,
+            )
+    give_back()
+
+
+MACHINE = "machine int, weights binary"
+
+
+def _train(table: pa.Table) -> pa.Table:
+    """A machine's rows, in an order that does not depend on how they came, to its weights."""
+    table = table.sort_by([("y", "ascending"), ("lang", "ascending"), ("at", "ascending")])
+    x = np.zeros((table.num_rows, SLOTS), np.float32)
+    for row, slots, weights in zip(x, table.column("slots"), table.column("weights"), strict=True):
+        row[np.frombuffer(slots.as_py(), "<u2")] = np.frombuffer(weights.as_py(), "<f2")
+    w = svm(x, table.column("y").to_numpy().astype(np.float32))
+    del x
+    give_back()
+    return pa.table({"machine": table.column("machine").slice(0, 1).cast(pa.int32()), "weights": pa.array([w.astype("<f4").tobytes()], pa.binary())})
 
 
 def fit(docs: DataFrame, fold: str, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = SAMPLE_ROWS) -> Model:
-    """Train on the rows with text, language and id where ``fold`` holds: of each language about ``rows`` of them at most, those whose md5 of the id is least."""
-    known = docs.filter(F.expr(fold)).filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    known = known.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.conv(F.substring(F.md5(F.col(id_col).cast("string")), 1, 8), 16, 10).cast("double").alias("at"))
-    counts = {r.lang: r.n for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not counts:
-        return Model([UNKNOWN], {})
-    limit = F.lit(None).cast("double")
-    for lang, n in sorted(counts.items()):
-        limit = F.when(F.col("lang") == lang, F.lit(min(1.0, rows / n) * 2.0**32)).otherwise(limit)
-    got = known.filter(F.col("at") < limit).select("text", "lang").mapInArrow(_profiles, "x binary, lang string").collect()
-    got.sort(key=lambda r: (r.lang, r.x))
-    # A language with rows but none in the sample still exists; the sample of at least one row is then its smallest.
-    x = np.stack([np.frombuffer(r.x, np.float16) for r in got]).astype(np.float32) if got else np.zeros((0, SLOTS), np.float32)
-    return train(x, np.array([r.lang for r in got], object)) if got else Model(sorted(counts)[:1], {})
+    """Train on the rows with text and language where ``fold`` holds: of each language about ``rows`` at most, those whose hash of id and text is least; rows that repeat both are one.
+
+    Each machine trains in a task of its own, on about ``rows`` rows a side (a family's languages share them). The
+    driver gets the weights alone.
+    """
+    spark = docs.sparkSession
+    at = F.shiftrightunsigned(F.xxhash64(F.col(id_col).cast("string"), F.col(text_col)), 32)
+    known = docs.filter(F.expr(fold)).filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(at.alias("at"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    with Scratch(spark, "language") as scratch:
+        limits = known.groupBy("lang").agg((F.least(F.lit(1.0), F.lit(rows) / F.approx_count_distinct("at")) * 2.0**32).alias("limit"))
+        some = known.join(scratch.save(limits, "limits"), "lang").filter(F.col("at") < F.col("limit")).groupBy("lang", "at").agg(F.min("text").alias("text"))
+        sample = scratch.save(some.select("at", "lang", "text").mapInArrow(_profiles, SAMPLE), "sample")
+        langs = sorted(r.lang for r in sample.select("lang").distinct().collect())
+        named = pairings(langs)
+        if not named:
+            return Model(langs or [UNKNOWN], {})
+        sides = []
+        for m, (name, a, b) in enumerate(named):
+            for side, y in ((a, 1), (b, -1)):
+                own = [v for v in langs if family(v) == side] if name == "family" else [side]
+                sides += [(m, v, y, len(own)) for v in own]
+        sides = spark.createDataFrame(sides, "machine int, lang string, y int, share int")
+        got = sample.join(sides, "lang").filter("at % share = 0").groupBy("machine").applyInArrow(_train, MACHINE).collect()
+    weights = {named[r.machine]: np.frombuffer(r.weights, "<f4") for r in got}
+    # A family whose few rows all fell to others' shares has no machine, and no row speaks for or against it.
+    return Model(langs, {k: weights[k] for k in named if k in weights})
 
 
 def _apply(model):
@@ -144,11 +175,12 @@ def _apply(model):
         m: Model = model.value
         for batch in batches:
             data, off = text_bytes(batch.column(1))
-            for i, j in chunks(off):
+            for i, j in chunks(off, rows=TEXTS):
                 part, cut = data[off[i] : off[j]], off[i : j + 1] - off[i]
                 lang, score = m.predict(profile(part, cut))
                 ok = has_letter(part, cut)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array([v if k else UNKNOWN for v, k in zip(lang, ok, strict=True)], pa.string()), pa.array(np.where(ok, score, 0.0))], names=["doc_id", "lang_pred", "score"])
+        give_back()
 
     return run
 

@@ -5,7 +5,7 @@ a fixed length (a text's last one is filled up), so a sequence never mixes two t
 reserves as many numbers as it could have sequences (a token has a byte or more), which needs
 no encoding to count. A keyed Feistel permutation of all reserved numbers, walked along its
 cycles until it lands inside their count, gives every sequence its place without any sort of
-the whole. Places are dealt in ranges to shard files, where each sequence takes the same number of
+the whole. Places are dealt in ranges to tasks and shard files, where each sequence takes the same number of
 bytes and those not used take none; the shards' counts turn places into global slots without
 holes. Training reads shards one after the other and can resume at any slot by a seek.
 """
@@ -17,13 +17,14 @@ import json
 import uuid
 import zlib
 from array import array
-from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyarrow import compute
+from pyarrow.dataset import dataset
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from inkwell.llm.scratch import Scratch, forget_at_exit, shared_dir
@@ -32,6 +33,8 @@ from inkwell.llm.words import U64, mix, text_bytes
 
 #: Tokens in a sequence, reserved places in a shard, rounds of the permutation, key.
 LENGTH, SHARD_PLACES, ROUNDS, KEY = 512, 32_768, 6, 20_240_601
+#: Shards that a task writes at most, and shards whose counts are summed at once.
+TASK_SHARDS, SUMMED_SHARDS = 8, 1 << 16
 TOKENIZER, END = "/opt/tokenizers/byte_bpe_50k.tiktoken", 50_256
 #: Fixed value: the pre-tokenisation pattern of the public 50k byte-level vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -42,7 +45,8 @@ def feistel(x: np.ndarray, n: int, key: int = KEY) -> np.ndarray:
     """A permutation of 0..n-1, at each of ``x``. The network permutes the least even number of bits that holds n; results outside go round again."""
     half = max(1, ((max(n - 1, 1)).bit_length() + 1) // 2)
     mask = U64((1 << half) - 1)
-    keys = mix(np.arange(ROUNDS, dtype=U64) + U64(key) * U64(2654435761))
+    with np.errstate(over="ignore"):
+        keys = mix(np.arange(ROUNDS, dtype=U64) + U64(key) * U64(2654435761))
     out, left = x.astype(U64), np.arange(len(x))
     while len(left):
         v = out[left]
@@ -227,14 +231,21 @@ def write_training_order(
         total += counts[number].n
     placed = rows.mapInArrow(_place(ranks, spark.sparkContext.broadcast(parts), length, total, key), PIECES)
     shards = max(1, -(-total // shard_places))
-    dealt = placed.repartition(min(shards, int(spark.conf.get("spark.sql.shuffle.partitions"))), F.floor(F.col("place") / shard_places)).sortWithinPartitions("place")
+    # Places are spread evenly, so a range of them is a task of even size, and no sample has to find the ranges.
+    each = max(1, min(TASK_SHARDS, shards // int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    dealt = placed.repartitionById(-(-shards // each), F.floor(F.col("place") / (shard_places * each)).cast("int")).sortWithinPartitions("place")
     with Scratch(spark, "shards") as scratch:
         written = scratch.result(dealt.mapInArrow(_write(path, shard_places), DIGEST), "rows")
-        held = {r.shard: r.n for r in written.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
-        begin = np.concatenate([[0], np.cumsum([held.get(s, 0) for s in range(shards)])]).tolist()
-        _manifest(path, {"length": length, "bytes_per_token": np.dtype(TYPE).itemsize, "first_slots": begin, "key": key})
-        first = spark.createDataFrame([(s, begin[s]) for s in sorted(held)], "shard long, _first long")
-        return written.join(first, "shard").select((F.col("_first") + F.col("row")).alias("slot"), *written.columns)
+        held = scratch.result(written.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).withColumn("part", F.floor(F.col("shard") / SUMMED_SHARDS)), "held")
+        sums = sorted((r.part, r.n) for r in held.groupBy("part").agg(F.sum("n").alias("n")).collect())
+        before = np.concatenate([[0], np.cumsum([n for _, n in sums])]).astype(np.int64).tolist()
+        starts = spark.createDataFrame([(part, before[i]) for i, (part, _) in enumerate(sums)], "part long, _before long")
+        so_far = F.coalesce(F.sum("n").over(Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        first = held.join(starts, "part").select("shard", (F.col("_before") + so_far).alias("first_slot"), "n")
+        first.repartitionByRange("shard").sortWithinPartitions("shard").write.mode("overwrite").parquet(f"{path}/index")
+        _manifest(path, {"length": length, "bytes_per_token": np.dtype(TYPE).itemsize, "sequences": before[-1], "shards": shards, "key": key})
+        first = spark.read.schema("shard long, first_slot long, n long").parquet(f"{path}/index").drop("n")
+        return written.join(first, "shard").select((F.col("first_slot") + F.col("row")).alias("slot"), *written.columns)
 
 
 def _manifest(path: str, what: dict) -> None:
@@ -245,18 +256,18 @@ def _manifest(path: str, what: dict) -> None:
 
 
 def read_sequences(path: str, start: int = 0) -> Iterator[tuple[int, np.ndarray]]:
-    """(slot, tokens) from slot ``start`` on, one shard after the other: one seek, then reads in sequence."""
+    """(slot, tokens) from slot ``start`` on, one shard after the other: one seek, then reads in sequence. Nothing where ``start`` is past the last slot or nothing was written."""
     store, root = open_store(path)
     with store.open_input_stream(f"{root}/manifest.json") as f:
         m = json.loads(f.read())
-    stride, firsts = m["length"] * m["bytes_per_token"], m["first_slots"]
-    while start < firsts[-1]:
-        shard = bisect_right(firsts, start) - 1
-        with store.open_input_file(f"{root}/{shard_name(shard)}") as f:
-            f.seek((start - firsts[shard]) * stride)
-            for slot in range(start, firsts[shard + 1]):
+    stride = m["length"] * m["bytes_per_token"]
+    index = dataset(f"{root}/index", filesystem=store, format="parquet").to_table(filter=compute.field("first_slot") + compute.field("n") > start) if m["sequences"] else pa.table({"shard": [], "first_slot": [], "n": []})
+    for shard in index.sort_by("shard").to_pylist():
+        begin, end = shard["first_slot"], shard["first_slot"] + shard["n"]
+        with store.open_input_file(f"{root}/{shard_name(shard['shard'])}") as f:
+            f.seek((max(start, begin) - begin) * stride)
+            for slot in range(max(start, begin), end):
                 yield slot, np.frombuffer(f.read(stride), TYPE)
-        start = firsts[shard + 1]
 
 
 def materialise(spark: SparkSession, docs: DataFrame, tag: str = "shards", **options) -> DataFrame:

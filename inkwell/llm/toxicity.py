@@ -7,6 +7,7 @@ under the noisy-or trains the sentence model, which then also says which sentenc
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,10 +15,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from inkwell.llm.scratch import Scratch
 from inkwell.llm.words import ALNUM, U64, Words, chunks, mix, scan, text_bytes
 
-#: Bound of the labelled rows that training sees (those with the least md5 of their id).
-SAMPLE_ROWS = 4000
+#: Bounds of the labelled rows that training sees (those with the least md5 of their id), and of their texts' bytes.
+SAMPLE_ROWS, SAMPLE_BYTES = 4000, 32 << 20
 #: Slots of hashed features; lengths in bytes of the word beginnings used beside whole words.
 SLOTS, PREFIXES = 1 << 18, (4, 5, 6)
 #: Steps and rate of the descent, its decay; documents that must hold a slot, and by how many standard deviations toxic ones must hold it more often.
@@ -131,15 +133,24 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, fold: str, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rows: int = SAMPLE_ROWS) -> Model:
-    """Train on at most ``rows`` labelled documents for which ``fold`` holds: a bounded sample, the same in every run. Rows without label or id do not train."""
+    """Train on at most ``rows`` labelled documents, and ``SAMPLE_BYTES`` of text or one document, for which ``fold`` holds: a bounded sample, the same in every run.
+
+    Rows without label or id do not train. Of rows that repeat an id the least text does, with the greatest label.
+    """
     spark = docs.sparkSession
     chosen = labels.filter(F.expr(fold)).filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
     chosen = chosen.select(F.col(id_col).alias("k"), F.col(label_col).cast("int").alias("y")).orderBy(F.md5(F.col("k").cast("string")), "k", "y").limit(rows).collect()
     if not chosen:
         return Model(np.zeros(SLOTS), -12.0)
-    picked = F.broadcast(spark.createDataFrame(chosen, "k long, y int").dropDuplicates(["k"]))
-    texts = docs.select(F.col(id_col).alias("k"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).join(picked, "k").select("text", "y", "k")
-    got = [(bytes(r.slots), bytes(r.first), r.y) for r in texts.select("text", "y").mapInArrow(_examples, "slots binary, first binary, y int").toLocalIterator()]
+    picked = spark.createDataFrame(chosen, "k long, y int").groupBy("k").agg(F.max("y").alias("y"))
+    texts = docs.select(F.col(id_col).alias("k"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).join(F.broadcast(picked), "k")  # no more than ``rows`` rows
+    with Scratch(spark, "toxicity") as scratch:
+        texts = scratch.save(texts.groupBy("k", "y").agg(F.min("text").alias("text")), "sample")
+        sizes = sorted((hashlib.md5(str(r.k).encode()).hexdigest(), r.k, r.n) for r in texts.select("k", F.octet_length("text").alias("n")).collect())
+        held = np.cumsum([n for _, _, n in sizes])
+        used = [k for (_, k, _), n in zip(sizes, held.tolist(), strict=True) if n <= max(SAMPLE_BYTES, held[0])]
+        texts = texts.filter(F.col("k").isin(used)) if len(used) < len(sizes) else texts
+        got = [(bytes(r.slots), bytes(r.first), r.y) for r in texts.select("text", "y").mapInArrow(_examples, "slots binary, first binary, y int").toLocalIterator()]
     got.sort()
     width = 1 + len(PREFIXES)
     return train([np.frombuffer(s, np.int32).reshape(-1, width) for s, _, _ in got], [np.frombuffer(f, "<i4").astype(np.int64) for _, f, _ in got], np.array([y for _, _, y in got]))

@@ -96,11 +96,12 @@ def scan(data: np.ndarray, off: np.ndarray, kind: np.ndarray = NOT_SPACE) -> Wor
     return Words(mix(h ^ (length.astype(U64) << U64(48))), first, start, length, low)
 
 
-def chunks(off: np.ndarray, most: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of texts that hold ``most`` bytes or are a single text."""
+def chunks(off: np.ndarray, most: int = CHUNK_BYTES, rows: int | None = None) -> Iterator[tuple[int, int]]:
+    """Ranges of texts that hold ``most`` bytes or are a single text, and no more than ``rows`` of them."""
     i, n = 0, len(off) - 1
     while i < n:
         j = max(i + 1, int(np.searchsorted(off, off[i] + most, "right")) - 1)
+        j = min(j, i + rows) if rows else j
         yield i, j
         i = j
 
