@@ -18,6 +18,8 @@ from inkwell.llm.scratch import Scratch
 WORD = r"[^\x20\x09-\x0D]+"
 #: Words in a block, and rows in a shard on average (a shard is sorted in one task).
 BLOCK_WORDS, SHARD_ROWS = 32, 2_000
+#: Steps of a quotient's height for each price of a seat.
+HEIGHTS = 1 << 14
 
 
 def word_count(text: Column) -> Column:
@@ -58,7 +60,8 @@ def sainte_lague(parties: DataFrame, group: list[str], votes: str, seats: str, n
 
     ``seats`` is a column that is the same in a whole group. Only contested seats are listed: a
     party's number lies within parties / 2 + 1 of its exact share in proportion to its votes, so the
-    list holds a few rows per party, whatever the number of seats. Ties fall to the first by ``name``.
+    list holds a few rows per party, whatever the number of seats, and of these a task orders only a group's that stand
+    as high as its last seat. Ties fall to the first by ``name``. A group without seats or votes wins nothing, and no parties give no rows.
     """
     w = Window.partitionBy(*group)
     d = parties.withColumn("_all", F.sum(votes).over(w)).withColumn("_m", F.count(F.lit(1)).over(w))
@@ -66,23 +69,30 @@ def sainte_lague(parties: DataFrame, group: list[str], votes: str, seats: str, n
     slack = F.when(F.col("_all") > 0, F.col("_m") * F.col(votes) / (2 * F.col("_all"))).otherwise(F.lit(0.0)) + 1
     d = d.withColumn("_base", F.greatest(F.lit(0), F.floor(share - slack)).cast("long")).withColumn("_top", F.ceil(share + slack).cast("long"))
     d = d.withColumn("_open", F.col(seats) - F.sum("_base").over(w))
-    listed = d.filter(F.col(votes) > 0).select(*dict.fromkeys([*group, *name]), votes, "_open", F.explode(F.expr("sequence(_base, _top)")).alias("_k"))
-    best = Window.partitionBy(*group).orderBy((F.col(votes) / (2 * F.col("_k") + 1)).desc(), *[F.col(c).isNull() for c in name], *[F.col(c) for c in name], "_k")
-    won = listed.withColumn("_rank", F.row_number().over(best)).filter("_rank <= _open").groupBy(*dict.fromkeys([*group, *name])).agg(F.count(F.lit(1)).alias("_more"))
+    d = d.withColumn("_price", F.when(F.col("_all") > 0, 2 * F.col(seats) / F.col("_all")).otherwise(F.lit(0.0)))
+    listed = d.filter(F.col(votes) > 0).select(*dict.fromkeys([*group, *name]), votes, "_open", "_price", F.explode(F.expr("sequence(_base, _top)")).alias("_k"))
+    # Quotients are counted by their height over the seats' average price, so that only those as high as the last winner's need an order.
+    listed = listed.withColumn("_q", F.col(votes) / (2 * F.col("_k") + 1)).withColumn("_height", F.floor(F.col("_q") * F.col("_price") * HEIGHTS))
+    per = listed.groupBy(*group, "_height").agg(F.count(F.lit(1)).alias("_n"), F.first("_open").alias("_open"))
+    above = F.coalesce(F.sum("_n").over(Window.partitionBy(*group).orderBy(F.col("_height").desc()).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    per = per.withColumn("_left", F.col("_open") - above).filter("_left > 0").select(*[F.col(c).alias(f"_g_{c}") for c in group], F.col("_height").alias("_h"), "_left", "_n")
+    met = listed.join(per, [*[F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in group], F.col("_height") == F.col("_h")])
+    best = Window.partitionBy(*group).orderBy(F.col("_q").desc(), *[F.col(c).isNull() for c in name], *[F.col(c) for c in name], "_k")
     keys = list(dict.fromkeys([*group, *name]))
+    last = met.filter("_n > _left").withColumn("_rank", F.row_number().over(best)).filter("_rank <= _left").select(*keys)
+    won = met.filter("_n <= _left").select(*keys).unionByName(last).groupBy(*keys).agg(F.count(F.lit(1)).alias("_more"))
     met = d.alias("p").join(won.select(*[F.col(c).alias(f"_w_{c}") for c in keys], "_more"), [F.col(f"p.{c}").eqNullSafe(F.col(f"_w_{c}")) for c in keys], "left")
     return met.withColumn("won", F.col("_base") + F.coalesce("_more", F.lit(0))).select(*[F.col(f"p.{c}") for c in parties.columns], "won")
 
 
 class Plan:
-    """Seats, quotas and where each shard's run of blocks begins, for one table and one seed."""
+    """Seats, quotas and where each shard's run of blocks begins, for one table and one seed. Its tables of sources and shards outlive ``scratch``."""
 
-    def __init__(self, docs: DataFrame, weights: tuple[float, ...], share: tuple[int, int], most: int, block_words: int, shard_rows: int, seed: int, columns: tuple[str, str, str]):
+    def __init__(self, scratch: Scratch, docs: DataFrame, weights: tuple[float, ...], share: tuple[int, int], most: int, block_words: int, shard_rows: int, seed: int, columns: tuple[str, str, str]):
         self.columns, self.seed = columns, seed
-        scratch = Scratch(docs.sparkSession, "mix")
-        self.rows = d = scratch.result(self._sized(docs), "rows")
+        self.rows = d = scratch.save(self._sized(docs), "rows")
         sources = d.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_rows"))
-        sources = scratch.result(sources, "sizes").coalesce(1)  # a row a source: what follows orders them all
+        sources = scratch.save(sources, "sizes").coalesce(1)  # a row a source: what follows orders them all
         targets = source_targets(sources.select("source", "source_size"), weights, share, most)
         targets = targets.withColumn("_seats", F.round(F.sum("target").over(Window.partitionBy()) / block_words).cast("long"))
         quotas = sainte_lague(targets.withColumn("_one", F.lit(0)), ["_one"], "target", "_seats", ["source"])
@@ -100,8 +110,8 @@ class Plan:
 
     def _sized(self, docs: DataFrame, *more: Column) -> DataFrame:
         i, text, source = self.columns
-        d = docs.select(F.col(i).alias("doc_id"), word_count(F.col(text)).alias("size"), F.col(source).alias("source"), *more)
-        return d.withColumn("_hash", _seeded("doc_id", seed=self.seed))
+        d = docs.select(F.col(i).alias("doc_id"), word_count(F.col(text)).alias("size"), F.col(source).alias("source"), F.md5(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("_md5"), *more)
+        return d.withColumn("_hash", _seeded("doc_id", "_md5", seed=self.seed)).drop("_md5")  # so that rows without an id, or with the same one, part
 
     def _in_shards(self, d: DataFrame) -> DataFrame:
         s = self.sources.withColumnRenamed("source", "s_source")
@@ -141,13 +151,18 @@ def mix(
     the shard is then open, but equal rows of equal size trade places without a change of the sizes
     taken). An empty table gives no rows. Columns other than the named ones are not read.
     """
-    plan = Plan(docs, weights, share, most, block_words, shard_rows, seed, (id_col, text_col, source_col))
-    return plan.apply(plan.rows).select("doc_id", "size", "source_size", "target", "taken", "copies", "runs")
+    with Scratch(docs.sparkSession, "mix") as scratch:
+        plan = Plan(scratch, docs, weights, share, most, block_words, shard_rows, seed, (id_col, text_col, source_col))
+        return scratch.result(plan.apply(plan.rows).select("doc_id", "size", "source_size", "target", "taken", "copies", "runs"))
 
 
 def take(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: tuple[int, int] = (3, 2), most: int = 2, block_words: int = BLOCK_WORDS, shard_rows: int = SHARD_ROWS, seed: int = 42) -> DataFrame:
-    """The mix itself, with the columns of ``docs``: a row for each whole copy, and for a text that a run cuts one row of the words it takes (white space between them as it was; n_chars counted anew)."""
-    plan = Plan(docs, weights, share, most, block_words, shard_rows, seed, ("doc_id", "text", "source"))
+    """The mix itself, with the columns of ``docs``: a row for each whole copy, and for a text that a run cuts one row of the words it takes (white space between them as it was; n_chars counted anew).
+
+    Rows without words are taken by none. Nulls, repeated rows and an empty table are as in ``mix``; columns of any names stay.
+    """
+    with Scratch(docs.sparkSession, "mix") as scratch:
+        plan = Plan(scratch, docs, weights, share, most, block_words, shard_rows, seed, ("doc_id", "text", "source"))
     d = plan.apply(plan._sized(docs, F.struct(*docs.columns).alias("row")))
     pieces = F.regexp_extract_all("row.text", F.lit(WORD + WORD[0] + WORD[2:-1] + "*"), F.lit(0))
     words = F.aggregate("runs", F.lit(""), lambda s, r: F.concat(s, F.array_join(F.slice(F.col("_pieces"), r.a.cast("int") + 1, (r.b - r.a).cast("int")), "")))

@@ -13,8 +13,8 @@ threshold, and these are verified on whole shingle sets.
 
 Block counts hold for a class of sizes; a text is dealt for each class its larger partners
 can be of. Texts of equal shingle sets are one node from the start, so copies cost nothing.
-Cells with many members are dealt again by another hash until they are small, which loses no
-pair since linked texts agree on a block under every hash.
+Cells with many members are dealt again by another hash, which loses no pair since linked texts
+agree on a block under every hash; those that stay large are joined in parts, each part with each.
 """
 
 from __future__ import annotations
@@ -36,6 +36,8 @@ SHINGLE, PERCENT = 4, 85
 CLASS_GROWTH, CHUNK, BUCKET_ENTRIES, CELL_MEMBERS, CELL_SHINGLES = 1.4, 2 << 20, 1_000_000, 4000, 4_000_000
 #: Shingles whose cells are found at once.
 SHINGLES_AT_ONCE = 1 << 16
+#: Members of a part of a cell that no hash divides; a tree joins two parts.
+PART_MEMBERS = 2000
 #: How many comparisons of points a group costs besides its own.
 GROUP_COST = 2000
 #: R-tree: points in a leaf, nodes in a node.
@@ -145,8 +147,8 @@ def counts_of(point: bytes) -> np.ndarray:
     return np.frombuffer(zlib.decompress(point[1:]), f"<u{point[:1].decode()}")
 
 
-ROWS = "doc_id long, n long, sid long, uid long, point binary, bucket int, keys binary, sids binary"
-ROWS_ARROW = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("sid", pa.int64()), ("uid", pa.int64()), ("point", pa.binary()), ("bucket", pa.int32()), ("keys", pa.binary()), ("sids", pa.binary())])
+ROWS = "doc_id long, n long, sid long, uid string, point binary, bucket int, keys binary, sids binary"
+ROWS_ARROW = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("sid", pa.int64()), ("uid", pa.string()), ("point", pa.binary()), ("bucket", pa.int32()), ("keys", pa.binary()), ("sids", pa.binary())])
 #: Number that stands for members that meet inside a chunk already.
 WITHIN = -1
 
@@ -182,7 +184,7 @@ def _deal(shingle: int, percent: int, buckets: int):
                 m = len(rows)
                 r, k, s = zip(*rows, strict=True)
                 void = pa.nulls(m, pa.int64())
-                yield pa.RecordBatch.from_arrays([void, void, void, void, pa.nulls(m, pa.binary()), pa.array(r, pa.int32()), pa.array(k, pa.binary()), pa.array(s, pa.binary())], schema=ROWS_ARROW)
+                yield pa.RecordBatch.from_arrays([void, void, void, pa.nulls(m, pa.string()), pa.nulls(m, pa.binary()), pa.array(r, pa.int32()), pa.array(k, pa.binary()), pa.array(s, pa.binary())], schema=ROWS_ARROW)
 
     return run
 
@@ -415,7 +417,8 @@ def _solve(scratch: Scratch, rows: DataFrame, shingle: int, percent: int) -> tup
 
 def _rows(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), *more)
-    return rows.withColumn("uid", F.xxhash64("doc_id", "text"))
+    own = [F.col("doc_id").isNull(), F.col("doc_id"), F.col("text")]
+    return rows.withColumn("uid", F.concat(F.hex(F.xxhash64(*own)), F.lit("-"), F.hex(F.xxhash64(F.lit(1), *own))))
 
 
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -437,7 +440,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """Of each component's rows the one with the smallest id, with all its columns as they are; texts without words all stay. Rows that repeat both id and text are one."""
+    """Of each component's rows the one with the smallest id, with all its columns as they are; texts without words all stay. Rows that repeat both id and text are one. A null id comes after all others. An empty table gives no rows; columns of any names stay."""
     with Scratch(docs.sparkSession, "ngram") as scratch:
         nodes, labels = _solve(scratch, _rows(docs, id_col, text_col), shingle, percent)
         # By set first, so that copies are counted before they meet.
@@ -457,12 +460,19 @@ def _still_open(members: DataFrame, least: int) -> DataFrame:
     return members.join(per.select("cell", "many").hint("merge"), "cell")
 
 
+def _in_parts(members: DataFrame) -> DataFrame:
+    """Members of large cells in parts, each with every part of its cell, so that any two members meet in a tree."""
+    d = members.withColumn("_parts", F.ceil(F.col("many") / PART_MEMBERS)).withColumn("_own", F.pmod(F.xxhash64("sid"), F.col("_parts")))
+    d = d.withColumn("_other", F.explode(F.expr("sequence(0L, _parts - 1)")))
+    return d.select("cell", "sid", "label", F.least("_own", "_other").alias("x"), F.greatest("_own", "_other").alias("y"))
+
+
 def _tree_rounds(scratch: Scratch, members: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Links found by R-trees among the members of the cells that the stars have left open. Two members may be left of a cell whose hub has no possible partner, and that hub's star did not compare them.
 
     The cells of one smallest member share most of their members, so they get one tree and a set travels once to
     it. Where that would be more than a task should join, each cell gets its own; a cell that is
-    still too large is dealt again by another hash.
+    still too large is dealt again by another hash, and what that leaves in one large cell is joined in parts.
     """
     seed = 1
     open_ = scratch.save(_still_open(members, 2), "open0")
@@ -478,9 +488,11 @@ def _tree_rounds(scratch: Scratch, members: DataFrame, texts: DataFrame, shingle
     open_ = open_.join(hubs.hint("merge"), "cell").join(fits.hint("merge"), "hub", "left_anti").drop("hub")
     open_ = scratch.save(open_, "large0")
     while not open_.isEmpty():
-        last = seed > 6  # by then a cell's members agree on a block of each of six hashes; they are joined however many they are
-        small = open_ if last else open_.filter(f"many <= {CELL_MEMBERS}")
+        last = seed > 1  # a cell that another hash leaves large is held together by what its texts share, and no hash parts it: it is joined part by part
+        small = open_.filter(f"many <= {CELL_MEMBERS}")
         found = small.join(sets.hint("merge"), "sid").groupBy("cell").applyInArrow(_cell_join(percent), PAIR)
+        if last:
+            found = found.unionByName(_in_parts(open_.filter(f"many > {CELL_MEMBERS}")).join(sets.hint("merge"), "sid").groupBy("cell", "x", "y").applyInArrow(_cell_join(percent), PAIR))
         out = out.unionByName(scratch.save(found, f"found{seed}"))
         large = open_.filter(f"many > {CELL_MEMBERS}")
         if last or large.isEmpty():

@@ -14,7 +14,7 @@ def lower(text: str) -> str:
 
 OP1 = rf"""
 WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS BIGINT) AS size,
-    CAST(('0x' || substr(md5('42|' || coalesce(CAST(doc_id AS VARCHAR), chr(0))), 1, 8)) AS BIGINT) AS h FROM documents),
+    CAST(('0x' || substr(md5('42|' || coalesce(CAST(doc_id AS VARCHAR), chr(0)) || '|' || md5(coalesce(text, ''))), 1, 8)) AS BIGINT) AS h FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, count(*) AS n FROM d GROUP BY source),
 w AS (SELECT *, [5.0, 2.0, 1.0][1 + CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS INT)]::DOUBLE AS w, 2 * source_size AS cap FROM s),
 l AS (SELECT *, row_number() OVER o AS nth, CAST(sum(source_size) OVER () * 3 - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) * 2 AS DOUBLE)
@@ -78,3 +78,14 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(h.n_hit, 0) AS n_
   coalesce(h.n_hit, 0) > 0 AND 20 * coalesce(h.n_hit, 0) >= len(d.w) AS contaminated
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN it USING (doc_id)
 """
+
+OP6 = f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({lower("text")}, '{WORD}') AS w FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 3, 1) + 1), lambda i: array_to_string(w[i : i + 3], ' '))) AS g FROM d WHERE len(w) > 0),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+m AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS MATERIALIZED (SELECT a, b FROM m JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
+r AS (SELECT doc_id, doc_id AS node FROM n UNION SELECT r.doc_id, l.b FROM r JOIN l ON r.node = l.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.least, d.doc_id) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT doc_id, min(node) AS least FROM r GROUP BY 1) c USING (doc_id)
+"""

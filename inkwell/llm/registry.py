@@ -64,4 +64,4 @@ def op10_lm_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_warc_salvage, op3_toxicity_mil, op4_exact_dedup, op5_decontaminate, op6_ngram_jaccard, op7_training_order, op8_quality_fourier, op9_language_svm, op10_lm_backoff)}
-ORACLES = {"op1_mix_sources": oracles.OP1, "op2_warc_salvage": oracles.OP2, "op4_exact_dedup": oracles.OP4, "op5_decontaminate": oracles.OP5}
+ORACLES = {"op1_mix_sources": oracles.OP1, "op2_warc_salvage": oracles.OP2, "op4_exact_dedup": oracles.OP4, "op5_decontaminate": oracles.OP5, "op6_ngram_jaccard": oracles.OP6}

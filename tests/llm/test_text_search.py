@@ -103,15 +103,17 @@ def family(draw, size, count, edits):
     return out
 
 
-@pytest.mark.parametrize(("n", "percent", "members"), [(4, 85, 4000), (3, 60, 6)])
-def test_components(spark, monkeypatch, n, percent, members):
+@pytest.mark.parametrize(("n", "percent", "members", "part"), [(4, 85, 4000, 2000), (5, 80, 4000, 2000), (3, 60, 6, 2000), (4, 85, 3, 8)])
+def test_components(spark, monkeypatch, n, percent, members, part):
     draw = np.random.default_rng(n * percent)
-    texts = [t for size in (5, 14, 60, 300) for t in family(draw, size, 9, max(2, size // 20))]
+    sizes, count = ((5, 9, 14, 30, 60, 150, 400), 14) if members > 10 else ((5, 14, 60), 8)
+    texts = [t for size in sizes for t in family(draw, size, count, max(2, size // 20))]
     passage = " ".join(f"p{i}" for i in range(25))
-    texts += [passage + " " + " ".join(f"q{draw.integers(50)}" for _ in range(8)) for _ in range(12)]
-    texts += [None, "", " ", "a", "A", "a b", "a b", texts[3].upper(), texts[30] + " tail"]
+    texts += [passage + " " + " ".join(f"q{draw.integers(50)}" for _ in range(8)) for _ in range(20)]
+    texts += [None, "", " ", "a", "A", "a b", "a b", texts[3].upper(), texts[-30] + " tail"]
     rows = [(i, t) for i, t in enumerate(texts)] + [(None, texts[5]), (None, "alone here"), (7, texts[7])]
     monkeypatch.setattr(ngram_join, "CELL_MEMBERS", members)
+    monkeypatch.setattr(ngram_join, "PART_MEMBERS", part)
     d = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted((tuple(r) for r in ngram_join.near_components(d, shingle=n, percent=percent).collect()), key=str)
     assert got == brute_components(rows, n, percent)
