@@ -447,10 +447,10 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         best = F.min(F.struct(F.col("doc_id").isNull().alias("x"), F.col("doc_id").alias("id"), F.col("uid").alias("uid")))
         of = nodes.filter("n > 0").groupBy("sid").agg(best.alias("best")).join(labels.hint("merge"), "sid")
         keep = of.groupBy("label").agg(F.min("best").alias("best")).select("best.uid").unionByName(nodes.filter("n = 0").select("uid")).distinct()
-        keep = scratch.save(keep, "keep")
+        keep = scratch.result(keep, "keep")
         rows = _rows(docs, id_col, text_col, F.struct(*docs.columns).alias("row")).select("uid", "row")
         kept = rows.join(keep.hint("merge"), "uid").groupBy("uid").agg(F.first("row").alias("row"))
-        return scratch.result(kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns]))
+        return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 def _still_open(members: DataFrame, least: int) -> DataFrame:
