@@ -89,3 +89,15 @@ r AS (SELECT doc_id, doc_id AS node FROM n UNION SELECT r.doc_id, l.b FROM r JOI
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.least, d.doc_id) AS component_id
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT doc_id, min(node) AS least FROM r GROUP BY 1) c USING (doc_id)
 """
+
+OP11 = """
+WITH c AS (SELECT click_id, first(struct_pack(ts := ts, kind := kind, cents := cents) ORDER BY ts NULLS LAST, kind NULLS FIRST, cents NULLS FIRST) AS r
+    FROM (SELECT click_id, ts, kind, CASE WHEN abs(100 * value) < 144115188075855872 THEN CAST(floor(100 * value + 0.5) AS BIGINT) END AS cents FROM clicks) GROUP BY click_id),
+d AS (SELECT click_id, r.ts AS ts, r.kind AS kind, r.cents AS cents FROM c WHERE r.ts IS NOT NULL),
+w AS (SELECT *, list_sort(list(cents) FILTER (WHERE cents IS NOT NULL) OVER (PARTITION BY kind ORDER BY ts RANGE BETWEEN INTERVAL 360 MINUTES PRECEDING AND CURRENT ROW)) AS v FROM d),
+m AS (SELECT *, coalesce(len(v), 0) AS n, v[(len(v) + 1) // 2] + v[len(v) // 2 + 1] AS m2 FROM w),
+g AS (SELECT *, list_sort(list_transform(v, lambda x: abs(2 * x - m2))) AS e FROM m)
+SELECT click_id, kind, CAST(n AS BIGINT) AS n, CASE WHEN n >= 5 THEN m2 END AS median2, CASE WHEN n >= 5 THEN e[(n + 1) // 2] + e[n // 2 + 1] END AS mad4,
+  CASE WHEN n >= 5 THEN 2 * abs(2 * cents - m2) > 5 * (e[(n + 1) // 2] + e[n // 2 + 1]) END AS far
+FROM g
+"""

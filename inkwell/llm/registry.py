@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.llm import backoff, decontaminate, exact_dedup, language, mixing, ngram_join, oracles, quality, tokens, toxicity, warc
+from inkwell.llm import backoff, decontaminate, exact_dedup, language, mixing, ngram_join, oracles, quality, rolling, simhash, tokens, toxicity, warc, whiten
 from inkwell.llm.tables import table
 
 
@@ -63,5 +63,25 @@ def op10_lm_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", fold(7, 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_warc_salvage, op3_toxicity_mil, op4_exact_dedup, op5_decontaminate, op6_ngram_jaccard, op7_training_order, op8_quality_fourier, op9_language_svm, op10_lm_backoff)}
-ORACLES = {"op1_mix_sources": oracles.OP1, "op2_warc_salvage": oracles.OP2, "op4_exact_dedup": oracles.OP4, "op5_decontaminate": oracles.OP5, "op6_ngram_jaccard": oracles.OP6}
+def op11_rolling_median(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rolling.rolling_mad(table(spark, sf_dir, "clicks"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_components(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_mix_sources, op2_warc_salvage, op3_toxicity_mil, op4_exact_dedup, op5_decontaminate, op6_ngram_jaccard, op7_training_order, op8_quality_fourier, op9_language_svm, op10_lm_backoff,
+        op11_rolling_median, op12_embedding_whitening, op13_simhash_bktree,
+    )
+}
+ORACLES = {
+    "op1_mix_sources": oracles.OP1, "op2_warc_salvage": oracles.OP2, "op4_exact_dedup": oracles.OP4, "op5_decontaminate": oracles.OP5, "op6_ngram_jaccard": oracles.OP6, "op11_rolling_median": oracles.OP11,
+}
