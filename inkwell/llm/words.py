@@ -27,9 +27,6 @@ def powers(n: int) -> np.ndarray:
         return np.multiply.accumulate(np.concatenate([np.ones(1, U64), np.full(max(n - 1, 0), BASE, U64)]))[:n]
 
 
-_POWERS = powers(1024)
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (the one of splitmix64), on a copy."""
     with np.errstate(over="ignore"):
@@ -40,6 +37,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def numbers(n: int, seed: int) -> np.ndarray:
+    """``n`` fixed numbers without a pattern."""
+    with np.errstate(over="ignore"):
+        return mix(np.arange(1, n + 1, dtype=U64) * BASE + U64(seed))
+
+
+#: A word's hash is the sum of a place's number times a letter's. A polynomial's powers would not do: modulo 2^64 some words meet whatever the base.
+_PLACES, _LETTERS = numbers(1024, 1), numbers(256, 1 << 40) | U64(1)
+
+
 @dataclass
 class Words:
     """``hashes``: of all words in order; text i has those from ``first[i]`` to ``first[i + 1]``. ``start``, ``length``: in the bytes ``data``."""
@@ -80,9 +87,9 @@ def scan(data: np.ndarray, off: np.ndarray, kind: np.ndarray = NOT_SPACE) -> Wor
     ends = is_word.copy()
     ends[:-1] &= ~is_word[1:] | begins[1:]
     length = np.flatnonzero(ends) + 1 - start
-    global _POWERS
-    if (longest := int(length.max())) > len(_POWERS):
-        _POWERS = powers(2 * longest)
+    global _PLACES
+    if (longest := int(length.max())) > len(_PLACES):
+        _PLACES = numbers(2 * longest, 1)
     h = np.empty(len(start), U64)
     for i in range(0, len(start), HASHED_WORDS):  # the numbers below take many bytes for each of the words'
         own = slice(i, i + HASHED_WORDS)
@@ -90,8 +97,8 @@ def scan(data: np.ndarray, off: np.ndarray, kind: np.ndarray = NOT_SPACE) -> Wor
         at = np.cumsum(n) - n
         nth = np.arange(int(n.sum()), dtype=np.int32) - np.repeat(at.astype(np.int32), n)
         with np.errstate(over="ignore"):
-            part = _POWERS[nth]
-            part *= low[nth + np.repeat(start[own], n)] + U64(1)
+            part = _PLACES[nth]
+            part *= _LETTERS[low[nth + np.repeat(start[own], n)]]
             h[own] = np.add.reduceat(part, at)
     return Words(mix(h ^ (length.astype(U64) << U64(48))), first, start, length, low)
 

@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from inkwell.llm import backoff, decontaminate, ngram_join
 from inkwell.llm.words import U64
 from tests.llm.conftest import crc, words
+from tests.llm.test_words import thue_morse
 
 ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 few = st.lists(st.sampled_from("abc"), max_size=25).map(" ".join)
@@ -47,6 +48,17 @@ def test_fm_index_finds_all_occurrences(texts, items, n):
         assert len(own.get(k, ())) == n_items
 
 
+def test_words_with_a_structure(spark):
+    """Texts whose words a weak hash would take for one another have nothing in common."""
+    a, b = thue_morse(1024), thue_morse(1024, 1)
+    docs = spark.createDataFrame([(1, f"{a} x y z"), (2, f"{b} x y z"), (3, f"{a} {b}")], "doc_id long, text string")
+    found = decontaminate.find_contamination(docs, spark.createDataFrame([(7, a)], "item_id long, text string"))
+    assert sorted((r.doc_id, r.n_hit) for r in found.collect()) == [(1, 1), (2, 0), (3, 1)]
+    assert {r.doc_id: r.component_id for r in ngram_join.near_components(docs).collect()} == {1: 1, 2: 2, 3: 3}
+    scored = {r.doc_id: r for r in backoff.score_texts(docs, "doc_id <> 2").collect()}
+    assert (scored[2].n_tokens, scored[2].n_known, scored[3].n_known, scored[1].train_tokens) == (5, 4, 3, 8)
+
+
 def test_decontamination(spark, odd, empty):
     rows = [(i, r.text) for i, r in enumerate(odd.collect())] + [(50, "clean " * 600 + "Word word word."), (51, "x " * 10 + "no id at all " * 3)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")

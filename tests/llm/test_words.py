@@ -49,3 +49,18 @@ def test_long_words():
     w = W.scan_all(pa.array(["a" * 5000 + " " + "a" * 4999, "a" * 5000]))
     assert w.hashes[0] == w.hashes[2] != w.hashes[1]
     assert W.powers(3).dtype == np.uint64
+
+
+def thue_morse(n, flip=0):
+    return "".join("ab"[(i.bit_count() + flip) & 1] for i in range(n))
+
+
+def test_words_with_a_structure():
+    """A word of a and b and its mirror image, which polynomials over 2^64 take for one another."""
+    for n in (256, 1024, 2048, 8192):
+        pair = [thue_morse(n), thue_morse(n, 1)]
+        h = W.scan_all(pa.array([" ".join(pair)])).hashes
+        assert h[0] != h[1]
+    r = np.random.default_rng(0)
+    many = {"".join(map(chr, r.integers(97, 99, 12))) for _ in range(4096)} | {"x" * i for i in range(1, 1500)}
+    assert len(set(W.scan_all(pa.array([" ".join(many)])).hashes.tolist())) == len(many)
