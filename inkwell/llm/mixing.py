@@ -2,8 +2,8 @@
 
 A source's words are laid out as a stream: its rows are dealt to shards by a seeded hash and
 stand inside a shard in seeded order. A shard's stream is cut into blocks of (nearly) equal
-words. The mix's blocks are seats: sources win them by the highest quotients
-``target / (2k + 1)``, then a source's shards win its seats the same way, which gives every
+words, smaller ones in a small source. The mix's words are seats: sources win them by the highest quotients
+``target / (2k + 1)``, then a source's shards win its blocks the same way, which gives every
 shard an integer quota. A quota takes the whole shard as often as it fits and, for the rest, a
 run of blocks that starts at a seeded place, so few documents are cut.
 """
@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from inkwell.llm.scratch import Scratch
 
 WORD = r"[^\x20\x09-\x0D]+"
-#: Words in a block, and rows in a shard on average (a shard is sorted in one task).
-BLOCK_WORDS, SHARD_ROWS = 32, 2_000
+#: Words in a block at most, blocks that a source has at least (of one word, if need be), and rows in a shard on average (a shard is sorted in one task).
+BLOCK_WORDS, LEAST_BLOCKS, SHARD_ROWS = 32, 256, 2_000
 #: Steps of a quotient's height for each price of a seat.
 HEIGHTS = 1 << 14
 
@@ -94,14 +94,16 @@ class Plan:
         sources = d.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_rows"))
         sources = scratch.save(sources, "sizes").coalesce(1)  # a row a source: what follows orders them all
         targets = source_targets(sources.select("source", "source_size"), weights, share, most)
-        targets = targets.withColumn("_seats", F.round(F.sum("target").over(Window.partitionBy()) / block_words).cast("long"))
+        targets = targets.withColumn("_seats", F.round(F.sum("target").over(Window.partitionBy())).cast("long"))
         quotas = sainte_lague(targets.withColumn("_one", F.lit(0)), ["_one"], "target", "_seats", ["source"])
         quotas = quotas.select(F.col("source").alias("q_source"), "target", F.col("won").alias("_seats"))
         sources = sources.join(quotas, F.col("source").eqNullSafe(F.col("q_source"))).drop("q_source").withColumn("_shards", F.ceil(F.col("_rows") / shard_rows).cast("long"))
+        block = F.greatest(F.lit(1), F.least(F.lit(block_words), F.expr(f"source_size div {LEAST_BLOCKS}"))).cast("long")
+        sources = sources.withColumn("_block", block).withColumn("_seats", F.round(F.col("_seats") / F.col("_block")).cast("long"))
         self.sources = scratch.result(sources.drop("_rows"), "sources")
 
-        shards = self._in_shards(d).groupBy("source", "_shard").agg(F.sum("size").alias("_words"), F.first("_seats").alias("_seats"))
-        shards = shards.withColumn("_blocks", F.when(F.col("_words") > 0, F.greatest(F.lit(1), F.round(F.col("_words") / block_words))).otherwise(F.lit(0)).cast("long"))
+        shards = self._in_shards(d).groupBy("source", "_shard").agg(F.sum("size").alias("_words"), F.first("_seats").alias("_seats"), F.first("_block").alias("_block"))
+        shards = shards.withColumn("_blocks", F.when(F.col("_words") > 0, F.greatest(F.lit(1), F.round(F.col("_words") / F.col("_block")))).otherwise(F.lit(0)).cast("long"))
         room = F.sum("_blocks").over(Window.partitionBy("source")) * most
         shards = sainte_lague(shards.withColumn("_seats", F.least(F.col("_seats"), room)), ["source"], "_blocks", "_seats", ["_shard"])
         shards = shards.withColumn("_at", F.when(F.col("_blocks") > 0, _seeded("source", "_shard", seed=seed + 1) % F.col("_blocks")).otherwise(F.lit(0)))

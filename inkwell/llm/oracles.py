@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from inkwell.llm.mixing import BLOCK_WORDS, SHARD_ROWS
+from inkwell.llm.mixing import BLOCK_WORDS, LEAST_BLOCKS, SHARD_ROWS
 
 WORD = r"[^\x20\x09-\x0D]+"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -15,21 +15,21 @@ def lower(text: str) -> str:
 OP1 = rf"""
 WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS BIGINT) AS size,
     CAST(('0x' || substr(md5('42|' || coalesce(CAST(doc_id AS VARCHAR), chr(0)) || '|' || md5(coalesce(text, ''))), 1, 8)) AS BIGINT) AS h FROM documents),
-s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, count(*) AS n FROM d GROUP BY source),
+s AS (SELECT *, greatest(1, least({BLOCK_WORDS}, source_size // {LEAST_BLOCKS})) AS block FROM (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, count(*) AS n FROM d GROUP BY source)),
 w AS (SELECT *, [5.0, 2.0, 1.0][1 + CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS INT)]::DOUBLE AS w, 2 * source_size AS cap FROM s),
 l AS (SELECT *, row_number() OVER o AS nth, CAST(sum(source_size) OVER () * 3 - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) * 2 AS DOUBLE)
     / (sum(w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) * 2) AS level FROM w WINDOW o AS (ORDER BY cap / w, source NULLS LAST)),
 g AS (SELECT min_by(level, nth) AS level FROM l WHERE level * w <= cap),
 t AS (SELECT l.* EXCLUDE (level), coalesce(least(CAST(cap AS DOUBLE), l.w * g.level), CAST(cap AS DOUBLE)) AS target FROM l, g),
-t1 AS (SELECT *, CAST(round(sum(target) OVER () / {BLOCK_WORDS}) AS BIGINT) AS seats, sum(target) OVER () AS alls, count(*) OVER () AS m FROM t),
+t1 AS (SELECT *, CAST(round(sum(target) OVER ()) AS BIGINT) AS seats, sum(target) OVER () AS alls, count(*) OVER () AS m FROM t),
 t2 AS (SELECT *, CAST(greatest(0, floor(seats * target / alls - (m * target / (2 * alls) + 1))) AS BIGINT) AS base, CAST(ceil(seats * target / alls + m * target / (2 * alls) + 1) AS BIGINT) AS top FROM t1 WHERE target > 0),
 t4 AS (SELECT source, base, seats - sum(base) OVER () AS o, target, base AS b, top FROM t2),
 t5 AS (SELECT source, o, row_number() OVER (ORDER BY target / (2 * k + 1) DESC, source NULLS LAST, k) AS r FROM (SELECT source, o, target, unnest(range(b, top + 1)) AS k FROM t4)),
 q AS (SELECT t4.source, any_value(t4.base) + count(t5.r) AS seats FROM t4 LEFT JOIN t5 ON t4.source IS NOT DISTINCT FROM t5.source AND t5.r <= t5.o GROUP BY t4.source),
-d1 AS (SELECT d.*, h % CAST(ceil(s.n / {SHARD_ROWS}) AS BIGINT) AS shard FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source),
-h0 AS (SELECT source, shard, CAST(sum(size) AS BIGINT) AS words FROM d1 GROUP BY source, shard),
-h1 AS (SELECT *, CASE WHEN words > 0 THEN greatest(1, CAST(round(words / {BLOCK_WORDS}) AS BIGINT)) ELSE 0 END AS blocks FROM h0),
-h2 AS (SELECT h1.*, sum(blocks) OVER p AS alls, count(*) OVER p AS m, least(coalesce(q.seats, 0), 2 * sum(blocks) OVER p) AS seats
+d1 AS (SELECT d.*, s.block, h % CAST(ceil(s.n / {SHARD_ROWS}) AS BIGINT) AS shard FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source),
+h0 AS (SELECT source, shard, any_value(block) AS block, CAST(sum(size) AS BIGINT) AS words FROM d1 GROUP BY source, shard),
+h1 AS (SELECT *, CASE WHEN words > 0 THEN greatest(1, CAST(round(words / block) AS BIGINT)) ELSE 0 END AS blocks FROM h0),
+h2 AS (SELECT h1.*, sum(blocks) OVER p AS alls, count(*) OVER p AS m, least(coalesce(CAST(round(q.seats / block) AS BIGINT), 0), 2 * sum(blocks) OVER p) AS seats
     FROM h1 LEFT JOIN q ON h1.source IS NOT DISTINCT FROM q.source WINDOW p AS (PARTITION BY h1.source)),
 h3 AS (SELECT *, CASE WHEN alls > 0 THEN CAST(greatest(0, floor(seats * blocks / alls - (m * blocks / (2 * alls) + 1))) AS BIGINT) ELSE 0 END AS base,
     CASE WHEN alls > 0 THEN CAST(ceil(seats * blocks / alls + m * blocks / (2 * alls) + 1) AS BIGINT) ELSE 0 END AS top FROM h2),

@@ -47,14 +47,28 @@ def test_mix(odd):
     rows = odd.collect()
     assert len(got) == len(rows) and all(0 <= r.taken <= 2 * r.size for r in got)
     assert sorted(r.size for r in got) == sorted(len(words(r.text)) for r in rows)
-    by, want = Counter(), {}
+    by, want, size = Counter(), {}, {}
     for r, source in ((r, next(x.source for x in rows if x.doc_id == r.doc_id and len(words(x.text)) == r.size)) for r in got):
         by[source] += r.taken
-        want[source] = r.target
-    assert all(abs(by[s] - want[s]) <= 2 * mixing.BLOCK_WORDS for s in want)
+        want[source], size[source] = r.target, r.source_size
+    assert all(abs(by[s] - want[s]) <= max(1, min(mixing.BLOCK_WORDS, size[s] // mixing.LEAST_BLOCKS)) for s in want)
     assert sorted(map(str, mixing.mix(odd).collect())) == sorted(map(str, got))
 
 
+def test_small_sources_meet_their_targets(spark):
+    """Every source of 1 to 200 words, to within a word; larger ones to within a block."""
+    rows = [(i, "w " * n, f"s{i:03}") for i, n in enumerate([*range(1, 201), 700, 5000])]
+    rows += [(1000 + i, "v " * 7, "many") for i in range(90)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    taken, target, source = Counter(), {}, {i: s for i, _, s in rows}
+    for r in got:
+        taken[source[r.doc_id]] += r.taken
+        target[source[r.doc_id]] = r.target
+        assert r.taken <= 2 * r.size
+    for s, t in target.items():
+        assert abs(taken[s] - t) <= (mixing.BLOCK_WORDS if s == "s201" else 4 if s in ("many", "s200") else 1), s
+
+
 def test_taken_rows_are_the_mix(spark):
     d = spark.createDataFrame([(i, f"d{i} " + "a  b\nc " * (i % 40), "fr", f"s{i % 5}", 0) for i in range(200)], "doc_id long, text string, lang string, source string, n_chars long").withColumn("row", F.lit(1))
     plan = {r.doc_id: r for r in mixing.mix(d, shard_rows=10).collect()}
