@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from inkwell.llm.scratch import Shipped
 from inkwell.llm.words import ALNUM, regroup, scan_all
 
 #: Words in a window, bytes of text in a shard, characters of benchmark text in one broadcast, broadcasts that a worker keeps, words between sampled suffixes.
@@ -201,12 +202,6 @@ SCHEMA = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 stri
 ARROW = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("items_sha256", pa.string()), ("spans", pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())])))])
 
 
-def _drop(part) -> None:
-    """Forget a broadcast's value, which is read again from its file when it is next asked for."""
-    if getattr(part, "_path", None):
-        vars(part).pop("_value", None)
-
-
 def _hits(texts: pa.Array, parts: list) -> tuple[np.ndarray, np.ndarray, dict[int, set[str]]]:
     """Which words of a shard's texts are hit, where each text's words begin, and each text's items."""
     w = scan_all(texts, ALNUM)
@@ -215,7 +210,7 @@ def _hits(texts: pa.Array, parts: list) -> tuple[np.ndarray, np.ndarray, dict[in
     for part in parts:
         p: Phrases = part.value
         if len(parts) > KEPT_PARTS:
-            _drop(part)
+            part.drop()
         window, at = occurrences(w.hashes, w.first, p)
         np.add.at(step, at, 1)
         np.add.at(step, at + p.length[window], -1)
@@ -248,11 +243,11 @@ def _find(parts: list):
 
 def _parts(benchmark: DataFrame, item_col: str, text_col: str, window: int) -> list:
     """The benchmark's windows in broadcasts of a bounded size each; the driver holds one part's texts at a time."""
-    sc, parts, ids, texts, size = benchmark.sparkSession.sparkContext, [], [], [], 0
+    parts, ids, texts, size = [], [], [], 0
 
     def send() -> None:
-        parts.append(sc.broadcast(phrases(ids, texts, window)))
-        _drop(parts[-1])
+        parts.append(Shipped(benchmark.sparkSession, phrases(ids, texts, window)))
+        parts[-1].drop()
 
     for row in benchmark.select(F.col(item_col), F.col(text_col)).filter(F.col(text_col).isNotNull()).toLocalIterator():
         ids.append(row[0])

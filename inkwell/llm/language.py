@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.llm.scratch import Scratch
+from inkwell.llm.scratch import Scratch, Shipped
 from inkwell.llm.words import LOWER, U64, chunks, give_back, mix, text_bytes
 
 #: ISO 639-1 codes by family. A language that stands nowhere is a family of its own.
@@ -191,6 +191,6 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     The whole text counts and nothing else does. A null text, or one without a letter, is ``und`` with score
     0. Rows that repeat one another get the same. Without training rows all are ``und``. An empty table gives no rows.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shipped(docs.sparkSession, model)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     return rows.mapInArrow(_apply(shared), "doc_id long, lang_pred string, score double")

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.llm.scratch import Scratch
+from inkwell.llm.scratch import Scratch, Shipped
 from inkwell.llm.words import NOT_SPACE, chunks, scan, text_bytes
 
 #: Fourier features, kernel width in standard deviations a statistic, ridge penalty a row, steps of the calibration grid.
@@ -136,7 +136,7 @@ def fit(stats: DataFrame, labels: DataFrame, train: str, calibrate: str, id_col:
     if not n:
         return Model(Fourier(np.zeros(len(STATS)), np.ones(len(STATS)), seed), np.eye(k)[0] * 0.5, np.zeros(0), np.zeros(0))
     fourier = Fourier(np.array([moments[f"m_{c}"] for c in STATS]), np.array([moments[f"s_{c}"] for c in STATS]), seed)
-    shared = spark.sparkContext.broadcast(fourier)
+    shared = Shipped(spark, fourier)
     parts = known.select(*STATS, "y").mapInArrow(_sums(shared), "i long, row array<double>")
     cell = parts.select("i", F.posexplode("row").alias("j", "v")).groupBy("i", "j").agg(F.sum("v").alias("v")).collect()
     full = np.zeros((k, k + 1))
@@ -144,7 +144,7 @@ def fit(stats: DataFrame, labels: DataFrame, train: str, calibrate: str, id_col:
         full[r.i, r.j] = r.v
     beta = np.linalg.solve(full[:, :k] + PENALTY * n * np.eye(k) / k, full[:, k])
     model = Model(fourier, beta, np.zeros(0), np.zeros(0))
-    shared = spark.sparkContext.broadcast(model)
+    shared = Shipped(spark, model)
     held = rows.filter(F.expr(calibrate)).select("doc_id", *STATS, "y").mapInArrow(_apply(shared, raw=True), "doc_id long, score double, y double")
     step = F.round(F.least(F.greatest(F.col("score"), F.lit(-0.5)), F.lit(1.5)) * (GRID / 2))
     bins = sorted((r.b / (GRID / 2), r.y, r.n) for r in held.groupBy(step.alias("b")).agg(F.avg("y").alias("y"), F.count(F.lit(1)).alias("n")).collect())
@@ -176,4 +176,4 @@ def score(docs: DataFrame, labels: DataFrame, train: str, calibrate: str, id_col
     with Scratch(spark, "quality") as scratch:
         stats = scratch.save(statistics_table(docs, id_col, text_col), "stats")
         model = fit(stats, labels, train, calibrate, id_col, label_col)
-        return scratch.result(stats.mapInArrow(_apply(spark.sparkContext.broadcast(model)), "doc_id long, score double"))
+        return scratch.result(stats.mapInArrow(_apply(Shipped(spark, model)), "doc_id long, score double"))

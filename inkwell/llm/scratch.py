@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import atexit
 import gc
+import pickle
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 from inkwell.session import shared_dir
@@ -14,6 +16,34 @@ from inkwell.session import shared_dir
 BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 2 << 20
 
 
+class Shipped:
+    """A value broadcast with its classes and functions, so that executors need no copy of the package."""
+
+    def __init__(self, spark: SparkSession, value: object):
+        self.data, self.held = spark.sparkContext.broadcast(cloudpickle.dumps(value)), None
+
+    def __reduce__(self):
+        return _shipped, (self.data,)
+
+    @property
+    def value(self):
+        if self.held is None:
+            self.held = pickle.loads(self.data.value)  # noqa: S301  the driver's own
+        return self.held
+
+    def drop(self) -> None:
+        """Forget the value, which is read again when it is next asked for."""
+        self.held = None
+        if getattr(self.data, "_path", None):
+            vars(self.data).pop("_value", None)
+
+
+def _shipped(data) -> Shipped:
+    out = Shipped.__new__(Shipped)
+    out.data, out.held = data, None
+    return out
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder in whatever store it lives in."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

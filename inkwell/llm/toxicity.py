@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.llm.scratch import Scratch
+from inkwell.llm.scratch import Scratch, Shipped
 from inkwell.llm.words import ALNUM, U64, Words, chunks, mix, scan, text_bytes
 
 #: Bounds of the labelled rows that training sees (those with the least md5 of their id), and of their texts' bytes.
@@ -185,7 +185,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     The whole text counts. A null or empty text, or one without words, has no sentence and scores 0. Rows that
     repeat one another score the same. An empty table gives no rows. No column but the text is an input.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shipped(docs.sparkSession, model)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), *[F.col(c).alias(f"kept_{c}") for c in carry])
     kinds = "".join(f", kept_{c} {docs.schema[c].dataType.simpleString()}" for c in carry)
     return rows.mapInArrow(_apply(shared, len(carry)), SCHEMA + kinds)
@@ -193,7 +193,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 def reject(docs: DataFrame, model: Model, threshold: float, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that score below ``threshold``, with all their columns as they are."""
-    shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
+    shared, at = Shipped(docs.sparkSession, model), docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = shared.value
