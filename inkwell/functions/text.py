@@ -35,25 +35,41 @@ def squeeze(x: Column) -> Column:
     return F.trim(F.regexp_replace(x, f"{SPACE}+", " "))
 
 
-def code_point(n: Column) -> Column:
-    """The character of a UTF-16 unit, from a double; larger numbers wrap as they do there, and one beyond all doubles is 0. (chr() wraps at 256.)"""
-    unit = F.nanvl(n % F.lit(65536.0), F.lit(0.0))
-    return F.decode(F.unhex(F.lpad(F.hex(unit.cast("long")), 4, "0")), "UTF-16BE")
+def unit(n: Column) -> Column:
+    """The UTF-16 unit of a double; larger numbers wrap as they do there, and one beyond all doubles is 0."""
+    return F.nanvl(n % F.lit(65536.0), F.lit(0.0)).cast("long")
+
+
+def utf16(*units: Column) -> Column:
+    """The character of a unit that is no surrogate, or of a high and a low one. (chr() wraps at 256.)"""
+    return F.decode(F.unhex(F.concat(*[F.lpad(F.hex(u), 4, "0") for u in units])), "UTF-16BE")
 
 
 def decode_entities(x: Column) -> Column:
-    """Named entities in a fixed order, then decimal ones, however many: the text is split at them and each part's number becomes its character."""
+    """Named entities in a fixed order, then decimal ones, however many: the text is split at them and each part's number becomes its character. A surrogate without its other half becomes U+FFFD, as no text can hold it."""
     for name, char in (("nbsp", " "), ("amp", "&"), ("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "'"), ("#x27", "'")):
         x = F.regexp_replace(x, f"(?i)&{name};", char)
     return bound(x, _numbered)
 
 
 def _numbered(x: Column) -> Column:
-    number = lambda p: F.regexp_extract(p, r"^(\d+);", 1)
-    decoded = F.transform(
-        F.split(x, r"&#(?=\d+;)"),
-        lambda p, i: F.when(i == 0, p).otherwise(F.concat(F.coalesce(code_point(F.nullif(number(p), F.lit("")).cast("double")), F.lit("")), F.regexp_replace(p, r"^\d+;", ""))),
-    )
+    digits = lambda p: F.regexp_extract(p, r"^(\d+);", 1)
+    part = lambda p, i: F.struct(
+        F.when(i > 0, unit(F.nullif(digits(p), F.lit("")).cast("double"))).alias("unit"), F.when(i > 0, F.regexp_replace(p, r"^\d+;", "")).otherwise(p).alias("rest")
+    )
+    high, low = (lambda u, a=a: F.coalesce(u.between(a, a + 0x3FF), F.lit(False)) for a in (0xD800, 0xDC00))
+
+    def character(parts: Column, p: Column, i: Column) -> Column:
+        """A high and a low surrogate side by side are one character, which the high one writes; one by itself is none."""
+        before, after = F.get(parts, i - 1), F.get(parts, i + 1)
+        paired = high(p["unit"]) & (p["rest"] == "") & low(after["unit"])
+        written = low(p["unit"]) & high(before["unit"]) & (before["rest"] == "")
+        lone = high(p["unit"]) | low(p["unit"])
+        c = F.when(written, "").when(paired, utf16(p["unit"], after["unit"])).when(lone, "\ufffd").otherwise(utf16(p["unit"]))
+        return F.concat(F.coalesce(c, F.lit("")), p["rest"])
+
+    split = F.transform(F.split(x, r"&#(?=\d+;)"), part)
+    decoded = bound(split, lambda parts: F.transform(parts, lambda p, i: character(parts, p, i)))
     return F.when(x.rlike(r"&#\d+;"), F.array_join(decoded, "")).otherwise(x)
 
 

@@ -200,7 +200,8 @@ def html_meta_extract(spark, sf_dir):
 
 @query(sql.ENTITY_DECODE)
 def entity_decode(spark, sf_dir):
-    raw = F.concat(F.lit("&#945;&#8211;"), F.col("page_id").cast("string"), F.lit("&amp;lt;&NBSP;&#x27;&#x3b1;&#65;&#"), F.lit("66;"), F.coalesce("html", F.lit("")))
+    units = "&#55357;&#56832;|&#55357;|&#56832;&#55357;|&#55357;&#55357;&#56832;&#56832;|&#55357; &#56832;|&#65601;|&#" + "9" * 400 + ";|"
+    raw = F.concat(F.lit(units + "&#945;&#8211;"), F.col("page_id").cast("string"), F.lit("&amp;lt;&NBSP;&#x27;&#x3b1;&#65;&#"), F.lit("66;"), F.coalesce("html", F.lit("")))
     return read(spark, sf_dir, "pages").select("page_id", F.md5(text.decode_entities(raw)).alias("decoded_md5"))
 
 

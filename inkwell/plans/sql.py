@@ -102,7 +102,8 @@ _title = "regexp_extract(html, '(?is)<title>(.*?)</title>', 1)"
 HTML_TITLE_STRIP = f"SELECT page_id, CASE WHEN regexp_matches({decode(_title)}, '(?is)<[a-z].*>') THEN 'A&B x ' || {strip(_title)} || ' H2O' ELSE {squeeze(chr(39) + 'A&B x  ' + chr(39) + ' || ' + decode(_title) + ' || ' + chr(39) + ' H2O' + chr(39))} END AS title FROM pages"
 HTML_MAIN_TEXT = f"""SELECT page_id, CAST(length(t) AS BIGINT) AS chars, md5(t) AS md5, md5(replace(replace(replace(replace(t, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;')) AS escaped_md5 FROM (SELECT page_id, {strip("html")} AS t FROM pages)"""
 HTML_META_EXTRACT = """SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'News & Views' WHEN 1 THEN 'Article' END AS kind, page_id % 4 = 1 AS research, CASE WHEN page_id % 2 = 0 AND url <> '' THEN url ELSE 'd ' || page_id END AS abstract FROM pages"""
-ENTITY_DECODE = f"SELECT page_id, md5(chr(945) || chr(8211) || page_id || '< ''&#x3b1;AB' || {decode("coalesce(html, '')")}) AS decoded_md5 FROM pages"
+_UNITS = "chr(128512) || '|' || x || '|' || x || x || '|' || x || chr(128512) || x || '|' || x || ' ' || x || '|A|' || chr(0) || '|'".replace("x", "chr(65533)")
+ENTITY_DECODE = f"SELECT page_id, md5({_UNITS} || chr(945) || chr(8211) || page_id || '< ''&#x3b1;AB' || {decode("coalesce(html, '')")}) AS decoded_md5 FROM pages"
 JATS_ABSTRACT = f"SELECT doc_id, CASE WHEN length(t) >= 80 AND NOT regexp_matches(t, '(?i)</?[a-z]') THEN t END AS abstract FROM (SELECT doc_id, {strip('text')} AS t FROM documents)"
 ENCODED_ABSTRACT = f"WITH {P}, x AS (SELECT id, {squeeze('strip')} AS t FROM (SELECT id, {strip('abstract')} AS strip FROM p)) SELECT id AS doc_id, CASE WHEN id % 3 <> 0 AND length(t) >= 40 THEN t END AS abstract FROM x"
 PAYLOAD_TRUNCATE = f"WITH {P}, x AS (SELECT id, CASE WHEN length(abstract) > 2000 THEN substr(abstract, 1, 2000) || '…' ELSE abstract END AS t FROM p) SELECT id AS doc_id, CAST(length(t) AS BIGINT) AS chars, md5(t) AS md5 FROM x"

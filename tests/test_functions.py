@@ -10,6 +10,11 @@ from inkwell.functions import dates, html, keywords, rules, text
         (text.squeeze, " a  \n b﻿", "a b"),
         (text.decode_entities, "&amp;lt;&NBSP;x&#65;&#8211;&#x3b1;&#9", "< x" + "A–&#x3b1;&#9"),
         (text.decode_entities, "plain", "plain"),
+        (text.decode_entities, "&#55357;&#56832;&#65;", "\U0001f600A"),
+        (text.decode_entities, "&#55357;", "\ufffd"),
+        (text.decode_entities, "&#56832;&#55357;x&#55357; &#56832;", "\ufffd\ufffdx\ufffd \ufffd"),
+        (text.decode_entities, "&#55357;&#55357;&#56832;&#56832;&#1048576;&#0;", "\ufffd\U0001f600\ufffd\0\0"),
+        (text.strip_tags, "<p>&#55357;</p>&#55357;&#56832;", "\ufffd \U0001f600"),
         (text.decode_entities, "&#4294967361;&#0000000000000065;", "AA"),
         (text.decode_entities, "&#" + "9" * 400 + ";x", "\0x"),
         (text.title_text, "a " + "<i><b>" * 30 + "deep" + "</b></i>" * 30 + " <sub>2</sub>", "a deep 2"),
@@ -149,3 +154,13 @@ def test_lines_are_resolved_in_order(spark, source, skipped, confidence, section
     row = spark.createDataFrame([(source, skipped, confidence, section)], "source string, skipped boolean, confidence double, section string")
     line, method = rules.resolved_line(F.col("source"), F.col("skipped"), F.col("confidence"), F.col("section"), ["src19"])
     assert tuple(row.select(line, method).first()) == wanted
+
+
+def test_every_surrogate(spark):
+    """Alone each becomes U+FFFD; every high one makes a character with a low one."""
+    from pyspark.sql import functions as F
+
+    n = spark.range(0xD800, 0xE000).select(F.col("id"), text.decode_entities(F.concat(F.lit("a&#"), F.col("id").cast("string"), F.lit(";b"))).alias("t"))
+    assert n.filter(F.col("t") != "a\ufffdb").count() == 0
+    pair = spark.range(0xD800, 0xDC00).select(F.col("id"), text.decode_entities(F.concat(F.lit("&#"), F.col("id").cast("string"), F.lit(";&#57000;"))).alias("t"))
+    assert all(r.t == (r.id.to_bytes(2, "big") + (57000).to_bytes(2, "big")).decode("utf-16be") for r in pair.collect())
