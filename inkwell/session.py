@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,6 +30,28 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def shared_folder(spark: SparkSession, tag: str) -> str:
+    """A new folder's address below ``shared_dir``, removed when the session's process ends."""
+    path = f"{shared_dir(spark)}/inkwell-{tag}-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, path)
+    return path
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    try:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+    except Exception:  # the session may have ended before the process
+        return
+
+
+def saved(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written to ``path`` and read back: a lost executor costs a reread, not a recomputation."""
+    schema = df.schema
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)
+
+
 def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A local session; a cluster brings its own and never calls this."""
     return (

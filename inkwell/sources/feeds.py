@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from inkwell.functions import policy
 from inkwell.functions.rules import is_teaser, skip_feed_item
-from inkwell.functions.text import MARKUP, blank_to_null, extract_doi, paper_id, squeeze, strip_tags, title_text, trim_space
+from inkwell.functions.text import MARKUP, blank_to_null, bound, extract_doi, paper_id, squeeze, strip_tags, title_text, trim_space
 
 
 def looks_like_feed(text: Column) -> Column:
@@ -38,11 +38,10 @@ def _plain(xml: Column) -> Column:
 def parse(files: DataFrame, source: str = "source", xml: str = "value") -> DataFrame:
     """``source, ord`` and the item's parts, a row per item. An item that does not parse is repaired once; a file with one that this does not help counts as empty."""
     read = lambda c: F.from_xml(_plain(c), f"{ITEM}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt", "mode": "PERMISSIVE"})
-    d = files.filter(looks_like_feed(F.col(xml))).select(F.col(source).alias("source"), F.posexplode(F.regexp_extract_all(xml, F.lit(ELEMENT), F.lit(1))).alias("ord", "_xml"))
-    d = d.withColumn("i", read(F.col("_xml")))
-    d = d.withColumn("i", F.when(F.col("i._corrupt").isNotNull(), read(repaired(F.col("_xml")))).otherwise(F.col("i")))
-    bad = d.filter("i._corrupt IS NOT NULL").select("source").distinct()
-    return d.join(bad, "source", "left_anti").select("source", "ord", "i.*").drop("_corrupt")
+    once = lambda x: bound(read(x), lambda i: F.when(i["_corrupt"].isNotNull(), read(repaired(x))).otherwise(i))
+    d = files.filter(looks_like_feed(F.col(xml))).select(F.col(source).alias("source"), F.transform(F.regexp_extract_all(xml, F.lit(ELEMENT), F.lit(1)), once).alias("_items"))
+    sound = ~F.exists("_items", lambda i: i["_corrupt"].isNotNull())  # judged where they are parsed: no file is read twice
+    return d.filter(sound).select("source", F.posexplode("_items").alias("ord", "i")).select("source", "ord", "i.*").drop("_corrupt")
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
