@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,9 +33,9 @@ def feeds_of_pages(spark: SparkSession, sf_dir: str) -> str:
     p = read(spark, sf_dir, "pages").select("page_id", F.coalesce("url", F.lit("")).alias("url"), F.coalesce("html", F.lit("")).alias("html"))
     p = p.withColumn("feed", F.coalesce(F.expr(f"page_id div {FEED_PAGES}"), F.lit(-1)))
     on = F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(F.coalesce("page_id", F.lit(0)), F.lit(9)).cast("int"))
-    date = F.when(F.pmod(F.coalesce("page_id", F.lit(0)), F.lit(9)) != 8, F.concat(F.lit("<pubDate>Sun, "), F.date_format(on, "dd MMM yyyy"), F.lit(" 10:00:00 GMT</pubDate>"))).otherwise("")
+    dated = F.when(F.pmod(F.coalesce("page_id", F.lit(0)), F.lit(9)) != 8, F.concat(F.lit("<pubDate>Sun, "), F.date_format(on, "dd MMM yyyy"), F.lit(" 10:00:00 GMT</pubDate>"))).otherwise("")
     title = F.regexp_extract("html", r"(?is)<title>(.*?)</title>", 1)
-    item = F.concat(F.lit("<item><title>"), _xml(title), F.lit("</title><link>"), _xml(F.col("url")), F.lit("</link>"), date, F.lit("<content:encoded>"), _xml(F.col("html")), F.lit("</content:encoded></item>"))
+    item = F.concat(F.lit("<item><title>"), _xml(title), F.lit("</title><link>"), _xml(F.col("url")), F.lit("</link>"), dated, F.lit("<content:encoded>"), _xml(F.col("html")), F.lit("</content:encoded></item>"))
     page = F.pmod("feed", F.lit(7)) == PAGE
     feeds = p.select("feed").distinct()
     head = feeds.select("feed", F.lit(0).alias("k"), F.lit(None).cast("long").alias("page_id"), F.when(page, "<!DOCTYPE html><html>").otherwise('<?xml version="1.0"?><rss version="2.0"><channel>').alias("value"))
@@ -63,8 +64,8 @@ def feed_items(spark, sf_dir):
 @query(f"SELECT source, ord, title, day FROM ({FEED_ITEMS}) WHERE day >= DATE '2024-01-03' AND day < DATE '2024-01-06' AND source IN ('f0', 'f1', 'f2', 'f3', 'f4')")
 def feed_items_pushed(spark, sf_dir):
     """Five sources and three days, which the reader filters itself."""
-    d = scan.scan(spark, feeds_of_pages(spark, sf_dir))
-    return d.filter(F.col("source").isin("f0", "f1", "f2", "f3", "f4") & (F.col("day") >= F.lit("2024-01-03").cast("date")) & (F.col("day") < F.lit("2024-01-06").cast("date"))).select("source", "ord", "title", "day")
+    d = scan.scan(spark, feeds_of_pages(spark, sf_dir), sources=["f0", "f1", "f2", "f3", "f4"], since=date(2024, 1, 3))
+    return d.filter(F.col("day") < F.lit(date(2024, 1, 6))).select("source", "ord", "title", "day")
 
 
 @query(f"""WITH {_FEED} SELECT 'f' || feed AS source, CASE WHEN (feed % 7 + 7) % 7 IN ({GONE}, {PAGE}) THEN 'failed' ELSE 'ok' END AS status,

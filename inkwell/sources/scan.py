@@ -117,7 +117,7 @@ def day_of(item: dict[str, str], zone: str = REPORT_ZONE) -> date | None:
     """The report's day of an item's date, in mail or ISO spelling; without a zone it is UTC."""
     raw = next((item[c] for c in ("pubDate", "dc_date", "published", "updated") if item.get(c)), "")
     plain = re.sub(r"^[A-Za-z]{3,9},\s*", "", raw.strip())
-    for read in (datetime.fromisoformat, parsedate_to_datetime):
+    for read in (datetime.fromisoformat, parsedate_to_datetime, lambda x: datetime.strptime(x, "%d %b %Y")):
         try:
             at = read(plain)
         except (ValueError, TypeError):
@@ -136,21 +136,6 @@ class FeedReader(ds.DataSourceReader):
         self.days: list[tuple[str, date]] = []
         self.only: set[str] = set()
 
-    def pushFilters(self, filters: list[ds.Filter]) -> Iterator[ds.Filter]:
-        """Sources that are not asked for get no partition, and rows outside the days asked for do not leave the reader."""
-        names = {ds.EqualTo: "=", ds.GreaterThan: ">", ds.GreaterThanOrEqual: ">=", ds.LessThan: "<", ds.LessThanOrEqual: "<="}
-        for f in filters:
-            column, kind = f.attribute[0] if len(f.attribute) == 1 else "", type(f)
-            if column == "source" and kind in (ds.EqualTo, ds.In):
-                own = {f.value} if kind is ds.EqualTo else set(f.value)
-                self.sources = own if self.sources is None else self.sources & own
-            elif column == "day" and kind in names and isinstance(f.value, date):
-                self.days.append((names[kind], f.value))
-            elif column in ("source", "day") and kind is ds.IsNotNull:
-                self.only.add(column)
-            else:
-                yield f
-
     def partitions(self) -> list[ds.InputPartition]:
         """A source each, from ``catalog``: a JSON array of {id, url}, or the address of a folder of such objects, a line each."""
         lines = json.loads(self.catalog) if self.catalog.startswith("[") else [json.loads(x) for x in fetch(self.catalog, TIMEOUT_S).splitlines() if x.strip()]
@@ -183,34 +168,61 @@ class FeedReader(ds.DataSourceReader):
                 yield (source, "item", f"no {', '.join(lacks)}" if lacks else None, None, i, day, *[item.get(c) for c in PARTS])
 
 
-def feed_source(fetcher: Callable[[str, float], bytes] = fetch) -> type[ds.DataSource]:
+class PushedReader(FeedReader):
+    def pushFilters(self, filters: list[ds.Filter]) -> Iterator[ds.Filter]:
+        """Sources that are not asked for get no partition, and rows outside the days asked for do not leave the reader."""
+        names = {ds.EqualTo: "=", ds.GreaterThan: ">", ds.GreaterThanOrEqual: ">=", ds.LessThan: "<", ds.LessThanOrEqual: "<="}
+        for f in filters:
+            column, kind = f.attribute[0] if len(f.attribute) == 1 else "", type(f)
+            if column == "source" and kind in (ds.EqualTo, ds.In):
+                own = {f.value} if kind is ds.EqualTo else set(f.value)
+                self.sources = own if self.sources is None else self.sources & own
+            elif column == "day" and kind in names and isinstance(f.value, date):
+                self.days.append((names[kind], f.value))
+            elif column in ("source", "day") and kind is ds.IsNotNull:
+                self.only.add(column)
+            else:
+                yield f
+
+
+def feed_source(fetcher: Callable[[str, float], bytes] = fetch, pushed: bool = True) -> type[ds.DataSource]:
     """A data source whose tasks fetch with ``fetcher(url, seconds)``, to be registered with a session."""
 
     class FeedSource(ds.DataSource):
-        """``format("feeds")`` with options catalog (see ``FeedReader.partitions``) and timeout."""
+        """``format("feeds")``, or ``format("all_feeds")``, whose reader takes no filters over, with options catalog (see ``FeedReader.partitions``) and timeout."""
 
         @classmethod
         def name(cls) -> str:
-            return "feeds"
+            return "feeds" if pushed else "all_feeds"
 
         def schema(self) -> str:
             return SCHEMA
 
         def reader(self, schema) -> FeedReader:
-            return FeedReader(dict(self.options), fetcher)
+            return (PushedReader if pushed else FeedReader)(dict(self.options), fetcher)
 
     return FeedSource
 
 
-def scan(spark: SparkSession, catalog: str, timeout: float = TIMEOUT_S, fetcher: Callable[[str, float], bytes] = fetch) -> DataFrame:
+def scan(
+    spark: SparkSession, catalog: str, sources: list[str] | None = None, since: date | None = None, until: date | None = None, timeout: float = TIMEOUT_S, fetcher: Callable[[str, float], bytes] = fetch
+) -> DataFrame:
     """All sources' rows: a status row each (ok, empty or failed, with the reason; ord null), and a row per item (status ``item``; what it lacks as the reason).
 
-    A body is fetched and parsed once, and items are judged in that pass. Filters on ``source`` choose the partitions, filters on ``day``
-    the rows that leave the reader; they hold for status rows too, whose day is null.
+    A body is fetched and parsed once, and items are judged in that pass. ``sources`` choose the partitions, ``since`` and
+    ``until`` (both included) the rows that leave the reader: plain filters, which it takes over, and with them those that a query adds on
+    the same columns. They hold for status rows too, whose day is null. Without any of the three no filter is
+    taken over: Spark keeps what a relation's reader has last been told, and would go on with it in a query that tells it nothing.
     """
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    spark.dataSource.register(feed_source(fetcher))
-    return spark.read.format("feeds").option("catalog", catalog).option("timeout", str(timeout)).load()
+    pushed = sources is not None or since is not None or until is not None
+    if pushed:
+        spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    own = feed_source(fetcher, pushed)
+    spark.dataSource.register(own)
+    d = spark.read.format(own.name()).option("catalog", catalog).option("timeout", str(timeout)).load()
+    for wanted, condition in ((sources, F.col("source").isin(sources or [])), (since, F.col("day") >= F.lit(since)), (until, F.col("day") <= F.lit(until))):
+        d = d.filter(condition) if wanted is not None else d
+    return d
 
 
 def items(scanned: DataFrame) -> DataFrame:

@@ -2,8 +2,8 @@
 
 Every task writes its rows to a file of its own in the run's staging folder and tells the driver what is in it. The driver commits in
 two steps: files that were told of move to the run's folder, then the manifest is written under its final name. What
-killed or repeated attempts have left is in no message and goes with the staging folder; a reader takes
-its files from a manifest, so it sees a run whole or not at all.
+killed or repeated attempts have left is in no message and goes with the staging folder (of a run that fails, a task that is still
+at work may leave its file there until the run is written again); a reader takes its files from a manifest, so it sees a run whole or not at all.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ def store(url: str) -> tuple[fs.FileSystem, str]:
 
 @dataclass
 class Written(ds.WriterCommitMessage):
-    """A task's file: name, rows, bytes, digest, and rows by the counted column (null as an empty list's absence: the key None)."""
+    """A task's file: name, rows, bytes, digest, and rows by the counted column. A task without rows has none."""
 
     file: str
     rows: int
@@ -61,17 +61,18 @@ class SnapshotWriter(ds.DataSourceArrowWriter):
     def _staging(self, root: str) -> str:
         return f"{root}/_staging-{self.run}"
 
-    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written | None:
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         files, root = store(self.root)
-        name, counts, rows, writer = f"part-{uuid.uuid4().hex}.parquet", {}, 0, None
+        name, counts, rows, writer, out = f"part-{uuid.uuid4().hex}.parquet", {}, 0, None, None
         path = f"{self._staging(root)}/{name}"
         held: list[pa.RecordBatch] = []
 
         def put() -> None:
-            nonlocal writer
+            nonlocal writer, out
             if writer is None:
                 files.create_dir(self._staging(root), recursive=True)
-                writer = pq.ParquetWriter(files.open_output_stream(path), held[0].schema)
+                out = files.open_output_stream(path)
+                writer = pq.ParquetWriter(out, held[0].schema)
             writer.write_table(pa.Table.from_batches(held))
             held.clear()
 
@@ -87,11 +88,11 @@ class SnapshotWriter(ds.DataSourceArrowWriter):
             if sum(b.nbytes for b in held) >= GROUP_BYTES:
                 put()
         if not rows:
-            return None
+            return Written("", 0, 0, "")
         if held:
             put()
         writer.close()
-        writer.sink.close() if hasattr(writer, "sink") else None
+        out.close()
         digest, size = hashlib.sha256(), 0
         with files.open_input_stream(path) as f:
             while part := f.read(1 << 20):
@@ -101,7 +102,7 @@ class SnapshotWriter(ds.DataSourceArrowWriter):
 
     def commit(self, messages: list[Written | None]) -> None:
         files, root = store(self.root)
-        run, told = f"{root}/{self.run}", sorted((m for m in messages if m is not None), key=lambda m: m.file)
+        run, told = f"{root}/{self.run}", sorted((m for m in messages if m is not None and m.rows), key=lambda m: m.file)
         if self.overwrite and files.get_file_info(run).type != fs.FileType.NotFound:
             files.delete_dir(run)
         files.create_dir(run, recursive=True)
