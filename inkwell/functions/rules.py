@@ -12,7 +12,7 @@ from inkwell.functions.text import SPACE, blank_to_null, extract_doi, squeeze, t
 
 def present(x: Column) -> Column:
     """Holds something other than white space."""
-    return F.coalesce(F.length(trim_space(x)) > 0, F.lit(False))
+    return F.coalesce(x.rlike(f"[^{SPACE[1:-1]}]"), F.lit(False))
 
 
 def is_encoded_notice(title: Column) -> Column:

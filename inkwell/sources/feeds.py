@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from inkwell.functions import policy
 from inkwell.functions.rules import is_teaser, skip_feed_item
-from inkwell.functions.text import MARKUP, blank_to_null, bound, extract_doi, paper_id, squeeze, strip_tags, title_text, trim_space
+from inkwell.functions.text import MARKUP, SPACE, blank_to_null, bound, extract_doi, paper_id, squeeze, strip_tags, title_text, trim_space
 
 
 def looks_like_feed(text: Column) -> Column:
@@ -49,18 +49,34 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).withColumn("source", F.regexp_extract(F.input_file_name(), r"([^/]+)\.xml$", 1))
 
 
-def _journal_pattern(journal: Column) -> Column:
-    quoted = F.regexp_replace(journal, r"([.*+?^${}()|\[\]\\])", r"\\$1")
-    return F.replace(quoted, F.lit("&"), F.lit("(?:&amp;|&)"))
+#: What stands between a journal's name and the date in its feed's headers.
+ONLINE = ", published online:"
+
+
+def _headed(text: Column, journal: Column) -> Column:
+    """The text begins with the journal's name, whatever the case and the spelling of an ampersand, and the words that follow it there."""
+    plain = lambda c: F.lower(F.replace(c, F.lit("&amp;"), F.lit("&")))
+    return F.coalesce(F.startswith(plain(text), F.concat(plain(journal), F.lit(ONLINE))), F.lit(False))
 
 
 def encoded_abstract(content: Column, journal: Column) -> Column:
-    """Text of a feed whose items begin with the journal's own header, in markup or as text; null when under 40 characters, or a teaser."""
-    name = _journal_pattern(journal)
-    body = F.regexp_replace(trim_space(content), F.concat(F.lit(r"(?is)^\s*<p>\s*"), name, F.lit(r", Published online:.*?</p>\s*")), F.lit(""))
-    text = F.regexp_replace(strip_tags(body), F.concat(F.lit("(?i)^"), name, F.lit(r", Published online:[^;]+;\s*(?:doi:\S+\s*)?")), F.lit(""))
-    text = trim_space(text)
-    return F.when((F.length(text) >= 40) & ~is_teaser(text), text)
+    """Text of a feed whose items begin with the journal's own header, in markup or as text; null when under 40 characters, or a teaser.
+
+    A first paragraph that is the header goes as a whole. Of a header in plain text goes what leads up to the first semicolon, and a DOI after it.
+    """
+
+    def body(raw: Column) -> Column:
+        closes = F.regexp_instr(raw, F.lit("(?i)</p>"))
+        first = raw.rlike("(?i)^<p>") & _headed(trim_space(F.substring(raw, F.lit(4), F.length(raw))), journal) & (closes > 0)
+        return F.when(first, F.substring(raw, closes + 4, F.length(raw))).otherwise(raw)
+
+    def plain(text: Column) -> Column:
+        dated = F.substring(text, F.length(journal) + len(ONLINE) + 1, F.length(text))
+        headed = _headed(text, journal) & dated.rlike("^[^;]+;")
+        return trim_space(F.when(headed, F.regexp_replace(F.regexp_replace(dated, rf"^[^;]+;{SPACE}*", ""), rf"(?i)^doi:\S+{SPACE}*", "")).otherwise(text))
+
+    text = bound(strip_tags(bound(trim_space(content), body)), plain)
+    return bound(text, lambda t: F.when((F.length(t) >= 40) & ~is_teaser(t), t))
 
 
 def default_abstract(*candidates: Column) -> Column:

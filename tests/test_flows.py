@@ -73,19 +73,19 @@ def test_scanned_items_are_those_of_files(spark, site):
     own = registry.sources(spark)
     assert rows(feeds.to_papers(scan.items(d), own), "id", "title", "abstract", "source") == rows(feeds.to_papers(files, own), "id", "title", "abstract", "source")
     assert rows(d.filter("status = 'item'"), "source", "ord", "reason", "day") == sorted([
-        ("cell", 0, None, datetime.date(2026, 5, 25)), ("cell", 1, "no link", datetime.date(2026, 5, 25)), ("nature-communications", 0, None, datetime.date(2026, 5, 22)),
+        ("cell", 0, None, datetime.date(2026, 7, 14)), ("cell", 1, "no link", datetime.date(2026, 7, 14)), ("nature-communications", 0, None, datetime.date(2026, 5, 22)),
         ("nature-communications", 1, None, datetime.date(2026, 5, 22)), ("plos-biology", 0, None, datetime.date(2026, 5, 22)),
     ], key=str)
 
 
 def test_filters_reach_the_reader(spark, site):
     own = catalog(site, "cell", "nature-communications", "plos-biology")
-    day = datetime.date(2026, 5, 25)
+    day = datetime.date(2026, 7, 14)
     one = scan.scan(spark, own, ["cell"], day)
     assert one.select("source", "ord").collect() == [("cell", 0), ("cell", 1)]
     assert Site.asked == ["/cell"]  # once, and nothing else
     assert "Join" not in one._jdf.queryExecution().toString()
-    early = scan.scan(spark, own, until=datetime.date(2026, 5, 24))
+    early = scan.scan(spark, own, until=datetime.date(2026, 7, 13))
     assert early.filter(F.col("source").isin("cell", "plos-biology")).count() == 1 and early.count() == 3  # what one query adds is not kept for the next
     whole = scan.scan(spark, own)
     assert whole.filter(F.col("source") == "cell").count() == 3

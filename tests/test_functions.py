@@ -29,6 +29,15 @@ from inkwell.functions import dates, html, keywords, rules, text
         (text.jats_abstract, "&lt;jats:p&gt;" + "word " * 20 + "&lt;/jats:p&gt;", ("word " * 20).strip()),
         (html.article_type, '<meta content="News &amp; Views" name="dc.type">', "News & Views"),
         (html.page_abstract, '<meta name="description" content=" "><meta property=\'og:description\' content=\'og\'>', "og"),
+        (html.page_abstract, "<META content='a &amp;#64; b' NAME='Description'><meta name=description>", "a @ b"),
+        (html.page_abstract, '<meta name="description" content=""><meta name="description" content="x>y"><meta name="DC.Description" content="third">', "third"),
+        (html.page_abstract, "<div id='Abs1-section'><div>a</div><div class='c-article-section__content'>in \n <b>it</b></div>\n</div><div class='c-article-section__content'>not it</div></div>", "in it"),
+        (html.page_abstract, "<div id='Abs1-section'><div>a</div></div><div class='c-article-section__content'>outside</div></div>", None),
+        (html.page_abstract, "<div id='Abs1-section'><div class='c-article-section__content'>never closed</div>", None),
+        (html.page_abstract, "no markup", None),
+        (rules.present, "\n \u3000\ufeff", False),
+        (rules.present, " \nx", True),
+        (rules.present, None, False),
         (html.page_abstract, '<div id="Abs1-section"><div class="x c-article-section__content y"><p>In <i>vivo</i></p></div></div>', "In vivo"),
         (rules.is_teaser, "Lee et al.  Report a map", True),
         (rules.is_teaser, "Lee et al. reported", False),
@@ -164,3 +173,22 @@ def test_every_surrogate(spark):
     assert n.filter(F.col("t") != "a\ufffdb").count() == 0
     pair = spark.range(0xD800, 0xDC00).select(F.col("id"), text.decode_entities(F.concat(F.lit("&#"), F.col("id").cast("string"), F.lit(";&#57000;"))).alias("t"))
     assert all(r.t == (r.id.to_bytes(2, "big") + (57000).to_bytes(2, "big")).decode("utf-16be") for r in pair.collect())
+
+
+@pytest.mark.parametrize(
+    ("content", "wanted"),
+    [
+        ("<p>Letters &amp; Notes, Published online: 5 May; <a>doi:1</a></p> <p>Body " + "b" * 40 + "</p>", "Body " + "b" * 40),
+        ("<P> letters & notes, PUBLISHED online: 5 May</P>Body " + "b" * 40, "Body " + "b" * 40),
+        ("Letters &amp; Notes, Published online: 5 May 2026; doi:10.1/x Body " + "b" * 40, "Body " + "b" * 40),
+        ("Letters & Notes, Published online:; " + "b" * 40, "Letters & Notes, Published online:; " + "b" * 40),
+        ("<p>Other, Published online: 5 May</p>" + "b" * 40, "Other, Published online: 5 May " + "b" * 40),
+        ("<p>Letters &amp; Notes, Published online: 5 May " + "b" * 40, "Letters & Notes, Published online: 5 May " + "b" * 40),
+        ("<p>Letters &amp; Notes, Published online: x</p>short", None),
+        (None, None),
+    ],
+)
+def test_headers_of_encoded_feeds(value, content, wanted):
+    from inkwell.sources.feeds import encoded_abstract
+
+    assert value(encoded_abstract, content, "Letters & Notes") == wanted

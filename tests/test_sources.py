@@ -7,8 +7,8 @@ from inkwell.operators import registry
 from inkwell.sources import daily, feeds, preprints
 
 RSS = """<?xml version="1.0"?><rss version="2.0" xmlns:dc="http://purl.org/dc/elements/1.1/" xmlns:content="http://purl.org/rss/1.0/modules/content/"><channel><title>J</title>
-<item><title>Map of &lt;i&gt;Meg3&lt;/i&gt; cells</title><link> https://x.org/a </link><guid>https://x.org/a</guid><dc:identifier>doi:10.1016/J.CELL.1</dc:identifier><pubDate>Sun, 25 May 2026 07:00:00 GMT</pubDate><description>Plain &lt;b&gt;text&lt;/b&gt;</description></item>
-<item><title>No link</title><pubDate>25 May 2026</pubDate></item></channel></rss>"""
+<item><title>Atlas of &lt;i&gt;Sox9&lt;/i&gt; organs</title><link> https://x.org/a </link><guid>https://x.org/a</guid><dc:identifier>doi:10.1016/J.CELL.1</dc:identifier><pubDate>Fri, 14 Jul 2026 07:00:00 GMT</pubDate><description>Plain &lt;b&gt;text&lt;/b&gt;</description></item>
+<item><title>No link</title><pubDate>14 Jul 2026</pubDate></item></channel></rss>"""
 RDF = """<?xml version="1.0"?><rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns="http://purl.org/rss/1.0/" xmlns:dc="http://purl.org/dc/elements/1.1/" xmlns:content="http://purl.org/rss/1.0/modules/content/" xmlns:prism="http://x">
 <item rdf:about="u"><title><![CDATA[Author Correction: A]]></title><link>https://x.org/c</link><dc:date>2026-05-22</dc:date></item>
 <item rdf:about="v"><title>Reading &amp; more</title><link>https://x.org/b</link><dc:source>Notes, doi:10.1038/s1</dc:source><dc:date>2026-05-22</dc:date><content:encoded><![CDATA[<p>Nature Communications, Published online: 22 May 2026; <a>doi:10.1038/s1</a></p><p>Here we map every cell type of the worm at last.</p>]]></content:encoded></item></rdf:RDF>"""
@@ -20,13 +20,13 @@ def test_feeds_of_every_kind(spark):
     files = [("cell", RSS), ("nature-communications", RDF), ("plos-biology", ATOM), ("science", "<!DOCTYPE html><html>down</html>"), ("pnas", "<?xml version='1.0'?><rss><channel><item></rss>"), ("nature", BROKEN)]
     items = feeds.parse(spark.createDataFrame(files, "source string, value string"))
     got = {(p.source, p.title): p for p in feeds.to_papers(items, registry.sources(spark)).collect()}
-    a = got["cell", "Map of Meg3 cells"]
+    a = got["cell", "Atlas of Sox9 organs"]
     assert (a.id, a.doi, a.url, a.abstract, a.journal) == ("10.1016/j.cell.1", "10.1016/J.CELL.1", "https://x.org/a", "Plain text", "Cell")
     b = got["nature-communications", "Reading & more"]
     assert b.doi == "10.1038/s1" and b.abstract == "Here we map every cell type of the worm at last."
     c = got["plos-biology", "Worms"]
     assert (c.id, c.abstract) == ("https://p.org/w", "Body.")
-    assert got["nature", "Map of Meg3 cells"].abstract is None
+    assert got["nature", "Atlas of Sox9 organs"].abstract is None
     assert len(got) == 4
 
 
