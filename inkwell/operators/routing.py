@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkwell.functions.keywords import title_verdict
+from inkwell.operators.identity import newest
 
 REASON = "life-science-routing"
 
@@ -18,8 +19,8 @@ def count_if(condition: Column, name: str) -> Column:
 
 
 def _once(verdicts: DataFrame, key: str, name: str) -> DataFrame:
-    """A row an id: of repeated ones the greatest verdict, so that a join never multiplies papers."""
-    return verdicts.groupBy(key).agg(F.max("verdict").alias(name))
+    """A row an id, so that a join never multiplies papers: of repeated ones the last by ``ord`` (the place in the answers), or the greatest verdict where that column is missing."""
+    return newest(verdicts, key, ["verdict"], "ord" if "ord" in verdicts.columns else None).select(key, F.col("_new.verdict").alias(name))
 
 
 def route(

@@ -268,3 +268,26 @@ def test_fallback_accuracy_measures(spark):
     d = spark.createDataFrame([("Tumor", True), ("Roads", True), ("Battery", False)], "t string, a boolean")
     c = routing.confusion(d, title_verdict(F.col("t"))["verdict"] == "yes", F.col("a")).first()
     assert (c.tp, c.fp, c.fn, c.tn, c.precision, c.recall) == (1, 0, 1, 1, 1.0, 0.5)
+
+
+def test_hashes_never_decide(spark, monkeypatch):
+    """Keys that share both hashes stay apart, in first and last wins."""
+    d = spark.createDataFrame([("a", 1), ("b", 2), ("a", 3), ("c", 4), (None, 5), (None, 6)], "k string, ord int")
+    monkeypatch.setattr(identity.F, "xxhash64", lambda *c: F.lit(7).cast("long"))
+    assert rows(identity.first_wins(d, ["k"], "ord"), "k", "ord") == sorted([("a", 1), ("b", 2), ("c", 4), (None, 5)], key=str)
+    assert rows(identity.last_wins(d, ["k"], "ord"), "k", "ord") == sorted([("a", 3), ("b", 2), ("c", 4), (None, 6)], key=str)
+
+
+def test_repeated_answers_count_as_a_whole(spark):
+    papers = spark.createDataFrame([("i", "x0", "z0"), ("j", "x0", "z0")], "id string, x string, z string")
+    fields = spark.createDataFrame([("i", "x1", "z1", 1), ("i", "y2", "c2", 2), ("j", None, "z9", 1)], "id string, x string, z string, ord int")
+    assert rows(identity.overlay(papers, fields, "id", ["x", "z"], "ord"), "id", "x", "z") == [("i", "y2", "c2"), ("j", "x0", "z9")]
+    assert rows(identity.overlay(papers, fields.filter("ord = 1 OR x = 'y2'").drop("ord"), "id", ["x", "z"]), "id", "x", "z") == [("i", "y2", "c2"), ("j", "x0", "z9")]
+    assert rows(identity.overlay(papers, fields.withColumn("ord", -F.col("ord")), "id", ["x", "z"], "ord"), "id", "x", "z") == [("i", "x1", "z1"), ("j", "x0", "z9")]
+
+
+def test_the_last_verdict_counts(spark):
+    papers = spark.createDataFrame([("a", "t", "broad-science")], "id string, title string, scope string")
+    verdicts = spark.createDataFrame([("a", "yes", 1), ("a", "no", 2)], "id string, verdict string, ord int")
+    assert routing.route(papers, verdicts).first().verdict == "no"
+    assert routing.route(papers, verdicts.drop("ord")).first().verdict == "yes"
