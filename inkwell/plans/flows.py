@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkwell.functions.text import escape_html
-from inkwell.operators import batching, counters, ranking
+from inkwell.operators import batching, counters, layers, payloads, ranking
 from inkwell.plans import sql
-from inkwell.plans.catalog import lined, papers, query, read, selected
+from inkwell.plans.catalog import catalog, lined, papers, query, read, selected
 from inkwell.session import saved, shared_folder
 from inkwell.sources import scan, snapshot
 
@@ -173,3 +173,70 @@ def start_spacing_hot(spark, sf_dir):
 def trailing_rate_hot(spark, sf_dir):
     """All starts in one bucket."""
     return batching.request_rate_slices(read(spark, sf_dir, "events"), "ts", ["event_id"], None, 3600).select("event_id", "recent", "gap_ms")
+
+
+# ---- payloads and settings -------------------------------------------------------------------------
+
+_ITEM = {
+    "gate": "'\"abstract\":' || to_json(coalesce(abstract, ''))",
+    "routing": "'\"journal\":' || to_json(coalesce(journal, '')) || ',\"source_id\":' || to_json(coalesce(source, ''))",
+    "spatial": "'\"journal\":' || to_json(coalesce(journal, '')) || a",
+    "tagging": "'\"journal\":' || to_json(coalesce(journal, '')) || ',\"source_id\":' || to_json(coalesce(source, '')) || ',\"scope\":\"' || scope || '\"' || a",
+    "translate": "'\"journal\":' || to_json(coalesce(journal, ''))",
+    "summarize": "'\"journal\":' || to_json(coalesce(journal, '')) || ',\"source_id\":' || to_json(coalesce(source, '')) || ',\"scope\":\"' || scope || '\",\"digest_line\":\"line-b\"' || a",
+}
+_T = r"regexp_replace(abstract, '^[\s\x{A0}\x{FEFF}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+|[\s\x{A0}\x{FEFF}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+$', '', 'g')"
+_PAYLOADS = f"""WITH {sql.P}, c AS ({sql.cat(20)}), x AS (SELECT p.*, coalesce(scope, 'life-science-only') AS scope, {_T} AS t FROM p LEFT JOIN c ON p.source = c.id),
+y AS (SELECT *, coalesce(',"abstract":' || to_json(CASE WHEN length(t) > 2000 THEN substr(t, 1, 2000) || '…' ELSE t END), '') AS a FROM x),
+z AS ({" UNION ALL ".join(f"SELECT id, source, '{s}' AS stage, '{{\"id\":' || to_json(CAST(id AS VARCHAR)) || ',\"title\":' || to_json(coalesce(title, '')) || ',' || {i} || '}}' AS payload FROM y" for s, i in _ITEM.items())})"""
+
+
+def _scoped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scopes = catalog(spark).select(F.col("id").alias("source"), "scope")
+    return papers(spark, sf_dir).join(scopes, "source", "left")
+
+
+@query(f"{_PAYLOADS} SELECT id AS doc_id, stage, CAST(length(payload) AS BIGINT) AS chars, md5(payload) AS md5 FROM z")
+def stage_payloads(spark, sf_dir):
+    d = _scoped(spark, sf_dir)
+    both = [payloads.with_payload(d, s).select(F.col("id").alias("doc_id"), F.lit(s).alias("stage"), F.col("payload_chars").alias("chars"), F.md5("payload").alias("md5")) for s in payloads.FIELDS]
+    return reduce(DataFrame.unionByName, both)
+
+
+@query(rf"""{_PAYLOADS.replace("WITH ", "WITH RECURSIVE ", 1)}, d AS (SELECT source, length(payload) AS n, row_number() OVER (PARTITION BY source ORDER BY id) AS i FROM z WHERE stage = 'spatial'),
+w AS (SELECT source, i, 0 AS batch, 1 AS items, n AS size FROM d WHERE i = 1
+  UNION ALL SELECT d.source, d.i, CASE WHEN o THEN batch + 1 ELSE batch END, CASE WHEN o THEN 1 ELSE items + 1 END, CASE WHEN o THEN d.n ELSE size + 1 + d.n END
+  FROM w JOIN d ON d.source = w.source AND d.i = w.i + 1, LATERAL (SELECT items + 1 > 8 OR ceil((10 + size + 1 + d.n + 45) / 4) > 1500 OR 120 + 64 * (items + 1) > 0.92 * 8192 AS o))
+SELECT source, batch, max(items) AS items, CAST(max(size) - max(items) + 1 AS BIGINT) AS chars FROM w GROUP BY source, batch""")
+def payload_batches(spark, sf_dir):
+    """Batches of the spatial stage by the exact lengths of its payloads."""
+    d = payloads.planned(_scoped(spark, sf_dir), "spatial", "source", ["id"], (8, 1500, 8192), shared_folder(spark, "payloads"), "0123456789")
+    return d.groupBy("source", "batch").agg(F.count(F.lit(1)).alias("items"), F.sum("payload_chars").alias("chars"))
+
+
+_SEGMENTS = ("retail", "wholesale", "online", "public")
+CLIENT_RULES = {"segment": layers.Rule(required=True, among=_SEGMENTS), "city": layers.Rule(required=True, pattern="^[A-Z]"), "balance": layers.Rule("number", low=0, high=9000), "source": layers.Rule(among=("crm", "web", "store"))}
+_ENTRIES = """e AS (SELECT CAST(client_id AS VARCHAR) AS scope, unnest(['segment', 'city', 'balance', 'source']) AS key, unnest([segment, city, CAST(CAST(balance AS DECIMAL(18, 2)) AS VARCHAR), source]) AS value, 1 AS layer, 0 AS seq FROM clients
+  UNION ALL SELECT CAST(client_id AS VARCHAR), unnest(['segment', 'city', 'balance', 'source']), unnest([segment, city, CAST(CAST(balance AS DECIMAL(18, 2)) AS VARCHAR), source]), 2, seq FROM client_changes),
+b AS (SELECT scope, key, last(struct_pack(l := layer, v := value) ORDER BY layer, seq, value) AS r FROM e WHERE value IS NOT NULL GROUP BY scope, key), r AS (SELECT scope, key, r.v AS value, CAST(r.l AS INT) AS layer FROM b)"""
+
+
+def client_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clients as settings: a layer of their own rows, and one of the changes, of which the last counts."""
+    spread = lambda d, layer, seq: d.select(F.col("client_id").cast("string").alias("scope"), F.explode(F.create_map(*[x for c in CLIENT_RULES for x in (F.lit(c), F.col(c).cast("decimal(18,2)").cast("string") if c == "balance" else F.col(c))])).alias("key", "value"), F.lit(layer).alias("layer"), seq.cast("long").alias("seq"))
+    return spread(read(spark, sf_dir, "clients"), 1, F.lit(0)).unionByName(spread(read(spark, sf_dir, "client_changes"), 2, F.col("seq")))
+
+
+@query(f"WITH {_ENTRIES} SELECT * FROM r")
+def layered_settings(spark, sf_dir):
+    return layers.resolve(client_entries(spark, sf_dir))
+
+
+@query(f"""WITH {_ENTRIES}, f AS (SELECT *, CASE key WHEN 'segment' THEN CASE WHEN value NOT IN ('retail', 'wholesale', 'online', 'public') THEN 'not one of retail, wholesale, online, public' END
+  WHEN 'city' THEN CASE WHEN NOT regexp_matches(value, '^[A-Z]') THEN 'not of its form' END WHEN 'balance' THEN CASE WHEN CAST(value AS DOUBLE) < 0 THEN 'below 0' WHEN CAST(value AS DOUBLE) > 9000 THEN 'above 9000' END
+  ELSE CASE WHEN value NOT IN ('crm', 'web', 'store') THEN 'not one of crm, web, store' END END AS fault FROM r)
+SELECT * FROM f WHERE fault IS NOT NULL UNION ALL SELECT scope, key, NULL, NULL, 'missing' FROM (SELECT DISTINCT CAST(client_id AS VARCHAR) AS scope FROM clients), (VALUES ('segment'), ('city')) k(key)
+  WHERE (scope, key) NOT IN (SELECT (scope, key) FROM r WHERE scope IS NOT NULL) AND scope IS NOT NULL""")
+def settings_faults(spark, sf_dir):
+    own = layers.resolve(client_entries(spark, sf_dir))
+    return layers.faults(own, CLIENT_RULES, read(spark, sf_dir, "clients").filter("client_id IS NOT NULL").select(F.col("client_id").cast("string").alias("scope")))
