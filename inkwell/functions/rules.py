@@ -109,6 +109,35 @@ def key_fingerprint(secret: Column) -> Column:
     return F.left(F.sha2(secret, 256), F.lit(12))
 
 
+def key_mask(secret: Column) -> Column:
+    """The first and last four characters; nothing of a secret of eight or fewer."""
+    return F.when(F.length(secret) > 8, F.concat(F.left(secret, F.lit(4)), F.lit("…"), F.right(secret, F.lit(4)))).otherwise(F.when(secret.isNotNull(), "***"))
+
+
+def shown_doi(doi: Column, id_: Column) -> Column:
+    """The DOI as given, else an id that is one; an address is none."""
+    own = trim_space(id_)
+    return F.coalesce(blank_to_null(trim_space(doi)), F.when(own.rlike(r"(?i)^10\.\d{4,9}/"), own))
+
+
+def uri_component(x: Column) -> Column:
+    """Percent-encoded but for letters, digits and - _ . ! ~ * ' ( )."""
+    x = F.url_encode(x)
+    for code, char in (("+", "%20"), ("%21", "!"), ("%27", "'"), ("%28", "("), ("%29", ")"), ("%7E", "~")):
+        x = F.replace(x, F.lit(code), F.lit(char))
+    return x
+
+
+def sandboxed(sender: Column, to: Column, owner: Column) -> Column:
+    """struct(to, skipped, error) of a mail: a sandbox's sender reaches its account's owner alone. Without a known owner one recipient may pass; others, or an owner who is not among them, are an error."""
+    sandbox = F.coalesce(F.lower(sender).endswith("@resend.dev"), F.lit(False))
+    who, none = blank_to_null(F.lower(trim_space(owner))), F.array().cast("array<string>")
+    allowed, skipped = F.filter(to, lambda a: F.lower(a) == who), F.filter(to, lambda a: F.lower(a) != who)
+    error = F.when(who.isNull(), F.when(F.size(to) > 1, "several recipients and no owner")).when(F.size(allowed) == 0, "owner is no recipient")
+    kept = F.when(~sandbox | who.isNull(), to).otherwise(allowed)
+    return F.struct(kept.alias("to"), F.when(sandbox & who.isNotNull(), skipped).otherwise(none).alias("skipped"), F.when(sandbox, error).alias("error"))
+
+
 def recipients(raw: Column) -> Column:
     """Addresses from a JSON array of strings, else split at , and ;. Trimmed, empty ones gone, the first spelling of each kept."""
     listed = F.coalesce(F.from_json(F.when(F.trim(raw).rlike(r"^\["), raw), "array<string>"), F.split(raw, "[,;]"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkwell.functions.text import squeeze
+from inkwell.session import saved
 
 
 def _winners(named: DataFrame, keys: list[Column], last: bool) -> DataFrame:
@@ -15,7 +16,7 @@ def _winners(named: DataFrame, keys: list[Column], last: bool) -> DataFrame:
     share one are grouped once more by the keys themselves, so no two keys are ever taken for one another.
     """
     best = (F.max if last else F.min)("_o").alias("_best")
-    groups = named.groupBy("_k0", "_k1").agg(F.count(F.lit(1)).alias("_n"), best)
+    groups = saved(named.groupBy("_k0", "_k1").agg(F.count(F.lit(1)).alias("_n"), best))
     shared = named.select("_k0", "_k1", "_o", *[k.alias(f"_key{i}") for i, k in enumerate(keys)])
     shared = shared.join(groups.filter("_n > 1").select("_k0", "_k1"), ["_k0", "_k1"], "left_semi")
     exact = shared.groupBy("_k0", "_k1", *[f"_key{i}" for i in range(len(keys))]).agg(best)
@@ -59,7 +60,8 @@ def two_level(df: DataFrame, group: str, key: str | Column, order: str, keep: Co
     """First of each key in its group, those that ``keep`` accepts, then first of each key over all; of these, ``columns`` or all."""
     named = df.withColumns({"_key": F.col(key) if isinstance(key, str) else key, "_keep": keep})
     own = list(dict.fromkeys([*(columns or df.columns), order, "_key", "_keep"]))
-    return first_wins(first_wins(named, [group, "_key"], order, own).filter("_keep"), ["_key"], order, columns or df.columns)
+    once = saved(first_wins(named, [group, "_key"], order, own).filter("_keep"))  # read more than once, and no plan within a plan
+    return first_wins(once, ["_key"], order, columns or df.columns)
 
 
 def missing(requested: DataFrame, returned: DataFrame, key: str) -> DataFrame:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from html import escape
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkwell.functions.policy import SECTIONS
-from inkwell.functions.rules import article_label, featured_bucket, visible
+from inkwell.functions.rules import article_label, featured_bucket, shown_doi, uri_component, visible
+from inkwell.functions.text import escape_html
 from inkwell.operators.routing import count_if
 
 
@@ -56,6 +57,40 @@ def daily_document(papers: DataFrame, excluded: DataFrame | None, stats: DataFra
     return doc.drop("_one").withColumn("report_date", F.lit(day))
 
 
+def journal_line(journal: Column, doi: Column, id_: Column) -> Column:
+    """HTML of a card's journal, and its DOI with a link where it has one."""
+    shown = shown_doi(doi, id_)
+    link = F.concat(F.lit(' · <a href="https://doi.org/'), escape_html(uri_component(shown)), F.lit('">'), escape_html(shown), F.lit("</a>"))
+    return F.concat(F.lit('<p class="journal">'), escape_html(F.coalesce(journal, F.lit(""))), F.coalesce(link, F.lit("")), F.lit("</p>"))
+
+
+def tag_chips(tags: Column) -> Column:
+    """HTML of topic tags; nothing where there are none."""
+    chips = F.array_join(F.transform(F.filter(tags, lambda t: t.isNotNull()), lambda t: F.concat(F.lit('<span class="tag">'), escape_html(t), F.lit("</span>"))), "")
+    return F.coalesce(F.when(F.length(chips) > 0, F.concat(F.lit("<div>"), chips, F.lit("</div>"))), F.lit(""))
+
+
+def card(columns: list[str]) -> Column:
+    """HTML of a featured paper: title, journal and DOI, tags, summary or abstract. What a table lacks is left out."""
+    of = lambda c: F.col(c) if c in columns else F.lit(None).cast("string")
+    title = F.concat(F.lit('<a href="'), escape_html(F.coalesce(of("url"), F.lit(""))), F.lit('">'), escape_html(F.coalesce(of("title"), F.lit(""))), F.lit("</a>"))
+    tags = tag_chips(F.col("tags")) if "tags" in columns else F.lit("")
+    text = escape_html(F.coalesce(of("summary"), of("abstract"), F.lit("")))
+    return F.concat(F.lit("<article><h3>"), title, F.lit("</h3>"), journal_line(F.coalesce(of("journal"), of("source")), of("doi"), of("id")), tags, F.lit("<p>"), text, F.lit("</p></article>"))
+
+
+def publish(spark: SparkSession, html: str, root: str, day: str, archive: bool = False) -> list[str]:
+    """Write a report as ``index.html`` below ``root``, and as the day's file in its archive; the addresses, in any store."""
+    paths = [f"{root}/index.html", *([f"{root}/archive/{day}.html"] if archive else [])]
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        out = path.getFileSystem(conf).create(path, True)
+        out.write(bytearray(html.encode()))
+        out.close()
+    return paths
+
+
 #: Headings of the report's blocks, in order.
 BLOCKS = {"line-a": "Spatial and single-cell", "line-b": "Life science", "preprint": "Preprints"}
 
@@ -63,7 +98,7 @@ BLOCKS = {"line-a": "Spatial and single-cell", "line-b": "Life science", "prepri
 def report_rows(papers: DataFrame) -> DataFrame:
     """What the report shows, in order: visible rows with their block; the caller collects them (a day's few hundred)."""
     shown = papers.filter(visible(F.col("line")))
-    return shown.withColumn("block", F.when(F.col("featured"), featured_bucket(F.col("line"))).otherwise("overflow")).orderBy("position")
+    return shown.withColumn("block", F.when(F.col("featured"), featured_bucket(F.col("line"))).otherwise("overflow")).withColumn("card", card(papers.columns)).orderBy("position")
 
 
 def render(rows: list, day: str, title: str = "Daily digest") -> str:
@@ -76,7 +111,9 @@ def render(rows: list, day: str, title: str = "Daily digest") -> str:
         own = [r for r in rows if r["block"] == block]
         if own:
             out.append(f"<h2>{escape(heading)}</h2>")
-            out += [f"<article><h3>{link(r)}</h3><p>{escape(r['journal'] or r['source'])}</p><p>{escape(r['summary'] or r['abstract'] or '')}</p></article>" for r in own]
+            out += [r["card"] for r in own]
+        elif rows:
+            out.append(f"<h2>{escape(heading)}</h2><p>None today.</p>")
     groups: dict[tuple, list] = {}
     for r in rows:
         if r["block"] == "overflow":

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from inkwell.functions import dates, html, keywords, policy, rules, text
 from inkwell.operators import batching, identity, registry, report, retention, routing, selection, structured
 from inkwell.plans import sql
-from inkwell.session import checkpointed
+from inkwell.session import saved
 from inkwell.sources import feeds
 
 QUERIES: dict = {}
@@ -76,7 +76,7 @@ def lined(spark: SparkSession, sf_dir: str) -> DataFrame:
 def selected(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = lined(spark, sf_dir)
     narrow = d.select("id", "ord", "title", "source", "journal", "line", "priority", rules.eligible(F.col("line"), F.col("abstract")).alias("eligible"))
-    return selection.select_featured(checkpointed(narrow))
+    return selection.select_featured(saved(narrow))
 
 
 # ---- identity and duplicates -----------------------------------------------------------

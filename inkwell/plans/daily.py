@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkwell.functions import dates, keywords, policy, rules
-from inkwell.operators import enrich, identity, registry, report, routing, selection
+from inkwell.operators import enrich, identity, ranking, registry, report, routing, selection
+from inkwell.session import saved, shared_folder
 from inkwell.sources import feeds, preprints
 
 #: What each stage takes from outside, keyed by paper id; an absent one stands for a stage that failed as a whole.
@@ -32,10 +33,11 @@ def collect(items: DataFrame, records: DataFrame, gate: DataFrame | None, catalo
     Preprints are screened by keyword, then gated, then dated: the gate sees rows of other days, as it decides on content alone.
     """
     rss = feeds.to_papers(items, catalog).withColumn("articleType", F.lit(None).cast("string")).withColumn("authors", F.lit(None).cast("array<string>"))
-    api = routing.gate(identity.first_wins(preprints.screen(preprints.to_papers(records)).withColumn("ord", F.monotonically_increasing_id()), ["id"], "ord"), gate)
+    screened = saved(preprints.screen(preprints.to_papers(records)).withColumn("ord", F.monotonically_increasing_id()))  # so that the order is the same for all who read it
+    api = routing.gate(identity.first_wins(screened, ["id"], "ord"), gate)
     order = {name: i for i, (name, *_) in enumerate(policy.SOURCES)}
     rank = F.element_at(F.create_map(*[x for k, v in order.items() for x in (F.lit(k), F.lit(v))]), F.col("source"))
-    both = rss.unionByName(api).withColumn("ord", F.struct(rank.alias("source"), F.col("ord").alias("item")))
+    both = saved(rss.unionByName(api).withColumn("ord", F.struct(rank.alias("source"), F.col("ord").alias("item"))))
     on_day = dates.report_day(dates.published(F.col("published"))) == F.lit(day).cast("date")
     return identity.two_level(both, "source", "id", "ord", F.coalesce(on_day, F.lit(False)))
 
@@ -45,7 +47,7 @@ def run_day(spark: SparkSession, items: DataFrame, records: DataFrame, day: str,
     answers, catalog = answers or Answers(), registry.sources(spark)
     pages = pages if pages is not None else spark.createDataFrame([], NO_PAGES)
     abstracts = abstracts if abstracts is not None else spark.createDataFrame([], NO_ABSTRACTS)
-    found = collect(items, records, answers.gate, catalog, day)
+    found = saved(collect(items, records, answers.gate, catalog, day))
     routed = routing.route(registry.with_scope(found, catalog), answers.routing, answers.degraded)
     included, excluded = routing.split(routed)
     enriched = enrich.enrich(included, pages, abstracts)
@@ -62,7 +64,10 @@ def run_day(spark: SparkSession, items: DataFrame, records: DataFrame, day: str,
     line, method = rules.resolved_line(F.col("source"), skipped, F.col("confidence"), F.col("section"))
     d = d.withColumns({"line": line, "line_method": method})
     d = registry.with_dimension(d, catalog, "source", "id", {"priority": policy.MISSING_PRIORITY})
-    d = selection.display_order(selection.select_featured(d)).withColumn("summary", F.lit(None).cast("string"))
+    # What the ranks need stands written, so texts are matched once; no task orders all of a day.
+    narrow = saved(d.select("id", "ord", "title", "line", "priority", rules.eligible(F.col("line"), F.col("abstract")).alias("eligible")))
+    chosen = ranking.global_display_order(selection.select_featured(narrow), shared_folder(spark, "order")).select("id", "featured", "position")
+    d = d.join(chosen, "id").withColumn("summary", F.lit(None).cast("string"))
     if answers.summary is not None:
         d = identity.overlay(d, answers.summary, "id", ["summary"])
     stats = selection.selection_stats(d)

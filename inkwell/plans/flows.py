@@ -8,8 +8,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from inkwell.functions import rules
 from inkwell.functions.text import escape_html
-from inkwell.operators import batching, counters, layers, payloads, ranking
+from inkwell.operators import batching, counters, layers, payloads, ranking, report
 from inkwell.plans import sql
 from inkwell.plans.catalog import catalog, lined, papers, query, read, selected
 from inkwell.session import saved, shared_folder
@@ -240,3 +241,47 @@ SELECT * FROM f WHERE fault IS NOT NULL UNION ALL SELECT scope, key, NULL, NULL,
 def settings_faults(spark, sf_dir):
     own = layers.resolve(client_entries(spark, sf_dir))
     return layers.faults(own, CLIENT_RULES, read(spark, sf_dir, "clients").filter("client_id IS NOT NULL").select(F.col("client_id").cast("string").alias("scope")))
+
+
+# ---- report ------------------------------------------------------------------------------------
+
+_MASK = lambda x: f"CASE WHEN length({x}) > 8 THEN substr({x}, 1, 4) || '…' || right({x}, 4) WHEN {x} IS NOT NULL THEN '***' END"
+
+
+@query(f"SELECT c_custkey, {_MASK('c_name')} AS masked, {_MASK('short')} AS short FROM (SELECT *, substr(c_name, 1, CAST(c_custkey % 12 AS INT)) AS short FROM customer)")
+def key_masks(spark, sf_dir):
+    d = read(spark, sf_dir, "customer").select("c_custkey", "c_name", F.substring("c_name", F.lit(1), F.pmod("c_custkey", F.lit(12)).cast("int")).alias("short"))
+    return d.select("c_custkey", rules.key_mask(F.col("c_name")).alias("masked"), rules.key_mask(F.col("short")).alias("short"))
+
+
+_DOI = "CASE page_id % 4 WHEN 0 THEN ' 10.1234/A (b)*c~' || page_id || ' ' WHEN 1 THEN ' ' END"
+_ID = "CASE page_id % 4 WHEN 1 THEN '10.5555/x&y+' || page_id WHEN 2 THEN coalesce(url, '') ELSE '10.1/short' END"
+_ESC = lambda x: f"replace(replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), chr(34), '&quot;')"
+_URI = "replace(replace(replace(replace(url_encode(doi), '%2A', '*'), '%28', '('), '%29', ')'), '%7E', '~')"
+
+
+@query(f"""WITH x AS (SELECT page_id, regexp_extract(html, '(?is)<title>(.*?)</title>', 1) AS journal, coalesce(nullif(trim({_DOI}), ''), CASE WHEN regexp_matches({_ID}, '(?i)^10[.][0-9]{{4,9}}/') THEN {_ID} END) AS doi FROM pages)
+SELECT page_id, doi, '<p class="journal">' || {_ESC("journal")} || coalesce(' · <a href="https://doi.org/' || {_ESC(_URI)} || '">' || {_ESC("doi")} || '</a>', '') || '</p>' AS line FROM x""")
+def doi_lines(spark, sf_dir):
+    n = F.pmod("page_id", F.lit(4))
+    d = read(spark, sf_dir, "pages").select(
+        "page_id", F.regexp_extract("html", r"(?is)<title>(.*?)</title>", 1).alias("journal"), F.when(n == 0, F.concat(F.lit(" 10.1234/A (b)*c~"), F.col("page_id").cast("string"), F.lit(" "))).when(n == 1, " ").alias("doi"),
+        F.when(n == 1, F.concat(F.lit("10.5555/x&y+"), F.col("page_id").cast("string"))).when(n == 2, F.coalesce("url", F.lit(""))).otherwise("10.1/short").alias("id"),
+    )
+    return d.select("page_id", rules.shown_doi(F.col("doi"), F.col("id")).alias("doi"), report.journal_line(F.col("journal"), F.col("doi"), F.col("id")).alias("line"))
+
+
+@query("""WITH x AS (SELECT client_id, CASE WHEN client_id % 2 = 0 THEN 'team@Resend.dev' ELSE 'team@x.org' END AS sender, [coalesce(email, 'none'), 'B@x.org'][1:CAST(1 + client_id % 3 AS INT)] AS recipients,
+  CASE WHEN client_id % 5 = 0 THEN ' b@X.org' WHEN client_id % 5 = 1 THEN email WHEN client_id % 5 = 2 THEN 'nobody@x.org' END AS owner FROM clients WHERE client_id IS NOT NULL),
+y AS (SELECT *, lower(sender) LIKE '%@resend.dev' AS sandbox, nullif(lower(trim(owner)), '') AS who FROM x),
+z AS (SELECT *, list_filter(recipients, lambda a: lower(a) = who) AS own, list_filter(recipients, lambda a: lower(a) <> who) AS others FROM y)
+SELECT client_id, array_to_string(CASE WHEN NOT sandbox OR who IS NULL THEN recipients ELSE own END, ',') AS recipients, CASE WHEN sandbox AND who IS NOT NULL THEN array_to_string(others, ',') ELSE '' END AS skipped,
+  CASE WHEN sandbox THEN CASE WHEN who IS NULL THEN CASE WHEN len(recipients) > 1 THEN 'several recipients and no owner' END WHEN len(own) = 0 THEN 'owner is no recipient' END END AS error FROM z""")
+def sandbox_recipients(spark, sf_dir):
+    n = F.pmod("client_id", F.lit(5))
+    d = read(spark, sf_dir, "clients").filter("client_id IS NOT NULL").select(
+        "client_id", F.when(F.pmod("client_id", F.lit(2)) == 0, "team@Resend.dev").otherwise("team@x.org").alias("sender"),
+        F.slice(F.array(F.coalesce("email", F.lit("none")), F.lit("B@x.org")), F.lit(1), (1 + F.pmod("client_id", F.lit(3))).cast("int")).alias("to"), F.when(n == 0, " b@X.org").when(n == 1, F.col("email")).when(n == 2, "nobody@x.org").alias("owner"),
+    )
+    s = rules.sandboxed(F.col("sender"), F.col("to"), F.col("owner"))
+    return d.select("client_id", s.alias("s")).select("client_id", F.array_join("s.to", ",").alias("recipients"), F.array_join("s.skipped", ",").alias("skipped"), "s.error")

@@ -24,12 +24,6 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` as written to the checkpoint folder: what follows reads it from there, however often."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
-
-
 def shared_folder(spark: SparkSession, tag: str) -> str:
     """A new folder's address below ``shared_dir``, removed when the session's process ends."""
     path = f"{shared_dir(spark)}/inkwell-{tag}-{uuid.uuid4().hex}"
@@ -45,9 +39,9 @@ def _remove(spark: SparkSession, path: str) -> None:
         return
 
 
-def saved(df: DataFrame, path: str) -> DataFrame:
-    """``df`` written to ``path`` and read back: a lost executor costs a reread, not a recomputation."""
-    schema = df.schema
+def saved(df: DataFrame, path: str | None = None) -> DataFrame:
+    """``df`` written to ``path`` (else a folder that goes with the process) and read back: a lost executor costs a reread, not a recomputation."""
+    schema, path = df.schema, path or shared_folder(df.sparkSession, "table")
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(schema).parquet(path)
 

@@ -84,9 +84,18 @@ def default_abstract(*candidates: Column) -> Column:
     return blank_to_null(squeeze(F.when(raw.rlike(MARKUP), strip_tags(raw)).otherwise(raw)))
 
 
-def byline_abstract(content: Column) -> Column:
-    """Text without a leading paragraph of authors."""
-    return blank_to_null(squeeze(strip_tags(F.regexp_replace(content, r"(?is)^<p>\s*by\b.*?</p>\s*", ""))))
+def byline_abstract(content: Column, snippet: Column | None = None) -> Column:
+    """Text without a leading paragraph of authors; without a text, that of the plain ``snippet``."""
+    text = blank_to_null(squeeze(strip_tags(F.regexp_replace(content, r"(?is)^<p>\s*by\b.*?</p>\s*", ""))))
+    return text if snippet is None else F.coalesce(text, snippet_abstract(snippet))
+
+
+def snippet_abstract(snippet: Column) -> Column:
+    """A plain text; one that begins with its authors loses its first paragraph, or its first line where it has no other paragraph."""
+    t = trim_space(snippet)
+    paragraphs = F.filter(F.transform(F.split(t, r"\n\s*\n"), squeeze), lambda p: F.length(p) > 0)
+    rest = F.when(F.size(paragraphs) > 1, F.array_join(F.slice(paragraphs, 2, F.greatest(F.size(paragraphs), F.lit(1))), " ")).otherwise(squeeze(F.regexp_replace(t, r"(?is)^by\b.*?\n+", "")))
+    return blank_to_null(F.when(t.rlike(r"(?i)^by\b"), rest).otherwise(squeeze(t)))
 
 
 def to_papers(items: DataFrame, catalog: DataFrame) -> DataFrame:
@@ -105,7 +114,7 @@ def to_papers(items: DataFrame, catalog: DataFrame) -> DataFrame:
     abstract = (
         F.when(F.col("source").isin(policy.SILENT_FEEDS), F.lit(None).cast("string"))
         .when(F.col("source").isin(policy.ENCODED_FEEDS), encoded_abstract(content, F.col("journal")))
-        .when(F.col("source") == "plos-biology", byline_abstract(content))
+        .when(F.col("source") == "plos-biology", byline_abstract(F.coalesce("content_encoded", "content", F.when(F.col("description").rlike(MARKUP), F.col("description"))), F.col("description")))
         .otherwise(default_abstract(F.col("description"), F.col("summary"), content))
     )
     out = d.select(title.alias("title"), "journal", date.alias("published"), url.alias("url"), doi.alias("doi"), abstract.alias("abstract"), "source", "ord")

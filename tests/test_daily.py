@@ -9,7 +9,7 @@ NATURE = RDF.replace("Nature Communications", "Nature").replace("Reading &amp; m
 
 
 def inputs(spark):
-    items = feeds.parse(spark.createDataFrame([("cell", RSS.replace("25 May 2026 07:00:00", "21 May 2026 20:00:00")), ("plos-biology", ATOM), ("nature", NATURE)], "source string, value string"))
+    items = feeds.parse(spark.createDataFrame([("cell", RSS.replace("14 Jul 2026 07:00:00", "21 May 2026 20:00:00")), ("plos-biology", ATOM), ("nature", NATURE)], "source string, value string"))
     rec = [("Spatial omics of mice", "A, B", "10.1101/1", "2026-05-22", "1", "new", "neuro", "Long text"), ("Roads", "C", "10.1101/2", "2026-05-22", "1", "new", "eco", None), ("Visium now", "D", "10.1101/3", "2026-05-20", "1", "new", "eco", "t")]
     return items, spark.createDataFrame(rec, preprints.RECORD)
 

@@ -192,3 +192,26 @@ def test_headers_of_encoded_feeds(value, content, wanted):
     from inkwell.sources.feeds import encoded_abstract
 
     assert value(encoded_abstract, content, "Letters & Notes") == wanted
+
+
+@pytest.mark.parametrize(
+    ("given", "wanted"),
+    [("By A, B\n\nThe text\n \nmore  of it", "The text more of it"), ("by A\nThe text", "The text"), ("By A alone", "By A alone"), (" Bypass  of it ", "Bypass of it"), ("", None), (None, None), (" \n", None)],
+)
+def test_snippets_without_their_authors(value, given, wanted):
+    from inkwell.sources.feeds import snippet_abstract
+
+    assert value(snippet_abstract, given) == wanted
+
+
+@pytest.mark.parametrize(
+    ("sender", "to", "owner", "wanted"),
+    [
+        ("a@x.org", "p,q", None, (["p", "q"], [], None)), ("a@RESEND.dev", "p", None, (["p"], [], None)), ("a@resend.dev", "p,q", " ", (["p", "q"], [], "several recipients and no owner")),
+        ("a@resend.dev", "p,Q", " q ", (["Q"], ["p"], None)), ("a@resend.dev", "p", "q", ([], ["p"], "owner is no recipient")), (None, "p", "q", (["p"], [], None)),
+    ],
+)
+def test_sandbox(value, sender, to, owner, wanted):
+    from pyspark.sql import functions as F
+
+    assert tuple(value(lambda s, t, o: rules.sandboxed(s, F.split(t, ","), o), sender, to, owner)) == wanted

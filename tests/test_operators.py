@@ -291,3 +291,71 @@ def test_the_last_verdict_counts(spark):
     verdicts = spark.createDataFrame([("a", "yes", 1), ("a", "no", 2)], "id string, verdict string, ord int")
     assert routing.route(papers, verdicts).first().verdict == "no"
     assert routing.route(papers, verdicts.drop("ord")).first().verdict == "yes"
+
+
+def test_readers_of_answers():
+    good = lambda rows: "note " + json.dumps({"results": rows})
+    assert provider.confidences_of(good([{"id": "a", "confidence": 0.5}, {"id": "b", "confidence": 2}, {"id": "c", "confidence": True}, {"id": "d", "confidence": 1}, {"id": "d", "confidence": 1}])) == {"a": "0.5"}
+    assert provider.titles_of(good([{"id": " a ", "title": " T "}, {"id": "b", "title": ""}, {"id": "c", "title": 5}, "row", {"id": "d", "title": "x"}, {"id": "d", "title": ""}])) == {"a": "T"}
+    for read, text in ((provider.confidences_of, good([{"confidence": 1}])), (provider.titles_of, "words"), (provider.titles_of, '{"results": 3}'), (provider.verdicts_of, good([{"id": "a", "verdict": "maybe"}]))):
+        with pytest.raises(provider.ProviderError):
+            read(text)
+
+
+def test_starts_are_spaced_and_end_with_the_budget():
+    s, at = stage(), []
+    s.spacing_ms = 20_000
+
+    def ask(ids, payload):
+        at.append(60_000 - s.left_ms())
+        return json.dumps({"results": [{"id": i, "verdict": "yes"} for i in ids]})
+
+    got = [provider.classify(s, ask, [(x, "{}")]) for x in "abcd"]
+    assert at == [0, 20_000, 40_000] and [len(g[0]) for g in got] == [1, 1, 1, 0] and got[3][1] == {"d": "breaker"} and s.open_reason == "budget exhausted"
+
+
+def test_json_mode_is_given_up_once():
+    asked = []
+
+    def strict(ids, payload):
+        asked.append("strict")
+        raise provider.ProviderError("json_mode")
+
+    ask = provider.json_mode(strict, lambda ids, payload: asked.append("plain") or "{}")
+    assert ask([], "") == ask([], "") == "{}" and asked == ["strict", "plain", "plain"]
+
+    def busy(ids, payload):
+        raise provider.ProviderError("rate_limit")
+
+    with pytest.raises(provider.ProviderError, match="rate_limit"):
+        provider.json_mode(busy, strict)([], "")
+
+
+def test_stage_drivers(spark, tmp_path):
+    d = spark.createDataFrame([(i // 4, f"p{i}", "{}") for i in range(18)], "batch int, id string, payload string")
+
+    def spatial(ids, payload):
+        if "p13" in ids and len(ids) > 1:
+            raise provider.ProviderError("length")
+        return json.dumps({"results": [{"id": i, "confidence": int(i[1:]) / 10} for i in ids if i != "p2"]})
+
+    got = {r.id: (r.confidence, r.failure) for r in provider.spatial_batches(d, spatial, str(tmp_path / "s"), depth=3).collect()}
+    assert got["p4"] == (0.4, None) and got["p2"] == (None, "missing") and got["p13"][0] is None and len(got) == 18 and got["p12"][1] == "missing"
+    titles = provider.translate_batches(d, lambda ids, p: json.dumps({"results": [{"id": i, "title": f"t {i}"} for i in ids]}), str(tmp_path / "t"), concurrency=3)
+    assert {r.title for r in titles.collect()} == {f"t p{i}" for i in range(18)}
+    n = provider.stage_counts(provider.spatial_batches(d, spatial, str(tmp_path / "s2")), "confidence").first()
+    assert (n.requested, n.answered, n.failed, sum(n.kinds.values())) == (18, 10, 8, 8)
+    none = provider.stage_counts(titles.filter("false"), "title").first()
+    assert (none.requested, none.answered, none.failed, none.kinds) == (0, 0, 0, {})
+
+
+def test_cards_and_files_of_the_report(spark, tmp_path):
+    d = spark.createDataFrame([(1, "10.1234/x y", "<T>", "u&", "J", "s", "line-a", True, "abs", None, 1, ["<a>", None, "b"])], "ord int, id string, title string, url string, journal string, source string, line string, featured boolean, abstract string, summary string, position int, tags array<string>")
+    html = report.render([r.asDict() for r in report.report_rows(d).collect()], "2026-01-01")
+    for part in ('<a href="u&amp;">&lt;T&gt;</a>', '<p class="journal">J · <a href="https://doi.org/10.1234%2Fx%20y">10.1234/x y</a></p>', '<div><span class="tag">&lt;a&gt;</span><span class="tag">b</span></div>', "<p>abs</p>", "<h2>Preprints</h2><p>None today.</p>"):
+        assert part in html
+    bare = d.select("title").select(report.card(["title"]).alias("c")).first().c
+    assert bare == '<article><h3><a href="">&lt;T&gt;</a></h3><p class="journal"></p><p></p></article>'
+    paths = report.publish(spark, html, str(tmp_path / "site"), "2026-01-01", True)
+    assert [p.split("site")[1] for p in paths] == ["/index.html", "/archive/2026-01-01.html"]
+    assert (tmp_path / "site" / "archive" / "2026-01-01.html").read_text() == (tmp_path / "site" / "index.html").read_text() == html
