@@ -39,7 +39,7 @@ def op3_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), "crc32(CAST(doc_id AS string)) % 5 <> 0")
     scored = toxicity.score(docs, model)
-    return scored.select("doc_id", fold(5, 0).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+    return scored.select("doc_id", fold(5, 0).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"), "offending")
 
 
 def op7_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
