@@ -28,12 +28,12 @@ def select_featured(papers: DataFrame, most: int = MAX_FEATURED, key: str = "id"
     return papers.join(F.broadcast(top), F.col(key) == F.col("_top"), "left").select(*[c for c in papers.columns if c != "featured"], F.coalesce("_featured", F.lit(False)).alias("featured"))
 
 
-def selection_stats(selected: DataFrame) -> DataFrame:
-    """14 counters; a row without a line counts as skip, but is no candidate."""
+def selection_stats(selected: DataFrame, *by: str) -> DataFrame:
+    """14 counters, of each value of ``by`` where it is given; a row without a line counts as skip, but is no candidate."""
     line = lambda v: F.coalesce(F.col("line"), F.lit("skip")) == v
     shown, on = visible(F.col("line")), F.col("featured")
     names = {"line_a": "line-a", "line_b": "line-b", "preprint": "preprint"}
-    return selected.agg(
+    return selected.groupBy(*by).agg(
         F.count(F.lit(1)).alias("total"), count_if(shown, "candidates"), count_if(on, "featured"), count_if(shown & ~on, "overflow"),
         *[count_if(line(v), n) for n, v in {**names, "skip": "skip"}.items()],
         *[count_if(on & line(v), f"featured_{n}") for n, v in names.items()],

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator
-from urllib.request import urlopen
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +13,7 @@ from inkwell.functions.keywords import matches, searchable
 from inkwell.functions.policy import PRIMARY_KEYWORDS
 from inkwell.functions.rules import authors
 from inkwell.functions.text import blank_to_null, squeeze, trim_space
+from inkwell.sources.scan import fetch
 
 RECORD = "title string, authors string, doi string, date string, version string, type string, category string, abstract string"
 MAX_CURSOR = 10_000
@@ -50,7 +50,7 @@ def pages(fetch: Callable[[int], dict]) -> Iterator[dict]:
 
 
 class PreprintSource(DataSource):
-    """``format("preprints")`` with options url (with {category}, {from}, {to}, {cursor}), categories (comma-separated), from, to: a partition per category, whose failure becomes a status row of its own."""
+    """``format("preprints")`` with options url (with {category}, {from}, {to}, {cursor}; HTTP or an address in any store), categories (comma-separated), from, to, timeout: a partition per category, whose failure becomes a status row of its own."""
 
     @classmethod
     def name(cls) -> str:
@@ -68,25 +68,30 @@ class PreprintReader(DataSourceReader):
         self.options = dict(options)
 
     def partitions(self) -> list[InputPartition]:
-        return [InputPartition(c.strip()) for c in self.options.get("categories", "").split(",") if c.strip()]
+        return [InputPartition(c.strip()) for c in self.options.get("categories", "").split(",") if c.strip()] or [InputPartition(None)]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
+        """A category's records, or one row that says why there are none: what came before a failure does not count (``MAX_CURSOR`` bounds what is held)."""
         category, blank = partition.value, (None,) * 8
+        if category is None:
+            return
 
-        def fetch(cursor: int) -> dict:
-            url = self.options["url"].format(category=category, cursor=cursor, **{k: self.options.get(k, "") for k in ("from", "to")})
-            with urlopen(url, timeout=30) as f:  # noqa: S310
-                return json.load(f)
+        def page(cursor: int) -> dict:
+            own = {"category": category, "cursor": cursor, **{k: self.options.get(k, "") for k in ("from", "to")}}
+            url = self.options["url"]
+            for name, value in own.items():
+                url = url.replace(f"{{{name}}}", str(value))
+            return json.loads(fetch(url, float(self.options.get("timeout", 30))))
 
-        names, n = [x.split()[0] for x in RECORD.split(", ")], 0
+        names = [x.split()[0] for x in RECORD.split(", ")]
         try:
-            for r in pages(fetch):
-                n += 1
-                yield (category, "ok", *[None if r.get(k) is None else str(r[k]) for k in names])
+            rows = [tuple(None if r.get(k) is None else str(r[k]) for k in names) for r in pages(page)]
         except Exception as e:
             yield (category, f"skipped: {type(e).__name__}", *blank)
             return
-        if not n:
+        for r in rows:
+            yield (category, "ok", *r)
+        if not rows:
             yield (category, "empty", *blank)
 
 

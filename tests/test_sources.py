@@ -56,6 +56,15 @@ def test_a_failing_category_leaves_the_others(spark, tmp_path):
     assert got["bad"].status.startswith("skipped")
 
 
+def test_a_category_that_fails_later_counts_for_nothing(spark, tmp_path):
+    for cursor, page in ((0, {"messages": [{"status": "ok", "count": 1, "total": 2}], "collection": [{"title": "T", "doi": "10.1/x", "date": "2026-01-01"}]}), (1, {"messages": [{"status": "error"}]})):
+        (tmp_path / f"bad-{cursor}.json").write_text(json.dumps(page))
+    spark.dataSource.register(preprints.PreprintSource)
+    read = lambda names: spark.read.format("preprints").option("url", f"file://{tmp_path}/{{category}}-{{cursor}}.json").option("categories", names).load()
+    assert [(r.requested, r.status, r.doi) for r in read("bad").collect()] == [("bad", "skipped: RuntimeError", None)]
+    assert not read("").collect()
+
+
 def test_records_to_papers(spark, tmp_path):
     records = [
         {"title": " A  spatial omics map ", "authors": "B, A.;  C, D. ;", "doi": " 10.1101/X ", "date": "2026-05-22", "version": "2", "category": " ", "type": "new results", "abstract": " "},
@@ -85,3 +94,25 @@ def test_daily_documents(spark, tmp_path):
     for day, n in (("2026-05-24", 1), ("2026-05-25", 2), ("2026-05-24", 3)):
         daily.write(spark.createDataFrame([(day, n)], "report_date string, n int"), out)
     assert {tuple(r) for r in spark.read.json(out).select(F.col("report_date").cast("string"), "n").collect()} == {("2026-05-24", 3), ("2026-05-25", 2)}
+
+
+def test_documents_in_parts(spark, tmp_path):
+    from inkwell.operators import selection
+
+    rows = [(day, n, f"{day}-{n}", "line-a" if n % 2 else "skip", n == 1) for day, many in (("2026-05-24", 17), ("2026-05-25", 3), ("2026-05-26", 1)) for n in range(1, many + 1)]
+    d = spark.createDataFrame(rows, "report_date string, position long, id string, digestLine string, featured boolean")
+    stats = selection.selection_stats(d.withColumn("line", F.col("digestLine")), "report_date")
+    empty = stats.limit(1).select(F.lit("2026-05-27").alias("report_date"), *[F.lit(0).cast("long").alias(c) for c in stats.columns[1:]])
+    out = spark.createDataFrame([("2026-05-26", n, (f"x{n}",), "r", "no", "llm") for n in range(1, 12)], "report_date string, position long, paper struct<id: string>, reason string, verdict string, method string")
+    whole = daily.documents(d.repartition(3), stats.unionByName(empty), out, part=5)
+    assert whole.select(F.max(F.size("papers"))).first()[0] == 5 and whole.select(F.max(F.size("excludedPapers"))).first()[0] == 5
+    daily.write(whole, str(tmp_path / "d"))
+    got = daily.read(spark, str(tmp_path / "d"))
+    assert sorted((r.reportDate, r.ord + 1, r.id, r.digestLine, r.featured) for r in daily.papers(got).collect()) == sorted(rows)
+    assert {r[0]: tuple(r)[1:] for r in got.filter("digest IS NOT NULL").select("reportDate", "selection.total", "selection.lineA", "selection.featured").collect()} == {"2026-05-24": (17, 9, 1), "2026-05-25": (3, 2, 1), "2026-05-26": (1, 1, 1), "2026-05-27": (0, 0, 0)}
+    left = sorted((r.first, [x.paper.id for x in r.excludedPapers]) for r in got.filter("excludedPapers IS NOT NULL").collect())
+    assert [i for _, part in left for i in part] == [f"x{n}" for n in range(1, 12)]
+    assert not daily.documents(d.filter("false"), stats.filter("false"), out.filter("false")).collect()
+    for bad, message in ((d.withColumn("position", F.lit(None).cast("long")), "without a position"), (d.withColumn("report_date", F.lit(None).cast("string")), "without a day")):
+        with pytest.raises(Exception, match=message):
+            daily.documents(bad, stats).collect()
