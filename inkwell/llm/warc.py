@@ -27,7 +27,7 @@ from inkwell.llm.scratch import Scratch, store
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CONV_DIGITS, BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 PAGE_URN = "urn:inkwell:page:"
-RECORDS_PER_FILE = 2000
+RECORDS_PER_FILE, BYTES_PER_FILE = 2000, 256 << 20
 
 
 def base32_sha1(data: Column) -> Column:
@@ -65,7 +65,21 @@ def page_records(pages: DataFrame, first_copies: DataFrame, min_bytes: int) -> D
     )
 
 
-def _members(path: str, records_per_file: int):
+def size_classes(records_per_file: int, bytes_per_file: int) -> list[tuple[int, int | None, int]]:
+    """(least, most, records a file) of payload sizes: the first class fills a file of ``bytes_per_file`` with all its records, each further one holds payloads up to eight times as large, and the last has a file a record."""
+    out, least, most, records = [], -1, max(1, bytes_per_file // records_per_file), records_per_file
+    while records > 1:
+        out.append((least, most, records))
+        least, most, records = most, most * 8, records // 8
+    return [*out, (least, None, 1)]
+
+
+def _class_counts(classes: list[tuple[int, int | None, int]]) -> list[Column]:
+    size = F.coalesce(F.octet_length(F.col("html").cast("string")), F.lit(0))
+    return [F.count_if((size > least) & (size <= most if most is not None else F.lit(True))).alias(f"n{i}") for i, (least, most, _) in enumerate(classes)]
+
+
+def _members(path: str, records_per_file: int, bytes_per_file: int):
     """Records to gzip archives, a member each. A file gets its name when it is whole, and a task that runs again writes it anew."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -73,18 +87,19 @@ def _members(path: str, records_per_file: int):
 
         folder, root = store(path)
         folder.create_dir(root, recursive=True)
-        task, files, out, rows = TaskContext.get(), 0, None, 0
+        task, files, out, rows, size = TaskContext.get(), 0, None, 0, 0
         name = lambda: f"part-{task.partitionId():05d}-{files:05d}.warc.gz"
         hidden = lambda: f"{root}/.{name()}.{task.taskAttemptId()}"
         for batch in batches:
             for value in batch.column(0):
                 out = out or folder.open_output_stream(hidden(), compression=None)
-                out.write(gzip.compress(value.as_buffer().to_pybytes() + b"\r\n", 6, mtime=0))
-                rows += 1
-                if rows == records_per_file:
+                member = gzip.compress(value.as_buffer().to_pybytes() + b"\r\n", 6, mtime=0)
+                out.write(member)
+                rows, size = rows + 1, size + len(member)
+                if rows == records_per_file or size >= bytes_per_file:
                     out.close()
                     folder.move(hidden(), f"{root}/{name()}")
-                    files, out, rows = files + 1, None, 0
+                    files, out, rows, size = files + 1, None, 0, 0
         if out:
             out.close()
             folder.move(hidden(), f"{root}/{name()}")
@@ -93,18 +108,30 @@ def _members(path: str, records_per_file: int):
     return run
 
 
-def write_warc(pages: DataFrame, path: str, first_copies: DataFrame, min_bytes: int = 0, records_per_file: int = RECORDS_PER_FILE, compression: str = "none") -> None:
+def write_warc(
+    pages: DataFrame, path: str, first_copies: DataFrame, min_bytes: int = 0, records_per_file: int = RECORDS_PER_FILE, compression: str = "none", bytes_per_file: int = BYTES_PER_FILE
+) -> None:
     """Write a record per row of ``pages(page_id, url, html)`` to archives under ``path``, plain or (``gzip``) with a gzip member for each record.
 
     ``first_copies(digest, first_id, copies)`` has the payload digests that occur more than once (see
     ``repeated_payloads``). A null html is an empty payload, a null url leaves its header out, and a null
     page_id gives a record id without number. Columns other than these three are not read.
+
+    An archive holds at most ``records_per_file`` records, and payloads of at most ``bytes_per_file`` bytes unless it holds
+    a single record (gzip: what its last member takes it to). Plain archives are written a size class at a time (``size_classes``), those
+    that have rows; a count beforehand says which, and most tables lie in the first.
     """
-    records = page_records(pages, first_copies, min_bytes)
     if compression == "gzip":
-        records.mapInArrow(_members(path, records_per_file), "written int").write.format("noop").mode("overwrite").save()
+        page_records(pages, first_copies, min_bytes).mapInArrow(_members(path, records_per_file, bytes_per_file), "written int").write.format("noop").mode("overwrite").save()
         return
-    records.write.option("lineSep", "\r\n").option("maxRecordsPerFile", records_per_file).option("compression", compression).text(path)
+    classes = size_classes(records_per_file, bytes_per_file)
+    filled = pages.agg(*_class_counts(classes)).first()
+    own = [c for c, n in zip(classes, filled, strict=True) if n] or classes[:1]
+    size = F.coalesce(F.octet_length(F.col("html").cast("string")), F.lit(0))
+    for i, (least, most, records) in enumerate(own):
+        of = pages if len(own) == 1 else pages.filter((size > least) & (size <= most if most is not None else F.lit(True)))
+        out = page_records(of, first_copies, min_bytes).write.option("lineSep", "\r\n").option("maxRecordsPerFile", records).option("compression", compression)
+        out.mode("append" if i else "errorifexists").text(path)
 
 
 def repeated_payloads(pages: DataFrame) -> DataFrame:
@@ -140,12 +167,27 @@ def _agrees(declared: str | None, data: bytes) -> bool | None:
     return value.upper().rstrip("=") == base64.b32encode(raw).decode().rstrip("=") or value.lower() == raw.hex()
 
 
-def _header(lines: bytes) -> dict[str, str]:
-    """Named fields of a header; only LF, alone or after CR, ends a line, and one that begins with a blank goes on with the field before."""
+class Archive(bytes):
+    """An archive's bytes that remember where the next blank line is, so that a run of headers without end is searched once."""
+
+    sought = 0
+    blank: re.Match | None = None
+    known = False
+
+    def header_end(self, at: int) -> re.Match | None:
+        if not self.known or at < self.sought or (self.blank and self.blank.start() < at):
+            self.known, self.sought, self.blank = True, at, HEAD_END.search(self, at)
+        return self.blank
+
+
+def _header(data: bytes, at: int, stop: int) -> dict[str, str]:
+    """Named fields of the header between two places; only LF, alone or after CR, ends a line, and one that begins with a blank goes on with the field before. It is read up to its first fault: another version line is one."""
     out: dict[str, str] = {}
     key = ""
-    for line in lines.split(b"\n"):
-        line = line.removesuffix(b"\r")
+    while at <= stop:
+        end = data.find(b"\n", at, stop)
+        end = stop if end < 0 else end
+        line, at = data[at:end].removesuffix(b"\r"), end + 1
         if line[:1] in (b" ", b"\t") and key:
             out[key] = f"{out[key]} {line.strip(b' \t').decode('utf-8', 'replace')}".strip(" ")
             continue
@@ -162,10 +204,10 @@ def _frame(data: bytes, at: int) -> tuple[dict, int, int, int]:
     version = VERSION.match(data, at)
     if not version:
         raise Damaged("version line")
-    end = HEAD_END.search(data, version.end() - 1)
+    end = data.header_end(version.end() - 1) if isinstance(data, Archive) else HEAD_END.search(data, version.end() - 1)
     if not end:
         raise Damaged("header end")
-    head = _header(data[version.end() : end.start()])
+    head = _header(data, version.end(), max(version.end(), end.start()))
     if not head.get("warc-type") or not head.get("warc-record-id"):
         raise Damaged("mandatory header")
     if not LENGTH.fullmatch(head.get("content-length", "").encode()):
@@ -266,7 +308,7 @@ def _member(data: bytes, at: int) -> tuple[bytes, int, str]:
 
 def _member_records(out: bytes, wrong: str) -> Iterator[tuple[dict | None, str]]:
     """(header or None, reason) of a member's records; of a broken one those that end before its output does, and after an error only those that their own digest proves."""
-    for _, end, head, reason in _plain(out):
+    for _, end, head, reason in _plain(Archive(out)):
         if not wrong:
             yield head, reason
         elif head and end < len(out) and (wrong == "truncated member" or _agrees(head.get("warc-block-digest"), head[""])):
@@ -310,7 +352,7 @@ def _mixed(data: bytes) -> Iterator[tuple]:
 
 def salvage(data: bytes) -> Iterator[dict]:
     """Every record and every gap of an archive's bytes, in order."""
-    for start, end, head, reason in _mixed(data):
+    for start, end, head, reason in _mixed(Archive(data)):
         if head is None:
             yield {"kind": "gap", "offset": start, "length": end - start, "reason": reason}
             continue
@@ -334,8 +376,8 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = False, pattern: s
     """Records and quarantined gaps of every archive under ``path``, plain or gzip: one row each, ``kind`` record or gap.
 
     A gap has its place, length and the check that failed. With ``payloads``, the payload bytes too
-    (null for revisits). An archive must fit a task, so writers bound it (``records_per_file``); a record
-    may have any size within that. Empty archives and empty folders give no rows.
+    (null for revisits). An archive must fit a task, so writers bound it (``records_per_file``, ``bytes_per_file``); a record
+    may have any size within that. Spark refuses a file of 2 GiB or more by name. Empty archives and empty folders give no rows.
     """
     arrow = ARROW.append(pa.field("payload", pa.binary())) if payloads else ARROW
 

@@ -176,3 +176,35 @@ def test_clashing_columns(spark):
     wide = pages.select("*", *[F.lit("x").alias(c) for c in ("digest", "id", "payload", "first_id", "copies", "bytes", "revisit", "block", "value")])
     got = sorted(tuple(r) for r in warc.archive_pages(wide).select("page_id", "record_type", "refers_to").collect())
     assert got == [(1, "response", None), (2, "revisit", 1)]
+
+
+def test_archives_are_bounded_in_bytes(spark, tmp_path):
+    sizes = [10] * 40 + [999, 1000, 1001, 7000] + [9000] * 7 + [70000, 90000, 0]
+    noise = lambda i, n: "".join(hashlib.sha512(b"%d %d" % (i, k)).hexdigest() for k in range(n // 128 + 1))[:n]  # noqa: E731  does not compress to much under half
+    pages = spark.createDataFrame([(i, "u", noise(i, n)) for i, n in enumerate(sizes)] + [(99, "u", None)], "page_id long, url string, html string").repartition(1)
+    firsts = warc.repeated_payloads(pages).filter("false")
+    for compression in ("none", "gzip"):
+        out = tmp_path / compression
+        warc.write_warc(pages, str(out), firsts, records_per_file=64, compression=compression, bytes_per_file=64_000)
+        files = [f for f in out.iterdir() if f.name.startswith("part-")]
+        for file in files:
+            held = [r for r in warc.salvage(file.read_bytes()) if r["kind"] == "record"]
+            assert len(held) <= 64 and (len(held) == 1 or sum(r["payload_bytes"] for r in held) <= 64_000 or compression == "gzip")
+        got = warc.read_warc(spark, str(out), pattern="part-*")
+        assert sorted(r.payload_bytes for r in got.collect()) == sorted([*sizes, 0]) and len(files) > 1
+    whole = warc.size_classes(2000, 256 << 20)
+    assert all((a[1], a[2] // 8 or 1) == (b[0], b[2]) or b[2] == 1 for a, b in zip(whole, whole[1:], strict=False)) and whole[-1][1:] == (None, 1)
+    assert all(most * records <= 256 << 20 for _, most, records in whole[:-1])
+
+
+def test_version_lines_without_a_header_are_passed_in_linear_time():
+    import time
+
+    for tail in (b"", b"\r\n\r\n"):
+        took = []
+        for many in (50_000, 400_000):
+            data = record(1) + b"WARC/1.1\r\n" * many + tail + record(2)
+            began = time.process_time()
+            assert ids(data) == ["1", "2"] and covered(data)
+            took.append(time.process_time() - began)
+        assert took[1] < 24 * took[0]
