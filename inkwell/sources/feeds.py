@@ -40,8 +40,8 @@ def parse(files: DataFrame, source: str = "source", xml: str = "value") -> DataF
     read = lambda c: F.from_xml(_plain(c), f"{ITEM}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt", "mode": "PERMISSIVE"})
     once = lambda x: bound(read(x), lambda i: F.when(i["_corrupt"].isNotNull(), read(repaired(x))).otherwise(i))
     d = files.filter(looks_like_feed(F.col(xml))).select(F.col(source).alias("source"), F.transform(F.regexp_extract_all(xml, F.lit(ELEMENT), F.lit(1)), once).alias("_items"))
-    sound = ~F.exists("_items", lambda i: i["_corrupt"].isNotNull())  # judged where they are parsed: no file is read twice
-    return d.filter(sound).select("source", F.posexplode("_items").alias("ord", "i")).select("source", "ord", "i.*").drop("_corrupt")
+    sound = bound(F.col("_items"), lambda own: F.when(~F.exists(own, lambda i: i["_corrupt"].isNotNull()), own))  # no filter, which would parse once more
+    return d.select("source", F.posexplode(sound).alias("ord", "i")).select("source", "ord", "i.*").drop("_corrupt")
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
@@ -80,8 +80,8 @@ def encoded_abstract(content: Column, journal: Column) -> Column:
 
 
 def default_abstract(*candidates: Column) -> Column:
-    raw = F.coalesce(*candidates)
-    return blank_to_null(squeeze(F.when(raw.rlike(MARKUP), strip_tags(raw)).otherwise(raw)))
+    text = bound(F.coalesce(*candidates), lambda raw: F.when(raw.rlike(MARKUP), strip_tags(raw)).otherwise(squeeze(raw)))
+    return bound(text, blank_to_null)
 
 
 def byline_abstract(content: Column, snippet: Column | None = None) -> Column:
