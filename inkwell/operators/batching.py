@@ -200,25 +200,31 @@ def spaced_starts_ranges(df: DataFrame, bucket: str, arrival_ms: str, order: lis
 
 
 def request_rate_slices(df: DataFrame, ts: str, order: list[str], bucket: str | None = None, seconds: int = 60, windows: int = 10) -> DataFrame:
-    """As ``request_rate``, but time is cut into slices of ``windows`` windows: a slice counts over its own rows and those of one window before it, and has the last time of the slices before from a table of one row a slice.
+    """As ``request_rate``, but time is cut into slices of ``windows`` windows: a slice counts over its own rows and those of one window before it, and has the last time of the slices before as a row of its own.
 
-    Rows without a time have neither count nor gap. Of rows at one time the gap goes by ``order``.
+    A start adds one at its time and takes it away when its window has passed, so a running sum counts the starts of any window and
+    each row is looked at twice, however dense the rows are. Rows without a time have neither count nor gap. Of rows at one time the gap goes by ``order``.
     """
     ms, width = F.unix_millis(F.col(ts).cast("timestamp")), 1000 * seconds
     long = width * windows
     own = F.col(bucket) if bucket else F.lit("").alias("_b")
     d = df.withColumns({"_ms": ms, "_b": own}).withColumn("_slice", F.expr(f"(_ms - pmod(_ms, {long})) div {long}"))
-    last = Window.partitionBy("_lb").orderBy("_ls")
-    lasts = d.filter("_ms IS NOT NULL").groupBy(F.col("_b").alias("_lb"), F.col("_slice").alias("_ls")).agg(F.max("_ms").alias("_last"))
-    lasts = lasts.withColumn("_earlier", F.lag("_last").over(last)).drop("_last")
+    timed, last = d.filter("_ms IS NOT NULL"), Window.partitionBy("_b").orderBy("_to")
+    lasts = timed.groupBy("_b", F.col("_slice").alias("_to")).agg(F.max("_ms").alias("_last"))
+    lasts = lasts.select("_b", "_to", F.lag("_last").over(last).alias("_ms")).filter("_ms IS NOT NULL").withColumns({"_at": F.col("_ms"), "_more": F.lit(0)})
     until = F.expr(f"(_ms + {width} - pmod(_ms + {width}, {long})) div {long}")
-    halo = d.withColumn("_to", F.explode_outer(F.sequence(F.col("_slice"), until)))
-    frame = Window.partitionBy("_b", "_to").orderBy("_ms")
-    met = halo.withColumn("recent", F.when(F.col("_ms").isNotNull(), F.count(F.lit(1)).over(frame.rangeBetween(-width, 0))))
-    met = met.withColumn("_before", F.lag("_ms").over(Window.partitionBy("_b", "_to").orderBy("_ms", *order))).filter(F.col("_slice").eqNullSafe(F.col("_to")))
-    met = met.join(lasts, F.col("_b").eqNullSafe(F.col("_lb")) & (F.col("_slice") == F.col("_ls")), "left")
-    gap = F.when(F.col("_ms").isNotNull(), F.col("_ms") - F.coalesce("_before", "_earlier"))
-    return met.withColumn("gap_ms", gap).select(*df.columns, "recent", "gap_ms")
+    entry = lambda to, at, more: F.struct(to.alias("_to"), at.alias("_at"), F.lit(more).alias("_more"))
+    entries = F.concat(F.transform(F.sequence(F.col("_slice"), until), lambda s: entry(s, F.col("_ms"), 1)), F.array(entry(until, F.col("_ms") + width + 1, -1)))
+    spread = timed.withColumn("_e", F.explode(entries)).select("*", "_e.*").drop("_e")
+    # The columns go with a row's entry in its own slice alone.
+    here = (F.col("_more") == 1) & (F.col("_to") == F.col("_slice"))
+    spread = spread.select("_b", "_to", "_at", "_more", F.when(F.col("_more") == 1, F.col("_ms")).alias("_ms"), here.alias("_own"), *[F.when(here, F.col(c)).alias(c) for c in df.columns])
+    met = spread.unionByName(lasts, allowMissingColumns=True)
+    earlier = Window.partitionBy("_b", "_to").orderBy("_at", *order).rowsBetween(Window.unboundedPreceding, -1)
+    met = met.withColumn("_before", F.last("_ms", ignorenulls=True).over(earlier))
+    met = met.withColumn("recent", F.sum("_more").over(Window.partitionBy("_b", "_to").orderBy("_at").rangeBetween(Window.unboundedPreceding, Window.currentRow)))
+    out = met.filter("_own").select(*df.columns, "recent", (F.col("_ms") - F.col("_before")).alias("gap_ms"))
+    return out.unionByName(df.filter(ms.isNull()).withColumns({"recent": F.lit(None).cast("long"), "gap_ms": F.lit(None).cast("long")}))
 
 
 def request_rate(df: DataFrame, ts: str, bucket: str | None = None, seconds: int = 60) -> DataFrame:

@@ -245,6 +245,22 @@ def test_starts_across_ranges(spark, tmp_path):
     assert rows(batching.request_rate_slices(timeless, "ts", ["i"], "b"), "i", "recent", "gap_ms") == [(1, None, None)]
 
 
+def test_request_rate_looks_at_no_row_once_a_window(spark):
+    r = random.Random(4)
+    data = [(i, r.choice(["hot", "hot", "b", None]), None if i % 50 == 0 else datetime.datetime(2024, 1, 1) + datetime.timedelta(milliseconds=r.randrange(-90_000, 90_000) // 500 * 500)) for i in range(1500)]
+    got = batching.request_rate_slices(spark.createDataFrame(data, "i int, b string, ts timestamp"), "ts", ["i"], "b", 7, 3)
+    plan = got._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "rangeframe, unboundedpreceding" in plan and "rangeframe, -" not in plan  # a sliding frame is counted anew for every row
+    wanted, own = {}, {}
+    for i, b, t in data:
+        own.setdefault(b, []).append((t, i)) if t else wanted.update({i: (None, None)})
+    for line in own.values():
+        line.sort()
+        for k, (t, i) in enumerate(line):
+            wanted[i] = (sum(t - datetime.timedelta(seconds=7) <= u <= t for u, _ in line), round((t - line[k - 1][0]).total_seconds() * 1000) if k else None)
+    assert {x.i: (x.recent, x.gap_ms) for x in got.collect()} == wanted
+
+
 def test_least_of_each_key(spark):
     r = random.Random(6)
     data = [(i, r.choice(["hot", "hot", "hot", f"k{r.randrange(40)}", None]), r.choice([None, 1, 2, 3])) for i in range(600)]
