@@ -11,6 +11,7 @@ from inkwell.functions.policy import INLINE_TAGS
 
 #: White space as web scripting languages define it: ASCII and Unicode separators, and the byte-order mark.
 SPACE = r"[\t\n\x0B\f\r \u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF]"
+SPACES = "\t\n\x0b\f\r \u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000\ufeff"
 MARKUP = r"(?is)<[a-z].*>"
 DOI = r"(?i)\b10\.\d{4,9}/[-._;()/:A-Z0-9]+\b"
 #: How often nested inline tags are unwrapped at once; deeper ones take a loop.
@@ -27,7 +28,7 @@ def blank_to_null(x: Column) -> Column:
 
 
 def trim_space(x: Column) -> Column:
-    return F.regexp_replace(x, f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(x, F.lit(SPACES))
 
 
 def squeeze(x: Column) -> Column:

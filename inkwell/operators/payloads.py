@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,15 +24,16 @@ FIELDS = {
 
 
 def json_string(x: Column) -> Column:
-    """A string as JSON spells it: quotation marks, backslashes and control characters escaped and nothing else."""
+    """A string as JSON spells it: quotation marks, backslashes and control characters escaped and nothing else. Control characters without a short spelling are rare, and looked for only where one has been met."""
 
     def escaped(t: Column) -> Column:
         for char, short in (("\\", "\\\\"), ('"', '\\"'), *((chr(c), "\\" + SHORT.get(c, f"u{c:04x}")) for c in range(32))):
             t = F.replace(t, F.lit(char), F.lit(short))
-        return t
+        return F.concat(F.lit('"'), t, F.lit('"'))
 
-    text = bound(x, lambda t: F.when(t.rlike(r'[\x00-\x1F"\\]'), escaped(t)).otherwise(t))
-    return F.concat(F.lit('"'), text, F.lit('"'))
+    plain = lambda j: F.substring(j, F.lit(2), F.length(j) - 2)  # noqa: E731  without the array's brackets
+    spelled = lambda t: bound(F.to_json(F.array(t)), lambda j: F.when(j.contains("\\u00"), escaped(t)).when(t.isNotNull(), plain(j)))
+    return bound(x, spelled)
 
 
 def _fields(columns: list[str]) -> dict[str, Column]:
@@ -44,25 +45,44 @@ def _fields(columns: list[str]) -> dict[str, Column]:
     }
 
 
-def payload(stage: str, columns: list[str]) -> Column:
-    """The item of a paper with these columns. The gate gets the abstract as it is, other stages trimmed and cut to 2,000 characters; a required field that is null is an empty string."""
-    value = _fields(columns)
-    if stage != "gate":
+def _pieces(stage: str, columns: list[str]) -> dict[tuple[str, bool], Column]:
+    """A stage's fields in order, spelled with their keys; by name, and whether that is the whole abstract."""
+    value, whole = _fields(columns), stage == "gate"
+    if not whole:
         value["abstract"] = truncate(trim_space(value["abstract"]))
-    pieces = []
+    pieces = {}
     for name in ["id", "title", *FIELDS[stage]]:
         key = name.removesuffix("?")
         text = json_string(value[key] if name.endswith("?") else F.coalesce(value[key], F.lit("")))
-        pieces.append(F.concat(F.lit(f'"{key}":'), text))
+        pieces[name, whole and key == "abstract"] = F.concat(F.lit(f'"{key}":'), text)
+    return pieces
+
+
+def _item(pieces: Iterable[Column | str]) -> Column:
     return F.concat(F.lit("{"), F.concat_ws(",", *pieces), F.lit("}"))
 
 
+def payload(stage: str, columns: list[str]) -> Column:
+    """The item of a paper with these columns. The gate gets the abstract as it is, other stages trimmed and cut to 2,000 characters; a required field that is null is an empty string."""
+    return _item(_pieces(stage, columns).values())
+
+
 def with_payload(papers: DataFrame, stage: str) -> DataFrame:
     """``papers`` with ``payload`` and ``payload_chars``."""
     d = papers.withColumn("payload", payload(stage, papers.columns))
     return d.withColumn("payload_chars", F.length("payload").cast("long"))
 
 
+def with_payloads(papers: DataFrame, stages: list[str], columns: list[str]) -> DataFrame:
+    """A row a paper and stage: ``columns``, ``stage``, ``payload``, ``payload_chars``. Papers are read once, and each field is spelled once for all stages."""
+    of = {s: _pieces(s, papers.columns) for s in stages}
+    own = {k: (f"_f{i}", c) for i, (k, c) in enumerate({k: c for p in of.values() for k, c in p.items()}.items())}
+    d = papers.select(*columns, *[c.alias(name) for name, c in own.values()])
+    items = F.array(*[F.struct(F.lit(s).alias("stage"), _item([own[k][0] for k in p]).alias("payload")) for s, p in of.items()])
+    d = d.select(*columns, F.explode(items).alias("_e")).select(*columns, "_e.*")
+    return d.withColumn("payload_chars", F.length("payload").cast("long"))
+
+
 def request(stage: str, items: Column) -> Column:
     """The body of a request over items in order; a summary is asked for one paper."""
     return F.concat(F.lit('{"paper":'), F.get(items, F.lit(0)), F.lit("}")) if stage == "summarize" else F.concat(F.lit('{"papers":['), F.array_join(items, ","), F.lit("]}"))

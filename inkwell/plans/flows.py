@@ -199,9 +199,8 @@ def _scoped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"{_PAYLOADS} SELECT id AS doc_id, stage, CAST(length(payload) AS BIGINT) AS chars, md5(payload) AS md5 FROM z")
 def stage_payloads(spark, sf_dir):
-    d = _scoped(spark, sf_dir)
-    both = [payloads.with_payload(d, s).select(F.col("id").alias("doc_id"), F.lit(s).alias("stage"), F.col("payload_chars").alias("chars"), F.md5("payload").alias("md5")) for s in payloads.FIELDS]
-    return reduce(DataFrame.unionByName, both)
+    d = payloads.with_payloads(_scoped(spark, sf_dir), list(payloads.FIELDS), ["id"])
+    return d.select(F.col("id").alias("doc_id"), "stage", F.col("payload_chars").alias("chars"), F.md5("payload").alias("md5"))
 
 
 @query(rf"""{_PAYLOADS.replace("WITH ", "WITH RECURSIVE ", 1)}, d AS (SELECT source, length(payload) AS n, row_number() OVER (PARTITION BY source ORDER BY id) AS i FROM z WHERE stage = 'spatial'),

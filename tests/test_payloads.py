@@ -43,6 +43,17 @@ def test_payloads_are_what_a_serialiser_writes(spark):
     assert json.loads(spark.range(1).select(payloads.payload("routing", ["id"])).first()[0]) == {"id": "0", "title": "", "journal": "", "source_id": ""}
 
 
+def test_all_stages_are_spelled_in_one_pass(spark, tmp_path):
+    spark.createDataFrame([("1", 'a "b"\n', "j", "s", None, None, "\u2003 c\x0b\x1f\\ \t"), ("2", None, None, None, "s", "l", None), ("3", "\x7f", "", "", "", "", "\x85 x \x85")], PAPER).write.parquet(str(tmp_path / "p"))
+    d = spark.read.parquet(str(tmp_path / "p"))
+    got = payloads.with_payloads(d, list(payloads.FIELDS), ["id"])
+    plain = [(r.id, s, r.payload, r.payload_chars) for s in payloads.FIELDS for r in payloads.with_payload(d, s).collect()]
+    assert sorted(map(tuple, got.collect())) == sorted(plain) and len(plain) == 18
+    assert any('"abstract":"\x85 x \x85"' in p for i, s, p, _ in plain if (i, s) == ("3", "spatial"))  # no white space there, so nothing is trimmed
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 and plan.lower().count("to_json") + plan.count("StructsToJson") <= 9  # a paper's text is neither read nor escaped once a stage
+
+
 def test_batches_go_by_exact_lengths(spark, tmp_path):
     r = random.Random(8)
     d = spark.createDataFrame([(str(i), "t" * r.randrange(30), "j", "hot" if i % 5 else "cold", None, None, '"' * r.randrange(300)) for i in range(120)], PAPER).withColumn("ord", F.col("id").cast("int"))
