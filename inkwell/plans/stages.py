@@ -15,7 +15,7 @@ from inkwell.plans import sql
 from inkwell.plans.catalog import lined, papers, query, read, rule
 from inkwell.plans.flows import CONTROL
 from inkwell.session import saved, shared_folder
-from inkwell.sources import daily, feeds, preprints
+from inkwell.sources import daily, feeds, preprints, scan
 
 NAMES = [s[0] for s in policy.SOURCES]
 _ANY = lambda values: ", ".join(f"'{v}'" for v in values)
@@ -92,8 +92,15 @@ def preprint_api(spark: SparkSession, sf_dir: str) -> tuple[str, list[str]]:
     kind = F.pmod("c", F.lit(7))
     status = F.when((kind == BROKEN) & (F.col("cursor") == 2 * API_PAGE), "internal error").when(kind == NOTHING, "No posts found").otherwise("ok")
     message = F.array(F.struct(status.alias("status"), F.size("collection").cast("string").alias("count"), F.col("total")))
-    page.select("c", "cursor", F.to_json(F.struct(message.alias("messages"), "collection")).alias("value")).repartition("c").write.partitionBy("c", "cursor").text(f"{root}/api")
-    return f"{root}/api/c={{category}}/cursor={{cursor}}", sorted(str(r[0]) for r in size.select("k").collect())
+    page = page.select("c", "cursor", F.to_json(F.struct(message.alias("messages"), "collection")).alias("value"))
+    url = f"{root}/api/c={{category}}/{{cursor}}.json"
+
+    def put(rows) -> None:
+        for r in rows:
+            scan.put(url.format(category=r.c, cursor=r.cursor), r.value.encode())
+
+    page.foreachPartition(put)  # a page is a row and a file; a committer would rename them one by one on the driver
+    return url, sorted(str(r[0]) for r in size.select("k").collect())
 
 
 def preprint_records(spark: SparkSession, sf_dir: str) -> DataFrame:

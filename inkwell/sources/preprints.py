@@ -17,6 +17,8 @@ from inkwell.sources.scan import fetch
 
 RECORD = "title string, authors string, doi string, date string, version string, type string, category string, abstract string"
 MAX_CURSOR = 10_000
+#: Categories beyond this number share tasks, which read them one after the other.
+TASKS = 128
 
 
 def number(value: object) -> int:
@@ -50,7 +52,7 @@ def pages(fetch: Callable[[int], dict]) -> Iterator[dict]:
 
 
 class PreprintSource(DataSource):
-    """``format("preprints")`` with options url (with {category}, {from}, {to}, {cursor}; HTTP or an address in any store), categories (comma-separated), from, to, timeout: a partition per category, whose failure becomes a status row of its own."""
+    """``format("preprints")`` with options url (with {category}, {from}, {to}, {cursor}; HTTP or an address in any store), categories (comma-separated), from, to, timeout: a partition per category, or where there are more than ``TASKS`` per several; a category's failure becomes a status row of its own."""
 
     @classmethod
     def name(cls) -> str:
@@ -68,13 +70,16 @@ class PreprintReader(DataSourceReader):
         self.options = dict(options)
 
     def partitions(self) -> list[InputPartition]:
-        return [InputPartition(c.strip()) for c in self.options.get("categories", "").split(",") if c.strip()] or [InputPartition(None)]
+        names = [c.strip() for c in self.options.get("categories", "").split(",") if c.strip()]
+        return [InputPartition(names[i::TASKS]) for i in range(min(TASKS, len(names)))] or [InputPartition([])]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
+        for category in partition.value:
+            yield from self.records(category)
+
+    def records(self, category: str) -> Iterator[tuple]:
         """A category's records, or one row that says why there are none: what came before a failure does not count (``MAX_CURSOR`` bounds what is held)."""
-        category, blank = partition.value, (None,) * 8
-        if category is None:
-            return
+        blank = (None,) * 8
 
         def page(cursor: int) -> dict:
             own = {"category": category, "cursor": cursor, **{k: self.options.get(k, "") for k in ("from", "to")}}

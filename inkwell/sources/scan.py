@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import re
 import time
+import uuid
 from collections.abc import Callable, Iterator
 from datetime import date, datetime, timezone
 from email.utils import parsedate_to_datetime
@@ -27,6 +28,23 @@ TIMEOUT_S, CHUNK = 15.0, 1 << 16
 HEADERS = {"User-Agent": "inkwell", "Accept": "application/rss+xml, application/atom+xml, application/xml;q=0.9, */*;q=0.5"}
 
 
+def _located(url: str):
+    """The store of an address, and the path in it."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(re.sub(r"^file:/*", "file:///", url) if url.startswith("file:") else url)
+
+
+def put(url: str, body: bytes) -> None:
+    """``body`` as a file of any store, there as a whole or not at all; one that a repeated task wrote before is replaced."""
+    store, path = _located(url)
+    new = f"{path}.{uuid.uuid4().hex}"
+    store.create_dir(path.rpartition("/")[0], recursive=True)
+    with store.open_output_stream(new) as f:
+        f.write(body)
+    store.move(new, path)
+
+
 def fetch(url: str, timeout: float) -> bytes:
     """The body behind an address within ``timeout`` seconds in all. Addresses other than http(s) are files of any store; a folder's files count as one, in order of name."""
     until = time.monotonic() + timeout
@@ -40,7 +58,7 @@ def fetch(url: str, timeout: float) -> bytes:
         return body
     from pyarrow import fs
 
-    store, path = fs.FileSystem.from_uri(re.sub(r"^file:/*", "file:///", url) if url.startswith("file:") else url)
+    store, path = _located(url)
     info = store.get_file_info(path)
     if info.type == fs.FileType.NotFound:
         raise FileNotFoundError(url)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from inkwell.operators import registry
-from inkwell.sources import daily, feeds, preprints
+from inkwell.sources import daily, feeds, preprints, scan
 
 RSS = """<?xml version="1.0"?><rss version="2.0" xmlns:dc="http://purl.org/dc/elements/1.1/" xmlns:content="http://purl.org/rss/1.0/modules/content/"><channel><title>J</title>
 <item><title>Atlas of &lt;i&gt;Sox9&lt;/i&gt; organs</title><link> https://x.org/a </link><guid>https://x.org/a</guid><dc:identifier>doi:10.1016/J.CELL.1</dc:identifier><pubDate>Fri, 14 Jul 2026 07:00:00 GMT</pubDate><description>Plain &lt;b&gt;text&lt;/b&gt;</description></item>
@@ -65,6 +65,19 @@ def test_a_category_that_fails_later_counts_for_nothing(spark, tmp_path):
     assert not read("").collect()
 
 
+def test_many_categories_share_tasks(spark, tmp_path):
+    names = [f"c{i}" for i in range(3 * preprints.TASKS + 5)]
+    for n in names[:-1]:
+        page = {"messages": [{"status": "ok", "count": 1, "total": 1}], "collection": [{"title": n, "doi": n}]}
+        scan.put(f"file://{tmp_path}/api/{n}/0.json", b"cut off")
+        scan.put(f"file:{tmp_path}/api/{n}/0.json", json.dumps(page).encode())
+    assert [p.name for p in (tmp_path / "api" / "c0").iterdir()] == ["0.json"]
+    spark.dataSource.register(preprints.PreprintSource)
+    d = spark.read.format("preprints").option("url", f"file://{tmp_path}/api/{{category}}/{{cursor}}.json").option("categories", ",".join(names)).load()
+    assert d.rdd.getNumPartitions() == preprints.TASKS
+    assert sorted((r.requested, r.status, r.doi) for r in d.collect()) == sorted([*((n, "ok", n) for n in names[:-1]), (names[-1], "skipped: FileNotFoundError", None)])
+
+
 def test_records_to_papers(spark, tmp_path):
     records = [
         {"title": " A  spatial omics map ", "authors": "B, A.;  C, D. ;", "doi": " 10.1101/X ", "date": "2026-05-22", "version": "2", "category": " ", "type": "new results", "abstract": " "},
