@@ -54,6 +54,12 @@ def test_all_stages_are_spelled_in_one_pass(spark, tmp_path):
     assert plan.count("Relation [") == 1 and plan.lower().count("to_json") + plan.count("StructsToJson") <= 9  # a paper's text is neither read nor escaped once a stage
 
 
+def test_one_stage_needs_no_pattern(spark):
+    d = payloads.with_payload(spark.range(3).select(F.col("id").cast("string").alias("id"), F.col("id").cast("string").alias("abstract")), "spatial")
+    plan = d._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "regexp_replace" not in plan and "rlike" not in plan
+
+
 def test_batches_go_by_exact_lengths(spark, tmp_path):
     r = random.Random(8)
     d = spark.createDataFrame([(str(i), "t" * r.randrange(30), "j", "hot" if i % 5 else "cold", None, None, '"' * r.randrange(300)) for i in range(120)], PAPER).withColumn("ord", F.col("id").cast("int"))
