@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from inkwell.functions.text import bound, trim_space, truncate
 from inkwell.operators.batching import pack_ranges
+from inkwell.session import saved
 
 #: Short spellings of control characters; the others are written as \u and four digits in lower case.
 SHORT = {0x08: "b", 0x09: "t", 0x0A: "n", 0x0C: "f", 0x0D: "r"}
@@ -45,17 +46,17 @@ def _fields(columns: list[str]) -> dict[str, Column]:
     }
 
 
+def _values(stage: str, columns: list[str]) -> dict[str, Column]:
+    """A stage's fields in order, by their names in ``FIELDS``; a required one that is null is an empty string."""
+    value = _fields(columns)
+    if stage != "gate":
+        value["abstract"] = bound(trim_space(value["abstract"]), lambda t: truncate(t))
+    return {name: value[name.removesuffix("?")] if name.endswith("?") else F.coalesce(value[name], F.lit("")) for name in ["id", "title", *FIELDS[stage]]}
+
+
 def _pieces(stage: str, columns: list[str]) -> dict[tuple[str, bool], Column]:
     """A stage's fields in order, spelled with their keys; by name, and whether that is the whole abstract."""
-    value, whole = _fields(columns), stage == "gate"
-    if not whole:
-        value["abstract"] = truncate(trim_space(value["abstract"]))
-    pieces = {}
-    for name in ["id", "title", *FIELDS[stage]]:
-        key = name.removesuffix("?")
-        text = json_string(value[key] if name.endswith("?") else F.coalesce(value[key], F.lit("")))
-        pieces[name, whole and key == "abstract"] = F.concat(F.lit(f'"{key}":'), text)
-    return pieces
+    return {(name, stage == "gate" and name == "abstract"): F.concat(F.lit(f'"{name.removesuffix("?")}":'), json_string(v)) for name, v in _values(stage, columns).items()}
 
 
 def _item(pieces: Iterable[Column | str]) -> Column:
@@ -63,8 +64,9 @@ def _item(pieces: Iterable[Column | str]) -> Column:
 
 
 def payload(stage: str, columns: list[str]) -> Column:
-    """The item of a paper with these columns. The gate gets the abstract as it is, other stages trimmed and cut to 2,000 characters; a required field that is null is an empty string."""
-    return _item(_pieces(stage, columns).values())
+    """The item of a paper with these columns. The gate gets the abstract as it is, other stages trimmed and cut to 2,000 characters; a required field that is null is an empty string. An item is spelled at once, and field by field only where a control character without a short spelling has been met."""
+    item = F.struct(*[v.alias(name.removesuffix("?")) for name, v in _values(stage, columns).items()])
+    return bound(F.to_json(item, {"ignoreNullFields": "true"}), lambda j: F.when(j.contains("\\u00"), _item(_pieces(stage, columns).values())).otherwise(j))
 
 
 def with_payload(papers: DataFrame, stage: str) -> DataFrame:
@@ -88,7 +90,11 @@ def request(stage: str, items: Column) -> Column:
     return F.concat(F.lit('{"paper":'), F.get(items, F.lit(0)), F.lit("}")) if stage == "summarize" else F.concat(F.lit('{"papers":['), F.array_join(items, ","), F.lit("]}"))
 
 
-def planned(papers: DataFrame, stage: str, group: str, order: list[str], limits: tuple[int, int, int | None], path: str, prompt: str = "", pack: Callable[..., DataFrame] = pack_ranges) -> DataFrame:
-    """``group, order, id, payload, payload_chars, batch``: batches by the exact lengths of what is sent. ``limits``: items, input tokens, completion tokens."""
-    d = with_payload(papers, stage).select(*dict.fromkeys([group, *order, "id", "payload", "payload_chars"]))
+def planned(papers: DataFrame, stage: str, group: str, order: list[str], limits: tuple[int, int, int | None], path: str, prompt: str = "", pack: Callable[..., DataFrame] = pack_ranges, whole: bool = True) -> DataFrame:
+    """``group, order, id, payload, payload_chars, batch``: batches by the exact lengths of what is sent. ``limits``: items, input tokens, completion tokens.
+
+    Without ``whole`` the lengths alone are laid out and packed, and there is no ``payload``. Either way they stand written first, as ranges are found by a pass of their own, which would spell every paper once more.
+    """
+    own = [group, *order, "id", *(["payload"] if whole else []), "payload_chars"]
+    d = saved(with_payload(papers, stage).select(*dict.fromkeys(own)), f"{path}/payloads")
     return pack(d, group, order, "payload_chars", stage, *limits, path, len(prompt))

@@ -210,7 +210,7 @@ w AS (SELECT source, i, 0 AS batch, 1 AS items, n AS size FROM d WHERE i = 1
 SELECT source, batch, max(items) AS items, CAST(max(size) - max(items) + 1 AS BIGINT) AS chars FROM w GROUP BY source, batch""")
 def payload_batches(spark, sf_dir):
     """Batches of the spatial stage by the exact lengths of its payloads."""
-    d = payloads.planned(_scoped(spark, sf_dir), "spatial", "source", ["id"], (8, 1500, 8192), shared_folder(spark, "payloads"), "0123456789")
+    d = payloads.planned(papers(spark, sf_dir), "spatial", "source", ["id"], (8, 1500, 8192), shared_folder(spark, "payloads"), "0123456789", whole=False)
     return d.groupBy("source", "batch").agg(F.count(F.lit(1)).alias("items"), F.sum("payload_chars").alias("chars"))
 
 

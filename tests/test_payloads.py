@@ -71,6 +71,35 @@ def test_batches_go_by_exact_lengths(spark, tmp_path):
         assert b.n == 1 or (b.n <= 6 and (6 + b.c + b.n - 1 + 45) / 4 <= 300)
 
 
+def test_a_paper_is_spelled_once_and_lengths_alone_are_packed(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    texts = ["x" * 2500, None, '"\\ \x0b\x1f', " \\u00e9 ", ""]
+    d = spark.createDataFrame([(str(i), texts[i % 3], "j", "hot" if i % 5 else None, None, None, texts[i % 5]) for i in range(90)], PAPER).mapInArrow(counted, PAPER).withColumn("ord", F.col("id").cast("int"))
+    limits = (8, 1500, 8192)
+    got = payloads.planned(d, "spatial", "source", ["ord"], limits, str(tmp_path / "a"), "prompt", whole=False)
+    assert got.columns == ["source", "ord", "id", "payload_chars", "batch"] and "payload" not in spark.read.parquet(str(tmp_path / "a" / "rows")).columns
+    rows = sorted(map(tuple, got.collect()), key=str)
+    assert seen.value == len(rows) == 90
+    whole = payloads.planned(d, "spatial", "source", ["ord"], limits, str(tmp_path / "b"), "prompt")
+    assert sorted(map(tuple, whole.drop("payload").collect()), key=str) == rows and seen.value == 180
+    plain = batching.pack(payloads.with_payload(d, "spatial"), "source", ["ord"], "payload_chars", "spatial", *limits, 6)
+    assert sorted(map(tuple, plain.select(*got.columns).collect()), key=str) == rows
+
+
+def test_an_item_is_spelled_at_once(spark, tmp_path):
+    spark.createDataFrame([("1", "t", "j", "s", None, None, "a")], PAPER).write.parquet(str(tmp_path / "p"))
+    own = payloads.with_payload(spark.read.parquet(str(tmp_path / "p")), "tagging").select("payload")
+    plan = own._jdf.queryExecution().optimizedPlan().toString()
+    head = plan.split("lambdafunction")[0]  # what is worked out for every paper, and not only where a control character has been met
+    assert head.lower().count("to_json") + head.count("StructsToJson") == 1
+
+
 ROUTING = {"baseUrl": "https://x.org/v1", "maxPapersPerBatch": 40, "maxInputTokens": 28000, "maxTokens": 8192, "timeoutMs": 180000}
 
 
