@@ -34,6 +34,8 @@ from inkwell.llm.words import U64, chunks, give_back, mix, regroup, scan_batch,
 SHINGLE, PERCENT = 4, 85
 #: Growth of size classes; bytes of text in a chunk; cell entries in a bucket on average; members, and their shingles, that one tree joins.
 CLASS_GROWTH, CHUNK, BUCKET_ENTRIES, CELL_MEMBERS, CELL_SHINGLES = 1.4, 2 << 20, 1_000_000, 4000, 4_000_000
+#: What one round may carry between tasks beside its keys: this share of all bytes of text, and no fewer bytes than these.
+ROUND_SHARE, ROUND_BYTES = 0.5, 64 << 20
 #: Shingles whose cells are found at once.
 SHINGLES_AT_ONCE = 1 << 16
 #: Members of a part of a cell that no hash divides; a tree joins two parts.
@@ -147,9 +149,11 @@ def counts_of(point: bytes) -> np.ndarray:
     return np.frombuffer(zlib.decompress(point[1:]), f"<u{point[:1].decode()}")
 
 
-ROWS = "doc_id long, n long, sid long, uid string, point binary, bucket int, keys binary, sids binary"
-ROWS_ARROW = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("sid", pa.int64()), ("uid", pa.string()), ("point", pa.binary()), ("bucket", pa.int32()), ("keys", pa.binary()), ("sids", pa.binary())])
-#: Number that stands for members that meet inside a chunk already.
+NODE = "doc_id long, n long, sid long, uid string, point binary"
+NODE_ARROW = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("sid", pa.int64()), ("uid", pa.string()), ("point", pa.binary())])
+DEALT = "bucket long, keys binary, sids binary"
+DEALT_ARROW = pa.schema([("bucket", pa.int64()), ("keys", pa.binary()), ("sids", pa.binary())])
+#: The first of the numbers, downwards, that stand for members that meet inside a chunk already.
 WITHIN = -1
 
 
@@ -163,17 +167,27 @@ def _members(key: np.ndarray, sid: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return key, sid, np.append(False, same) | np.append(same, False) if len(key) else np.zeros(0, bool)
 
 
-def _deal(shingle: int, percent: int, buckets: int):
+def _name(shingle: int):
+    """Texts to their nodes."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in regroup(batches, 1, CHUNK):
             h, first = distinct_sets(batch.column(1), shingle)
-            sids = set_ids(h, first)
-            n = batch.num_rows
-            none = pa.nulls(n, pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(first)), pa.array(sids), batch.column(2), pa.array([point(h[a:b]) for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)], pa.binary()), pa.nulls(n, pa.int32()), none, none], schema=ROWS_ARROW)
+            points = pa.array([point(h[a:b]) for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(first)), pa.array(set_ids(h, first)), batch.column(2), points], schema=NODE_ARROW)
+
+    return run
+
+
+def _deal(shingle: int, percent: int, buckets: int):
+    """Texts to the cells they take part in, packed by buckets of cells."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in regroup(batches, 0, CHUNK):
+            h, first = distinct_sets(batch.column(0), shingle)
             key, text = cells(h, first, percent, 0)
-            key, sid, shared = _members(key, sids[text])
-            rows = [(WITHIN, key[shared].tobytes(), sid[shared].tobytes())] if shared.any() else []
+            key, sid, shared = _members(key, set_ids(h, first)[text])
+            rows = [(WITHIN - int(key[shared][0].view(U64) % U64(buckets)), key[shared].tobytes(), sid[shared].tobytes())] if shared.any() else []
             lead = np.append(True, key[1:] != key[:-1]) if len(key) else np.zeros(0, bool)
             key, sid = key[lead], sid[lead]  # one member of a cell stands for the chunk's others
             to = (key.view(U64) % U64(buckets)).astype(np.int64)
@@ -181,10 +195,8 @@ def _deal(shingle: int, percent: int, buckets: int):
             ends = np.searchsorted(to[by], np.arange(buckets + 1))
             rows += [(r, key[own].tobytes(), sid[own].tobytes()) for r in range(buckets) if len(own := by[ends[r] : ends[r + 1]])]
             if rows:
-                m = len(rows)
                 r, k, s = zip(*rows, strict=True)
-                void = pa.nulls(m, pa.int64())
-                yield pa.RecordBatch.from_arrays([void, void, void, pa.nulls(m, pa.string()), pa.nulls(m, pa.binary()), pa.array(r, pa.int32()), pa.array(k, pa.binary()), pa.array(s, pa.binary())], schema=ROWS_ARROW)
+                yield pa.RecordBatch.from_arrays([pa.array(r, pa.int64()), pa.array(k, pa.binary()), pa.array(s, pa.binary())], schema=DEALT_ARROW)
 
     return run
 
@@ -193,20 +205,20 @@ MEMBER = "cell long, sid long"
 MEMBER_ARROW = pa.schema([("cell", pa.int64()), ("sid", pa.int64())])
 
 
-def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for k, s in zip(batch.column("keys"), batch.column("sids"), strict=True):
-            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(k.as_py(), np.int64)), pa.array(np.frombuffer(s.as_py(), np.int64))], schema=MEMBER_ARROW)
-
-
 def _meet(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A bucket's cells that have more than one member, and what met inside chunks as it is."""
     keys, sids = [], []
     for batch in batches:
         for k, s in zip(batch.column("keys"), batch.column("sids"), strict=True):
-            keys.append(np.frombuffer(k.as_py(), np.int64))
-            sids.append(np.frombuffer(s.as_py(), np.int64))
-    k, s, shared = _members(np.concatenate(keys), np.concatenate(sids))
-    yield pa.RecordBatch.from_arrays([pa.array(k[shared]), pa.array(s[shared])], schema=MEMBER_ARROW)
+            k, s = np.frombuffer(k.as_py(), np.int64), np.frombuffer(s.as_py(), np.int64)
+            if key[0].as_py() <= WITHIN:
+                yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(s)], schema=MEMBER_ARROW)
+            else:
+                keys.append(k)
+                sids.append(s)
+    if keys:
+        k, s, shared = _members(np.concatenate(keys), np.concatenate(sids))
+        yield pa.RecordBatch.from_arrays([pa.array(k[shared]), pa.array(s[shared])], schema=MEMBER_ARROW)
 
 
 def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -371,16 +383,28 @@ def _cell_join(percent: int):
     return run
 
 
+def _in_rounds(scratch: Scratch, name: str, held: int, room: int, step) -> DataFrame:
+    """What ``step(own)`` gives, where ``own(rows, *keys)`` are a round's rows: all rows with equal keys in the same one of as many rounds as ``held`` bytes need.
+
+    Points, texts and sets travel once for each group they take part in, and groups grow with the input: together that may be
+    many times the input, so no more than ``room`` bytes of it are there at a time."""
+    rounds, out = max(1, -(-int(held) // room)), None
+    for k in range(rounds):
+        part = scratch.save(step(lambda rows, *keys, k=k: rows.filter(F.pmod(F.xxhash64(*keys), F.lit(rounds)) == k) if rounds > 1 else rows), f"{name}-{k}")
+        out = part if out is None else out.unionByName(part)
+        scratch.release()
+    return out
+
+
 def _solve(scratch: Scratch, rows: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """``rows(doc_id, text, uid)`` to nodes(doc_id, n, sid, uid), a row each, and labels(sid, label) of every set."""
     size = rows.agg(F.sum(F.octet_length("text")).alias("b")).first().b or 0
-    buckets = max(1, int(size * 0.05 // BUCKET_ENTRIES) + 1)  # a text has at most about one cell for 20 bytes
-    dealt = scratch.save(rows.mapInArrow(_deal(shingle, percent, buckets), ROWS), "dealt")
-    nodes = scratch.save(dealt.filter("bucket IS NULL").select("doc_id", "n", "sid", "uid", "point"), "nodes")
-    within = dealt.filter(f"bucket = {WITHIN}").select("keys", "sids").mapInArrow(_unpacked, MEMBER)
-    across = dealt.filter(f"bucket > {WITHIN}").select("bucket", "keys", "sids").groupBy("bucket").applyInArrow(_meet, MEMBER)
-    members = scratch.save(within.unionByName(across), "members")
-    scratch.drop("dealt")
+    buckets = max(1, int(size * 0.05 // BUCKET_ENTRIES) + 1)  # a text has about one cell for 20 bytes
+    room = max(ROUND_BYTES, int(size * ROUND_SHARE))
+    nodes = scratch.save(rows.select("doc_id", "text", "uid").mapInArrow(_name(shingle), NODE), "nodes")
+    # Cells go straight to where they meet; written first, they would take as much disk once more.
+    members = scratch.save(rows.select("text").mapInArrow(_deal(shingle, percent, buckets), DEALT).groupBy("bucket").applyInArrow(_meet, MEMBER), "members")
+    scratch.release()
 
     hubs = scratch.save(members.groupBy("cell").agg(F.min("sid").alias("hub"), F.max("sid").alias("other"), F.count(F.lit(1)).alias("held")).filter("hub <> other").select("cell", "hub", "held"), "hubs")
     pairs = scratch.save(members.join(hubs.hint("merge"), "cell").filter("sid <> hub").select(F.col("hub").alias("a"), F.col("sid").alias("b")).distinct(), "pairs")
@@ -391,28 +415,35 @@ def _solve(scratch: Scratch, rows: DataFrame, shingle: int, percent: int) -> tup
     by_cell = hubs.groupBy("hub").agg(F.sum(F.expr(f"held * held + {GROUP_COST}")).alias("cost"))
     groups = nodes_of.join(by_cell.hint("merge"), "hub").filter(f"nodes > {CELL_MEMBERS} OR nodes * nodes > cost").select("hub")
     groups = scratch.save(groups, "groups")
-    near = around.join(groups.hint("merge"), "hub", "left_anti").groupBy("hub").applyInArrow(_neighbours(percent), NEAR)
+    points_of = lambda d: d.agg(F.sum(F.coalesce(F.length("point"), F.lit(0)) + 40).alias("b")).first().b or 0
+    near = _in_rounds(scratch, "near_hubs", points_of(around), room, lambda own: own(around, "hub").join(groups.hint("merge"), "hub", "left_anti").groupBy("hub").applyInArrow(_neighbours(percent), NEAR))
+    scratch.drop("around")
     # A hub with more around it than one tree should join gets a tree for each of its cells; of a cell that is still too large, all are kept.
     within = members.join(hubs.hint("merge"), "cell").join(groups.hint("merge"), "hub", "left_semi").select("cell", "hub", "sid").distinct()
     within = scratch.save(within.join(points.hint("merge"), "sid"), "within")
     huge = scratch.save(within.groupBy("cell").agg(F.count(F.lit(1)).alias("nodes")).filter(f"nodes > {CELL_MEMBERS}").select("cell"), "huge")
-    near = near.unionByName(within.join(huge.hint("merge"), "cell", "left_anti").groupBy("cell").applyInArrow(_neighbours(percent), NEAR))
+    near = near.unionByName(_in_rounds(scratch, "near_cells", points_of(within), room, lambda own: own(within, "cell").join(huge.hint("merge"), "cell", "left_anti").groupBy("cell").applyInArrow(_neighbours(percent), NEAR)))
     near = near.unionByName(within.join(huge.hint("merge"), "cell", "left_semi").select("hub", "sid", (F.col("sid") != F.col("hub")).alias("star")))
     near = scratch.save(near.groupBy("hub", "sid").agg(F.max("star").alias("star")), "near")
+    scratch.drop("within")
     pairs = near.filter("star").select(F.col("hub").alias("a"), F.col("sid").alias("b"))
     asked = scratch.save(near.select("sid").unionByName(pairs.select(F.col("a").alias("sid"))).distinct(), "asked")
     one = nodes.groupBy("sid").agg(F.min("uid").alias("uid")).join(asked.hint("merge"), "sid")
     texts = rows.select("uid", "text").join(one.hint("merge"), "uid").groupBy("sid").agg(F.first("text").alias("text"))
     texts = scratch.save(texts, "texts")
+    scratch.release()
     side = lambda c: texts.select(F.col("sid").alias(c), F.col("text").alias(f"text_{c}")).hint("merge")
-    links = scratch.save(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_verify(shingle, percent), PAIR), "links1")
+    held = pairs.join(texts.select(F.col("sid").alias("a"), F.octet_length("text").alias("held")).hint("merge"), "a").agg(F.sum("held").alias("held")).first().held or 0
+    links = _in_rounds(scratch, "links1", held, room, lambda own: own(pairs, "a").join(side("a"), "a").join(side("b"), "b").mapInArrow(_verify(shingle, percent), PAIR))
     labels = components(links, scratch, "round1")
 
     open_ = members.join(asked.hint("merge"), "sid", "left_semi").join(labels.withColumnRenamed("node", "sid").hint("merge"), "sid", "left").select("cell", "sid", F.coalesce("label", "sid").alias("label")).distinct()
-    more = _tree_rounds(scratch, open_, texts, shingle, percent)
+    more = _tree_rounds(scratch, open_, texts, shingle, percent, room)
     links = scratch.save(links.unionByName(more), "links2")
     labels = components(links, scratch, "round2").withColumnRenamed("node", "sid")
-    return nodes, scratch.save(nodes.select("sid").distinct().join(labels.hint("merge"), "sid", "left").select("sid", F.coalesce("label", "sid").alias("label")), "named")
+    named = scratch.save(nodes.select("sid").distinct().join(labels.hint("merge"), "sid", "left").select("sid", F.coalesce("label", "sid").alias("label")), "named")
+    scratch.release()
+    return nodes, named
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
@@ -467,7 +498,7 @@ def _in_parts(members: DataFrame) -> DataFrame:
     return d.select("cell", "sid", "label", F.least("_own", "_other").alias("x"), F.greatest("_own", "_other").alias("y"))
 
 
-def _tree_rounds(scratch: Scratch, members: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+def _tree_rounds(scratch: Scratch, members: DataFrame, texts: DataFrame, shingle: int, percent: int, room: int) -> DataFrame:
     """Links found by R-trees among the members of the cells that the stars have left open. Two members may be left of a cell whose hub has no possible partner, and that hub's star did not compare them.
 
     The cells of one smallest member share most of their members, so they get one tree and a set travels once to
@@ -483,17 +514,19 @@ def _tree_rounds(scratch: Scratch, members: DataFrame, texts: DataFrame, shingle
     around = scratch.save(around, "held")
     fits = around.groupBy("hub").agg(F.count(F.lit(1)).alias("nodes"), F.sum("n").alias("held")).filter(f"nodes <= {CELL_MEMBERS} AND held <= {CELL_SHINGLES}").select("hub")
     fits = scratch.save(fits, "fits")
-    once = around.join(fits.hint("merge"), "hub").drop("n").join(sets.hint("merge"), "sid")
-    out = scratch.save(once.groupBy("hub").applyInArrow(_cell_join(percent), PAIR), "found0")
+    sizes = sets.select("sid", F.expr("8 * n + 40").alias("b")).hint("merge")
+    sets_of = lambda d: d.join(sizes, "sid").agg(F.sum("b").alias("b")).first().b or 0
+    once = around.join(fits.hint("merge"), "hub").drop("n")
+    out = _in_rounds(scratch, "found0", sets_of(once), room, lambda own: own(once, "hub").join(sets.hint("merge"), "sid").groupBy("hub").applyInArrow(_cell_join(percent), PAIR))
     open_ = open_.join(hubs.hint("merge"), "cell").join(fits.hint("merge"), "hub", "left_anti").drop("hub")
     open_ = scratch.save(open_, "large0")
     while not open_.isEmpty():
         last = seed > 1  # a cell that another hash leaves large is held together by what its texts share, and no hash parts it: it is joined part by part
         small = open_.filter(f"many <= {CELL_MEMBERS}")
-        found = small.join(sets.hint("merge"), "sid").groupBy("cell").applyInArrow(_cell_join(percent), PAIR)
+        out = out.unionByName(_in_rounds(scratch, f"found{seed}", sets_of(small), room, lambda own, small=small: own(small, "cell").join(sets.hint("merge"), "sid").groupBy("cell").applyInArrow(_cell_join(percent), PAIR)))
         if last:
-            found = found.unionByName(_in_parts(open_.filter(f"many > {CELL_MEMBERS}")).join(sets.hint("merge"), "sid").groupBy("cell", "x", "y").applyInArrow(_cell_join(percent), PAIR))
-        out = out.unionByName(scratch.save(found, f"found{seed}"))
+            each = _in_parts(open_.filter(f"many > {CELL_MEMBERS}"))
+            out = out.unionByName(_in_rounds(scratch, "parts", sets_of(each), room, lambda own, each=each: own(each, "cell", "x", "y").join(sets.hint("merge"), "sid").groupBy("cell", "x", "y").applyInArrow(_cell_join(percent), PAIR)))
         large = open_.filter(f"many > {CELL_MEMBERS}")
         if last or large.isEmpty():
             break

@@ -1,5 +1,6 @@
 import hashlib
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -8,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from inkwell.llm import backoff, decontaminate, ngram_join
+from inkwell.llm.scratch import Scratch
 from inkwell.llm.words import U64
 from tests.llm.conftest import crc, words
 from tests.llm.test_words import thue_morse
@@ -131,6 +133,43 @@ def test_components(spark, monkeypatch, n, percent, members, part):
     assert got == brute_components(rows, n, percent)
 
 
+def watch_tables(monkeypatch, spark):
+    """Names of the tables that the join writes, and the bytes that stand written after each."""
+    seen, save = [], Scratch.save
+
+    def watched(self, df, name):
+        out = save(self, df, name)
+        root = Path(self.root.removeprefix("file://").removeprefix("file:"))
+        seen.append((name, sum(f.stat().st_size for f in root.rglob("*") if f.is_file())))
+        return out
+
+    monkeypatch.setattr(Scratch, "save", watched)
+    return seen
+
+
+def test_cells_are_not_written_before_they_meet(spark, monkeypatch):
+    draw = np.random.default_rng(8)
+    texts = [" ".join(f"w{x}" for x in draw.integers(10**6, size=600)) for _ in range(900)]
+    texts += [texts[0] + " more", texts[1].upper()]
+    seen = watch_tables(monkeypatch, spark)
+    got = ngram_join.near_components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got if r.component_id != r.doc_id} == {900: 0, 901: 1} and len(got) == 902
+    assert max(b for _, b in seen) < 0.5 * sum(map(len, texts))
+
+
+def test_rounds(spark, monkeypatch):
+    """Points, texts and sets that go in several rounds change no component."""
+    draw = np.random.default_rng(9)
+    rows = list(enumerate(t for size in (14, 60, 150) for t in family(draw, size, 12, max(2, size // 20))))
+    monkeypatch.setattr(ngram_join, "ROUND_SHARE", 0)
+    monkeypatch.setattr(ngram_join, "ROUND_BYTES", 1_500)
+    seen = watch_tables(monkeypatch, spark)
+    d = spark.createDataFrame([*rows, (None, ""), (70, None)], "doc_id long, text string")
+    got = sorted((tuple(r) for r in ngram_join.near_components(d, shingle=5, percent=80).collect()), key=str)
+    assert got == brute_components([*rows, (None, ""), (70, None)], 5, 80)
+    assert {"near_hubs-1", "links1-1"} <= {name for name, _ in seen}
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_pairs_around_an_unlinked_hub(spark, seed):
     """Short texts that share a long beginning: in a cell, one linked pair among variants that link with nothing."""
